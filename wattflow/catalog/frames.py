@@ -188,3 +188,17 @@ def metered_site_day(spark: SparkSession, d: str) -> DataFrame:
 
 def r(col: str, n: int = 6):
     return F.round(F.col(col), n).alias(col)
+
+
+def dr(col, n: int = 6, name: str | None = None):
+    """Half-up decimal rounding for checked outputs (twin of ``DR`` in SQL)."""
+    from ..functions.scalar import round_half_up
+
+    c = F.col(col) if isinstance(col, str) else col
+    out = round_half_up(c, n)
+    alias = name or (col if isinstance(col, str) else None)
+    return out.alias(alias) if alias else out
+
+
+def DR(expr: str, n: int = 6) -> str:
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,{n + 3})), {n}) AS DOUBLE)"

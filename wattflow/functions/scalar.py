@@ -68,3 +68,14 @@ def row_json(*cols: str | Column, keep_nulls: bool = True) -> Column:
     """the row as JSON; NULL fields kept as explicit ``null`` by default."""
     struct = F.struct(*cols) if cols else F.struct("*")
     return F.to_json(struct, {"ignoreNullFields": "false"} if keep_nulls else {})
+
+
+def round_half_up(col: str | Column, places: int) -> Column:
+    """Round the decimal value a number prints as, half away from zero (via DECIMAL).
+
+    Plain ``round`` on a double may land either side of an exact decimal tie
+    (x.xx5) depending on its binary value; going through DECIMAL rounds what
+    the number shows, the same way in every engine.
+    """
+    # the first cast (places + 3 digits) absorbs binary noise, the round is half-up
+    return F.round(_c(col).cast(f"decimal(38,{places + 3})"), places).cast("double")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalar import round_half_up
 from .quantiles import exact_quantiles
 
 
@@ -90,7 +91,7 @@ def inspection_table(df: DataFrame, cols: Sequence[str], constant_fill: dict | N
         )
     out = _unpivot(row, cols, ["count", "mean", "stddev", "min", "max"])
     return out.select(
-        "column", "count", *[F.round(c, 3).alias(c) for c in ("mean", "stddev", "min", "max")]
+        "column", "count", *[round_half_up(c, 3).alias(c) for c in ("mean", "stddev", "min", "max")]
     )
 
 

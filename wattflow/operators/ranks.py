@@ -3,6 +3,13 @@
 Both helpers range-partition on the ordering key, so each task holds one
 contiguous slice of the total order; per-slice totals (one row per partition,
 a proven-small table) give every slice its starting offset.
+
+The range-partitioned, sorted data is fixed once with a reliable
+``checkpoint()`` in the shared checkpoint folder. Without it, the branch that
+counts rows per partition and the branch that numbers rows are pruned to
+different columns, run separate range exchanges with separately sampled
+bounds, and disagree about which rows are in which partition. The checkpoint
+also cuts the lineage, so a lost executor does not re-run the range sampling.
 """
 
 from __future__ import annotations
@@ -12,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import shared_root
+
 
 def _n_parts(df: DataFrame, n: int | None) -> int:
     if n:
@@ -19,28 +28,36 @@ def _n_parts(df: DataFrame, n: int | None) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 1)
 
 
+def _fixed_ranges(df: DataFrame, order: Sequence[str | Column], parts: int) -> DataFrame:
+    shared_root(df.sparkSession)  # make sure the checkpoint folder is configured
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return ranged.checkpoint(eager=True)
+
+
+def _offsets(sizes: DataFrame) -> DataFrame:
+    # one row per partition: the window and the broadcast are bounded by the partition count
+    return sizes.select(
+        "_pid",
+        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(
+            "_off"
+        ),
+    )
+
+
 def global_index(df: DataFrame, order: Sequence[str | Column], out: str = "idx", n_parts: int | None = None) -> DataFrame:
     """Attach a 0-based position in the total order ``order`` (must be a total order).
 
-    Range shuffle once; inside each partition rows are sorted and numbered by
-    ``monotonically_increasing_id`` (partition-local position), then shifted by
-    the broadcast per-partition prefix count. No second shuffle of the rows.
+    One range shuffle; inside each fixed partition the rows are already sorted,
+    so ``monotonically_increasing_id`` minus the partition base is the local
+    position; adding the partition's prefix count gives the global position.
     """
-    parts = _n_parts(df, n_parts)
-    ranged = (
-        df.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33))
+    fixed = _fixed_ranges(df, order, _n_parts(df, n_parts))
+    with_pos = fixed.withColumn("_pid", F.spark_partition_id()).withColumn(
+        "_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33)
     )
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-    ).fillna(0, subset=["_off"])
-    # one row per partition: bounded by the partition count, safe to broadcast
+    sizes = with_pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     return (
-        ranged.join(F.broadcast(offsets), "_pid")
+        with_pos.join(F.broadcast(_offsets(sizes)), "_pid")
         .withColumn(out, F.col("_off") + F.col("_pos"))
         .drop("_pid", "_pos", "_off")
     )
@@ -54,19 +71,12 @@ def tie_average_ranks(
     ``values`` holds one row per distinct value with its multiplicity
     ``weight_col``. Rank of a value = rows strictly below it + (mult + 1) / 2.
     """
-    parts = _n_parts(values, n_parts)
-    ranged = values.repartitionByRange(parts, value_col).withColumn("_pid", F.spark_partition_id())
-    sizes = ranged.groupBy("_pid").agg(F.sum(weight_col).alias("_n"))
-    offsets = sizes.select(
-        "_pid",
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_off"),
-    )
+    fixed = _fixed_ranges(values, [value_col], _n_parts(values, n_parts)).withColumn("_pid", F.spark_partition_id())
+    sizes = fixed.groupBy("_pid").agg(F.sum(weight_col).alias("_n"))
     within = Window.partitionBy("_pid").orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        ranged.withColumn("_below", F.coalesce(F.sum(weight_col).over(within), F.lit(0)))
-        .join(F.broadcast(offsets), "_pid")
+        fixed.withColumn("_below", F.coalesce(F.sum(weight_col).over(within), F.lit(0)))
+        .join(F.broadcast(_offsets(sizes)), "_pid")
         .withColumn(out, F.col("_off") + F.col("_below") + (F.col(weight_col) + 1) / 2.0)
         .drop("_pid", "_below", "_off")
     )
