@@ -108,7 +108,8 @@ CTE: dict[str, tuple[str, tuple[str, ...]]] = {
 }
 
 
-def sql(body: str, *names: str) -> str:
+def sql(body: str, *names: str, extra: dict[str, str] | None = None) -> str:
+    """``body`` with the named shared CTEs (dependencies first) plus inline ``extra`` CTEs."""
     order: list[str] = []
 
     def add(n: str) -> None:
@@ -119,9 +120,10 @@ def sql(body: str, *names: str) -> str:
 
     for n in names:
         add(n)
-    if not order:
+    ctes = [f"{n} AS ({CTE[n][0]})" for n in order] + [f"{k} AS ({v})" for k, v in (extra or {}).items()]
+    if not ctes:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({CTE[n][0]})" for n in order) + "\n" + body
+    return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
 # ------------------------------------------------------------------ Spark frames

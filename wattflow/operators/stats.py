@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -152,7 +153,6 @@ def signed_rank_test(df: DataFrame, a_col: str, b_col: str, n_parts: int | None
 
 def normal_two_sided_p(z_col: str = "z"):
     """Two-sided normal p-value 2*sf(|z|) = erfc(|z|/sqrt 2), via a vectorised helper."""
-    import pandas as pd
 
     @F.pandas_udf("double")
     def _p(z: pd.Series) -> pd.Series:
