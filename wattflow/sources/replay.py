@@ -58,11 +58,15 @@ def payload_frame(stamped: DataFrame) -> DataFrame:
     )
 
 
-def publish_files(frame: DataFrame, path: str, chunks: int = 1) -> None:
+def publish_files(frame: DataFrame, path: str, chunks: int = 1, one_file_per_chunk: bool = False) -> None:
     """S17 (offline transport): write the feed as Parquet, ``chunks`` write jobs in
-    batch order so a file-source reader sees older batches first."""
+    batch order so a file-source reader sees older batches first.
+
+    ``one_file_per_chunk`` makes each chunk a single file (a transport batch), so
+    ``maxFilesPerTrigger=1`` replays chunk by chunk in order.
+    """
     if chunks <= 1:
-        frame.write.mode("append").parquet(path)
+        (frame.coalesce(1) if one_file_per_chunk else frame).write.mode("append").parquet(path)
         return
     bounds = frame.select(F.min("batch_id").alias("lo"), F.max("batch_id").alias("hi")).first()
     if bounds["lo"] is None:
@@ -70,7 +74,8 @@ def publish_files(frame: DataFrame, path: str, chunks: int = 1) -> None:
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
     step = max((hi - lo + 1 + chunks - 1) // chunks, 1)
     for start in range(lo, hi + 1, step):
-        frame.where((F.col("batch_id") >= start) & (F.col("batch_id") < start + step)).write.mode("append").parquet(path)
+        part = frame.where((F.col("batch_id") >= start) & (F.col("batch_id") < start + step))
+        (part.coalesce(1) if one_file_per_chunk else part).write.mode("append").parquet(path)
 
 
 def publish_kafka(frame: DataFrame, bootstrap: str, topic: str) -> None:

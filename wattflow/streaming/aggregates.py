@@ -72,9 +72,12 @@ def tick_partials(
 
 
 def roll_up(partials: DataFrame, key: str, with_block: bool = True) -> DataFrame:
-    """Totals from tick partials: one row per (key, day[, block]) with the 6-hour window bounds."""
+    """Totals from tick partials: one row per (key, day[, block]) with the 6-hour window bounds.
+
+    Keyless partials (heartbeat/control records) are dropped here.
+    """
     groups = [key, "date"] + (["block"] if with_block else [])
-    agg = partials.groupBy(*groups).agg(F.sum("partial").alias("_t"), F.sum("n").alias("n_readings"))
+    agg = partials.where(F.col(key).isNotNull() & F.col("date").isNotNull()).groupBy(*groups).agg(F.sum("partial").alias("_t"), F.sum("n").alias("n_readings"))
     day0 = F.col("date").cast("timestamp_ntz")
     if with_block:
         start = day0 + F.make_dt_interval(F.lit(0), F.col("block") * 6)
