@@ -42,7 +42,9 @@ def box_stats(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) ->
     else:
         # one row of fences: attached as scalar subqueries, no join needed
         fences = q.select(F.struct("lo_fence", "hi_fence")).scalar()
-        j, lo_f, hi_f = base, fences.getField("lo_fence"), fences.getField("hi_fence")
+        # projected first: an aggregate may not take a scalar subquery as an argument
+        j = base.select("_v", fences.getField("lo_fence").alias("_lo"), fences.getField("hi_fence").alias("_hi"))
+        lo_f, hi_f = F.col("_lo"), F.col("_hi")
     wh = j.groupBy(*groups).agg(
         F.min(F.when(F.col("_v") >= lo_f, F.col("_v"))).alias("whisker_lo"),
         F.max(F.when(F.col("_v") <= hi_f, F.col("_v"))).alias("whisker_hi"),

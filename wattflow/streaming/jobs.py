@@ -85,7 +85,11 @@ def run_update(stream: DataFrame, name: str, timeout_s: float = 900.0) -> tuple[
 
 
 def dropped_by_watermark(query) -> int:
-    """ST10: rows dropped as late, summed over the query's recent progress."""
+    """ST10: late rows dropped by the state operator, summed over recent progress.
+
+    Counted where they reach the state store, i.e. after map-side partial
+    aggregation (one row per group and task, not per input reading).
+    """
     total = 0
     for p in query.recentProgress:
         for op in p.stateOperators or []:
