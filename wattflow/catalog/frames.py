@@ -76,7 +76,7 @@ CTE: dict[str, tuple[str, tuple[str, ...]]] = {
     "pairs": (
         "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice AS label, "
         "l_quantity * p_retailprice AS pred_a, "
-        "l_quantity * (SELECT CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DOUBLE) / sum(l_quantity) "
+        "l_quantity * (SELECT CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100 / sum(l_quantity) "
         "FROM lineitem) AS pred_b FROM lineitem JOIN part ON l_partkey = p_partkey",
         (),
     ),
@@ -150,7 +150,7 @@ def pairs(spark: SparkSession, d: str) -> DataFrame:
     li = R.read_table(spark, d, "lineitem")
     part = R.read_table(spark, d, "part").select("p_partkey", "p_retailprice")
     rate = li.select(
-        (F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).cast("double") / F.sum("l_quantity")).alias("r")
+        (F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).cast("double") / 100 / F.sum("l_quantity")).alias("r")
     ).scalar()
     return li.join(part, li.l_partkey == part.p_partkey).select(
         "l_orderkey",

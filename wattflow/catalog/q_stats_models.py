@@ -194,12 +194,7 @@ _M17_SQL = sql(_wilcoxon_sql("ape_a", "ape_b", "ape") + " UNION ALL " + _wilcoxo
 
 
 def _m17(spark, d):
-    e = _errors(spark, d)
-    parts = []
-    for metric, a, b in (("ape", "ape_a", "ape_b"), ("sle", "sle_a", "sle_b")):
-        t = ST.signed_rank_test(e, a, b)
-        parts.append(t.select(F.lit(metric).alias("metric"), "*"))
-    return parts[0].unionByName(parts[1])
+    return ST.signed_rank_tests(_errors(spark, d), {"ape": ("ape_a", "ape_b"), "sle": ("sle_a", "sle_b")})
 
 
 @query("m17_wilcoxon", _M17_SQL, headline=True)

@@ -1,8 +1,11 @@
 """Equi-joins of the feature build and the serving path.
 
-Dimension sides (building map, month labels) are broadcast only after a count
-proves them small (``bounded_broadcast``); fact-to-fact joins are left to the
-planner (sort-merge, or AQE's runtime broadcast / skew split).
+Batch joins carry no hints: the planner broadcasts a side whose estimated size
+is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-plans a sort-merge
+join into a broadcast join once a shuffle stage has *measured* the side small
+(and splits skewed partitions otherwise). Stream-static joins get an explicit
+broadcast only after a count proves the static side small (``bounded_broadcast``),
+because adaptive execution does not run inside micro-batches.
 """
 
 from __future__ import annotations
@@ -13,8 +16,9 @@ from pyspark.sql import functions as F
 from ..runtime import bounded_broadcast
 
 
-def _dim(df: DataFrame, broadcast_rows: int | None) -> DataFrame:
-    if broadcast_rows is None or df.isStreaming:
+def _dim(df: DataFrame, broadcast_rows: int | None, other: DataFrame | None = None) -> DataFrame:
+    """Hint a static dimension only when it meets a stream (size checked first)."""
+    if broadcast_rows is None or df.isStreaming or other is None or not other.isStreaming:
         return df
     return bounded_broadcast(df, broadcast_rows)
 
@@ -23,7 +27,7 @@ def attach_month_labels(weather: DataFrame, labels: DataFrame, ts_col: str = "ti
     """Left join of (site, month) labels back to readings."""
     return (
         weather.withColumn("_month", F.month(ts_col))
-        .join(_dim(labels.withColumnRenamed("month", "_month"), broadcast_rows), ["site_id", "_month"], "left")
+        .join(_dim(labels.withColumnRenamed("month", "_month"), broadcast_rows, weather), ["site_id", "_month"], "left")
         .drop("_month")
     )
 
@@ -31,7 +35,7 @@ def attach_month_labels(weather: DataFrame, labels: DataFrame, ts_col: str = "ti
 def attach_site(df: DataFrame, buildings: DataFrame, key: str = "building_id", broadcast_rows: int | None = 2_000_000) -> DataFrame:
     """Building -> site via the building table (one site per building)."""
     site_map = buildings.select(key, "site_id").dropDuplicates([key])
-    return df.join(_dim(site_map, broadcast_rows), key, "left")
+    return df.join(_dim(site_map, broadcast_rows, df), key, "left")
 
 
 def attach_weather(df: DataFrame, weather: DataFrame, ts_col: str = "ts", weather_ts: str = "timestamp") -> DataFrame:
@@ -43,15 +47,12 @@ def attach_weather(df: DataFrame, weather: DataFrame, ts_col: str = "ts", weathe
 def attach_buildings(df: DataFrame, buildings: DataFrame, key: str = "building_id", broadcast_rows: int | None = 2_000_000) -> DataFrame:
     """J4 (first half): building attributes; drops duplicate non-key columns first."""
     dup = [c for c in buildings.columns if c in df.columns and c != key]
-    return df.join(_dim(buildings.drop(*dup), broadcast_rows), key, "left")
+    return df.join(_dim(buildings.drop(*dup), broadcast_rows, df), key, "left")
 
 
 def fan_out_buildings(stream: DataFrame, buildings: DataFrame, broadcast_rows: int | None = 2_000_000) -> DataFrame:
     """One site reading -> one row per building at that site (stream-static, left)."""
-    b = buildings
-    if broadcast_rows is not None:
-        b = bounded_broadcast(buildings, broadcast_rows)
-    return stream.join(b, "site_id", "left")
+    return stream.join(_dim(buildings, broadcast_rows, stream), "site_id", "left")
 
 
 def pair_predictions(a: DataFrame, b: DataFrame, keys: list[str], pred_a: str = "pred_a", pred_b: str = "pred_b") -> DataFrame:
@@ -63,4 +64,4 @@ def pair_predictions(a: DataFrame, b: DataFrame, keys: list[str], pred_a: str =
 
 def attach_use(df: DataFrame, buildings: DataFrame, key: str = "building_id", broadcast_rows: int | None = 2_000_000) -> DataFrame:
     """Feature rows -> primary use."""
-    return df.join(_dim(buildings.select(key, "primary_use"), broadcast_rows), key, "left")
+    return df.join(_dim(buildings.select(key, "primary_use"), broadcast_rows, df), key, "left")

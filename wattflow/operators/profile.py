@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import round_half_up
-from .quantiles import exact_quantiles
+from .quantiles import index_values, pivot_quantiles, quantiles_from_index
 
 
 def _is_numeric(df: DataFrame, c: str) -> bool:
@@ -98,31 +98,30 @@ def inspection_table(df: DataFrame, cols: Sequence[str], constant_fill: dict | N
 def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     """A10: count, mean, stddev, min, max and exact quartiles per numeric column.
 
-    Moments come from one aggregate; quartiles from the distributed exact
-    quantile operator over the unpivoted values (one range shuffle in total).
+    The columns are unpivoted to (column, value) and indexed once (one range
+    shuffle, checkpointed); moments and quartiles are both read from that index,
+    so the input is not scanned again for the moments.
     """
     cols = list(cols) if cols else [c for c in df.columns if _is_numeric(df, c)]
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [
-            F.count(x).cast("double").alias(f"count__{c}"),
-            F.avg(x).alias(f"mean__{c}"),
-            F.stddev(x).alias(f"stddev__{c}"),
-            F.min(x).alias(f"min__{c}"),
-            F.max(x).alias(f"max__{c}"),
-        ]
-    moments = _unpivot(df.agg(*aggs), cols, ["count", "mean", "stddev", "min", "max"])
     long = df.select(
         F.explode(
             F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])
         ).alias("_kv")
     ).select("_kv.*")
-    qs = exact_quantiles(long, "v", probs, group_cols=["column"])
-    names = {p: f"p{int(round(p * 100))}" for p in probs}
-    piv = qs.groupBy("column").pivot("prob", list(probs)).agg(F.first("value"))
-    piv = piv.select("column", *[F.col(f"`{p}`").alias(names[p]) for p in probs])
-    return moments.join(piv, "column", "left")
+    indexed = index_values(long, "v", ["column"])
+    moments = indexed.groupBy("column").agg(
+        F.count(F.lit(1)).cast("double").alias("count"),
+        F.avg("_v").alias("mean"),
+        F.stddev("_v").alias("stddev"),
+        F.min("_v").alias("min"),
+        F.max("_v").alias("max"),
+    )
+    names = [f"p{int(round(p * 100))}" for p in probs]
+    qs = pivot_quantiles(quantiles_from_index(indexed, probs, ["column"]), probs, ["column"], names)
+    # every requested column appears, also one without any value (count 0)
+    spine = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    out = spine.join(moments, "column", "left").join(qs, "column", "left")
+    return out.select("column", F.coalesce("count", F.lit(0.0)).alias("count"), "mean", "stddev", "min", "max", *names)
 
 
 def _top_per_group(counts: DataFrame, group: str, n: int, order) -> DataFrame:

@@ -16,21 +16,20 @@ from pyspark.sql import functions as F
 from .ranks import global_index
 
 
-def exact_quantiles(
-    df: DataFrame,
-    value_col: str,
-    probs: Sequence[float],
-    group_cols: Sequence[str] = (),
-    n_parts: int | None = None,
-) -> DataFrame:
-    """Rows (groups..., prob, value) with value = the continuous quantile (NULLs ignored).
+def index_values(df: DataFrame, value_col: str, group_cols: Sequence[str] = (), n_parts: int | None = None) -> DataFrame:
+    """Non-NULL values as ``(groups..., _v, _i)``: ``_i`` = position in the (group, value) order.
 
-    Same definition as ``percentile`` / ``quantile_cont``: position p*(n-1),
-    linear between its floor and ceiling neighbours.
+    The result is backed by a reliable checkpoint, so several aggregates can
+    read it without recomputing the input.
     """
     groups = list(group_cols)
     base = df.select(*groups, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    indexed = global_index(base, [*groups, "_v"], out="_i", n_parts=n_parts)
+    return global_index(base, [*groups, "_v"], out="_i", n_parts=n_parts)
+
+
+def quantiles_from_index(indexed: DataFrame, probs: Sequence[float], group_cols: Sequence[str] = ()) -> DataFrame:
+    """Rows (groups..., prob, value) from an ``index_values`` frame."""
+    groups = list(group_cols)
     stats = indexed.groupBy(*groups).agg(F.min("_i").alias("_start"), F.count(F.lit(1)).alias("_n"))
     wanted = stats.select(
         *groups,
@@ -59,13 +58,31 @@ def exact_quantiles(
     )
 
 
-def wide_quantiles(
-    df: DataFrame, value_col: str, probs: Sequence[float], group_cols: Sequence[str] = (), names: Sequence[str] | None = None
+def exact_quantiles(
+    df: DataFrame,
+    value_col: str,
+    probs: Sequence[float],
+    group_cols: Sequence[str] = (),
+    n_parts: int | None = None,
 ) -> DataFrame:
-    """Quantiles pivoted to one column per probability."""
+    """Rows (groups..., prob, value) with value = the continuous quantile (NULLs ignored).
+
+    Same definition as ``percentile`` / ``quantile_cont``: position p*(n-1),
+    linear between its floor and ceiling neighbours.
+    """
+    return quantiles_from_index(index_values(df, value_col, group_cols, n_parts), probs, group_cols)
+
+
+def pivot_quantiles(long: DataFrame, probs: Sequence[float], group_cols: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
     names = list(names) if names else [f"p{int(round(p * 100))}" for p in probs]
-    long = exact_quantiles(df, value_col, probs, group_cols)
     aggs = [F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(n) for p, n in zip(probs, names)]
     if group_cols:
         return long.groupBy(*group_cols).agg(*aggs)
     return long.agg(*aggs)
+
+
+def wide_quantiles(
+    df: DataFrame, value_col: str, probs: Sequence[float], group_cols: Sequence[str] = (), names: Sequence[str] | None = None
+) -> DataFrame:
+    """Quantiles pivoted to one column per probability."""
+    return pivot_quantiles(exact_quantiles(df, value_col, probs, group_cols), probs, group_cols, names)

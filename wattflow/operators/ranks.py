@@ -64,19 +64,31 @@ def global_index(df: DataFrame, order: Sequence[str | Column], out: str = "idx",
 
 
 def tie_average_ranks(
-    values: DataFrame, value_col: str, weight_col: str, out: str = "avg_rank", n_parts: int | None = None
+    values: DataFrame,
+    value_col: str,
+    weight_col: str,
+    out: str = "avg_rank",
+    n_parts: int | None = None,
+    group_cols: Sequence[str] = (),
 ) -> DataFrame:
-    """Average rank (1-based, ties share the mean rank) for each distinct value.
+    """Average rank (1-based, ties share the mean rank) for each distinct value of each group.
 
-    ``values`` holds one row per distinct value with its multiplicity
-    ``weight_col``. Rank of a value = rows strictly below it + (mult + 1) / 2.
+    ``values`` holds one row per (group, distinct value) with its multiplicity
+    ``weight_col``. Rank = rows of the group strictly below the value +
+    (mult + 1) / 2. One range shuffle over (group, value) serves all groups.
     """
-    fixed = _fixed_ranges(values, [value_col], _n_parts(values, n_parts)).withColumn("_pid", F.spark_partition_id())
+    groups = list(group_cols)
+    fixed = _fixed_ranges(values, [*groups, value_col], _n_parts(values, n_parts)).withColumn("_pid", F.spark_partition_id())
     sizes = fixed.groupBy("_pid").agg(F.sum(weight_col).alias("_n"))
-    within = Window.partitionBy("_pid").orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
-    return (
+    within = Window.partitionBy("_pid").orderBy(*groups, value_col).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (
         fixed.withColumn("_below", F.coalesce(F.sum(weight_col).over(within), F.lit(0)))
         .join(F.broadcast(_offsets(sizes)), "_pid")
-        .withColumn(out, F.col("_off") + F.col("_below") + (F.col(weight_col) + 1) / 2.0)
+        .withColumn("_g", F.col("_off") + F.col("_below"))
         .drop("_pid", "_below", "_off")
     )
+    if groups:
+        # rows of earlier groups = the smallest global "below" count of the group
+        starts = ranked.groupBy(*groups).agg(F.min("_g").alias("_g0"))
+        ranked = ranked.join(starts, groups).withColumn("_g", F.col("_g") - F.col("_g0")).drop("_g0")
+    return ranked.withColumn(out, F.col("_g") + (F.col(weight_col) + 1) / 2.0).drop("_g")

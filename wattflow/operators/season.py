@@ -39,9 +39,10 @@ def add_season_flag(
     weather: DataFrame, ts_col: str = "timestamp", temp_col: str = "air_temperature", key: str = "site_id"
 ) -> DataFrame:
     """W1 + J1: label every reading; an unranked (all-NULL) month takes the fallback."""
-    labels = month_labels(weather, ts_col, temp_col, key)
-    # at most 12 rows per site: bounded by the site count, checked before broadcasting
-    labels = bounded_broadcast(labels.withColumnRenamed("month", "_month"), 1_000_000)
+    # at most 12 rows per site; AQE broadcasts it from its measured size (batch)
+    labels = month_labels(weather, ts_col, temp_col, key).withColumnRenamed("month", "_month")
+    if weather.isStreaming:
+        labels = bounded_broadcast(labels, 1_000_000)
     return (
         weather.withColumn("_month", F.month(ts_col))
         .join(labels, [key, "_month"], "left")
@@ -61,7 +62,7 @@ def lookup_season(df: DataFrame, labels: DataFrame, month_col: str = "month", ke
     ``labels`` is the static table written at training time; works on a stream.
     """
     lab = labels.select(key, F.col("month").alias("_m"), F.col("season_flag").alias("_lab"))
-    if not lab.isStreaming:
+    if df.isStreaming and not lab.isStreaming:
         lab = bounded_broadcast(lab, 1_000_000)
     out = df.join(lab, (df[key] == lab[key]) & (df[month_col] == lab["_m"]), "left").drop(lab[key])
     return out.withColumn("season_flag", F.coalesce(F.col("_lab"), fallback_season_flag(month_col))).drop("_m", "_lab")

@@ -114,24 +114,30 @@ def kernel_density(df: DataFrame, value_col: str, bins: int = 200, grid: int = 1
     return pairs.groupBy("g", "x").agg(F.sum(contrib).alias("density")).select("g", "x", "density")
 
 
-def signed_rank_test(df: DataFrame, a_col: str, b_col: str, n_parts: int | None = None) -> DataFrame:
-    """Paired Wilcoxon signed-rank test on d = a - b, zeros handled by Pratt.
-
-    Zeros take part in ranking and are then dropped from the rank sums; the
-    normal approximation gets Cureton's zero correction and the tie correction.
-    Everything is aggregates over distinct |d| values plus distributed
-    tie-averaged ranks (no single-task window). One output row:
-    n, n_zero, w_plus, w_minus, statistic (min of the sums), mean, se, z.
+def signed_rank_tests(df: DataFrame, pairs: dict[str, tuple[str, str]], n_parts: int | None = None) -> DataFrame:
+    """Paired Wilcoxon signed-rank tests on d = a - b, zeros handled by Pratt.
+
+    One row per named pair: n, n_zero, w_plus, w_minus, statistic (the smaller
+    rank sum), mean, se, z. Zeros take part in ranking and are then dropped from
+    the rank sums; the normal approximation gets Cureton's zero correction and
+    the tie correction. All pairs are unpivoted and ranked in one grouped pass:
+    aggregates over distinct |d| values plus distributed tie-averaged ranks (no
+    single-task window).
     """
-    d = (F.col(a_col).cast("double") - F.col(b_col).cast("double")).alias("_d")
-    base = df.select(d).where(F.col("_d").isNotNull() & ~F.isnan("_d"))
-    per_abs = base.groupBy(F.abs("_d").alias("_ad")).agg(
+    diffs = F.array(
+        *[
+            F.struct(F.lit(name).alias("metric"), (F.col(a).cast("double") - F.col(b).cast("double")).alias("_d"))
+            for name, (a, b) in pairs.items()
+        ]
+    )
+    base = df.select(F.explode(diffs).alias("_x")).select("_x.*").where(F.col("_d").isNotNull() & ~F.isnan("_d"))
+    per_abs = base.groupBy("metric", F.abs("_d").alias("_ad")).agg(
         F.count(F.lit(1)).alias("_t"),
         F.count_if(F.col("_d") > 0).alias("_np"),
         F.count_if(F.col("_d") < 0).alias("_nn"),
     )
-    ranked = tie_average_ranks(per_abs, "_ad", "_t", out="_r", n_parts=n_parts)
-    s = ranked.agg(
+    ranked = tie_average_ranks(per_abs, "_ad", "_t", out="_r", n_parts=n_parts, group_cols=["metric"])
+    s = ranked.groupBy("metric").agg(
         F.sum("_t").alias("n"),
         F.coalesce(F.sum(F.when(F.col("_ad") == 0, F.col("_t"))), F.lit(0)).alias("n_zero"),
         F.coalesce(F.sum(F.col("_np") * F.col("_r")), F.lit(0.0)).alias("w_plus"),
@@ -145,7 +151,7 @@ def signed_rank_test(df: DataFrame, a_col: str, b_col: str, n_parts: int | None
     mean = n * (n + 1) * 0.25 - nz * (nz + 1) * 0.25
     var24 = n * (n + 1) * (2 * n + 1) - nz * (nz + 1) * (2 * nz + 1) - 0.5 * F.col("_ties")
     s = s.select(
-        "n", "n_zero", "w_plus", "w_minus",
+        "metric", "n", "n_zero", "w_plus", "w_minus",
         F.least("w_plus", "w_minus").alias("statistic"),
         mean.alias("mean"),
         F.sqrt(var24 / 24).alias("se"),
@@ -153,6 +159,11 @@ def signed_rank_test(df: DataFrame, a_col: str, b_col: str, n_parts: int | None
     return s.withColumn("z", (F.col("statistic") - F.col("mean")) / F.col("se"))
 
 
+def signed_rank_test(df: DataFrame, a_col: str, b_col: str, n_parts: int | None = None) -> DataFrame:
+    """M17 for one pair (see ``signed_rank_tests``)."""
+    return signed_rank_tests(df, {"d": (a_col, b_col)}, n_parts).drop("metric")
+
+
 def normal_two_sided_p(z_col: str = "z"):
     """Two-sided normal p-value 2*sf(|z|) = erfc(|z|/sqrt 2), via a vectorised helper."""
 

@@ -12,7 +12,7 @@ Role mapping (see SURVEY §7.6):
 * ``buildings``    <- ``customer``: nation = site, market segment = primary use,
                       floor area, floors and year derived from the row.
 * ``weather``      <- ``orders`` joined to ``customer``, one row per
-                      (nation, order day). Measures are built with exact decimal
+                      (nation, order day). Measures are built with exact integer-cent
                       sums so both engines produce identical doubles; zero and
                       NULL readings occur naturally (missing-value encodings).
 """
@@ -105,7 +105,8 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("c_nationkey").cast("int").alias("site_id"), F.col("o_orderdate").alias("timestamp"))
         .agg(
             (
-                F.sum(F.when(kept, price.cast("decimal(15,2)"))).cast("double")
+                F.sum(F.when(kept, F.round(price * 100).cast("bigint"))).cast("double")
+                / 100
                 / F.count(F.when(kept, F.lit(1)))
                 / 10000
             ).alias("air_temperature"),
@@ -120,8 +121,8 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 WEATHER_SQL = (
     "SELECT CAST(c_nationkey AS INTEGER) AS site_id, o_orderdate AS timestamp, "
-    "CAST(sum(CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_totalprice AS DECIMAL(15,2)) END) AS DOUBLE) "
-    "/ count(CASE WHEN o_orderpriority <> '5-LOW' THEN 1 END) / 10000 AS air_temperature, "
+    "CAST(sum(CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(round(o_totalprice * 100) AS BIGINT) END) AS DOUBLE) "
+    "/ 100 / count(CASE WHEN o_orderpriority <> '5-LOW' THEN 1 END) / 10000 AS air_temperature, "
     "CAST(count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS INTEGER) AS cloud_coverage, "
     "min(o_totalprice) / 10000 AS dew_temperature, "
     "(max(o_totalprice) - min(o_totalprice)) / 1000 AS sea_level_pressure, "
