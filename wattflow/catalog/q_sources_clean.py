@@ -481,3 +481,26 @@ def f20(spark, d):
 
 
 _ = (FEATURES,)
+
+
+BUILDINGS_DECLARED = T.StructType(
+    [
+        T.StructField("site_id", T.IntegerType(), False),
+        T.StructField("building_id", T.IntegerType(), False),
+        T.StructField("primary_use", T.StringType(), True),
+        T.StructField("square_feet", T.IntegerType(), True),
+        T.StructField("floor_count", T.IntegerType(), True),
+        T.StructField("year_built", T.IntegerType(), True),
+    ]
+)
+
+
+@query("s1_typed_csv_scan", sql("SELECT * FROM buildings", "buildings"))
+def s1csv(spark, d):
+    """S1 + S2 on CSV: the building table exported as CSV with a header, read back
+    with the declared schema (header checked against it, no inference), keys enforced."""
+    from ..runtime import scratch_dir
+
+    path = scratch_dir(spark, "s1-buildings-csv")
+    R.buildings(spark, d).write.option("header", True).csv(path)
+    return S.require_keys(S.typed_scan(spark, path, BUILDINGS_DECLARED, fmt="csv"), ["site_id", "building_id"])

@@ -292,3 +292,23 @@ def st7(spark, d):
 
 
 _ = (sc, SV)
+
+
+@query(
+    "w4_last_n_stream",
+    sql(
+        "SELECT building_id, count(*) AS n_seen, CAST(least(count(*), 60) AS INTEGER) AS kept_count, "
+        "round(sum(value) FILTER (WHERE rn <= 60), 6) AS kept_total FROM (SELECT *, row_number() OVER "
+        "(PARTITION BY building_id ORDER BY ts DESC, event_id DESC) AS rn FROM readings) GROUP BY building_id",
+        "readings",
+    ),
+)
+def w4s(spark, d):
+    """W4/W5/A26 stream form: per-building bounded state of the newest 60 readings."""
+    from ..streaming.state import last_n_totals
+
+    path, _ = JB.publish_replay(X.readings(spark, d), ["ts", "event_id"], "w4s", chunks=4, drop_tail=False)
+    stream = JB.read_feed(spark, path, max_files_per_trigger=1, watermark=None)
+    written, _ = JB.run_update(last_n_totals(stream, "building_id", "value", ["ts", "event_id"], 60), "w4_last_n_state")
+    final = SV.latest_per_key(written, ["building_id"], ["n_seen"])
+    return final.select("building_id", "n_seen", "kept_count", F.round("kept_total", 6).alias("kept_total"))
