@@ -293,9 +293,26 @@ def a20(spark, d):
     return h.select("bin", dr("bin_lo"), dr("bin_hi"), "count", dr("density", 12))
 
 
-@query("a21_kernel_density")
+_KDE_SQL = sql(
+    "SELECT g, " + DR("x", 9) + " AS x, " + DR("sum(cnt * exp(-0.5 * ((x - centre) / h) * ((x - centre) / h)) / (sqrt(2 * pi()) * n * h))", 12)
+    + " AS density FROM grid, hist, st2 GROUP BY g, x",
+    "feature",
+    extra={
+        "v": "SELECT agg_value AS v FROM feature WHERE agg_value IS NOT NULL AND NOT isnan(agg_value)",
+        "st": "SELECT min(v) AS lo, max(v) AS hi, count(*) AS n, stddev_samp(v) AS sd FROM v",
+        "st2": "SELECT lo, hi, n, CASE WHEN sd * pow(CAST(n AS DOUBLE), -0.2) > 0 THEN sd * pow(CAST(n AS DOUBLE), -0.2) ELSE 1.0 END AS h, "
+        "CASE WHEN hi > lo THEN (hi - lo) / 200 ELSE 1.0 END AS width FROM st",
+        "bins": "SELECT least(CAST(floor((v - lo) / width) AS INTEGER), 199) AS bin, count(*) AS cnt FROM v, st2 GROUP BY 1",
+        "hist": "SELECT ((lo + bin * width) + (lo + (bin + 1) * width)) / 2 AS centre, cnt FROM bins, st2",
+        "grid": "SELECT g, (lo - 3 * h) + g * ((hi - lo + 6 * h) / 99) AS x FROM st2, range(0, 100) t(g)",
+    },
+)
+
+
+@query("a21_kernel_density", _KDE_SQL)
 def a21(spark, d):
-    return ST.kernel_density(X.feature(spark, d), "agg_value")
+    k = ST.kernel_density(X.feature(spark, d), "agg_value", bins=200, grid=100)
+    return k.select("g", dr("x", 9), dr("density", 12))
 
 
 @query("a22_daily_site_energy", sql("SELECT site_id, day, metered_energy FROM metered_site_day", "metered_site_day"))

@@ -504,3 +504,21 @@ def s1csv(spark, d):
     path = scratch_dir(spark, "s1-buildings-csv")
     R.buildings(spark, d).write.option("header", True).csv(path)
     return S.require_keys(S.typed_scan(spark, path, BUILDINGS_DECLARED, fmt="csv"), ["site_id", "building_id"])
+
+
+@query(
+    "s18_persist_reuse",
+    sql(
+        "SELECT 'season_flag' AS \"column\", coalesce(CAST(season_flag AS VARCHAR), 'NULL') AS value, count(*) AS count FROM feature GROUP BY 2 "
+        "UNION ALL SELECT 'interval', coalesce(interval, 'NULL'), count(*) FROM feature GROUP BY 2",
+        "feature",
+    ),
+)
+def s18(spark, d):
+    """A frame read by two aggregates is persisted once (disk) instead of recomputed."""
+    from ..operators.profile import value_counts_with_null
+
+    f = S.persist(X.feature(spark, d), "DISK_ONLY")
+    a = value_counts_with_null(f, "season_flag").select(F.lit("season_flag").alias("column"), "value", "count")
+    b = value_counts_with_null(f, "interval").select(F.lit("interval").alias("column"), "value", "count")
+    return a.unionByName(b)

@@ -170,6 +170,14 @@ def m15(spark, d):
     return r.select(dr("rmsle", 9), dr("rmse"), dr("mae"), dr("r2", 9), "n_used")
 
 
+@query("m14_rmsle_evaluator", sql(f"SELECT {DR('sqrt(avg(sle_b))', 9)} AS rmsle, false AS larger_is_better FROM ({_ERR_SQL})", "pairs"))
+def m14(spark, d):
+    ev = MT.RMSLEEvaluator(labelCol="label", predictionCol="pred_b")
+    value = ev.evaluate(X.pairs(spark, d))  # one aggregate job; the metric is a scalar
+    one = spark.createDataFrame([(float(value), bool(ev.isLargerBetter()))], "rmsle double, larger_is_better boolean")
+    return one.select(dr("rmsle", 9), "larger_is_better")
+
+
 @query("m16_rmse", sql(f"SELECT {DR('sqrt(avg(pow(pred_a - label, 2)))')} AS rmse FROM pairs", "pairs"))
 def m16(spark, d):
     return MT.rmse_frame(X.pairs(spark, d), "label", "pred_a").select(dr("rmse"))
