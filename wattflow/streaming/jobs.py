@@ -13,7 +13,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contract import WATERMARK_DELAY
+from contextlib import contextmanager
+
+from ..contract import SHUFFLE_PARTITIONS_STREAMING, WATERMARK_DELAY
 from ..runtime import scratch_dir
 from ..sources.files import tail_parquet
 from ..sources.replay import publish_files, replay_order, stamp
@@ -64,22 +66,46 @@ def read_feed(spark: SparkSession, path: str, max_files_per_trigger: int | None
     return s.withWatermark("event_time", watermark) if watermark else s
 
 
-def run_append(stream: DataFrame, name: str, partition_by: list[str] | None = None, timeout_s: float = 900.0) -> tuple[DataFrame, object]:
+STATE_PARTITIONS_CONF = "spark.wattflow.statePartitions"
+
+
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Shuffle/state partitions of a stateful query, fixed when it first starts.
+
+    Taken from ``n``, else ``spark.wattflow.statePartitions``, else the
+    reference's streaming value; on a cluster size it to the state volume.
+    Only the starting query sees it; the session setting is restored.
+    """
+    n = n or int(spark.conf.get(STATE_PARTITIONS_CONF, None) or SHUFFLE_PARTITIONS_STREAMING)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def run_append(
+    stream: DataFrame, name: str, partition_by: list[str] | None = None, timeout_s: float = 900.0, partitions: int | None = None
+) -> tuple[DataFrame, object]:
     """Run an append-mode stream into a fresh Parquet folder; return (written rows, query)."""
     spark = stream.sparkSession
     out = scratch_dir(spark, f"{name}-out")
     ckpt = scratch_dir(spark, f"{name}-ckpt")
-    q = sinks.to_parquet_append(stream, out, name, trigger="availableNow", checkpoint_root=ckpt, partition_by=partition_by)
+    with state_partitions(spark, partitions):
+        q = sinks.to_parquet_append(stream, out, name, trigger="availableNow", checkpoint_root=ckpt, partition_by=partition_by)
     sinks.run_until_done(q, timeout_s)
     return spark.read.parquet(out), q
 
 
-def run_update(stream: DataFrame, name: str, timeout_s: float = 900.0) -> tuple[DataFrame, object]:
+def run_update(stream: DataFrame, name: str, timeout_s: float = 900.0, partitions: int | None = None) -> tuple[DataFrame, object]:
     """Run an update-mode aggregate through the idempotent ``foreachBatch`` sink."""
     spark = stream.sparkSession
     out = scratch_dir(spark, f"{name}-out")
     ckpt = scratch_dir(spark, f"{name}-ckpt")
-    q = sinks.to_parquet_update(stream, out, name, trigger="availableNow", checkpoint_root=ckpt)
+    with state_partitions(spark, partitions):
+        q = sinks.to_parquet_update(stream, out, name, trigger="availableNow", checkpoint_root=ckpt)
     sinks.run_until_done(q, timeout_s)
     return spark.read.parquet(out), q
 
