@@ -312,3 +312,23 @@ def w4s(spark, d):
     written, _ = JB.run_update(last_n_totals(stream, "building_id", "value", ["ts", "event_id"], 60), "w4_last_n_state")
     final = SV.latest_per_key(written, ["building_id"], ["n_seen"])
     return final.select("building_id", "n_seen", "kept_count", F.round("kept_total", 6).alias("kept_total"))
+
+
+@query("st2_watermark_eviction")
+def st2(spark, d):
+    """ST2: the watermark on the emitted clock bounds the state of the six-hour
+    partials: rows in, micro-batches, peak and final state rows (from progress)."""
+    path, _ = JB.publish_replay(X.readings(spark, d), ["ts", "event_id"], "st2", chunks=4, heartbeat=True, drop_tail=False)
+    stream = JB.read_feed(spark, path, max_files_per_trigger=1)
+    _, q = JB.run_append(SA.tick_partials(stream, "building_id", "value", "ts"), "st2_partials")
+    prog = [p for p in q.recentProgress if p.stateOperators]
+    rows = [
+        (
+            len(prog),
+            int(sum(p.numInputRows for p in prog)),
+            int(max(p.stateOperators[0].numRowsTotal for p in prog)),
+            int(prog[-1].stateOperators[0].numRowsTotal),
+            str(prog[-1].eventTime.get("watermark")),
+        )
+    ]
+    return spark.createDataFrame(rows, "batches int, rows_in bigint, peak_state_rows bigint, final_state_rows bigint, final_watermark string")
