@@ -46,7 +46,7 @@ CTE: dict[str, tuple[str, tuple[str, ...]]] = {
     ),
     "wclean": (_clean_sql("weather"), ("weather",)),
     "monthly": (
-        "SELECT site_id, month(timestamp) AS month, avg(air_temperature) AS avg_temp FROM wclean GROUP BY 1, 2",
+        "SELECT site_id, CAST(month(timestamp) AS INTEGER) AS month, avg(air_temperature) AS avg_temp FROM wclean GROUP BY 1, 2",
         ("wclean",),
     ),
     "labels": (

@@ -148,7 +148,7 @@ def a10(spark, d):
 @query(
     "a11_top_values",
     sql(
-        "SELECT \"column\", value, count, rank FROM (SELECT *, row_number() OVER (PARTITION BY \"column\" ORDER BY count DESC, value ASC NULLS LAST) AS rank "
+        "SELECT \"column\", value, count, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY \"column\" ORDER BY count DESC, value ASC NULLS LAST) AS rank "
         "FROM (SELECT 'interval' AS \"column\", interval AS value, count(*) AS count FROM feature GROUP BY ALL UNION ALL "
         "SELECT 'season_flag', season_flag, count(*) FROM feature GROUP BY ALL)) WHERE rank <= 5",
         "feature",
@@ -279,7 +279,7 @@ def a19(spark, d):
 @query(
     "a20_histogram",
     sql(
-        "SELECT bin, " + DR("lo + bin * width") + " AS bin_lo, " + DR("lo + (bin + 1) * width") + " AS bin_hi, coalesce(c.cnt, 0) AS count, "
+        "SELECT CAST(bin AS INTEGER) AS bin, " + DR("lo + bin * width") + " AS bin_lo, " + DR("lo + (bin + 1) * width") + " AS bin_hi, coalesce(c.cnt, 0) AS count, "
         + DR("coalesce(c.cnt, 0) / (n * width)", 12) + " AS density FROM (SELECT lo, n, CASE WHEN hi > lo THEN (hi - lo) / 60 ELSE 1.0 END AS width, "
         "unnest(range(0, 60)) AS bin FROM (SELECT min(agg_value) AS lo, max(agg_value) AS hi, count(*) AS n FROM feature WHERE agg_value IS NOT NULL)) s "
         "LEFT JOIN (SELECT b, count(*) AS cnt FROM (SELECT least(CAST(floor((agg_value - lo) / width) AS INTEGER), 59) AS b FROM feature, "
@@ -294,7 +294,7 @@ def a20(spark, d):
 
 
 _KDE_SQL = sql(
-    "SELECT g, " + DR("x", 9) + " AS x, " + DR("sum(cnt * exp(-0.5 * ((x - centre) / h) * ((x - centre) / h)) / (sqrt(2 * pi()) * n * h))", 12)
+    "SELECT CAST(g AS INTEGER) AS g, " + DR("x", 6) + " AS x, " + DR("sum(cnt * exp(-0.5 * ((x - centre) / h) * ((x - centre) / h)) / (sqrt(2 * pi()) * n * h))", 12)
     + " AS density FROM grid, hist, st2 GROUP BY g, x",
     "feature",
     extra={
@@ -312,7 +312,7 @@ _KDE_SQL = sql(
 @query("a21_kernel_density", _KDE_SQL)
 def a21(spark, d):
     k = ST.kernel_density(X.feature(spark, d), "agg_value", bins=200, grid=100)
-    return k.select("g", dr("x", 9), dr("density", 12))
+    return k.select("g", dr("x", 6), dr("density", 12))
 
 
 @query("a22_daily_site_energy", sql("SELECT site_id, day, metered_energy FROM metered_site_day", "metered_site_day"))

@@ -187,7 +187,7 @@ def _wilcoxon_sql(a: str, b: str, metric: str) -> str:
     return (
         f"SELECT '{metric}' AS metric, n, n_zero, w_plus, w_minus, least(w_plus, w_minus) AS statistic, mean, "
         f"{DR('se', 6)} AS se, {DR('(least(w_plus, w_minus) - mean) / se', 9)} AS z FROM ("
-        "SELECT sum(t) AS n, coalesce(sum(t) FILTER (WHERE ad = 0), 0) AS n_zero, coalesce(sum(np * rk), 0) AS w_plus, "
+        "SELECT CAST(sum(t) AS BIGINT) AS n, CAST(coalesce(sum(t) FILTER (WHERE ad = 0), 0) AS BIGINT) AS n_zero, coalesce(sum(np * rk), 0) AS w_plus, "
         "coalesce(sum(nn * rk), 0) AS w_minus, "
         "CAST(sum(t) AS DOUBLE) * (sum(t) + 1) * 0.25 - CAST(coalesce(sum(t) FILTER (WHERE ad = 0), 0) AS DOUBLE) * (coalesce(sum(t) FILTER (WHERE ad = 0), 0) + 1) * 0.25 AS mean, "
         "sqrt((CAST(sum(t) AS DOUBLE) * (sum(t) + 1) * (2 * sum(t) + 1) - CAST(coalesce(sum(t) FILTER (WHERE ad = 0), 0) AS DOUBLE) * (coalesce(sum(t) FILTER (WHERE ad = 0), 0) + 1) "
