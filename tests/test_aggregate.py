@@ -99,3 +99,14 @@ def test_season_pivot_has_both_columns(spark):
     df = spark.createDataFrame([(dt.datetime(2016, 1, 1), "peak", 2.0)], "month timestamp_ntz, season_flag string, energy_kwh double")
     r = A.season_pivot(df).first()
     assert r["peak"] == 2.0 and r["off-peak"] == 0.0
+
+
+def test_numeric_summary_exact_and_approximate(spark):
+    import numpy as np
+
+    vals = [float(v) for v in range(1, 1001)]
+    df = spark.createDataFrame([(v, v * 2) for v in vals], "a double, b double")
+    exact = {r["column"]: r for r in PR.numeric_summary(df).collect()}
+    assert exact["a"]["p25"] == np.percentile(vals, 25) and exact["b"]["p75"] == np.percentile([v * 2 for v in vals], 75)
+    approx = {r["column"]: r for r in PR.numeric_summary(df, relative_error=0.01).collect()}
+    assert abs(approx["a"]["p50"] - 500.5) <= 0.01 * 1000 and approx["a"]["count"] == 1000.0
