@@ -153,15 +153,17 @@ def _approx_summary(df: DataFrame, cols: Sequence[str], probs, relative_error: f
 
 
 def _top_per_group(counts: DataFrame, group: str, n: int, order) -> DataFrame:
-    w = Window.partitionBy(group).orderBy(*order)
-    return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    from .windows import top_n_per_key
+
+    # salted two-stage: a column with very many distinct values never ranks in one task
+    return top_n_per_key(counts, [group], order, n, rank_col="rank")
 
 
 def top_values(df: DataFrame, cols: Sequence[str] | None = None, n: int = 5) -> DataFrame:
     """Top ``n`` values by count for each string column (ties by value).
 
-    Values are counted with a partial aggregate first, so the per-column window
-    runs over distinct values only.
+    Values are counted with a partial aggregate first; the per-column ranking
+    is a salted two-stage top-n over the distinct values.
     """
     cols = list(cols) if cols else [c for c in df.columns if _is_string(df, c)]
     long = df.select(

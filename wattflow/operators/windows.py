@@ -39,20 +39,29 @@ def position_in_key(
     return indexed.join(starts, list(keys)).withColumn(out, F.col("_g") - F.col("_g0")).drop("_g", "_g0")
 
 
-def last_n_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int, salt_buckets: int = 32
+def top_n_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, salt_buckets: int = 32, rank_col: str | None = None
 ) -> DataFrame:
-    """W4 (batch): the newest ``n`` rows per key by ``order`` (descending).
+    """The first ``n`` rows per key in ``order`` (sort expressions), exactly.
 
     Two stages so a hot key never sorts in one task: top ``n`` per
     (key, salt) first, then top ``n`` among at most ``salt_buckets * n`` rows.
+    ``rank_col`` keeps the final 1-based rank.
     """
-    order_desc = [F.desc(c) if isinstance(c, str) else c.desc() for c in order]
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-    s1 = Window.partitionBy(*keys, "_salt").orderBy(*order_desc)
+    s1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
     stage1 = df.withColumn("_salt", salt).withColumn("_r", F.row_number().over(s1)).where(F.col("_r") <= n)
-    s2 = Window.partitionBy(*keys).orderBy(*order_desc)
-    return stage1.withColumn("_r", F.row_number().over(s2)).where(F.col("_r") <= n).drop("_salt", "_r")
+    s2 = Window.partitionBy(*keys).orderBy(*order)
+    out = stage1.withColumn("_r", F.row_number().over(s2)).where(F.col("_r") <= n).drop("_salt")
+    return out.withColumnRenamed("_r", rank_col) if rank_col else out.drop("_r")
+
+
+def last_n_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int, salt_buckets: int = 32
+) -> DataFrame:
+    """W4 (batch): the newest ``n`` rows per key by ``order`` (descending), salted two-stage."""
+    order_desc = [F.desc(c) if isinstance(c, str) else c.desc() for c in order]
+    return top_n_per_key(df, keys, order_desc, n, salt_buckets)
 
 
 def changed_from_previous(
