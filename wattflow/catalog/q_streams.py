@@ -332,3 +332,23 @@ def st2(spark, d):
         )
     ]
     return spark.createDataFrame(rows, "batches int, rows_in bigint, peak_state_rows bigint, final_state_rows bigint, final_watermark string")
+
+
+@query(
+    "st4_daily_updates",
+    sql(
+        "SELECT CAST(CAST(r.ts AS DATE) AS TIMESTAMP) AS day_start, CAST(CAST(r.ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY AS day_end, "
+        "b.site_id, round(sum(r.value), 3) AS total_energy_day FROM readings r JOIN buildings b ON r.building_id = b.building_id GROUP BY ALL",
+        "readings", "buildings",
+    ),
+)
+def st4u(spark, d):
+    """ST4, reference form: 1-day windows on the measured clock, update mode through the
+    idempotent foreachBatch sink (S7), latest emission per key (ST9). State is not evicted."""
+    path, _ = JB.publish_replay(X.readings(spark, d), ["ts", "event_id"], "st4u", chunks=4, drop_tail=False)
+    stream = JB.read_feed(spark, path, max_files_per_trigger=1)
+    sites = bounded_broadcast(R.buildings(spark, d).select("building_id", "site_id"), 2_000_000)
+    scored = stream.join(sites, "building_id")
+    written, _ = JB.run_update(SA.daily_totals_updates(scored, value_col="value", key="site_id", ts_col="ts"), "st4_daily_updates")
+    latest = SV.latest_per_key(written, ["site_id", "day_start"], ["batch_id"])
+    return latest.select("day_start", "day_end", "site_id", "total_energy_day")
