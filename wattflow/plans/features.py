@@ -11,6 +11,7 @@ from ..operators.aggregate import aggregate_energy
 from ..operators.clean import add_label, normalise_missing, select_model_inputs
 from ..operators.joins import attach_buildings, attach_site, attach_weather
 from ..operators.season import add_season_flag
+from ..runtime import shared_root
 
 
 def engineer(df: DataFrame, ts_col: str = "ts") -> DataFrame:
@@ -35,15 +36,26 @@ def clean_weather(weather: DataFrame) -> DataFrame:
     return normalise_missing(weather, IMPUTABLE_WEATHER)
 
 
-def feature_frame(meters: DataFrame, buildings: DataFrame, weather: DataFrame, ts_col: str = "ts") -> DataFrame:
+def feature_frame(
+    meters: DataFrame, buildings: DataFrame, weather: DataFrame, ts_col: str = "ts", materialize_weather: bool = True
+) -> DataFrame:
     """Carrier sums (A1) -> site (J2) -> cleaned, season-flagged weather.
 
     Output columns: building_id, site_id, ts, interval, agg_value, season_flag
     and the six weather measures.
+
+    The weather dimension (sites x hours, small next to the meters) is needed
+    twice: for the per-site month ranking and for the join. With
+    ``materialize_weather`` it is computed once and written as a reliable
+    checkpoint in the shared folder, so the raw weather source is read once.
     """
     agg = aggregate_energy(meters, ts_col)
     with_site = attach_site(agg, buildings)
-    w = add_season_flag(clean_weather(weather), "timestamp").select(
+    cleaned = clean_weather(weather)
+    if materialize_weather and not weather.isStreaming:
+        shared_root(weather.sparkSession)
+        cleaned = cleaned.checkpoint(eager=True)
+    w = add_season_flag(cleaned, "timestamp").select(
         "site_id",
         "timestamp",
         "season_flag",
