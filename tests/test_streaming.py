@@ -105,3 +105,29 @@ def test_last_n_state_matches_brute_force(spark):
     for b in range(3):
         vals = [r[2] for r in rows if r[0] == b]
         assert got[b] == (len(vals), 7, sum(vals[-7:]))
+
+
+def test_replay_wraps_and_continues_numbering(spark):
+    df = spark.createDataFrame(_weather_rows(180), WS)  # 1.5 batches
+    s = stamp(replay_order(df, ["site_id", "timestamp"]), base_epoch=0, cycles=2).orderBy("batch_id", "idx").collect()
+    assert len(s) == 240 and [r["batch_id"] for r in s[::120]] == [0, 1]
+    assert s[120]["idx"] == 0 and s[120]["weather_ts"] == 5  # the second batch restarts at the first row
+
+
+def test_contract_cadence_and_batch_shape():
+    from wattflow.contract import DAYS_PER_TICK, ROWS_PER_DAY, TICK_SECONDS, WATERMARK_DELAY
+
+    assert BATCH_SIZE == 120 == ROWS_PER_DAY * DAYS_PER_TICK
+    assert WATERMARK_DELAY == f"{TICK_SECONDS} seconds"
+
+
+def test_payload_has_every_field_and_keeps_nulls(spark):
+    from wattflow.contract import WEATHER_PAYLOAD_SCHEMA
+
+    df = spark.createDataFrame(_weather_rows(2), WS)
+    for c, t in (("dew_temperature", "double"), ("sea_level_pressure", "double"), ("wind_direction", "int"), ("wind_speed", "double")):
+        df = df.withColumn(c, F.lit(None).cast(t))
+    df = df.withColumn("air_temperature", F.lit(None).cast("double")).withColumn("weather_ts", F.lit(1))
+    p = json.loads(df.select(weather_payload(df).alias("v")).first()["v"])
+    assert set(p) == set(WEATHER_PAYLOAD_SCHEMA.fieldNames())
+    assert p["air_temperature"] is None and p["cloud_coverage"] is None

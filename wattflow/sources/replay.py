@@ -29,23 +29,35 @@ def stamp(
     rows_per_block: int = ROWS_PER_DAY,
     tick_seconds: int = TICK_SECONDS,
     drop_tail: bool = True,
+    cycles: int = 1,
 ) -> DataFrame:
     """batch = idx div batch_size; block = (idx mod batch_size) div rows_per_block;
     weather_ts = base + tick * batch + block. The final partial batch is never
     sent (the reference's pointer wraps first), so it is dropped.
+
+    ``cycles`` > 1 replays the table again after the end (the wrap-around), each
+    pass continuing the batch numbering; rows are repeated with a generator, so
+    the work is ``cycles`` x the table, never a cross join.
     """
     out = indexed.withColumns(
         {
             "batch_id": F.floor(F.col("idx") / batch_size).cast("bigint"),
             "block": F.floor(F.pmod(F.col("idx"), F.lit(batch_size)) / rows_per_block).cast("int"),
         }
-    ).withColumn(
-        "weather_ts", (F.lit(base_epoch) + F.lit(tick_seconds) * F.col("batch_id") + F.col("block")).cast("bigint")
     )
     if drop_tail:
         n_full = indexed.select((F.floor(F.count(F.lit(1)) / batch_size) * batch_size).alias("m")).scalar()
         out = out.where(F.col("idx") < n_full)
-    return out
+    if cycles > 1:
+        n_batches = indexed.select(
+            (F.floor(F.count(F.lit(1)) / batch_size) if drop_tail else F.ceil(F.count(F.lit(1)) / batch_size)).alias("b")
+        ).scalar()
+        out = out.withColumn("_cycle", F.explode(F.sequence(F.lit(0), F.lit(cycles - 1)))).withColumn(
+            "batch_id", F.col("batch_id") + F.col("_cycle") * n_batches
+        ).drop("_cycle")
+    return out.withColumn(
+        "weather_ts", (F.lit(base_epoch) + F.lit(tick_seconds) * F.col("batch_id") + F.col("block")).cast("bigint")
+    )
 
 
 def payload_frame(stamped: DataFrame) -> DataFrame:
