@@ -21,16 +21,25 @@ def shared_root(spark: SparkSession) -> str:
     the session has none (unit tests on one machine).
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="wattflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect client."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no driver-side context
+        return None
+
+
 def _join(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/")] + [p.strip("/") for p in parts])
 
@@ -57,10 +66,20 @@ def local_path(path: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop's FileSystem (works for any scheme)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Existence check through Hadoop's FileSystem (works for any scheme).
+
+    Without a driver-side context (Spark Connect) it asks the data source: a
+    folder with readable Parquet files exists.
+    """
+    sc = _context(spark)
+    if sc is None:
+        try:
+            spark.read.parquet(path).schema
+            return True
+        except Exception:
+            return False
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath))
 
 
