@@ -110,3 +110,27 @@ def test_numeric_summary_exact_and_approximate(spark):
     assert exact["a"]["p25"] == np.percentile(vals, 25) and exact["b"]["p75"] == np.percentile([v * 2 for v in vals], 75)
     approx = {r["column"]: r for r in PR.numeric_summary(df, relative_error=0.01).collect()}
     assert abs(approx["a"]["p50"] - 500.5) <= 0.01 * 1000 and approx["a"]["count"] == 1000.0
+
+
+def test_fan_out_keeps_site_without_buildings(spark):
+    from wattflow.operators.joins import fan_out_buildings
+
+    w = spark.createDataFrame([(1, 20.0), (2, 15.0)], "site_id int, air_temperature double")
+    b = spark.createDataFrame([(1, 10), (1, 11)], "site_id int, building_id int")
+    rows = sorted((r["site_id"], r["building_id"]) for r in fan_out_buildings(w, b).collect())
+    assert rows == [(1, 10), (1, 11), (2, None)]
+
+
+def test_day_and_block_ignore_session_zone_on_dst_days(spark):
+    from wattflow.functions.calendar import day_of, six_hour_block, six_hour_label
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        # 02:30 does not exist in Berlin on 2016-03-27 (clocks jump), 23:30 is just before local midnight
+        df = spark.createDataFrame([(dt.datetime(2016, 3, 27, 2, 30),), (dt.datetime(2016, 10, 30, 23, 30),)], "ts timestamp_ntz")
+        rows = df.select(day_of("ts").alias("d"), six_hour_block("ts").alias("b"), six_hour_label("ts").alias("l")).collect()
+        assert (rows[0]["d"], rows[0]["b"], rows[0]["l"]) == (dt.date(2016, 3, 27), 0, "0:00-5:59")
+        assert (rows[1]["d"], rows[1]["b"], rows[1]["l"]) == (dt.date(2016, 10, 30), 3, "18:00-23:59")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
