@@ -47,14 +47,22 @@ def _fixed_ranges(df: DataFrame, order: Sequence[str | Column], parts: int) -> D
     return ranged.checkpoint(eager=True)
 
 
-def _offsets(sizes: DataFrame) -> DataFrame:
-    # one row per partition: the window and the broadcast are bounded by the partition count
-    return sizes.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(
-            "_off"
-        ),
-    )
+def _offsets(fixed: DataFrame, weight=None) -> DataFrame:
+    """Prefix counts per fixed range partition, as a small local table.
+
+    One aggregate job; the result has one row per partition (bounded by the
+    partition count, never by the data), so it is built once and broadcast
+    from the driver. A derived broadcast would be recomputed in every branch
+    that reads the index: ``spark_partition_id`` is nondeterministic, which
+    stops Spark from reusing the exchange.
+    """
+    w = F.lit(1) if weight is None else F.col(weight)
+    sizes = fixed.groupBy(F.spark_partition_id().alias("_pid")).agg(F.sum(w).alias("_n")).collect()
+    rows, acc = [], 0
+    for pid, n in sorted((int(r["_pid"]), int(r["_n"] or 0)) for r in sizes):
+        rows.append((pid, acc))
+        acc += n
+    return fixed.sparkSession.createDataFrame(rows, "_pid int, _off bigint")
 
 
 def global_index(df: DataFrame, order: Sequence[str | Column], out: str = "idx", n_parts: int | None = None) -> DataFrame:
@@ -65,12 +73,12 @@ def global_index(df: DataFrame, order: Sequence[str | Column], out: str = "idx",
     position; adding the partition's prefix count gives the global position.
     """
     fixed = _fixed_ranges(df, order, _n_parts(df, n_parts))
+    offsets = _offsets(fixed)
     with_pos = fixed.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33)
     )
-    sizes = with_pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     return (
-        with_pos.join(F.broadcast(_offsets(sizes)), "_pid")
+        with_pos.join(F.broadcast(offsets), "_pid")
         .withColumn(out, F.col("_off") + F.col("_pos"))
         .drop("_pid", "_pos", "_off")
     )
@@ -91,12 +99,13 @@ def tie_average_ranks(
     (mult + 1) / 2. One range shuffle over (group, value) serves all groups.
     """
     groups = list(group_cols)
-    fixed = _fixed_ranges(values, [*groups, value_col], _n_parts(values, n_parts)).withColumn("_pid", F.spark_partition_id())
-    sizes = fixed.groupBy("_pid").agg(F.sum(weight_col).alias("_n"))
+    fixed = _fixed_ranges(values, [*groups, value_col], _n_parts(values, n_parts))
+    offsets = _offsets(fixed, weight_col)
+    fixed = fixed.withColumn("_pid", F.spark_partition_id())
     within = Window.partitionBy("_pid").orderBy(*groups, value_col).rowsBetween(Window.unboundedPreceding, -1)
     ranked = (
         fixed.withColumn("_below", F.coalesce(F.sum(weight_col).over(within), F.lit(0)))
-        .join(F.broadcast(_offsets(sizes)), "_pid")
+        .join(F.broadcast(offsets), "_pid")
         .withColumn("_g", F.col("_off") + F.col("_below"))
         .drop("_pid", "_below", "_off")
     )
