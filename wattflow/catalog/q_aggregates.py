@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..contract import IMPUTABLE_WEATHER, OFF_PEAK, PEAK
-from ..functions import calendar as cal
 from ..operators import aggregate as A
 from ..operators import joins as J
 from ..operators import profile as PR
@@ -636,5 +635,3 @@ def u1(spark, d):
     parts = [w.agg(F.count_if(F.col(c).isNull()).alias("nulls")).select(F.lit(c).alias("column"), "nulls") for c in SIX]
     return T.union_all_by_name(parts)
 
-
-_ = (cal,)

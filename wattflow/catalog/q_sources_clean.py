@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..contract import FEATURES, IMPUTABLE_WEATHER, METERS_SCHEMA
+from ..contract import IMPUTABLE_WEATHER, METERS_SCHEMA
 from ..functions import calendar as cal
 from ..functions import scalar as sc
 from ..operators import clean as P
@@ -480,8 +480,6 @@ def f20(spark, d):
     return decode_json(js, m.schema, "j")
 
 
-_ = (FEATURES,)
-
 
 BUILDINGS_DECLARED = T.StructType(
     [

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
-from ..functions import scalar as sc
 from ..ml import pipelines as ML
 from ..operators.joins import fan_out_buildings
 from ..operators.season import lookup_season, month_labels
@@ -291,8 +290,6 @@ def st7(spark, d):
     return out
 
 
-_ = (sc, SV)
-
 
 @query(
     "w4_last_n_stream",

@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from ..contract import FEATURES, SEED, ZERO_IS_VALID
 from ..functions.scalar import is_missing_text
-from .ranks import global_index  # noqa: F401  (re-exported for callers that need stable ids)
 
 
 def select_model_inputs(df: DataFrame, keep: Sequence[str] | None = None, strict: bool = False) -> DataFrame:

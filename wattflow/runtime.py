@@ -60,11 +60,6 @@ def checkpoint_for(spark: SparkSession, query_name: str, root: str | None = None
     return _join(base, sanitise(query_name))
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for os-level checks."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem (works for any scheme).
 
@@ -94,17 +89,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if n <= max_rows else df
 
 
-def is_streaming(df: DataFrame) -> bool:
-    return bool(df.isStreaming)
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "wattflow") -> SparkSession:
     """A local session for tests, tools and the bench (the cluster supplies its own)."""
     builder = (

@@ -161,36 +161,3 @@ WEATHER_TEXT_SQL = (
     "CASE WHEN wind_direction = 45 THEN ' ' ELSE CAST(wind_direction AS VARCHAR) END AS wind_direction, "
     "CAST(wind_speed AS VARCHAR) AS wind_speed FROM weather"
 )
-
-ROLE_SQL = {
-    "meters": METERS_SQL,
-    "meters_daily": METERS_DAILY_SQL,
-    "buildings": BUILDINGS_SQL,
-    "weather": WEATHER_SQL,
-    "weather_text": WEATHER_TEXT_SQL,
-}
-ROLE_DEPS = {"weather_text": ("weather",)}
-ROLES = {
-    "meters": meters,
-    "meters_daily": meters_daily,
-    "buildings": buildings,
-    "weather": weather,
-    "weather_text": weather_text,
-}
-
-
-def with_roles(sql: str, *roles: str, extra: dict[str, str] | None = None) -> str:
-    """Prefix ``sql`` with the CTEs of the named roles (dependencies first)."""
-    order: list[str] = []
-
-    def add(r: str) -> None:
-        for d in ROLE_DEPS.get(r, ()):
-            add(d)
-        if r not in order:
-            order.append(r)
-
-    for r in roles:
-        add(r)
-    ctes = [f"{r} AS ({ROLE_SQL[r]})" for r in order]
-    ctes += [f"{k} AS ({v})" for k, v in (extra or {}).items()]
-    return ("WITH " + ",\n".join(ctes) + "\n" if ctes else "") + sql
