@@ -374,7 +374,7 @@ def f11(spark, d):
     sql(
         "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(abs(rel), 9) AS abs_err, "
         "round(pow(rel, 2), 9) AS sq_err, round(sqrt(abs(rel)), 9) AS root_abs_err, "
-        "round(rel, 3) AS err3 FROM (SELECT *, (pred_a - label) / label AS rel FROM pairs)",
+        + X.DR("rel", 3) + " AS err3 FROM (SELECT *, (pred_a - label) / label AS rel FROM pairs)",
         "pairs",
     ),
 )

@@ -27,8 +27,8 @@ def clip_at_zero(col: str | Column) -> Column:
 
 
 def round3(col: str | Column) -> Column:
-    """round to 3 places."""
-    return F.round(_c(col), 3)
+    """round to 3 places, half away from zero on the printed decimal (no negative zero)."""
+    return round_half_up(col, 3)
 
 
 def first_present(json_col: str | Column, fields: Sequence[str], cast: str | None = None) -> Column:
