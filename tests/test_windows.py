@@ -54,3 +54,28 @@ def test_latest_emission_wins(spark):
     assert rec.count() == 3
     latest = {r["window_start"].hour: r["total_energy_6h"] for r in SV.latest_per_key(rec, ["building_id", "window_start"], ["gen_ts", "seq"]).collect()}
     assert latest == {0: 3.0, 6: 5.0}
+
+
+def test_daily_record_outcomes_and_live_shortfall(spark):
+    recs = spark.createDataFrame(
+        [
+            ('{"site_id": 1, "total_energy_day": 12.5, "day_start": "2016-01-02T00:00:00"}',),
+            ('{"siteId": "2", "kwh_day": "7", "date": "2016-01-03"}',),
+            ('{"site_id": 3}',),
+            ('{"site_id": "x", "prediction": 1}',),
+            ("not json",),
+            ("[1, 2]",),
+            ('{"site_id": 9, "sum_day": 4, "day": "2016-01-02"}',),
+        ],
+        "value string",
+    )
+    dec = SV.decode_daily_record(recs)
+    assert [r["outcome"] for r in dec.collect()] == ["ok", "ok", "skipped_no_fields", "skipped_cast", "decode_err", "skipped_no_fields", "ok"]
+    metered = spark.createDataFrame([(1, "2016-01-02", 10.0)], "site_id int, day string, metered_energy double")
+    sites = spark.createDataFrame([(1,), (2,)], "site_id int")
+    live = {r["site_id"]: (r["outcome"], r["shortfall"]) for r in SV.live_shortfall(dec, metered, sites).collect() if r["site_id"] is not None}
+    assert live[1] == ("matched", 2.5) and live[2] == ("matched", 7.0) and live[9][0] == "missed_site"
+    strict = {r["site_id"]: r["outcome"] for r in SV.live_shortfall(dec, metered, sites, zero_when_no_meter=False).collect() if r["site_id"] is not None}
+    assert strict[2] == "missed_no_meter"
+    counts = {r["outcome"]: r["count"] for r in SV.outcome_counts(SV.live_shortfall(dec, metered, sites)).collect()}
+    assert counts["msgs"] == 7 and counts["decode_err"] == 1 and counts["skipped_no_fields"] == 2
