@@ -79,3 +79,12 @@ def test_daily_record_outcomes_and_live_shortfall(spark):
     assert strict[2] == "missed_no_meter"
     counts = {r["outcome"]: r["count"] for r in SV.outcome_counts(SV.live_shortfall(dec, metered, sites)).collect()}
     assert counts["msgs"] == 7 and counts["decode_err"] == 1 and counts["skipped_no_fields"] == 2
+
+
+def test_six_hour_record_decoding(spark):
+    recs = spark.createDataFrame(
+        [('{"building_id": 4, "window_label": "2016-01-01T06:00:00", "kwh6h": 3.5}',), ('{"building_id": "5", "sum_6hr": "x"}',)], "value string"
+    )
+    rows = SV.decode_six_hour_record(recs).collect()
+    assert (rows[0]["building_id"], rows[0]["window_label"], rows[0]["total_energy_6h"]) == (4, "2016-01-01T06:00:00", 3.5)
+    assert rows[1]["window_label"] == "" and rows[1]["total_energy_6h"] is None

@@ -520,3 +520,28 @@ def s18(spark, d):
     a = value_counts_with_null(f, "season_flag").select(F.lit("season_flag").alias("column"), "value", "count")
     b = value_counts_with_null(f, "interval").select(F.lit("interval").alias("column"), "value", "count")
     return a.unionByName(b)
+
+
+@query(
+    "f14_six_hour_json",
+    sql("SELECT building_id, strftime(window_start, '%Y-%m-%dT%H:%M:%S') AS window_label, total_energy_6h FROM six_totals", "six_totals"),
+)
+def f14b(spark, d):
+    """F14 on six-hour records: totals republished as JSON under producer-specific
+    field names (window_start/window_label, total_energy_6h/sum_6hr/kwh6h), decoded back."""
+    from ..plans.serving import decode_six_hour_record, six_hour_totals
+
+    t = six_hour_totals(X.readings(spark, d), "ts", "value")
+    alt = F.pmod(F.col("building_id"), F.lit(3))
+    label_name = F.when(alt == 0, "window_start").otherwise("window_label")
+    total_name = F.when(alt == 0, "total_energy_6h").when(alt == 1, "sum_6hr").otherwise("kwh6h")
+    rec = t.select(
+        F.to_json(
+            F.create_map(
+                F.lit("building_id"), F.col("building_id").cast("string"),
+                label_name, F.date_format("window_start", "yyyy-MM-dd'T'HH:mm:ss"),
+                total_name, F.col("total_energy_6h").cast("string"),
+            )
+        ).alias("value")
+    )
+    return decode_six_hour_record(rec)
