@@ -47,15 +47,15 @@ def publish_replay(
         # two control records in consecutive files: the first moves the watermark,
         # the batch of the second runs with it and emits/evicts every older tick
         # (an availableNow run does not add a trailing no-data batch by itself)
+        last = stamped.agg(F.max("weather_ts")).first()[0]  # one scan for both records
         for lag in (3600, 3601):
-            last = stamped.agg((F.max("weather_ts") + lag).alias("weather_ts"))
-            marker = last.select(
+            marker = spark.range(1).select(
                 *[
-                    (F.col("weather_ts") if f.name == "weather_ts" else F.lit(None).cast(f.dataType)).alias(f.name)
+                    (F.lit(last + lag).cast(f.dataType) if f.name == "weather_ts" else F.lit(None).cast(f.dataType)).alias(f.name)
                     for f in stamped.schema.fields
                 ]
             )
-            marker.coalesce(1).write.mode("append").parquet(path)
+            marker.write.mode("append").parquet(path)
     return path, stamped
 
 
