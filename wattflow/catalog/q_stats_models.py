@@ -282,3 +282,31 @@ def m22(spark, d):
 def m23(spark, d):
     b = _base(spark, d)
     return b.select(*[dr("log_sqft", 9) if c == "log_sqft" else F.round("label", 6).alias("label") if c == "label" else F.col(c) for c in b.columns])
+
+
+_BOX_COLS = ["q1", "median", "q3", "iqr", "lo_fence", "hi_fence", "whisker_lo", "whisker_hi"]
+
+
+@query(
+    "a19_box_stats_ape",
+    sql(
+        "SELECT model, " + ", ".join(f"{DR(c, 9)} AS {c}" for c in _BOX_COLS) + ", n FROM ("
+        "SELECT q.*, min(v) FILTER (WHERE v >= lo_fence) AS whisker_lo, max(v) FILTER (WHERE v <= hi_fence) AS whisker_hi, count(*) AS n "
+        "FROM (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo_fence, q3 + 1.5 * (q3 - q1) AS hi_fence FROM ("
+        "SELECT model, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3 FROM x GROUP BY 1)) q "
+        "JOIN x USING (model) GROUP BY ALL)",
+        "pairs",
+        extra={
+            "e": _ERR_SQL,
+            "x": "SELECT 'a' AS model, ape_a AS v FROM e WHERE ape_a IS NOT NULL UNION ALL SELECT 'b', ape_b FROM e WHERE ape_b IS NOT NULL",
+        },
+    ),
+)
+def a19ape(spark, d):
+    """A19 for the model comparison: APE distribution per candidate (quartiles, fences, whiskers)."""
+    e = _errors(spark, d)
+    long = e.select(
+        F.explode(F.array(F.struct(F.lit("a").alias("model"), F.col("ape_a").alias("v")), F.struct(F.lit("b").alias("model"), F.col("ape_b").alias("v")))).alias("x")
+    ).select("x.*")
+    b = ST.box_stats(long, "v", ["model"])
+    return b.select("model", *[dr(c, 9) for c in _BOX_COLS], "n")
