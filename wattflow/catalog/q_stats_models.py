@@ -310,3 +310,59 @@ def a19ape(spark, d):
     ).select("x.*")
     b = ST.box_stats(long, "v", ["model"])
     return b.select("model", *[dr(c, 9) for c in _BOX_COLS], "n")
+
+
+_SLE_LONG = "SELECT 'a' AS model, sle_a AS v FROM e WHERE NOT isnan(sle_a) UNION ALL SELECT 'b', sle_b FROM e WHERE NOT isnan(sle_b)"
+
+
+def _sle_long(spark, d):
+    e = _errors(spark, d)
+    return e.select(
+        F.explode(F.array(F.struct(F.lit("a").alias("model"), F.col("sle_a").alias("v")), F.struct(F.lit("b").alias("model"), F.col("sle_b").alias("v")))).alias("x")
+    ).select("x.*")
+
+
+@query(
+    "a20_sle_histogram",
+    sql(
+        "SELECT r.model, CAST(s.bin AS INTEGER) AS bin, " + DR("r.lo + s.bin * r.width", 9) + " AS bin_lo, " + DR("r.lo + (s.bin + 1) * r.width", 9)
+        + " AS bin_hi, coalesce(b.cnt, 0) AS count, " + DR("coalesce(b.cnt, 0) / (r.n * r.width)", 9) + " AS density "
+        "FROM rng r CROSS JOIN range(0, 60) s(bin) LEFT JOIN b ON b.model = r.model AND b.bin = s.bin",
+        "pairs",
+        extra={
+            "e": _ERR_SQL,
+            "x": _SLE_LONG,
+            "rng": "SELECT model, min(v) AS lo, max(v) AS hi, count(*) AS n, CASE WHEN max(v) > min(v) THEN (max(v) - min(v)) / 60 ELSE 1.0 END AS width FROM x GROUP BY model",
+            "b": "SELECT x.model, least(CAST(floor((x.v - rng.lo) / rng.width) AS INTEGER), 59) AS bin, count(*) AS cnt FROM x JOIN rng ON x.model = rng.model GROUP BY 1, 2",
+        },
+    ),
+)
+def a20sle(spark, d):
+    """A20 as the reference draws it: density histogram (60 bins) of the squared log error per model."""
+    h = ST.histogram(_sle_long(spark, d), "v", bins=60, group_cols=["model"])
+    return h.select("model", "bin", dr("bin_lo", 9), dr("bin_hi", 9), "count", dr("density", 9))
+
+
+@query(
+    "a21_sle_density",
+    sql(
+        "SELECT h.model, CAST(g.g AS INTEGER) AS g, " + DR("st2.g_lo + g.g * st2.g_step", 9) + " AS x, "
+        + DR("sum(h.cnt * exp(-0.5 * (((st2.g_lo + g.g * st2.g_step) - h.centre) / st2.h) * (((st2.g_lo + g.g * st2.g_step) - h.centre) / st2.h)) / (sqrt(2 * pi()) * st2.n * st2.h))", 9)
+        + " AS density FROM hist h JOIN st2 ON h.model = st2.model CROSS JOIN range(0, 100) g(g) GROUP BY 1, 2, 3",
+        "pairs",
+        extra={
+            "e": _ERR_SQL,
+            "x": _SLE_LONG,
+            "st": "SELECT model, min(v) AS lo, max(v) AS hi, count(*) AS n, stddev_samp(v) AS sd FROM x GROUP BY model",
+            "st1": "SELECT *, CASE WHEN sd * pow(CAST(n AS DOUBLE), -0.2) > 0 THEN sd * pow(CAST(n AS DOUBLE), -0.2) ELSE 1.0 END AS h FROM st",
+            "st2": "SELECT model, n, h, lo - 3 * h AS g_lo, (hi - lo + 6 * h) / 99 AS g_step FROM st1",
+            "rng": "SELECT model, lo, CASE WHEN hi > lo THEN (hi - lo) / 200 ELSE 1.0 END AS width FROM st",
+            "bins": "SELECT x.model, least(CAST(floor((x.v - rng.lo) / rng.width) AS INTEGER), 199) AS bin, count(*) AS cnt FROM x JOIN rng ON x.model = rng.model GROUP BY 1, 2",
+            "hist": "SELECT bins.model, ((rng.lo + bin * rng.width) + (rng.lo + (bin + 1) * rng.width)) / 2 AS centre, cnt FROM bins JOIN rng ON bins.model = rng.model",
+        },
+    ),
+)
+def a21sle(spark, d):
+    """A21 as the reference draws it: kernel density of the squared log error per model."""
+    k = ST.kernel_density(_sle_long(spark, d), "v", bins=200, grid=100, group_cols=["model"])
+    return k.select("model", "g", dr("x", 9), dr("density", 9))

@@ -56,62 +56,73 @@ def box_stats(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) ->
     return q.select("*", w1.getField("whisker_lo").alias("whisker_lo"), w1.getField("whisker_hi").alias("whisker_hi"), w1.getField("n").alias("n"))
 
 
-def histogram(df: DataFrame, value_col: str, bins: int = 60, density: bool = True) -> DataFrame:
-    """Equal-width histogram over the global [min, max]; every bin present.
+def histogram(df: DataFrame, value_col: str, bins: int = 60, density: bool = True, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Equal-width histogram over each group's [min, max]; every bin present.
 
     Bin i covers [min + i*w, min + (i+1)*w), the last bin is closed on the right.
+    Without groups the one-row range enters as a scalar subquery; with groups
+    the per-group ranges (one row per group) are joined on the group key.
     """
+    groups = list(group_cols)
     v = F.col(value_col).cast("double")
-    base = df.select(v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    rng = base.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count(F.lit(1)).alias("n"))
+    base = df.select(*groups, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    rng = base.groupBy(*groups).agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count(F.lit(1)).alias("n"))
     rng = rng.withColumn("width", F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / bins).otherwise(F.lit(1.0)))
-    # the one-row range enters the bin expression as a scalar subquery
-    r = rng.select(F.struct("lo", "width")).scalar()
-    binned = base.select(
-        F.least(F.floor((F.col("_v") - r.getField("lo")) / r.getField("width")).cast("int"), F.lit(bins - 1)).alias("bin")
-    )
-    counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
-    spine = rng.select("lo", "width", "n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    out = spine.join(counts, "bin", "left").fillna(0, subset=["count"])
-    out = out.select(
+    if groups:
+        with_rng = base.join(rng.select(*groups, "lo", "width"), groups)
+        lo, width = F.col("lo"), F.col("width")
+    else:
+        r = rng.select(F.struct("lo", "width")).scalar()
+        with_rng, lo, width = base, r.getField("lo"), r.getField("width")
+    binned = with_rng.select(*groups, F.least(F.floor((F.col("_v") - lo) / width).cast("int"), F.lit(bins - 1)).alias("bin"))
+    counts = binned.groupBy(*groups, "bin").agg(F.count(F.lit(1)).alias("count"))
+    spine = rng.select(*groups, "lo", "width", "n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    out = spine.join(counts, [*groups, "bin"], "left").fillna(0, subset=["count"])
+    return out.select(
+        *groups,
         "bin",
         (F.col("lo") + F.col("bin") * F.col("width")).alias("bin_lo"),
         (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("bin_hi"),
         "count",
         (F.col("count") / (F.col("n") * F.col("width"))).alias("density") if density else F.lit(None).alias("density"),
     )
-    return out
 
 
-def kernel_density(df: DataFrame, value_col: str, bins: int = 200, grid: int = 100, bandwidth: float | None = None) -> DataFrame:
-    """Gaussian kernel density on a fixed grid, from a fine histogram.
+def kernel_density(
+    df: DataFrame, value_col: str, bins: int = 200, grid: int = 100, bandwidth: float | None = None, group_cols: Sequence[str] = ()
+) -> DataFrame:
+    """Gaussian kernel density on a fixed grid per group, from a fine histogram.
 
     Each bin's count sits at its centre; the density at grid point x is
     sum_b count_b * phi((x - c_b) / h) / (n * h). Bandwidth: Scott's rule
-    (std * n^(-1/5)) unless given. Work: bins x grid, independent of data size.
+    (std * n^(-1/5)) unless given. Work: bins x grid per group, independent of
+    the data size; grid points are generated per bin row (no cross join).
     """
+    groups = list(group_cols)
     v = F.col(value_col).cast("double")
-    base = df.select(v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    stats = base.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count(F.lit(1)).alias("n"), F.stddev("_v").alias("sd"))
+    base = df.select(*groups, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    stats = base.groupBy(*groups).agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count(F.lit(1)).alias("n"), F.stddev("_v").alias("sd"))
     h = F.lit(float(bandwidth)) if bandwidth else F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
-    stats = stats.withColumn("h", F.when(h > 0, h).otherwise(F.lit(1.0)))
-    hist = histogram(base, "_v", bins=bins, density=False).select("bin", ((F.col("bin_lo") + F.col("bin_hi")) / 2).alias("centre"), "count")
-    hist = hist.where(F.col("count") > 0)
-    # grid spans [lo - 3h, hi + 3h]; each non-empty bin row is exploded over the
-    # grid points (bins x grid rows: constant size, independent of the data)
-    st = stats.select(
-        F.struct(
-            "n", "h", (F.col("lo") - 3 * F.col("h")).alias("g_lo"),
-            ((F.col("hi") - F.col("lo") + 6 * F.col("h")) / (grid - 1)).alias("g_step"),
-        )
-    ).scalar()
-    pairs = hist.select("centre", "count", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g")).select(
-        "centre", "count", "g", st.getField("n").alias("n"), st.getField("h").alias("h"),
-        (st.getField("g_lo") + F.col("g") * st.getField("g_step")).alias("x"),
+    stats = stats.withColumn("h", F.when(h > 0, h).otherwise(F.lit(1.0))).select(
+        *groups, "n", "h", (F.col("lo") - 3 * F.col("h")).alias("g_lo"), ((F.col("hi") - F.col("lo") + 6 * F.col("h")) / (grid - 1)).alias("g_step")
     )
+    hist = histogram(base, "_v", bins=bins, density=False, group_cols=groups).select(
+        *groups, ((F.col("bin_lo") + F.col("bin_hi")) / 2).alias("centre"), "count"
+    ).where(F.col("count") > 0)
+    if groups:
+        with_stats = hist.join(stats, groups)
+        n, hh, g_lo, g_step = F.col("n"), F.col("h"), F.col("g_lo"), F.col("g_step")
+    else:
+        st = stats.select(F.struct("n", "h", "g_lo", "g_step")).scalar()
+        with_stats = hist
+        n, hh, g_lo, g_step = st.getField("n"), st.getField("h"), st.getField("g_lo"), st.getField("g_step")
+    pairs = with_stats.select(
+        *groups, "centre", "count", n.alias("n"), hh.alias("h"), g_lo.alias("g_lo"), g_step.alias("g_step"),
+        F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"),
+    ).withColumn("x", F.col("g_lo") + F.col("g") * F.col("g_step"))
     z = (F.col("x") - F.col("centre")) / F.col("h")
     contrib = F.col("count") * F.exp(-0.5 * z * z) / (F.lit(math.sqrt(2 * math.pi)) * F.col("n") * F.col("h"))
-    return pairs.groupBy("g", "x").agg(F.sum(contrib).alias("density")).select("g", "x", "density")
+    return pairs.groupBy(*groups, "g", "x").agg(F.sum(contrib).alias("density")).select(*groups, "g", "x", "density")
 
 
 def signed_rank_tests(df: DataFrame, pairs: dict[str, tuple[str, str]], n_parts: int | None = None) -> DataFrame:
