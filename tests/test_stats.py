@@ -140,14 +140,14 @@ def test_median_difference(spark):
 def test_grouped_histogram_matches_numpy_per_group(spark):
     rnd = random.Random(12)
     rows = [("a", rnd.gauss(0, 1)) for _ in range(800)] + [("b", rnd.expovariate(2.0)) for _ in range(500)]
-    h = ST.histogram(spark.createDataFrame(rows, "g string, v double"), "v", bins=60, group_cols=["g"]).collect()
+    h = ST.histogram(spark.createDataFrame(rows, "grp string, v double"), "v", bins=60, group_cols=["grp"]).collect()
     for g in ("a", "b"):
         vals = [v for gg, v in rows if gg == g]
         counts, _ = np.histogram(vals, bins=60)
-        got = [r["count"] for r in sorted((r for r in h if r["g"] == g), key=lambda r: r["bin"])]
+        got = [r["count"] for r in sorted((r for r in h if r["grp"] == g), key=lambda r: r["bin"])]
         assert got == list(counts)
-    k = ST.kernel_density(spark.createDataFrame(rows, "g string, v double"), "v", group_cols=["g"], grid=200).collect()
+    k = ST.kernel_density(spark.createDataFrame(rows, "grp string, v double"), "v", group_cols=["grp"], grid=200).collect()
     for g in ("a", "b"):
-        pts = sorted((r["x"], r["density"]) for r in k if r["g"] == g)
+        pts = sorted((r["x"], r["density"]) for r in k if r["grp"] == g)
         step = pts[1][0] - pts[0][0]
         assert abs(sum(d for _, d in pts) * step - 1.0) < 0.03

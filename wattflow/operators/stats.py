@@ -118,11 +118,12 @@ def kernel_density(
         n, hh, g_lo, g_step = st.getField("n"), st.getField("h"), st.getField("g_lo"), st.getField("g_step")
     pairs = with_stats.select(
         *groups, "centre", "count", n.alias("n"), hh.alias("h"), g_lo.alias("g_lo"), g_step.alias("g_step"),
-        F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"),
-    ).withColumn("x", F.col("g_lo") + F.col("g") * F.col("g_step"))
-    z = (F.col("x") - F.col("centre")) / F.col("h")
+        F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("_gi"),
+    ).withColumn("_x", F.col("g_lo") + F.col("_gi") * F.col("g_step"))
+    z = (F.col("_x") - F.col("centre")) / F.col("h")
     contrib = F.col("count") * F.exp(-0.5 * z * z) / (F.lit(math.sqrt(2 * math.pi)) * F.col("n") * F.col("h"))
-    return pairs.groupBy(*groups, "g", "x").agg(F.sum(contrib).alias("density")).select(*groups, "g", "x", "density")
+    out = pairs.groupBy(*groups, "_gi", "_x").agg(F.sum(contrib).alias("density"))
+    return out.select(*groups, F.col("_gi").alias("g"), F.col("_x").alias("x"), "density")
 
 
 def signed_rank_tests(df: DataFrame, pairs: dict[str, tuple[str, str]], n_parts: int | None = None) -> DataFrame:
