@@ -40,3 +40,18 @@ def test_exact_quantiles_property(spark, pairs):
         vals = np.array([float(v) for gg, v in pairs if gg == g])
         for p in probs:
             assert abs(got[(g, p)] - np.percentile(vals, p * 100)) <= 1e-9 * max(1.0, abs(got[(g, p)]))
+
+
+def test_empty_inputs_do_not_fail(spark):
+    from wattflow.operators import stats as ST
+    from wattflow.operators.profile import numeric_summary
+    from wattflow.operators.windows import last_n_per_key, position_in_key
+
+    empty = spark.createDataFrame([], "g string, v double, k int")
+    assert global_index(empty, ["g", "v"]).count() == 0
+    assert exact_quantiles(empty, "v", [0.5], ["g"]).count() == 0
+    assert ST.signed_rank_tests(empty, {"x": ("v", "v")}).count() == 0
+    assert position_in_key(empty, ["g"], ["v"]).count() == 0
+    assert last_n_per_key(empty, ["g"], ["v"], 3).count() == 0
+    s = {r["column"]: r["count"] for r in numeric_summary(empty, ["v"]).collect()}
+    assert s == {"v": 0.0}
