@@ -97,6 +97,21 @@ def roll_up(partials: DataFrame, key: str, with_block: bool = True) -> DataFrame
     )
 
 
-def dedupe_emissions(records: DataFrame, keys: list[str]) -> DataFrame:
-    """ST9 on a stream: drop re-emitted duplicates of a key within the watermark."""
+def latest_emission(records: DataFrame, keys: list[str], stamp_cols: list[str]) -> DataFrame:
+    """ST9 on a stream: the latest record per key by ``stamp_cols`` (update mode).
+
+    A ``max_by`` aggregate keeps one row of state per key; each micro-batch
+    emits the keys whose latest record changed.
+    """
+    others = [c for c in records.columns if c not in keys]
+    latest = records.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*stamp_cols)).alias("_r"))
+    return latest.select(*keys, "_r.*")
+
+
+def drop_redelivered(records: DataFrame, keys: list[str]) -> DataFrame:
+    """Drop exact re-deliveries of a record (same key columns) within the watermark.
+
+    Keeps the first arrival: for transport replays of identical records, not
+    for choosing among re-emitted totals (use ``latest_emission``).
+    """
     return records.dropDuplicatesWithinWatermark(keys)
