@@ -349,3 +349,15 @@ def st4u(spark, d):
     written, _ = JB.run_update(SA.daily_totals_updates(scored, value_col="value", key="site_id", ts_col="ts"), "st4_daily_updates")
     latest = SV.latest_per_key(written, ["site_id", "day_start"], ["batch_id"])
     return latest.select("day_start", "day_end", "site_id", "total_energy_day")
+
+
+@query("st9_latest_emission_stream", sql("SELECT building_id, window_start, window_end, total_energy_6h FROM six_totals", "six_totals"))
+def st9s(spark, d):
+    """ST9, stream form: re-emitted six-hour records (written to Parquet) are tailed and
+    reduced to the latest emission per (building, window) with update-mode state."""
+    src = scratch_dir(spark, "st9-records")
+    SV.re_emitted_totals(X.readings(spark, d)).write.parquet(src)
+    stream = tail_parquet(spark, src)
+    written, _ = JB.run_update(SA.latest_emission(stream, ["building_id", "window_start"], ["gen_ts", "seq"]), "st9_latest")
+    final = SV.latest_per_key(written, ["building_id", "window_start"], ["batch_id"])
+    return final.select("building_id", "window_start", "window_end", "total_energy_6h")
