@@ -149,3 +149,13 @@ def test_latest_emission_stream_matches_batch(spark):
     batch = latest_per_key(rec, ["building_id", "window_start"], ["gen_ts", "seq"])
     cols = ["building_id", "window_start", "total_energy_6h", "seq"]
     assert sorted(tuple(r) for r in final.select(*cols).collect()) == sorted(tuple(r) for r in batch.select(*cols).collect())
+
+
+def test_compact_update_output(spark):
+    from wattflow.plans.serving import compact_update_output
+
+    out = scratch_dir(spark, "t-compact-src")
+    for b, total in ((0, 1.0), (1, 3.0), (2, 6.0)):
+        spark.createDataFrame([(7, total), (8, float(b))], "k int, total double").write.parquet(f"{out}/batch_id={b}")
+    compact = compact_update_output(spark, out, ["k"], scratch_dir(spark, "t-compact-dst"))
+    assert {r["k"]: r["total"] for r in compact.collect()} == {7: 6.0, 8: 2.0}
