@@ -36,7 +36,7 @@ def main() -> None:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", os.environ.get("BENCH_CLEAN_CHECKPOINTS", "true"))
     )
     log_dir = os.environ.get("BENCH_EVENT_LOG")
     if log_dir:
