@@ -49,7 +49,7 @@ CTE: dict[str, tuple[str, tuple[str, ...]]] = {
         "SELECT site_id, CAST(month(timestamp) AS INTEGER) AS month, avg(air_temperature) AS avg_temp FROM wclean GROUP BY 1, 2",
         ("wclean",),
     ),
-    "labels": (
+    "season_labels": (
         "SELECT site_id, month, CASE WHEN dense_rank() OVER (PARTITION BY site_id ORDER BY avg_temp DESC) <= 3 "
         "OR dense_rank() OVER (PARTITION BY site_id ORDER BY avg_temp ASC) <= 3 THEN 'peak' ELSE 'off-peak' END "
         "AS season_flag FROM monthly WHERE avg_temp IS NOT NULL",
@@ -57,8 +57,8 @@ CTE: dict[str, tuple[str, tuple[str, ...]]] = {
     ),
     "wflag": (
         "SELECT w.*, coalesce(l.season_flag, " + FALLBACK_SQL.format(m="month(w.timestamp)") + ") AS season_flag "
-        "FROM wclean w LEFT JOIN labels l ON w.site_id = l.site_id AND month(w.timestamp) = l.month",
-        ("wclean", "labels"),
+        "FROM wclean w LEFT JOIN season_labels l ON w.site_id = l.site_id AND month(w.timestamp) = l.month",
+        ("wclean", "season_labels"),
     ),
     "agg_daily": (
         "SELECT building_id, " + SIX_LABEL_SQL.format(t="ts") + " AS interval, ts, sum(value) AS agg_value "

@@ -54,7 +54,7 @@ def a3(spark, d):
 
 @query(
     "a4_peak_month_counts",
-    sql("SELECT site_id, count(*) FILTER (WHERE season_flag = 'peak') AS peak_months, count(*) AS observed_months FROM labels GROUP BY site_id", "labels"),
+    sql("SELECT site_id, count(*) FILTER (WHERE season_flag = 'peak') AS peak_months, count(*) AS observed_months FROM season_labels GROUP BY site_id", "season_labels"),
 )
 def a4(spark, d):
     return A.peak_month_counts(month_labels(X.wclean(spark, d)))
@@ -510,7 +510,7 @@ def j9(spark, d):
 
 
 # ------------------------------------------------------------------ windows
-@query("w1_season_flag", sql("SELECT site_id, month, season_flag FROM labels", "labels"), headline=True)
+@query("w1_season_flag", sql("SELECT site_id, month, season_flag FROM season_labels", "season_labels"), headline=True)
 def w1(spark, d):
     return month_labels(X.wclean(spark, d))
 
