@@ -107,7 +107,13 @@ def drop_boilerplate(
     return slim.mapInArrow(_rewrite, kind)
 
 
-def without_boilerplate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", **limits) -> DataFrame:
-    """``docs`` with boilerplate lines dropped from ``text``; same columns, in the same order."""
+def without_boilerplate(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", length: str = "n_chars", **limits
+) -> DataFrame:
+    """``docs`` with boilerplate lines dropped from ``text``; same columns in the same order, ``length`` counted anew."""
     out = drop_boilerplate(docs, doc_id, text, host, **limits)
-    return out.select(*[F.col("text").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    new = {text: F.col("text")}
+    if length in docs.columns:
+        changed = F.when(F.col("n_removed") > 0, F.char_length("text").cast(docs.schema[length].dataType)).otherwise(F.col(f"row.`{length}`"))
+        new[length] = changed
+    return out.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, packing, quality, url_filter, warc
+from . import line_dedup, mixing, near_dedup, packing, quality, url_filter, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -58,6 +58,12 @@ def op8(spark, sf_dir):
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+@_query("op9_near_dedup")
+def op9(spark, sf_dir):
+    out = near_dedup.classes(_table(spark, sf_dir, "documents"))
+    return out.select(F.col("did").alias("doc_id"), "n_shingles", "component_id", F.coalesce(F.col("did") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
 @_query("op10_quality")
 def op10(spark, sf_dir):
     out = quality.judge(_table(spark, sf_dir, "documents"))
