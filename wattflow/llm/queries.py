@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, near_dedup, packing, quality, url_filter, warc
+from . import line_dedup, mixing, near_dedup, packing, quality, substring_dedup, url_filter, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -69,3 +69,8 @@ def op10(spark, sf_dir):
     out = quality.judge(_table(spark, sf_dir, "documents"))
     cols = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_line_words"]
     return out.select(F.col("did").alias("doc_id"), *cols)
+
+
+@_query("op6_substring_dedup")
+def op6(spark, sf_dir):
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), texts=False).drop("kept_text")
