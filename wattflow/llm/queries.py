@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, near_dedup, packing, quality, substring_dedup, url_filter, warc
+from . import fingerprints, line_dedup, mixing, near_dedup, packing, quality, substring_dedup, url_filter, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -74,3 +74,8 @@ def op10(spark, sf_dir):
 @_query("op6_substring_dedup")
 def op6(spark, sf_dir):
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), texts=False).drop("kept_text")
+
+
+@_query("op5_fingerprints")
+def op5(spark, sf_dir):
+    return fingerprints.compare_edited(_table(spark, sf_dir, "documents"))
