@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, line_dedup, mixing, near_dedup, packing, quality, substring_dedup, url_filter, warc
+from . import fingerprints, html_extract, line_dedup, mixing, near_dedup, packing, quality, substring_dedup, url_filter, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -79,3 +79,8 @@ def op6(spark, sf_dir):
 @_query("op5_fingerprints")
 def op5(spark, sf_dir):
     return fingerprints.compare_edited(_table(spark, sf_dir, "documents"))
+
+
+@_query("op1_html_extract")
+def op1(spark, sf_dir):
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
