@@ -17,58 +17,124 @@ named are not looked at; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import stored, text_key
+from .textops import Flat, slices
 
 CAPACITY, END_ID = 4096, 2
 VOCABULARY = "word_bpe_49k.json"
 RANK_ROWS = 50_000  # rows that one ranking group holds on average
-CACHE_WORDS, CACHE_BYTES = 400_000, 48  # distinct words whose ids a task keeps; a longer word is not kept
-
-SPACES = b" \t\n\x0b\x0c\r"
+CACHE_WORDS, CACHE_BYTES = 1_000_000, 48  # distinct words and pieces whose ids a task keeps; longer pieces are not kept
 
 
 class WordTokenizer:
     """Ids of whole texts, each distinct word encoded once.
 
     The vocabulary's pre-tokenizer drops white space and no rule of it looks
-    across it, so a text's ids are those of its words in order. Texts that hold a
-    special token's opening mark are encoded whole, as such tokens are found first.
+    across it, so a text's ids are those of its words in order. A word of Latin
+    letters, digits and ASCII marks is cut into the pre-tokenizer's pieces here and
+    each distinct piece goes to the BPE model; any other word goes through the whole
+    tokenizer. Texts that hold a special token's opening mark are encoded whole, as
+    such tokens are found first. Words are known by 64-bit hashes of their bytes.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, np.ndarray] = {}
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        got = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype=np.uint32) for e in got]
+        self.model = self.tokenizer.model
+        self.pieces: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[int, int] = {}
+        self.flat = np.zeros(1 << 16, dtype=np.uint32)
+        self.starts = np.zeros(1 << 16, dtype=np.int64)  # of word number i; its ids end where the next word's start
+        self.used = 0
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _word(self, raw: bytes) -> list[int]:
+        word = raw.decode("utf-8", "surrogatepass")
+        if not PLAIN.fullmatch(word):
+            return self._whole(word)
+        out: list[int] = []
+        for piece in PIECES.findall(word.lower()):
+            ids = self.pieces.get(piece)
+            if ids is None:
+                mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+                ids = [t.id for t in self.model.tokenize(mapped)]
+                if len(piece) <= CACHE_BYTES:
+                    self.pieces[piece] = ids
+            out += ids
+        return out
+
+    def _learn(self, hashes: list[int], words: list[bytes]) -> None:
+        if len(self.pieces) > CACHE_WORDS:
+            self.pieces.clear()
+        found = [self._word(w) for w in words]
+        total = sum(map(len, found))
+        first = len(self.places)
+        if self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(total, len(self.flat)), np.uint32)])
+        if first + len(found) + 1 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros(max(len(found) + 1, len(self.starts)), np.int64)])
+        self.flat[self.used : self.used + total] = np.fromiter((i for ids in found for i in ids), np.uint32, total)
+        ends = self.used + np.cumsum([len(ids) for ids in found])
+        self.starts[first + 1 : first + 1 + len(found)] = ends
+        self.used += total
+        self.places.update(zip(hashes, range(first, first + len(found)), strict=True))
+
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, number of ids of each)."""
+        flat = Flat(texts)
+        kinds, lead, which = np.unique(flat.word_hash(), return_index=True, return_inverse=True)
+        keys = kinds.tolist()
+        if len(self.places) + len(keys) > CACHE_WORDS:
+            self._forget()
+        known = self.places
+        new = [i for i, k in enumerate(keys) if k not in known]
+        if new:
+            at = lead[new]
+            raw = flat.raw.tobytes()
+            spans = zip(flat.word_from[at].tolist(), flat.word_to[at].tolist(), strict=True)
+            self._learn([keys[i] for i in new], [raw[a:b] for a, b in spans])
+        place = np.fromiter((known[k] for k in keys), np.int64, len(keys))[which]
+        start = self.starts[place]
+        count = self.starts[place + 1] - start
+        upto = np.concatenate([[0], np.cumsum(count)])
+        ids = self.flat[np.repeat(start - upto[:-1], count) + np.arange(upto[-1])]
+        return ids, np.diff(upto[flat.words_of])
 
     def ids(self, text: str) -> np.ndarray:
         if "<|" in text:
-            return self._encode([text])[0]
-        words = text.encode("utf-8", "surrogatepass").split()
-        known = self.known
-        new = list({w for w in words if w not in known})
-        extra: dict[bytes, np.ndarray] = {}
-        if new:
-            if len(known) > CACHE_WORDS:
-                known.clear()
-                new = list(set(words))
-            for w, ids in zip(new, self._encode([w.decode("utf-8", "surrogatepass") for w in new]), strict=True):
-                (known if len(w) <= CACHE_BYTES else extra)[w] = ids
-        if not words:
-            return np.zeros(0, np.uint32)
-        return np.concatenate([known[w] if w in known else extra[w] for w in words])
+            return np.asarray(self._whole(text), dtype=np.uint32)
+        return self.batch(pa.array([text]))[0]
+
+
+# fixed values of the vocabulary's pre-tokenizer, for lower-case text of the letters in PLAIN
+PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u017f0-9]+")
+
+
+def _byte_letters() -> dict[int, int]:
+    """Byte-level BPE writes printable Latin-1 bytes as themselves and the others, in order, from code point 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
+BYTE_LETTERS = _byte_letters()
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -84,12 +150,18 @@ def _tokenise(path: str, end: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = WordTokenizer(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [np.append(tokenizer.ids(t or ""), np.uint32(end)).astype("<u4") for t in part.column("text").to_pylist()]
-                wide = [x.astype("<u2").tobytes() if x.max() < 1 << 16 else b"" for x in ids]
-                full = [b"" if w else x.tobytes() for w, x in zip(wide, ids, strict=True)]
-                arrays = [part.column("did"), part.column("rid"), pa.array([len(x) for x in ids], pa.int64()), pa.array(wide, pa.binary()), pa.array(full, pa.binary())]
+            for part in slices(batch, "text"):
+                texts = part.column("text")
+                ids, count = tokenizer.batch(texts)
+                own = np.split(ids, np.cumsum(count)[:-1])
+                marked = pc.fill_null(pc.match_substring(texts, "<|"), False).to_numpy(zero_copy_only=False)
+                for i in np.flatnonzero(marked).tolist():
+                    own[i] = tokenizer.ids(texts[i].as_py())
+                own = [np.append(x, np.uint32(end)) for x in own]
+                small = [x.max() < 1 << 16 for x in own]
+                wide = [x.astype("<u2").tobytes() if s else b"" for x, s in zip(own, small, strict=True)]
+                full = [b"" if s else x.astype("<u4").tobytes() for x, s in zip(own, small, strict=True)]
+                arrays = [part.column("did"), part.column("rid"), pa.array([len(x) for x in own], pa.int64()), pa.array(wide, pa.binary()), pa.array(full, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, ["did", "rid", "n", "ids16", "ids32"])
 
     return run
