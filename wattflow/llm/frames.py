@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from wattflow.runtime import scratch_dir
 
-SALTS = 64
-
 
 def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
@@ -28,20 +26,15 @@ def text_key(*cols: str) -> Column:
     return F.xxhash64(*[x for c in cols for x in (F.col(c).isNull(), F.col(c))])
 
 
-def salt_of(*cols: str, salts: int = SALTS) -> Column:
-    """A stable salt in [0, salts) taken from the row's own values."""
-    return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salts)).cast("int")
-
-
-def salted_join(rows: DataFrame, keyed: DataFrame, on: list[str], spread: list[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
-    """Join ``rows`` with ``keyed`` (at most one row for a key), a hot key dealt over ``salts`` tasks.
+def keyed_join(rows: DataFrame, keyed: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join ``rows`` with a stored table ``keyed`` (at most one row for a key), whatever share of ``rows`` one key holds.
 
-    ``keyed`` is repeated once for each salt; the salt of a row comes from its own
-    ``spread`` columns, so reruns agree and no row is moved twice.
+    ``keyed`` must be a stored table: its bytes are known, so it is broadcast only
+    below ``spark.sql.autoBroadcastJoinThreshold``. Otherwise the join stands
+    directly on both shuffles, and Spark splits the partition of a hot key over
+    tasks (adaptive skew join).
     """
-    left = rows.withColumn("_salt", salt_of(*spread, salts=salts))
-    right = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    return rows.join(keyed, on, how)
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:

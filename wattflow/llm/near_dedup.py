@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import components, salted_join, stored
+from .frames import components, keyed_join, stored
 from .textops import Flat, mix64, slices, windows
 
 SHINGLE, SIMILARITY = 5, 75  # words; percent
@@ -113,8 +113,25 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([key, ids, wide], ["key", "did", "sketch"])
 
 
+def _joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest place of each place's component under the pairs (a, b): one edge a place stands for all its pairs."""
+    lead = np.arange(n)
+    while True:
+        low = np.minimum(lead[a], lead[b])
+        new = lead.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        np.minimum.at(new, lead[a], low)
+        np.minimum.at(new, lead[b], low)
+        new = new[new]
+        if (new == lead).all():
+            return lead
+        lead = new
+
+
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a sorted order that lie within WINDOW, share a prefix and whose sketches agree."""
+    """Documents of a sorted order joined by pairs that lie within WINDOW, share a prefix and whose sketches agree;
+    a row (a, a) carries how much a document's sketch agrees with its neighbours'."""
     width = 1 + 4 * DEPTH
     prefix = 1 + 4 * MIN_DEPTH
     held = (np.zeros((0, width), np.uint8), np.zeros(0, np.int64), np.zeros((0, SKETCH), np.uint8))
@@ -126,17 +143,26 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key, ids, sketch = (np.concatenate(x) for x in zip(held, (key, part.column("did").to_numpy(), sketch), strict=True))
             fresh = len(held[1])
             region = np.concatenate([[0], np.cumsum((key[1:, :prefix] != key[:-1, :prefix]).any(axis=1))]) if len(ids) else np.zeros(0, np.int64)
-            a, b = [], []
+            upper, lower = [], []
+            score = np.zeros(len(ids), np.int64)
             for j in range(1, min(WINDOW, len(ids) - 1) + 1):
                 hit = np.flatnonzero(region[j:] == region[:-j]) + j
                 hit = hit[hit >= fresh]
                 if not len(hit):
                     break  # no region is longer
-                near = hit[(sketch[hit] == sketch[hit - j]).sum(axis=1) >= ESTIMATE * SKETCH]
-                a.append(ids[near])
-                b.append(ids[near - j])
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+                agree = (sketch[hit] == sketch[hit - j]).sum(axis=1)
+                close = agree >= ESTIMATE * SKETCH
+                near = hit[close]
+                score[near] += agree[close]
+                score[near - j] += agree[close]
+                upper.append(near)
+                lower.append(near - j)
+            if upper:
+                lead = _joined(len(ids), np.concatenate(upper), np.concatenate(lower))
+                own, typical = np.flatnonzero(lead != np.arange(len(ids))), np.flatnonzero(score)
+                a, b = np.concatenate([ids[own], ids[typical]]), np.concatenate([ids[lead[own]], ids[typical]])
+                weight = np.concatenate([np.zeros(len(own), np.int64), score[typical]])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(weight)], ["a", "b", "score"])
             held = (key[-WINDOW:], ids[-WINDOW:], sketch[-WINDOW:])
 
 
@@ -203,23 +229,23 @@ def _links(rows: DataFrame, name: str) -> DataFrame:
 
 
 def families(signed: DataFrame) -> DataFrame:
-    """``did, family, degree``: candidates' components and how many candidates each document has."""
+    """``did, family, score``: candidates' components and how much each document agrees with its neighbours."""
     reps = signed.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("did").alias("did"), F.first("sign").alias("sign")).select("did", "sign")
     orders = stored(reps.mapInArrow(_orders, "key binary, did long, sketch binary"), "orders", compression="zstd")
     dealt = orders.repartitionByRange("key", "did").sortWithinPartitions("key", "did")
-    pairs = dealt.mapInArrow(_neighbours, "a long, b long").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = stored(pairs.distinct(), "pairs")
-    roots = components(pairs, "families")
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-    degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-    return stored(roots.join(degree, "node").select(F.col("node").alias("did"), F.col("root").alias("family"), "degree"), "members")
+    found = stored(dealt.mapInArrow(_neighbours, "a long, b long, score long"), "neighbours")
+    roots = components(found.where("a <> b").select("a", "b"), "families")
+    score = found.where("a = b").groupBy("a").agg(F.sum("score").alias("score"))
+    return stored(roots.join(score, roots["node"] == score["a"], "left").select(F.col("node").alias("did"), F.col("root").alias("family"), "score"), "members")
 
 
 def confirmed_links(docs: DataFrame, member: DataFrame) -> DataFrame:
     """Links (a, b) of similar documents of one family; ``docs``: ``did, text``."""
-    size = stored(member.groupBy("family").agg(F.count(F.lit(1)).alias("m"), F.max(F.struct("degree", "did")).getField("did").alias("pivot")), "family-sizes")
-    member = stored(salted_join(member.select("did", "family"), size, ["family"], ["did"]), "member-sizes")
-    texts = stored(docs.join(member, "did").dropDuplicates(["did", "text"]), "family-texts", compression="zstd")
+    size = stored(member.groupBy("family").agg(F.count(F.lit(1)).alias("m"), F.max(F.struct("score", "did")).getField("did").alias("pivot")), "family-sizes")
+    member = stored(keyed_join(member.select("did", "family"), size, ["family"]), "member-sizes")
+    # always by shuffle, so that what moves grows with the table alone; repeated rows meet on the same key
+    texts = docs.withColumn("th", F.xxhash64("text")).join(member.hint("merge"), "did").dropDuplicates(["did", "th"]).drop("th")
+    texts = stored(texts, "family-texts", compression="zstd")
     small = texts.where(F.col("m") <= BLOCK).select(F.col("family").cast("string").alias("part"), "did", "text")
     found = _links(small, "links-small")
     large = texts.where(F.col("m") > BLOCK)
@@ -234,19 +260,18 @@ def confirmed_links(docs: DataFrame, member: DataFrame) -> DataFrame:
     placed = large.select("did", "family", "block", "m").distinct().join(roots.withColumnRenamed("node", "did"), "did", "left")
     placed = stored(placed.withColumn("root", F.coalesce("root", "did")), "placed")
     weight = placed.groupBy("family", "root").agg(F.count(F.lit(1)).alias("k"))
-    main = weight.groupBy("family").agg(F.max(F.struct("k", "root")).getField("root").alias("main"))
-    apart = stored(salted_join(placed, main, ["family"], ["did"]).where("root <> main").select("did", "family", "m"), "apart")
+    main = stored(weight.groupBy("family").agg(F.max(F.struct("k", "root")).getField("root").alias("main")), "main-roots")
+    apart = stored(keyed_join(placed, main, ["family"]).where("root <> main").select("did", "family", "m"), "apart")
     if apart.isEmpty():
         return found.unionByName(first)
-    # every document that stands apart meets every block of its family
-    count = apart.groupBy("family").agg(F.count(F.lit(1)).alias("r"))
+    # every document that stands apart meets every block of its family but its own, where it was compared already
+    count = stored(apart.groupBy("family").agg(F.count(F.lit(1)).alias("r")), "apart-sizes")
     batches = F.ceil(F.col("r") / (BLOCK // 2)).cast("int")
-    count = stored(count, "apart-sizes")
-    rest = salted_join(apart, count, ["family"], ["did"]).withColumn("batch", F.pmod(F.xxhash64("did", F.lit(7)), batches).cast("int"))
-    rest = large.join(rest.select("did", "batch"), "did").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    every = salted_join(large, count, ["family"], ["did"]).withColumn("batch", F.explode(F.sequence(F.lit(0), batches - 1)))
-    both = rest.select("family", "block", "batch", "did", "text").unionByName(every.select("family", "block", "batch", "did", "text"))
-    second = _links(both.dropDuplicates(["family", "block", "batch", "did", "text"]).select(named("family", "block", "batch"), "did", "text"), "links-apart")
+    rest = keyed_join(apart.select("did", "family"), count, ["family"]).withColumn("batch", F.pmod(F.xxhash64("did", F.lit(7)), batches).cast("int"))
+    rest = large.withColumnRenamed("block", "own").join(rest.select("did", "batch"), "did").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    every = keyed_join(large, count, ["family"]).withColumn("batch", F.explode(F.sequence(F.lit(0), batches - 1)))
+    columns = [named("family", "block", "batch"), "did", "text"]
+    second = _links(rest.where("block <> own").select(*columns).unionByName(every.select(*columns)), "links-apart")
     return found.unionByName(first).unionByName(second)
 
 
@@ -256,7 +281,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     signed = stored(plain.mapInArrow(_sign, "did long, n long, s1 long, s2 long, sign binary"), "signed")
     known = signed.where("did is not null")
     same = known.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("did").alias("b"), F.max("did").alias("last")).where("b < last").drop("last")
-    copies = salted_join(known.select("did", "n", "s1", "s2"), same, ["n", "s1", "s2"], ["did"])
+    copies = keyed_join(known.select("did", "n", "s1", "s2"), stored(same, "equal-sets"), ["n", "s1", "s2"])
     copies = copies.where("did <> b").select(F.col("did").alias("a"), "b")
     links = confirmed_links(plain.where("did is not null"), families(known))
     roots = components(copies.unionByName(links), "classes")
