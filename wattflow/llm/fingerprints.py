@@ -155,9 +155,10 @@ def compare_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     parts = min(RANGES, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     ids = plain.select(F.coalesce(F.col("did").cast("double"), F.lit(float("inf"))).alias("x"))
     bounds = ids.where("x < double('infinity')").approxQuantile("x", [i / parts for i in range(1, parts)], 1 / (4 * parts))
+    keyed = plain.withColumn("x", F.coalesce(F.col("did").cast("double"), F.lit(float("inf")))).withColumn("b", F.lit(0.0))
     splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
-    dealt = Bucketizer(splits=splits, inputCol="x", outputCol="b").setHandleInvalid("keep")
-    keyed = dealt.transform(plain.withColumn("x", F.coalesce(F.col("did").cast("double"), F.lit(float("inf")))))
+    if len(splits) > 2:
+        keyed = Bucketizer(splits=splits, inputCol="x", outputCol="b", handleInvalid="keep").transform(keyed.drop("b"))
     bucket = F.when(F.col("did").isNull(), F.lit(len(splits))).otherwise(F.col("b").cast("int"))
     keyed = keyed.select("did", "text", bucket.alias("bucket"), F.xxhash64("text").alias("th"))
     # the first row of each range: at most one row for each of the RANGES + 1 ranges

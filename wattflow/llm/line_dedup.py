@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import salted_join, stored, text_key
+from .frames import keyed_join, stored, text_key
 from .quality import _group_sizes, frequent_lines
 from .textops import Flat, list_column, mix64, slices, span_of_words
 
@@ -95,7 +95,7 @@ def drop_boilerplate(
     """Columns ``row`` (the input row), ``text`` (rewritten), ``n_removed`` (lines dropped)."""
     lines, often = boilerplate(docs, doc_id, text, host, ratio, least)
     pairs = lines.select("did", "rid", "host", F.explode("line_hash").alias("line"))
-    hit = salted_join(pairs, often.select("host", "line"), ["host", "line"], ["did", "rid"])
+    hit = keyed_join(pairs, often.select("host", "line"), ["host", "line"])
     drop = hit.groupBy("did", "rid").agg(F.collect_set("line").alias("drop")).select(F.col("did").alias("_d"), F.col("rid").alias("_r"), "drop")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     rows = rows.withColumn("did", F.col(f"row.{doc_id}")).withColumn("h", F.col(f"row.{host}")).withColumn("text", F.col(f"row.{text}"))

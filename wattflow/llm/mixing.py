@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import SALTS, salted_join, stored, text_key
+from .frames import keyed_join, stored, text_key
 
 WEIGHTS = (3.0, 1.0, 2.0)  # fixed values, repeating over the sources by code point
 SHARE, MOST_COPIES = 1.5, 2.0
@@ -73,7 +73,7 @@ def mix(
     per_source = sized.groupBy("skey").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))
     plan = stored(targets(per_source, **shares).withColumn("skey", text_key("source")), "targets")
     owed = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    rows = salted_join(sized, plan.drop("source"), ["skey"], ["did", "rid"]).withColumn("owed", owed)
+    rows = keyed_join(sized, plan.drop("source"), ["skey"]).withColumn("owed", owed)
     rows = rows.withColumn("whole", F.floor("owed").cast("long")).withColumn("p", F.col("owed") - F.col("whole"))
     u = (F.pmod(F.xxhash64("did", "rid", F.lit(seed)), F.lit(1 << 40)) + F.lit(0.5)) / F.lit(float(1 << 40))
     rows = rows.withColumn("rank", F.try_divide(u * (1 - F.col("p")), (1 - u) * F.col("p")))
@@ -89,7 +89,7 @@ def mix(
     cut = cells.where("not full").groupBy("skey").agg(F.min(F.struct("cell", "below", "want")).alias("c")).select("skey", "c.cell", "c.below", "c.want")
     cut = plan.select("skey").join(cut.withColumnRenamed("cell", "cut"), "skey", "left")
     cut = stored(cut.select("skey", F.coalesce("cut", F.lit(BUCKETS)).alias("cut"), "below", "want"), "cut")
-    rows = salted_join(rows, cut, ["skey"], ["did", "rid"])
+    rows = keyed_join(rows, cut, ["skey"])
     in_cell = Window.partitionBy("skey").orderBy("rank", "did", "rid").rowsBetween(Window.unboundedPreceding, -1)
     edge = rows.where("cell = cut and size > 0").withColumn("at", F.col("below") + F.coalesce(F.sum("size").over(in_cell), F.lit(0)))
     edge = edge.withColumn("more", (F.col("at") + F.col("size") / 2 <= F.col("want")).cast("long"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import salted_join, stored, text_key
+from .frames import keyed_join, stored, text_key
 from .textops import Flat, list_column, mix64, slices, span_hash, span_of_words, windows
 
 SYMBOLS = b"#*$%&|<>"  # fixed value of the base rules
@@ -121,8 +121,9 @@ def frequent_lines(profile: DataFrame, ratio: float, least: int) -> DataFrame:
     """(host, line, n_docs): lines held by more than ``max(least, ratio * documents of the host)`` distinct documents."""
     lines = profile.select("host", "doc_hash", F.explode("line_hash").alias("line"))
     counts = lines.groupBy("host", "line").agg(F.countDistinct("doc_hash").alias("n_docs")).where(F.col("n_docs") > least)
-    totals = profile.groupBy("host").agg(F.countDistinct("doc_hash").alias("n_host"))
-    return salted_join(counts, totals, ["host"], ["line"]).where(F.col("n_docs") > ratio * F.col("n_host")).select("host", "line", "n_docs")
+    totals = stored(profile.groupBy("host").agg(F.countDistinct("doc_hash").alias("n_host")), "host-totals")
+    counts = stored(counts, "line-counts")
+    return keyed_join(counts, totals, ["host"]).where(F.col("n_docs") > ratio * F.col("n_host")).select("host", "line", "n_docs")
 
 
 def judge(
@@ -140,7 +141,7 @@ def judge(
     lines = profile.select("did", "rid", "host", F.explode(F.arrays_zip("line_hash", "line_words")).alias("l"))
     lines = lines.select("did", "rid", "host", F.col("l.line_hash").alias("line"), F.col("l.line_words").alias("words"))
     # repeated rows share (did, rid): their lines are equal, so the larger of equal values is taken per line
-    hit = salted_join(lines, often.select("host", "line"), ["host", "line"], ["did", "rid"])
+    hit = keyed_join(lines, often.select("host", "line"), ["host", "line"])
     lost = hit.groupBy("did", "rid", "line").agg(F.max("words").alias("words")).groupBy("did", "rid").agg(F.sum("words").alias("n_line_words"))
     base = profile.drop("line_hash", "line_words", "host", "doc_hash")
     lost = lost.select(F.col("did").alias("_d"), F.col("rid").alias("_r"), "n_line_words")

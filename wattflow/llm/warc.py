@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from wattflow.runtime import scratch_dir
 
-from .frames import salted_join, stored
+from .frames import keyed_join, stored
 
 REVISIT_BYTES = 1000  # fixed value
 MAGIC, END = "WARC/1.0\r\n", "\r\n\r\n"  # fixed values of the format
@@ -43,15 +43,15 @@ BLOCK_BYTES = 16 << 20  # bytes of archive whose candidates one group follows
 def plan_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html", least: int = REVISIT_BYTES) -> DataFrame:
     """Every page with its digest, byte count and, for a revisit, the id it refers to.
 
-    Only digests and ids are grouped and joined by digest, hot groups of copies
-    dealt over salts; the payload is joined once, by page.
+    Only digests and ids are grouped and joined by digest; the payload is joined
+    once, by page.
     """
     plain = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("payload"))
     sized = plain.withColumn("digest", F.sha1(F.col("payload").cast("binary"))).withColumn("n", F.octet_length("payload").cast("long"))
     slim = stored(sized.select("page_id", "digest", "n"), "digests")
     large = slim.where(F.col("n") >= least)
     last = large.groupBy("digest").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("copies")).where("copies > 1 and last is not null")
-    again = salted_join(large, last, ["digest"], ["page_id"]).where("not (page_id <=> last)")
+    again = keyed_join(large, stored(last, "last-copies"), ["digest"]).where("not (page_id <=> last)")
     # stored, so its size is known when the payload join is planned: broadcast if small, else a shuffle join by page
     again = stored(again.select(F.col("page_id").alias("_p"), F.col("digest").alias("_d"), "last").distinct(), "revisits")
     return sized.join(again, F.col("page_id").eqNullSafe(F.col("_p")) & (F.col("digest") == F.col("_d")), "left").drop("_p", "_d")
