@@ -8,22 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..contract import FEATURES, SEED, ZERO_IS_VALID
+from ..contract import CATEGORY_INPUTS, LABEL, NUMERIC_INPUTS, SEED, TRACE, ZERO_IS_VALID
 from ..functions.scalar import is_missing_text
 
 
-def select_model_inputs(df: DataFrame, keep: Sequence[str] | None = None, strict: bool = False) -> DataFrame:
-    """Project to the feature contract + label + trace columns present.
+def model_columns(df: DataFrame, trace: Sequence[str] = TRACE, strict: bool = False) -> DataFrame:
+    """The model's inputs, the label and the trace columns, as far as ``df`` has them.
 
-    ``strict`` fails on a missing contract input instead of silently dropping it.
+    ``strict`` raises if an input is missing.
     """
-    trace = list(keep) if keep is not None else list(FEATURES.trace)
-    wanted = FEATURES.all_inputs + [FEATURES.label] + trace
-    if strict:
-        missing = [c for c in FEATURES.all_inputs if c not in df.columns]
-        if missing:
-            raise ValueError(f"missing contract columns: {missing}")
-    return df.select(*[c for c in wanted if c in df.columns])
+    have = set(df.columns)
+    absent = [c for c in (*NUMERIC_INPUTS, *CATEGORY_INPUTS) if c not in have]
+    if strict and absent:
+        raise ValueError(f"missing model inputs: {absent}")
+    order = dict.fromkeys([*NUMERIC_INPUTS, *CATEGORY_INPUTS, LABEL, *trace])
+    return df.select([c for c in order if c in have])
 
 
 def align_time(df: DataFrame, src: str, dst: str = "ts") -> DataFrame:
@@ -50,9 +49,21 @@ def sample_rows(df: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
 
 
 def hash_unit(cols: Sequence[str | Column], seed: int = SEED) -> Column:
-    """A value in [0, 1) from a 64-bit hash of the key: order- and partition-independent."""
-    h = F.xxhash64(F.lit(seed), *[F.col(c) if isinstance(c, str) else c for c in cols])
-    return (F.pmod(h, F.lit(1 << 30)).cast("double")) / float(1 << 30)
+    """A value in [0, 1) from the MD5 of the key's text: the same in every engine, order and partitioning."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("double") / float(1 << 28)
+
+
+def unit_sql(cols: Sequence[str], seed: int = SEED) -> str:
+    """The SQL twin of :func:`hash_unit`."""
+    text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols)
+    return f"(CAST(('0x' || substr(md5(concat_ws('|', '{seed}', {text})), 1, 7)) AS INTEGER) / {float(1 << 28)!r})"
+
+
+def split_sql(cols: Sequence[str], lo: float, hi: float, seed: int = SEED) -> str:
+    """SQL condition of the part [lo, hi) of :func:`hash_split`."""
+    u = unit_sql(cols, seed)
+    return f"{u} >= {lo!r}" + (f" AND {u} < {hi!r}" if hi < 1 else "")
 
 
 def hash_sample(df: DataFrame, key_cols: Sequence[str], fraction: float, seed: int = SEED) -> DataFrame:
@@ -82,11 +93,6 @@ def hash_split(
     return out
 
 
-def random_split(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = SEED) -> list[DataFrame]:
-    """P7 (reference form): ``randomSplit``; depends on input partitioning."""
-    return df.randomSplit(list(weights), seed=seed)
-
-
 def drop_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Drop ambiguous columns before a re-join."""
     return df.drop(*cols)

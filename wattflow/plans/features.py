@@ -5,30 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..contract import FEATURES, IMPUTABLE_WEATHER
+from ..contract import IMPUTABLE_WEATHER, NUMERIC_INPUTS
 from ..functions.calendar import day_of_week, log_area
 from ..operators.aggregate import aggregate_energy
-from ..operators.clean import add_label, normalise_missing, select_model_inputs
+from ..operators.clean import add_label, normalise_missing, model_columns
 from ..operators.joins import attach_buildings, attach_site, attach_weather
 from ..operators.season import add_season_flag
-from ..runtime import shared_root
+from ..runtime import hand_off
 
 
 def engineer(df: DataFrame, ts_col: str = "ts") -> DataFrame:
-    """ST11: derive every model input from a joined weather + building frame.
+    """ST11: the model's inputs from joined weather and building columns, as doubles.
 
-    Column-only (no fit), so the same code runs on bounded and streaming frames.
-    Every contract numeric present is cast to double once, here.
+    Expressions only, so bounded and streaming frames take the same path.
     """
-    derived = {
-        "hour": F.hour(ts_col),
-        "day_of_week": day_of_week(ts_col),
-        "month": F.month(ts_col),
-        "log_sqft": log_area("square_feet"),
-    }
-    out = df.withColumns(derived)
-    casts = {c: F.col(c).cast("double") for c in FEATURES.numeric if c in out.columns}
-    return out.withColumns(casts)
+    own = {"hour": F.hour(ts_col), "day_of_week": day_of_week(ts_col), "month": F.month(ts_col), "log_sqft": log_area("square_feet")}
+    as_double = {c: own.get(c, F.col(c) if c in df.columns else None) for c in NUMERIC_INPUTS}
+    return df.withColumns({c: e.cast("double") for c, e in as_double.items() if e is not None})
 
 
 def clean_weather(weather: DataFrame) -> DataFrame:
@@ -46,15 +39,14 @@ def feature_frame(
 
     The weather dimension (sites x hours, small next to the meters) is needed
     twice: for the per-site month ranking and for the join. With
-    ``materialize_weather`` it is computed once and written as a reliable
-    checkpoint in the shared folder, so the raw weather source is read once.
+    ``materialize_weather`` it is computed once and written to the shared folder,
+    so the raw weather source is read once.
     """
     agg = aggregate_energy(meters, ts_col)
     with_site = attach_site(agg, buildings)
     cleaned = clean_weather(weather)
     if materialize_weather and not weather.isStreaming:
-        shared_root(weather.sparkSession)
-        cleaned = cleaned.checkpoint(eager=True)
+        cleaned = hand_off(cleaned, "weather")
     w = add_season_flag(cleaned, "timestamp").select(
         "site_id",
         "timestamp",
@@ -89,4 +81,4 @@ def model_base(feature: DataFrame, buildings: DataFrame, ts_col: str = "ts") ->
     pipeline's imputer (D17).
     """
     base = attach_buildings(feature, buildings.select("building_id", "primary_use", "square_feet", "floor_count", "year_built"))
-    return select_model_inputs(engineer(add_label(base), ts_col))
+    return model_columns(engineer(add_label(base), ts_col))

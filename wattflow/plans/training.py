@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..ml import pipelines as ML
 from ..operators.clean import hash_split
 from ..operators.season import month_labels
-from ..runtime import scratch_dir
+from ..runtime import hand_off, scratch_dir
 from .features import clean_weather, feature_frame, model_base
 from .metrics import choose_model
 
@@ -42,19 +42,18 @@ def train_and_select(
     persist the winning ``PipelineModel`` and the per-site season-label table."""
     spark = meters.sparkSession
     out_dir = out_dir or scratch_dir(spark, "training")
-    base = model_base(feature_frame(meters, buildings, weather), buildings)
+    base = hand_off(model_base(feature_frame(meters, buildings, weather), buildings), "training-base")
     train, test = hash_split(base, ["building_id", "ts"], (0.8, 0.2))
     candidates = candidates if candidates is not None else {"rf": {}, "gbt": {}}
     models: dict[str, PipelineModel] = {}
     reports = []
     for name, overrides in candidates.items():
-        model, _, report = ML.fit_and_score(ML.build_pipeline(name, **overrides), train, test)
+        model, _, report = ML.fit_and_score(ML.pipeline_for(name, **overrides), train, test)
         models[name] = model
         reports.append(report.withColumn("model", F.lit(name)))
     if tune and "gbt" in candidates:
-        pipe = ML.build_pipeline("gbt", **candidates["gbt"])
-        grid = ML.gbt_param_grid(pipe, max_iter=[tune_grid_max_iter] if tune_grid_max_iter else None)
-        best, _ = ML.tune(pipe, grid, train)
+        points = ML.search_points("gbt", **({"maxIter": tune_grid_max_iter} if tune_grid_max_iter else {}))
+        best, _ = ML.tune("gbt", points, train, **candidates["gbt"])
         models["tuned"] = best
         reports.append(ML.regression_report_frame(best.transform(test)).withColumn("model", F.lit("tuned")))
     metrics = reports[0]
