@@ -142,7 +142,3 @@ def padded_range(df: DataFrame, key: str, value_col: str, pad_share: float = 0.1
     r = df.groupBy(key).agg(F.min(value_col).alias("y_min"), F.max(value_col).alias("y_max"))
     pad = F.lit(pad_share) * F.greatest(F.abs("y_min"), F.abs("y_max"), F.lit(1.0))
     return r.select(key, "y_min", "y_max", (F.col("y_min") - pad).alias("lo"), (F.col("y_max") + pad).alias("hi"))
-
-
-def group_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("count"))

@@ -3,9 +3,9 @@
 Batch joins carry no hints: the planner broadcasts a side whose estimated size
 is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-plans a sort-merge
 join into a broadcast join once a shuffle stage has *measured* the side small
-(and splits skewed partitions otherwise). Stream-static joins get an explicit
-broadcast only after a count proves the static side small (``bounded_broadcast``),
-because adaptive execution does not run inside micro-batches.
+(and splits skewed partitions otherwise). The static side of a stream-static join
+is written to the shared folder first (``hand_off``): micro-batches then re-read a
+table whose size in bytes the planner knows instead of recomputing it.
 """
 
 from __future__ import annotations
@@ -13,29 +13,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import bounded_broadcast
+from ..runtime import hand_off
 
 
-def _dim(df: DataFrame, broadcast_rows: int | None, other: DataFrame | None = None) -> DataFrame:
-    """Hint a static dimension only when it meets a stream (size checked first)."""
-    if broadcast_rows is None or df.isStreaming or other is None or not other.isStreaming:
-        return df
-    return bounded_broadcast(df, broadcast_rows)
+def _dim(df: DataFrame, other: DataFrame) -> DataFrame:
+    """A static dimension that meets a stream is handed off as a table first."""
+    return hand_off(df, "dimension") if other.isStreaming and not df.isStreaming else df
 
 
-def attach_month_labels(weather: DataFrame, labels: DataFrame, ts_col: str = "timestamp", broadcast_rows: int | None = 1_000_000) -> DataFrame:
+def attach_month_labels(weather: DataFrame, labels: DataFrame, ts_col: str = "timestamp") -> DataFrame:
     """Left join of (site, month) labels back to readings."""
     return (
         weather.withColumn("_month", F.month(ts_col))
-        .join(_dim(labels.withColumnRenamed("month", "_month"), broadcast_rows, weather), ["site_id", "_month"], "left")
+        .join(_dim(labels.withColumnRenamed("month", "_month"), weather), ["site_id", "_month"], "left")
         .drop("_month")
     )
 
 
-def attach_site(df: DataFrame, buildings: DataFrame, key: str = "building_id", broadcast_rows: int | None = 2_000_000) -> DataFrame:
+def attach_site(df: DataFrame, buildings: DataFrame, key: str = "building_id") -> DataFrame:
     """Building -> site via the building table (one site per building)."""
-    site_map = buildings.select(key, "site_id").dropDuplicates([key])
-    return df.join(_dim(site_map, broadcast_rows, df), key, "left")
+    # a building listed under two sites takes the smaller site id
+    site_map = buildings.groupBy(key).agg(F.min("site_id").alias("site_id"))
+    return df.join(_dim(site_map, df), key, "left")
 
 
 def attach_weather(df: DataFrame, weather: DataFrame, ts_col: str = "ts", weather_ts: str = "timestamp") -> DataFrame:
@@ -44,15 +43,15 @@ def attach_weather(df: DataFrame, weather: DataFrame, ts_col: str = "ts", weathe
     return df.join(w, ["site_id", ts_col], "left")
 
 
-def attach_buildings(df: DataFrame, buildings: DataFrame, key: str = "building_id", broadcast_rows: int | None = 2_000_000) -> DataFrame:
+def attach_buildings(df: DataFrame, buildings: DataFrame, key: str = "building_id") -> DataFrame:
     """J4 (first half): building attributes; drops duplicate non-key columns first."""
     dup = [c for c in buildings.columns if c in df.columns and c != key]
-    return df.join(_dim(buildings.drop(*dup), broadcast_rows, df), key, "left")
+    return df.join(_dim(buildings.drop(*dup), df), key, "left")
 
 
-def fan_out_buildings(stream: DataFrame, buildings: DataFrame, broadcast_rows: int | None = 2_000_000) -> DataFrame:
+def fan_out_buildings(stream: DataFrame, buildings: DataFrame) -> DataFrame:
     """One site reading -> one row per building at that site (stream-static, left)."""
-    return stream.join(_dim(buildings, broadcast_rows, stream), "site_id", "left")
+    return stream.join(_dim(buildings, stream), "site_id", "left")
 
 
 def pair_predictions(a: DataFrame, b: DataFrame, keys: list[str], pred_a: str = "pred_a", pred_b: str = "pred_b") -> DataFrame:
@@ -62,6 +61,6 @@ def pair_predictions(a: DataFrame, b: DataFrame, keys: list[str], pred_a: str =
     )
 
 
-def attach_use(df: DataFrame, buildings: DataFrame, key: str = "building_id", broadcast_rows: int | None = 2_000_000) -> DataFrame:
+def attach_use(df: DataFrame, buildings: DataFrame, key: str = "building_id") -> DataFrame:
     """Feature rows -> primary use."""
-    return df.join(_dim(buildings.select(key, "primary_use"), broadcast_rows, df), key, "left")
+    return df.join(_dim(buildings.select(key, "primary_use"), df), key, "left")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import round_half_up
-from .quantiles import index_values, pivot_quantiles, quantiles_from_index
+from .quantiles import pivot_quantiles, quantiles_from_counts, value_counts
 
 
 def _is_numeric(df: DataFrame, c: str) -> bool:
@@ -100,9 +100,9 @@ def numeric_summary(
 ) -> DataFrame:
     """A10: count, mean, stddev, min, max and quartiles per numeric column.
 
-    Exact (default): the columns are unpivoted to (column, value) and indexed
-    once (one range shuffle, checkpointed); moments and quartiles are both read
-    from that index, so the input is not scanned again for the moments.
+    Exact (default): the columns are unpivoted to (column, value) and counted once,
+    one row per distinct value; moments and quartiles are both read from that
+    table, so the input is scanned and shuffled once.
 
     ``relative_error`` set: one aggregate with ``percentile_approx`` sketches
     (map-side partial aggregation, a few KB per task and column; the reference
@@ -116,16 +116,15 @@ def numeric_summary(
             F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])
         ).alias("_kv")
     ).select("_kv.*")
-    indexed = index_values(long, "v", ["column"])
-    moments = indexed.groupBy("column").agg(
-        F.count(F.lit(1)).cast("double").alias("count"),
-        F.avg("_v").alias("mean"),
-        F.stddev("_v").alias("stddev"),
-        F.min("_v").alias("min"),
-        F.max("_v").alias("max"),
-    )
+    counts = value_counts(long, "v", ["column"])
+    n, v = F.col("_n").cast("double"), F.col("_v")
+    sums = counts.groupBy("column").agg(F.sum(n).alias("count"), (F.sum(n * v) / F.sum(n)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"))
+    # squares are summed about the mean, so that large means do not cancel
+    about = counts.join(sums.select("column", "mean"), "column")
+    spread = about.groupBy("column").agg(F.sum(n * (v - F.col("mean")) * (v - F.col("mean"))).alias("_ss"))
+    moments = sums.join(spread, "column").withColumn("stddev", F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1)))).drop("_ss")
     names = [f"p{int(round(p * 100))}" for p in probs]
-    qs = pivot_quantiles(quantiles_from_index(indexed, probs, ["column"]), probs, ["column"], names)
+    qs = pivot_quantiles(quantiles_from_counts(counts, probs, ["column"]), probs, ["column"], names)
     # every requested column appears, also one without any value (count 0)
     spine = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
     out = spine.join(moments, "column", "left").join(qs, "column", "left")
@@ -179,20 +178,24 @@ def boolean_like(df: DataFrame) -> DataFrame:
     aggs = []
     for c in cols:
         numeric = _is_numeric(df, c)
-        aggs += [
-            (F.min(F.col(c).cast("double")) if numeric else F.lit(None).cast("double")).alias(f"mn__{c}"),
-            (F.max(F.col(c).cast("double")) if numeric else F.lit(None).cast("double")).alias(f"mx__{c}"),
-            F.approx_count_distinct(c).alias(f"k__{c}"),
-        ]
-    long = _unpivot(df.agg(*aggs), cols, ["mn", "mx", "k"])
+        text = F.col(c).cast("string")
+        odd = F.count_if(~F.col(c).cast("double").isin(0.0, 1.0)) == 0
+        # at most two texts: none but the smallest and the largest
+        aggs += [(odd if numeric else F.lit(False)).alias(f"bits__{c}"), F.min(text).alias(f"lo__{c}"), F.max(text).alias(f"hi__{c}")]
+    ends = df.agg(*aggs)
+    strings = [c for c in cols if _is_string(df, c)]
+    if strings:
+        edge = ends.select(F.struct(*[F.col(f"{e}__{c}") for c in strings for e in ("lo", "hi")])).scalar()
+        marked = df.withColumn("_edge", edge)
+        other = [F.count_if((F.col(c) != F.col(f"_edge.lo__{c}")) & (F.col(c) != F.col(f"_edge.hi__{c}"))).alias(f"more__{c}") for c in strings]
+        more = marked.agg(*other).select(F.struct("*")).scalar()
+    ends = ends.withColumns({f"two__{c}": (more.getField(f"more__{c}") == 0) if c in strings else F.lit(False) for c in cols}) if strings else ends.withColumns(
+        {f"two__{c}": F.lit(False) for c in cols}
+    )
+    long = _unpivot(ends, cols, ["bits", "two"])
     kinds = {c: ("boolean" if isinstance(df.schema[c].dataType, T.BooleanType) else "numeric" if _is_numeric(df, c) else "string") for c in cols}
     kind = F.create_map(*[x for c, k in kinds.items() for x in (F.lit(c), F.lit(k))])[F.col("column")]
-    in01 = lambda x: x.isNull() | x.isin(0.0, 1.0)
-    flag = (
-        F.when(kind == "boolean", F.lit(True))
-        .when(kind == "numeric", (F.col("k") <= 2) & in01(F.col("mn")) & in01(F.col("mx")))
-        .otherwise(F.col("k") <= 2)
-    )
+    flag = F.when(kind == "boolean", F.lit(True)).when(kind == "numeric", F.col("bits")).otherwise(F.col("two"))
     return long.select("column", kind.alias("kind"), flag.alias("boolean_like"))
 
 

@@ -1,76 +1,86 @@
 """Exact quantiles (linear interpolation) without collecting a group in one task.
 
-Values are put in one global order by a range shuffle over (group, value), so
-a hot group spreads over many tasks. Per group, the first position and the
-count locate the two neighbours of each requested rank; those rows are picked
-with an equi-join on the position and interpolated.
+Values are counted first, one row for each distinct (group, value), with partial
+counts before the shuffle: ties and repeats cost one row. The distinct values are
+cut into cells by bounds taken from a quantile sketch of them; a cell of a group is
+the unit that one task sorts, whatever the group's size. Cell totals (at most CELLS
+rows a group) give each cell the rank it starts at, and a requested rank is looked up
+only in its own cell.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranks import global_index
+from ..runtime import hand_off
 
+CELLS = 256  # cells a group is cut into at most
 
-def index_values(df: DataFrame, value_col: str, group_cols: Sequence[str] = (), n_parts: int | None = None) -> DataFrame:
-    """Non-NULL values as ``(groups..., _v, _i)``: ``_i`` = position in the (group, value) order.
 
-    The result is backed by a reliable checkpoint, so several aggregates can
-    read it without recomputing the input.
+def ranked_values(counts: DataFrame, weight: str, group_cols: Sequence[str] = (), cells: int = CELLS) -> DataFrame:
+    """``counts`` (one row for each group and distinct ``_v``) with ``_cell`` and ``_below``: the summed weight of smaller values of the group.
+
+    ``counts`` is read several times: pass a stored table.
     """
     groups = list(group_cols)
-    base = df.select(*groups, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    return global_index(base, [*groups, "_v"], out="_i", n_parts=n_parts)
-
-
-def quantiles_from_index(indexed: DataFrame, probs: Sequence[float], group_cols: Sequence[str] = ()) -> DataFrame:
-    """Rows (groups..., prob, value) from an ``index_values`` frame."""
+    probs = [i / cells for i in range(1, cells)]
+    # fixed once: two branches with bounds of their own would disagree about the cells
+    bounds = counts.select(F.percentile_approx("_v", probs, 20 * cells)).first()[0] or []
+    edges = F.array(*[F.lit(b) for b in sorted(set(bounds))]).cast("array<double>")
+    placed = counts.withColumn("_cell", F.size(F.filter(edges, lambda b: b < F.col("_v"))))
+    totals = placed.groupBy(*groups, "_cell").agg(F.sum(weight).alias("_t"))
+    earlier = Window.partitionBy(*(groups or [F.lit(0)])).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(*groups, "_cell", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(*groups, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    below = placed.withColumn("_in", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    return same_groups(below, starts, [*groups, "_cell"]).withColumn("_below", F.col("_start") + F.col("_in")).drop("_start", "_in")
+
+
+def same_groups(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``cols`` that also matches NULL groups; ``cols`` appear once."""
+    other = right.withColumnsRenamed({c: f"_r_{c}" for c in cols})
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & left[c].eqNullSafe(other[f"_r_{c}"])
+    return left.join(other, cond, how).drop(*[f"_r_{c}" for c in cols])
+
+
+def value_counts(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Non-NULL, non-NaN values as ``(groups..., _v, _n)``, one row for each distinct value of a group; stored."""
+    v = F.col(value_col).cast("double")
+    base = df.select(*group_cols, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    return hand_off(base.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_n")), "value-counts")
+
+
+def quantiles_from_counts(counts: DataFrame, probs: Sequence[float], group_cols: Sequence[str] = ()) -> DataFrame:
+    """Rows (groups..., prob, value) from a :func:`value_counts` table.
+
+    Position p * (n - 1), linear between its floor and ceiling neighbours.
+    """
     groups = list(group_cols)
-    stats = indexed.groupBy(*groups).agg(F.min("_i").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    wanted = stats.select(
-        *groups,
-        F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"),
-        "_start",
-        "_n",
-    ).withColumn("_pos", F.col("prob") * (F.col("_n") - 1))
-    ends = F.array(
-        F.struct((F.col("_start") + F.floor("_pos")).alias("_i"), F.lit(0).alias("_side")),
-        F.struct((F.col("_start") + F.ceil("_pos")).alias("_i"), F.lit(1).alias("_side")),
-    )
-    picks = wanted.select(
-        *groups, "prob", (F.col("_pos") - F.floor("_pos")).alias("_frac"), F.explode(ends).alias("_e")
-    ).select(*groups, "prob", "_frac", "_e.*")
-    # one row per (group, prob, side): an equi-join on the unique position
-    got = picks.join(indexed.select("_i", "_v"), "_i")
-    lo_hi = got.groupBy(*groups, "prob").agg(
-        F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("_vhi"),
-        F.max("_frac").alias("_frac"),
+    ranked = ranked_values(counts, "_n", groups)
+    sizes = counts.groupBy(*groups).agg(F.sum("_n").alias("_all"))
+    # each row knows its group's size through its cell's one row, so that no group meets in one task
+    cells = ranked.groupBy(*groups, "_cell").agg(F.min("_below").alias("_lo"), F.max(F.col("_below") + F.col("_n")).alias("_hi"))
+    cells = same_groups(cells, sizes, groups) if groups else cells.withColumn("_all", sizes.scalar())
+    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
+    picks = cells.withColumn("prob", wanted).withColumn("_pos", F.col("prob") * (F.col("_all") - 1))
+    ends = F.array(F.struct(F.floor("_pos").alias("_at"), F.lit(0).alias("_side")), F.struct(F.ceil("_pos").alias("_at"), F.lit(1).alias("_side")))
+    picks = picks.withColumn("_e", F.explode(ends)).where((F.col("_e._at") >= F.col("_lo")) & (F.col("_e._at") < F.col("_hi")))
+    picks = picks.select(*groups, "_cell", "prob", (F.col("_pos") - F.floor("_pos")).alias("_frac"), F.col("_e._at").alias("_at"), F.col("_e._side").alias("_side"))
+    got = same_groups(ranked, picks, [*groups, "_cell"]).where((F.col("_at") >= F.col("_below")) & (F.col("_at") < F.col("_below") + F.col("_n")))
+    sides = got.groupBy(*groups, "prob").agg(
+        F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias("_vlo"), F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("_vhi"), F.max("_frac").alias("_frac")
     )
-    return lo_hi.select(
-        *groups,
-        "prob",
-        (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value"),
-    )
-
+    return sides.select(*groups, "prob", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value"))
 
-def exact_quantiles(
-    df: DataFrame,
-    value_col: str,
-    probs: Sequence[float],
-    group_cols: Sequence[str] = (),
-    n_parts: int | None = None,
-) -> DataFrame:
-    """Rows (groups..., prob, value) with value = the continuous quantile (NULLs ignored).
 
-    Same definition as ``percentile`` / ``quantile_cont``: position p*(n-1),
-    linear between its floor and ceiling neighbours.
-    """
-    return quantiles_from_index(index_values(df, value_col, group_cols, n_parts), probs, group_cols)
+def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], group_cols: Sequence[str] = ()) -> DataFrame:
+    """Rows (groups..., prob, value) with value = the continuous quantile (NULLs ignored), as ``quantile_cont``."""
+    return quantiles_from_counts(value_counts(df, value_col, group_cols), probs, group_cols)
 
 
 def pivot_quantiles(long: DataFrame, probs: Sequence[float], group_cols: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:

@@ -1,8 +1,8 @@
 """Global positions and tie-averaged ranks without a single-task window.
 
-Both helpers range-partition on the ordering key, so each task holds one
-contiguous slice of the total order; per-slice totals (one row per partition,
-a proven-small table) give every slice its starting offset.
+The global index range-partitions on the ordering key, so each task holds one
+contiguous slice of the total order; per-slice totals (one row per partition)
+give every slice its starting offset.
 
 The range-partitioned, sorted data is fixed once with a reliable
 ``checkpoint()`` in the shared checkpoint folder. Without it, the branch that
@@ -16,10 +16,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import shared_root
+from ..runtime import hand_off, shared_root
+from .quantiles import ranked_values
 
 
 RANGE_PARTITIONS_CONF = "spark.wattflow.rangePartitions"
@@ -47,7 +48,7 @@ def _fixed_ranges(df: DataFrame, order: Sequence[str | Column], parts: int) -> D
     return ranged.checkpoint(eager=True)
 
 
-def _offsets(fixed: DataFrame, weight=None) -> DataFrame:
+def _offsets(fixed: DataFrame) -> DataFrame:
     """Prefix counts per fixed range partition, as a small local table.
 
     One aggregate job; the result has one row per partition (bounded by the
@@ -56,8 +57,7 @@ def _offsets(fixed: DataFrame, weight=None) -> DataFrame:
     that reads the index: ``spark_partition_id`` is nondeterministic, which
     stops Spark from reusing the exchange.
     """
-    w = F.lit(1) if weight is None else F.col(weight)
-    sizes = fixed.groupBy(F.spark_partition_id().alias("_pid")).agg(F.sum(w).alias("_n")).collect()
+    sizes = fixed.groupBy(F.spark_partition_id().alias("_pid")).agg(F.count(F.lit(1)).alias("_n")).collect()
     rows, acc = [], 0
     for pid, n in sorted((int(r["_pid"]), int(r["_n"] or 0)) for r in sizes):
         rows.append((pid, acc))
@@ -89,28 +89,14 @@ def tie_average_ranks(
     value_col: str,
     weight_col: str,
     out: str = "avg_rank",
-    n_parts: int | None = None,
     group_cols: Sequence[str] = (),
 ) -> DataFrame:
     """Average rank (1-based, ties share the mean rank) for each distinct value of each group.
 
     ``values`` holds one row per (group, distinct value) with its multiplicity
     ``weight_col``. Rank = rows of the group strictly below the value +
-    (mult + 1) / 2. One range shuffle over (group, value) serves all groups.
+    (mult + 1) / 2. Cells of values (``quantiles.ranked_values``) keep every sort bounded.
     """
-    groups = list(group_cols)
-    fixed = _fixed_ranges(values, [*groups, value_col], _n_parts(values, n_parts))
-    offsets = _offsets(fixed, weight_col)
-    fixed = fixed.withColumn("_pid", F.spark_partition_id())
-    within = Window.partitionBy("_pid").orderBy(*groups, value_col).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (
-        fixed.withColumn("_below", F.coalesce(F.sum(weight_col).over(within), F.lit(0)))
-        .join(F.broadcast(offsets), "_pid")
-        .withColumn("_g", F.col("_off") + F.col("_below"))
-        .drop("_pid", "_below", "_off")
-    )
-    if groups:
-        # rows of earlier groups = the smallest global "below" count of the group
-        starts = ranked.groupBy(*groups).agg(F.min("_g").alias("_g0"))
-        ranked = ranked.join(starts, groups).withColumn("_g", F.col("_g") - F.col("_g0")).drop("_g0")
-    return ranked.withColumn(out, F.col("_g") + (F.col(weight_col) + 1) / 2.0).drop("_g")
+    table = hand_off(values.withColumn("_v", F.col(value_col).cast("double")), "tie-ranks")
+    ranked = ranked_values(table, weight_col, group_cols)
+    return ranked.withColumn(out, F.col("_below") + (F.col(weight_col) + 1) / 2.0).drop("_v", "_cell", "_below")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..contract import OFF_PEAK, PEAK, SEASON_RANK_CUTOFF
 from ..functions.calendar import fallback_season_flag
-from ..runtime import bounded_broadcast
+from ..runtime import hand_off
 from .aggregate import monthly_mean
 
 
@@ -42,7 +42,7 @@ def add_season_flag(
     # at most 12 rows per site; AQE broadcasts it from its measured size (batch)
     labels = month_labels(weather, ts_col, temp_col, key).withColumnRenamed("month", "_month")
     if weather.isStreaming:
-        labels = bounded_broadcast(labels, 1_000_000)
+        labels = hand_off(labels, "month-labels")
     return (
         weather.withColumn("_month", F.month(ts_col))
         .join(labels, [key, "_month"], "left")
@@ -63,6 +63,6 @@ def lookup_season(df: DataFrame, labels: DataFrame, month_col: str = "month", ke
     """
     lab = labels.select(key, F.col("month").alias("_m"), F.col("season_flag").alias("_lab"))
     if df.isStreaming and not lab.isStreaming:
-        lab = bounded_broadcast(lab, 1_000_000)
+        lab = hand_off(lab, "month-labels")
     out = df.join(lab, (df[key] == lab[key]) & (df[month_col] == lab["_m"]), "left").drop(lab[key])
     return out.withColumn("season_flag", F.coalesce(F.col("_lab"), fallback_season_flag(month_col))).drop("_m", "_lab")

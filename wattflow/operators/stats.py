@@ -4,19 +4,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from statistics import NormalDist
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..contract import SIGNIFICANCE_LEVEL
-from .quantiles import wide_quantiles
+from .quantiles import pivot_quantiles, quantiles_from_counts, same_groups, value_counts, wide_quantiles
 from .ranks import tie_average_ranks
 
-# two-sided critical |z| for the significance level (p < 0.05 <=> |z| > z_crit)
-Z_CRIT_05 = 1.959963984540054
-
-
 def correlation_matrix(df: DataFrame, cols: Sequence[str], dropna: bool = True) -> DataFrame:
     """Pearson correlation of every pair, long format, one aggregate over the full data."""
     base = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
@@ -29,55 +26,48 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], dropna: bool = True)
 
 
 def box_stats(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Quartiles, IQR fences and whiskers (extreme points inside the fences) per group."""
+    """Quartiles, IQR fences and whiskers (extreme points inside the fences) per group.
+
+    Quartiles and whiskers are both read from one table of counted distinct values.
+    """
     groups = list(group_cols)
-    q = wide_quantiles(df, value_col, (0.25, 0.5, 0.75), groups, ["q1", "median", "q3"])
+    counts = value_counts(df, value_col, groups)
+    q = pivot_quantiles(quantiles_from_counts(counts, (0.25, 0.5, 0.75), groups), (0.25, 0.5, 0.75), groups, ["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     q = q.withColumn("lo_fence", F.col("q1") - 1.5 * F.col("iqr")).withColumn("hi_fence", F.col("q3") + 1.5 * F.col("iqr"))
-    v = F.col(value_col).cast("double")
-    base = df.select(*groups, v.alias("_v")).where(F.col("_v").isNotNull())
     if groups:
-        j = base.join(q.select(*groups, "lo_fence", "hi_fence"), groups)
-        lo_f, hi_f = F.col("lo_fence"), F.col("hi_fence")
+        fenced = same_groups(counts, q.select(*groups, "lo_fence", "hi_fence"), groups)
     else:
-        # one row of fences: attached as scalar subqueries, no join needed
-        fences = q.select(F.struct("lo_fence", "hi_fence")).scalar()
-        # projected first: an aggregate may not take a scalar subquery as an argument
-        j = base.select("_v", fences.getField("lo_fence").alias("_lo"), fences.getField("hi_fence").alias("_hi"))
-        lo_f, hi_f = F.col("_lo"), F.col("_hi")
-    wh = j.groupBy(*groups).agg(
-        F.min(F.when(F.col("_v") >= lo_f, F.col("_v"))).alias("whisker_lo"),
-        F.max(F.when(F.col("_v") <= hi_f, F.col("_v"))).alias("whisker_hi"),
-        F.count(F.lit(1)).alias("n"),
+        # one row of fences: a scalar subquery, no join
+        fenced = counts.withColumn("_f", q.select(F.struct("lo_fence", "hi_fence")).scalar()).select("_v", "_n", "_f.*")
+    v = F.col("_v")
+    wh = fenced.groupBy(*groups).agg(
+        F.min(F.when(v >= F.col("lo_fence"), v)).alias("whisker_lo"), F.max(F.when(v <= F.col("hi_fence"), v)).alias("whisker_hi"), F.sum("_n").alias("n")
     )
     if groups:
-        return q.join(wh, groups)
-    w1 = wh.select(F.struct("whisker_lo", "whisker_hi", "n")).scalar()
-    return q.select("*", w1.getField("whisker_lo").alias("whisker_lo"), w1.getField("whisker_hi").alias("whisker_hi"), w1.getField("n").alias("n"))
+        return same_groups(q, wh, groups)
+    return q.withColumn("_w", wh.select(F.struct("whisker_lo", "whisker_hi", "n")).scalar()).select(*q.columns, "_w.*")
 
 
 def histogram(df: DataFrame, value_col: str, bins: int = 60, density: bool = True, group_cols: Sequence[str] = ()) -> DataFrame:
     """Equal-width histogram over each group's [min, max]; every bin present.
 
     Bin i covers [min + i*w, min + (i+1)*w), the last bin is closed on the right.
-    Without groups the one-row range enters as a scalar subquery; with groups
-    the per-group ranges (one row per group) are joined on the group key.
+    The ranges meet the counted distinct values, not the rows: as a scalar
+    subquery without groups, else by a join that keeps NULL groups.
     """
     groups = list(group_cols)
-    v = F.col(value_col).cast("double")
-    base = df.select(*groups, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    rng = base.groupBy(*groups).agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count(F.lit(1)).alias("n"))
+    counts = value_counts(df, value_col, groups)
+    rng = counts.groupBy(*groups).agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.sum("_n").alias("n"))
     rng = rng.withColumn("width", F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / bins).otherwise(F.lit(1.0)))
     if groups:
-        with_rng = base.join(rng.select(*groups, "lo", "width"), groups)
-        lo, width = F.col("lo"), F.col("width")
+        ranged = same_groups(counts, rng.select(*groups, "lo", "width"), groups)
     else:
-        r = rng.select(F.struct("lo", "width")).scalar()
-        with_rng, lo, width = base, r.getField("lo"), r.getField("width")
-    binned = with_rng.select(*groups, F.least(F.floor((F.col("_v") - lo) / width).cast("int"), F.lit(bins - 1)).alias("bin"))
-    counts = binned.groupBy(*groups, "bin").agg(F.count(F.lit(1)).alias("count"))
-    spine = rng.select(*groups, "lo", "width", "n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    out = spine.join(counts, [*groups, "bin"], "left").fillna(0, subset=["count"])
+        ranged = counts.withColumn("_r", rng.select(F.struct("lo", "width")).scalar()).select("_v", "_n", "_r.*")
+    slot = F.least(F.floor((F.col("_v") - F.col("lo")) / F.col("width")).cast("int"), F.lit(bins - 1))
+    filled = ranged.groupBy(*groups, slot.alias("bin")).agg(F.sum("_n").alias("count"))
+    spine = rng.where("n is not null").select(*groups, "lo", "width", "n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    out = same_groups(spine, filled, [*groups, "bin"], "left").fillna(0, subset=["count"])
     return out.select(
         *groups,
         "bin",
@@ -88,45 +78,45 @@ def histogram(df: DataFrame, value_col: str, bins: int = 60, density: bool = Tru
     )
 
 
-def kernel_density(
-    df: DataFrame, value_col: str, bins: int = 200, grid: int = 100, bandwidth: float | None = None, group_cols: Sequence[str] = ()
-) -> DataFrame:
-    """Gaussian kernel density on a fixed grid per group, from a fine histogram.
+def kernel_density(df: DataFrame, value_col: str, grid: int = 100, bandwidth: float | None = None, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Gaussian kernel density on a fixed grid per group, from every value.
 
-    Each bin's count sits at its centre; the density at grid point x is
-    sum_b count_b * phi((x - c_b) / h) / (n * h). Bandwidth: Scott's rule
-    (std * n^(-1/5)) unless given. Work: bins x grid per group, independent of
-    the data size; grid points are generated per bin row (no cross join).
+    The density at grid point x is sum over values of phi((x - v) / h) / (n * h);
+    bandwidth: Scott's rule (std * n^(-1/5)) unless given. All grid points are sums
+    of one aggregate over the counted distinct values: ``grid`` sums a group, with
+    partial sums before the shuffle, and no row is repeated.
     """
     groups = list(group_cols)
-    v = F.col(value_col).cast("double")
-    base = df.select(*groups, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    stats = base.groupBy(*groups).agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count(F.lit(1)).alias("n"), F.stddev("_v").alias("sd"))
-    h = F.lit(float(bandwidth)) if bandwidth else F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
+    counts = value_counts(df, value_col, groups)
+    w, v = F.col("_n").cast("double"), F.col("_v")
+    base = counts.groupBy(*groups).agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.sum("_n").alias("n"), (F.sum(w * v) / F.sum(w)).alias("mean"))
+    if groups:
+        centred = same_groups(counts, base.select(*groups, "mean"), groups)
+    else:
+        centred = counts.withColumn("mean", base.select("mean").scalar())
+    dev = centred.groupBy(*groups).agg(F.sum(w * (v - F.col("mean")) * (v - F.col("mean"))).alias("_ss"))
+    stats = same_groups(base, dev, groups) if groups else base.withColumn("_ss", dev.scalar())
+    sd = F.when(F.col("n") > 1, F.sqrt(F.col("_ss") / (F.col("n") - 1)))
+    h = F.lit(float(bandwidth)) if bandwidth else sd * F.pow(F.col("n").cast("double"), F.lit(-0.2))
     stats = stats.withColumn("h", F.when(h > 0, h).otherwise(F.lit(1.0))).select(
         *groups, "n", "h", (F.col("lo") - 3 * F.col("h")).alias("g_lo"), ((F.col("hi") - F.col("lo") + 6 * F.col("h")) / (grid - 1)).alias("g_step")
     )
-    hist = histogram(base, "_v", bins=bins, density=False, group_cols=groups).select(
-        *groups, ((F.col("bin_lo") + F.col("bin_hi")) / 2).alias("centre"), "count"
-    ).where(F.col("count") > 0)
     if groups:
-        with_stats = hist.join(stats, groups)
-        n, hh, g_lo, g_step = F.col("n"), F.col("h"), F.col("g_lo"), F.col("g_step")
+        ready = same_groups(counts, stats, groups)
     else:
-        st = stats.select(F.struct("n", "h", "g_lo", "g_step")).scalar()
-        with_stats = hist
-        n, hh, g_lo, g_step = st.getField("n"), st.getField("h"), st.getField("g_lo"), st.getField("g_step")
-    pairs = with_stats.select(
-        *groups, "centre", "count", n.alias("n"), hh.alias("h"), g_lo.alias("g_lo"), g_step.alias("g_step"),
-        F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("_gi"),
-    ).withColumn("_x", F.col("g_lo") + F.col("_gi") * F.col("g_step"))
-    z = (F.col("_x") - F.col("centre")) / F.col("h")
-    contrib = F.col("count") * F.exp(-0.5 * z * z) / (F.lit(math.sqrt(2 * math.pi)) * F.col("n") * F.col("h"))
-    out = pairs.groupBy(*groups, "_gi", "_x").agg(F.sum(contrib).alias("density"))
-    return out.select(*groups, F.col("_gi").alias("g"), F.col("_x").alias("x"), "density")
-
-
-def signed_rank_tests(df: DataFrame, pairs: dict[str, tuple[str, str]], n_parts: int | None = None) -> DataFrame:
+        ready = counts.withColumn("_s", stats.select(F.struct("n", "h", "g_lo", "g_step")).scalar()).select("_v", "_n", "_s.*")
+
+    def bump(i: int) -> Column:
+        z = (F.col("g_lo") + i * F.col("g_step") - v) / F.col("h")
+        return F.sum(F.col("_n") * F.exp(-0.5 * z * z))
+
+    sums = ready.groupBy(*groups, "n", "h", "g_lo", "g_step").agg(*[bump(i).alias(f"_k{i}") for i in range(grid)])
+    scale = F.lit(math.sqrt(2 * math.pi)) * F.col("n") * F.col("h")
+    points = F.array(*[F.struct(F.lit(i).alias("g"), (F.col("g_lo") + i * F.col("g_step")).alias("x"), (F.col(f"_k{i}") / scale).alias("density")) for i in range(grid)])
+    return sums.select(*groups, F.explode(points).alias("p")).select(*groups, "p.*")
+
+
+def signed_rank_tests(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
     """Paired Wilcoxon signed-rank tests on d = a - b, zeros handled by Pratt.
 
     One row per named pair: n, n_zero, w_plus, w_minus, statistic (the smaller
@@ -148,7 +138,7 @@ def signed_rank_tests(df: DataFrame, pairs: dict[str, tuple[str, str]], n_parts:
         F.count_if(F.col("_d") > 0).alias("_np"),
         F.count_if(F.col("_d") < 0).alias("_nn"),
     )
-    ranked = tie_average_ranks(per_abs, "_ad", "_t", out="_r", n_parts=n_parts, group_cols=["metric"])
+    ranked = tie_average_ranks(per_abs, "_ad", "_t", out="_r", group_cols=["metric"])
     s = ranked.groupBy("metric").agg(
         F.sum("_t").alias("n"),
         F.coalesce(F.sum(F.when(F.col("_ad") == 0, F.col("_t"))), F.lit(0)).alias("n_zero"),
@@ -171,26 +161,29 @@ def signed_rank_tests(df: DataFrame, pairs: dict[str, tuple[str, str]], n_parts:
     return s.withColumn("z", (F.col("statistic") - F.col("mean")) / F.col("se"))
 
 
-def signed_rank_test(df: DataFrame, a_col: str, b_col: str, n_parts: int | None = None) -> DataFrame:
+def signed_rank_test(df: DataFrame, a_col: str, b_col: str) -> DataFrame:
     """M17 for one pair (see ``signed_rank_tests``)."""
-    return signed_rank_tests(df, {"d": (a_col, b_col)}, n_parts).drop("metric")
+    return signed_rank_tests(df, {"d": (a_col, b_col)}).drop("metric")
 
 
-def normal_two_sided_p(z_col: str = "z"):
-    """Two-sided normal p-value 2*sf(|z|) = erfc(|z|/sqrt 2), via a vectorised helper."""
+def p_values(tests: DataFrame, z_col: str = "z") -> DataFrame:
+    """``tests`` with the two-sided normal p-value of ``z_col``; ``tests`` has one row per metric, so it is read to the driver."""
+    rows = tests.collect()
+    z = [r[z_col] for r in rows]
+    p = [math.erfc(abs(x) / math.sqrt(2.0)) if x is not None else None for x in z]
+    schema = T.StructType([*tests.schema.fields, T.StructField("p_value", T.DoubleType())])
+    return tests.sparkSession.createDataFrame([(*r, v) for r, v in zip(rows, p, strict=True)], schema)
 
-    @F.pandas_udf("double")
-    def _p(z: pd.Series) -> pd.Series:
-        return z.abs().map(lambda x: math.erfc(x / math.sqrt(2.0)) if pd.notna(x) else float("nan"))
 
-    return _p(F.col(z_col))
+def paired_verdict(tests: DataFrame, z_col: str = "z", level: float = SIGNIFICANCE_LEVEL) -> DataFrame:
+    """M19, per metric: significant when p < level, i.e. |z| beyond the two-sided critical value."""
+    critical = NormalDist().inv_cdf(1 - level / 2)
+    return tests.withColumn("significant", F.abs(F.col(z_col)) > F.lit(critical))
 
 
-def paired_verdict(tests: DataFrame, z_col: str = "z", level: float = SIGNIFICANCE_LEVEL) -> DataFrame:
-    """Significant when p < level, i.e. |z| beyond the two-sided critical value."""
-    if abs(level - 0.05) > 1e-12:
-        raise ValueError("only the 5 % level has a fixed critical value here")
-    return tests.withColumn("significant", F.abs(F.col(z_col)) > F.lit(Z_CRIT_05))
+def combined_verdict(verdicts: DataFrame) -> DataFrame:
+    """The models differ if any of the tests is significant."""
+    return verdicts.agg(F.bool_or("significant").alias("models_differ"), F.count(F.lit(1)).alias("tests"))
 
 
 def median_difference(df: DataFrame, a_col: str, b_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
