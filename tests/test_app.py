@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from wattflow.contract import FEATURES
+from wattflow.contract import NUMERIC_INPUTS
 from wattflow.ml import pipelines as ML
 from wattflow.operators.season import month_labels
 from wattflow.runtime import scratch_dir
@@ -17,9 +17,9 @@ from wattflow.streaming.sources import read_value_files
 def test_score_feed_then_totals(spark):
     rnd = random.Random(9)
     # model trained on a small contract-shaped frame
-    schema = ", ".join(f"{c} double" for c in FEATURES.numeric) + ", primary_use string, season_flag string, label double"
-    rows = [tuple(rnd.uniform(0, 30) for _ in FEATURES.numeric) + (rnd.choice(["Office", "Retail"]), rnd.choice(["peak", "off-peak"]), rnd.uniform(0, 100)) for _ in range(60)]
-    model_path = ML.save_model(ML.build_pipeline("rf", numTrees=3, maxDepth=3, minInstancesPerNode=1).fit(spark.createDataFrame(rows, schema)), scratch_dir(spark, "t-model"))
+    schema = ", ".join(f"{c} double" for c in NUMERIC_INPUTS) + ", primary_use string, season_flag string, label double"
+    rows = [tuple(rnd.uniform(0, 30) for _ in NUMERIC_INPUTS) + (rnd.choice(["Office", "Retail"]), rnd.choice(["peak", "off-peak"]), rnd.uniform(0, 100)) for _ in range(60)]
+    model_path = ML.save_model(ML.pipeline_for("rf", numTrees=3, maxDepth=3, minInstancesPerNode=1).fit(spark.createDataFrame(rows, schema)), scratch_dir(spark, "t-model"))
 
     # two sites, 48 hourly readings each; buildings: two at site 1, one at site 2
     t0 = dt.datetime(2016, 3, 1)
@@ -35,7 +35,7 @@ def test_score_feed_then_totals(spark):
     month_labels(weather).write.parquet(labels_path)
 
     feed = scratch_dir(spark, "t-feed")
-    stamped = stamp(replay_order(weather, ["site_id", "timestamp"]), base_epoch=1_700_000_000, drop_tail=False)
+    stamped = stamp(replay_order(weather, ["site_id", "timestamp"]), base_epoch=1_700_000_000)
     payload_frame(stamped).select("value").write.parquet(feed)
     last = stamped.agg(F.max("weather_ts")).first()[0]
     for lag in (3600, 3601):  # control records: move the watermark so every tick is emitted

@@ -47,11 +47,11 @@ def test_hash_split_disjoint_complete_repeatable(spark):
     assert {r[0] for r in a2.collect()} == ka
 
 
-def test_select_model_inputs_strict(spark):
+def test_model_columns_strict(spark):
     df = spark.createDataFrame([(1.0, 2)], "air_temperature double, building_id int")
-    assert P.select_model_inputs(df).columns == ["air_temperature", "building_id"]
+    assert P.model_columns(df).columns == ["air_temperature", "building_id"]
     with pytest.raises(ValueError):
-        P.select_model_inputs(df, strict=True)
+        P.model_columns(df, strict=True)
 
 
 def test_drop_and_not_null(spark):

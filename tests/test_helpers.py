@@ -4,15 +4,15 @@ from pyspark.sql import functions as F
 
 from wattflow.operators import aggregate as A
 from wattflow.operators import topk as T
-from wattflow.runtime import bounded_broadcast, checkpoint_for, sanitise
+from wattflow.runtime import checkpoint_for, hand_off, sanitise
 from wattflow.streaming.jobs import state_partitions
 
 
-def test_bounded_broadcast_hints_only_small_sides(spark):
-    small = spark.range(5)
-    big = spark.range(50)
-    assert "broadcast" in bounded_broadcast(small, 10)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in bounded_broadcast(big, 10)._jdf.queryExecution().logical().toString().lower()
+def test_hand_off_keeps_rows_and_schema(spark):
+    df = spark.createDataFrame([(1, None), (2, "b")], "a int, b string")
+    out = hand_off(df, "t-hand-off")
+    assert out.schema == df.schema and sorted(out.collect()) == sorted(df.collect())
+    assert out.inputFiles()
 
 
 def test_state_partitions_restores_session_setting(spark):

@@ -31,9 +31,9 @@ def test_bad_key_is_dropped(spark):
 
 
 def test_load_report(spark):
-    df = spark.createDataFrame([(1, "e")], "building_id int, meter_type string")
+    df = spark.createDataFrame([(1, "e")], "building_id bigint, meter_type string")
     rep = {r["field"]: (r["n_rows"], r["loaded_type"], r["ok"]) for r in S.load_report({"meters": (df, METERS_SCHEMA)}).collect()}
-    assert rep["building_id"] == (1, "int", True) and rep["ts"] == (1, None, False)
+    assert rep["building_id"] == (1, "bigint", True) and rep["ts"] == (1, None, False)
 
 
 def test_keyed_json_roundtrip(spark):

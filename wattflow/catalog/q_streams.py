@@ -4,30 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..contract import HISTORY_LEN_SITE, TICK_SECONDS, TRIGGER_DAILY, TRIGGER_PREDICTIONS, TRIGGER_SIXHOUR
 from ..functions import calendar as cal
 from ..ml import pipelines as ML
 from ..operators.joins import fan_out_buildings
 from ..operators.season import lookup_season, month_labels
+from ..operators.windows import last_n_per_key
 from ..plans import serving as SV
 from ..plans.features import engineer, model_base
-from ..runtime import bounded_broadcast, scratch_dir
+from ..plans.totals import ONE_DAY, SIX_HOURS, window_totals
+from ..runtime import checkpoint_for, hand_off, path_exists, scratch_dir
 from ..sources import tables as R
 from ..sources.files import tail_parquet
 from ..sources.payload import keyed_json
 from ..sources.replay import payload_frame, publish_files, replay_order, stamp
 from ..streaming import aggregates as SA
 from ..streaming import jobs as JB
+from ..streaming import sinks
+from ..streaming.app import prediction_rows
 from . import frames as X
 from .frames import DR, dr, sql
 from .registry import query
 
 BASE = JB.BASE_EPOCH
 
-# the replayed weather feed in SQL: global position, batch of 120, block of 24, stamp; tail batch dropped
+# the replayed weather feed in SQL: global position, batch of 120, block of 24, stamp; the last batch is short
 _STAMPED_SQL = (
     f"SELECT *, idx // 120 AS batch_id, CAST((idx % 120) // 24 AS INTEGER) AS block, {BASE} + 5 * (idx // 120) + (idx % 120) // 24 AS weather_ts "
-    "FROM (SELECT *, row_number() OVER (ORDER BY site_id, timestamp) - 1 AS idx FROM weather) "
-    "WHERE idx < (SELECT count(*) // 120 * 120 FROM weather)"
+    "FROM (SELECT *, row_number() OVER (ORDER BY site_id, timestamp) - 1 AS idx FROM weather)"
 )
 
 
@@ -41,7 +45,7 @@ def s14(spark, d):
     return replay_order(R.weather(spark, d), ["site_id", "timestamp"]).select("site_id", "timestamp", "idx")
 
 
-@query("s15_replay_stamp", sql(f"SELECT site_id, timestamp, idx, batch_id, block, weather_ts FROM ({_STAMPED_SQL})", "weather"), headline=True)
+@query("s15_replay_stamp", sql(f"SELECT site_id, timestamp, idx, batch_id, block, weather_ts FROM ({_STAMPED_SQL})", "weather"))
 def s15(spark, d):
     return _stamped_weather(spark, d).select("site_id", "timestamp", "idx", "batch_id", "block", "weather_ts")
 
@@ -71,7 +75,7 @@ def s16(spark, d):
 @query("s17_publish_files", sql(f"SELECT batch_id, count(*) AS n_rows FROM ({_STAMPED_SQL}) GROUP BY 1", "weather"))
 def s17(spark, d):
     path = scratch_dir(spark, "s17-feed")
-    publish_files(payload_frame(_stamped_weather(spark, d)), path, chunks=4, one_file_per_chunk=True)
+    publish_files(payload_frame(_stamped_weather(spark, d)), path)
     return spark.read.parquet(path).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -82,10 +86,9 @@ def s17(spark, d):
     headline=True,
 )
 def s6(spark, d):
-    path, _ = JB.publish_replay(R.weather(spark, d), ["site_id", "timestamp"], "s6")
-    stream = JB.read_feed(spark, path).select("site_id", "timestamp", "air_temperature", "batch_id", "block", "weather_ts")
-    out, _ = JB.run_append(stream, "s6_predictions")
-    return out
+    feed = JB.replay_feed(R.weather(spark, d), ["site_id", "timestamp"], "s6")
+    cols = ["site_id", "timestamp", "air_temperature", "batch_id", "block", "weather_ts"]
+    return JB.run_feed(feed, lambda **o: JB.read_feed(spark, feed.path, **o).select(*cols), "s6_predictions").written
 
 
 _SIX_N_SQL = (
@@ -96,10 +99,9 @@ _SIX_N_SQL = (
 
 @query("s7_foreach_batch_sink", sql("SELECT window_start, window_end, building_id, total_energy_6h FROM six_totals", "six_totals"))
 def s7(spark, d):
-    path, _ = JB.publish_replay(X.readings(spark, d), ["ts", "event_id"], "s7", chunks=4, drop_tail=False)
-    stream = JB.read_feed(spark, path, max_files_per_trigger=1)
-    agg = SA.six_hour_totals_updates(stream, value_col="value", key="building_id", ts_col="ts")
-    written, _ = JB.run_update(agg, "s7_sixhour_updates")
+    feed = JB.replay_feed(X.readings(spark, d), ["ts", "event_id"], "s7", chunks=2)
+    totals = lambda **o: window_totals(JB.read_feed(spark, feed.path, **o), SIX_HOURS, "ts", "value", stamped=True)
+    written = JB.run_feed(feed, totals, "s7_sixhour_updates", mode="update").written
     latest = SV.latest_per_key(written, ["building_id", "window_start"], ["batch_id"])
     return latest.select("window_start", "window_end", "building_id", "total_energy_6h")
 
@@ -115,7 +117,7 @@ def s8(spark, d):
     src = scratch_dir(spark, "s8-daily")
     X.daily_pred(spark, d).write.mode("append").parquet(src)
     tailed = tail_parquet(spark, src)
-    out, _ = JB.run_append(keyed_json(tailed, "site_id"), "s8_republish")
+    out = JB.run_append(keyed_json(tailed, "site_id"), "s8_republish")
     back = out.select("key", F.from_json("value", "site_id int, total_energy_day double, day_start string").alias("v"))
     return back.select(
         "key", F.col("v.site_id").alias("site_id"), F.round("v.total_energy_day", 3).alias("total_energy_day"), cal.day_key("v.day_start").cast("date").alias("day")
@@ -134,11 +136,11 @@ def st1(spark, d):
 
 @query("st3_six_hour_two_clock", sql(_SIX_N_SQL, "readings"), headline=True)
 def st3(spark, d):
-    path, _ = JB.publish_replay(X.readings(spark, d), ["ts", "event_id"], "st3", chunks=4, heartbeat=True, drop_tail=False)
+    feed = JB.replay_feed(X.readings(spark, d), ["ts", "event_id"], "st3", chunks=2, heartbeat=True)
     # heartbeat rows must reach the watermark node, so no key filter here (it would be
     # pushed below the watermark); their keyless partials are dropped in the roll-up
-    stream = JB.read_feed(spark, path, max_files_per_trigger=1)
-    parts, _ = JB.run_append(SA.tick_partials(stream, "building_id", "value", "ts"), "st3_sixhour_partials")
+    ticks = lambda **o: SA.tick_partials(JB.read_feed(spark, feed.path, **o), "building_id", "value", "ts")
+    parts = JB.run_feed(feed, ticks, "st3_sixhour_partials").written
     return SA.roll_up(parts, "building_id").select("building_id", "window_start", "window_end", "total_energy_6h", "n_readings")
 
 
@@ -151,11 +153,14 @@ def st3(spark, d):
     ),
 )
 def st4(spark, d):
-    path, _ = JB.publish_replay(X.readings(spark, d), ["ts", "event_id"], "st4", chunks=4, heartbeat=True, drop_tail=False)
-    stream = JB.read_feed(spark, path, max_files_per_trigger=1)
-    sites = bounded_broadcast(R.buildings(spark, d).select("building_id", "site_id"), 2_000_000)
-    scored = stream.join(sites, "building_id", "left")  # left: heartbeat rows pass through
-    parts, _ = JB.run_append(SA.tick_partials(scored, "site_id", "value", "ts", with_block=False), "st4_daily_partials")
+    feed = JB.replay_feed(X.readings(spark, d), ["ts", "event_id"], "st4", chunks=2, heartbeat=True)
+    sites = hand_off(R.buildings(spark, d).select("building_id", "site_id"), "st4-sites")
+
+    def ticks(**o):
+        scored = JB.read_feed(spark, feed.path, **o).join(sites, "building_id", "left")  # left: heartbeat rows pass through
+        return SA.tick_partials(scored, "site_id", "value", "ts", with_block=False)
+
+    parts = JB.run_feed(feed, ticks, "st4_daily_partials").written
     return SA.roll_up(parts, "site_id", with_block=False).select("site_id", "day_start", "day_end", "total_energy_day", "n_readings")
 
 
@@ -166,20 +171,27 @@ def st9(spark, d):
     return latest.select("building_id", "window_start", "window_end", "total_energy_6h")
 
 
-@query("st10_late_data_drop")
+_HALF_SQL = "(SELECT CAST(ceil((max(batch_id) + 1) / 2.0) AS BIGINT) FROM fed)"
+
+
+@query(
+    "st10_late_data_drop",
+    sql(
+        "SELECT count(*) AS rows_aggregated, count(*) + count(*) FILTER (WHERE batch_id < " + _HALF_SQL + ") AS rows_sent, "
+        "count(*) FILTER (WHERE batch_id < " + _HALF_SQL + ") AS rows_dropped_late FROM fed",
+        "readings",
+        extra={"fed": "SELECT (row_number() OVER (ORDER BY ts, event_id) - 1) // 120 AS batch_id FROM readings"},
+    ),
+)
 def st10(spark, d):
-    """A transport replay re-sends the second chunk after the fourth: its rows are
-    behind the watermark and are dropped (counted), the rest is aggregated."""
-    readings = X.readings(spark, d)
-    path, stamped = JB.publish_replay(readings, ["ts", "event_id"], "st10", chunks=4, drop_tail=False)
-    hi = stamped.agg(F.max("batch_id")).first()[0]
-    step = (hi + 1 + 3) // 4
-    stamped.where((F.col("batch_id") >= step) & (F.col("batch_id") < 2 * step)).coalesce(1).write.mode("append").parquet(path)
-    stream = JB.read_feed(spark, path, max_files_per_trigger=1)
-    parts, q = JB.run_append(SA.tick_partials(stream, "building_id", "value", "ts"), "st10_partials")
-    return parts.agg(F.sum("n").alias("rows_aggregated")).select(
-        "rows_aggregated", F.lit(JB.dropped_by_watermark(q)).cast("bigint").alias("rows_dropped_late")
-    )
+    """A transport replay re-sends the first half after the second: its rows are
+    behind the watermark and are dropped, every row of the first sending is aggregated."""
+    feed = JB.replay_feed(X.readings(spark, d), ["ts", "event_id"], "st10", chunks=2, heartbeat=True, resend_first=True)
+    ticks = lambda **o: SA.tick_partials(JB.read_feed(spark, feed.path, **o), "building_id", "value", "ts")
+    parts = JB.run_feed(feed, ticks, "st10_partials").written
+    kept = parts.where("date is not null").agg(F.sum("n").alias("rows_aggregated"))
+    sent = spark.read.parquet(feed.path).where("event_id is not null").agg(F.count(F.lit(1)).alias("rows_sent")).scalar()
+    return kept.withColumn("rows_sent", sent).withColumn("rows_dropped_late", F.col("rows_sent") - F.col("rows_aggregated"))
 
 
 @query(
@@ -203,19 +215,16 @@ def st11(spark, d):
 @query(
     "st12_season_lookup",
     sql(
-        "SELECT w.site_id, w.timestamp, coalesce(l.season_flag, " + X.FALLBACK_SQL.format(m="month(w.timestamp)") + ") AS season_flag FROM wclean w LEFT JOIN ("
-        "SELECT site_id, month, CASE WHEN dense_rank() OVER (PARTITION BY site_id ORDER BY avg_temp DESC) <= 3 OR dense_rank() OVER (PARTITION BY site_id ORDER BY avg_temp ASC) <= 3 "
-        "THEN 'peak' ELSE 'off-peak' END AS season_flag FROM (SELECT site_id, month(timestamp) AS month, avg(air_temperature) AS avg_temp FROM wclean "
-        "WHERE timestamp < TIMESTAMP '2000-01-01' GROUP BY 1, 2) WHERE avg_temp IS NOT NULL) l ON w.site_id = l.site_id AND month(w.timestamp) = l.month",
-        "wclean",
+        "SELECT w.site_id, w.timestamp, coalesce(l.season_flag, " + X.FALLBACK_SQL.format(m="month(w.timestamp)") + ") AS season_flag "
+        "FROM wclean w LEFT JOIN season_labels l ON w.site_id = l.site_id AND month(w.timestamp) = l.month AND l.site_id <> 0",
+        "wclean", "season_labels",
     ),
 )
 def st12(spark, d):
+    """Labels of every training reading, persisted and read back at inference; site 0
+    counts as new (no labels), so its readings take the calendar fallback."""
     w = X.wclean(spark, d)
-    # training period labels, persisted as a table in the shared folder, read back at inference
-    table = scratch_dir(spark, "season-labels")
-    month_labels(w.where(F.col("timestamp") < F.lit("2000-01-01").cast("timestamp_ntz"))).write.parquet(table)
-    labels = spark.read.parquet(table)
+    labels = hand_off(month_labels(w).where("site_id <> 0"), "season-labels")
     out = lookup_season(w.withColumn("month", F.month("timestamp")), labels, "month")
     return out.select("site_id", "timestamp", "season_flag")
 
@@ -252,43 +261,70 @@ def st14(spark, d):
     _daily_records(spark, d).write.parquet(src)
     decoded = SV.decode_daily_record(tail_parquet(spark, src))
     live = SV.live_shortfall(decoded, X.metered_site_day(spark, d), tracked_sites=R.buildings(spark, d))
-    out, _ = JB.run_append(live, "st14_shortfall")
+    out = JB.run_append(live, "st14_shortfall")
     return out.select("site_id", "day", "predicted_energy", "metered_energy", dr("shortfall", 3), "outcome")
 
 
+def _mixed_records(spark, d):
+    """Daily records of which some cannot be used: by site number, junk text, a missing
+    total, a total that is no number, or a site that is not tracked."""
+    kind = F.pmod(F.col("key").cast("int"), F.lit(6))
+    untracked = F.regexp_replace("value", r'"(site_?[iI][dD])":"\d+"', '"$1":"9999"')
+    bare = F.to_json(F.create_map(F.lit("site_id"), F.col("key")))
+    word = F.to_json(F.create_map(F.lit("site_id"), F.col("key"), F.lit("sum_day"), F.lit("much")))
+    value = F.when(kind == 1, F.lit("not json")).when(kind == 2, bare).when(kind == 3, word).when(kind == 4, untracked).otherwise(F.col("value"))
+    return _daily_records(spark, d).withColumn("value", value)
+
+
+_MET = "EXISTS (SELECT 1 FROM metered_site_day m WHERE m.site_id = p.site_id AND m.day = CAST(p.day_start AS DATE))"
+
+
 @query(
     "a25_outcome_counts",
-    sql("SELECT 'matched' AS outcome, count(*) AS count FROM daily_pred UNION ALL SELECT 'msgs', count(*) FROM daily_pred", "daily_pred"),
+    sql(
+        "SELECT outcome, count(*) AS count FROM (SELECT CASE p.site_id % 6 WHEN 1 THEN 'decode_err' WHEN 2 THEN 'skipped_no_fields' WHEN 3 THEN 'skipped_cast' "
+        "WHEN 4 THEN 'missed_site' ELSE CASE WHEN " + _MET + " THEN 'matched' ELSE 'missed_no_meter' END END AS outcome FROM daily_pred p) GROUP BY 1 "
+        "UNION ALL SELECT 'msgs', count(*) FROM daily_pred",
+        "daily_pred", "metered_site_day",
+    ),
 )
 def a25(spark, d):
-    decoded = SV.decode_daily_record(_daily_records(spark, d))
-    live = SV.live_shortfall(decoded, X.metered_site_day(spark, d), tracked_sites=R.buildings(spark, d))
+    decoded = SV.decode_daily_record(_mixed_records(spark, d))
+    live = SV.live_shortfall(decoded, X.metered_site_day(spark, d), tracked_sites=R.buildings(spark, d), zero_when_no_meter=False)
     return SV.outcome_counts(live)
 
 
-@query("st7_score_stream")
+@query(
+    "st7_score_stream",
+    sql(
+        "SELECT w.site_id, b.building_id, w.timestamp, b.building_id IS NOT NULL AS finite, TRUE AS same_as_batch "
+        "FROM wclean w LEFT JOIN buildings b ON w.site_id = b.site_id",
+        "wclean", "buildings",
+    ),
+)
 def st7(spark, d):
     """Fit the boosted pipeline, save it (S12), load it, and score the replayed
-    weather stream fanned out to the buildings of each site (J5 -> ST11 -> ST12 -> ST7 -> ST8)."""
-    base = model_base(X.feature(spark, d), R.buildings(spark, d))
+    weather stream fanned out to the buildings of each site (J5 -> ST11 -> ST12 -> ST7 -> ST8).
+    Every streamed prediction is held against the saved model's batch score of the same row."""
+    base = hand_off(model_base(X.feature(spark, d), R.buildings(spark, d)), "st7-base")
     model_dir = scratch_dir(spark, "best_pipeline")
-    ML.save_model(ML.build_pipeline("gbt").fit(base), model_dir)
+    ML.save_model(ML.pipeline_for("gbt").fit(base), model_dir)
     model = ML.load_model(model_dir)
-    w = X.wclean(spark, d)
-    labels_dir = scratch_dir(spark, "season-labels")
-    month_labels(w).write.parquet(labels_dir)
-    path, _ = JB.publish_replay(w, ["site_id", "timestamp"], "st7")
-    stream = JB.read_feed(spark, path)
-    b = R.buildings(spark, d).select("site_id", "building_id", "primary_use", "square_feet", "floor_count", "year_built")
-    fanned = fan_out_buildings(stream, b).withColumn("ts", F.col("timestamp"))
-    feats = lookup_season(engineer(fanned, "ts"), spark.read.parquet(labels_dir), "month")
-    scored = model.transform(feats)
-    preds = scored.select(
-        "site_id", "building_id", "timestamp", F.col("prediction").alias("predicted_energy"), F.current_timestamp().alias("gen_ts")
-    )
-    out, _ = JB.run_append(preds, "st7_predictions")
-    return out
+    w = hand_off(X.wclean(spark, d), "st7-weather")
+    labels = hand_off(month_labels(w), "season-labels")
+    b = hand_off(R.buildings(spark, d).select("site_id", "building_id", "primary_use", "square_feet", "floor_count", "year_built"), "st7-buildings")
+    feed = JB.replay_feed(w, ["site_id", "timestamp"], "st7")
 
+    def predictions(weather):
+        fanned = fan_out_buildings(weather, b).withColumn("ts", F.col("timestamp"))
+        return prediction_rows(model.transform(lookup_season(engineer(fanned, "ts"), labels, "month")))
+
+    out = JB.run_feed(feed, lambda **o: predictions(JB.read_feed(spark, feed.path, **o)), "st7_predictions").written
+    again = predictions(w).select("site_id", "building_id", "timestamp", F.col("predicted_energy").alias("batch"))
+    both = out.join(again, (out.building_id.eqNullSafe(again.building_id)) & (out.site_id == again.site_id) & (out.timestamp == again.timestamp))
+    near = F.abs(F.col("predicted_energy") - F.col("batch")) <= 1e-9 * F.abs("batch")
+    finite = out.building_id.isNotNull() & out.gen_ts.isNotNull() & ~F.isnan("predicted_energy")
+    return both.select(out.site_id, out.building_id, out.timestamp, finite.alias("finite"), near.alias("same_as_batch"))
 
 
 @query(
@@ -304,31 +340,27 @@ def w4s(spark, d):
     """W4/W5/A26 stream form: per-building bounded state of the newest 60 readings."""
     from ..streaming.state import last_n_totals
 
-    path, _ = JB.publish_replay(X.readings(spark, d), ["ts", "event_id"], "w4s", chunks=4, drop_tail=False)
-    stream = JB.read_feed(spark, path, max_files_per_trigger=1, watermark=None)
-    written, _ = JB.run_update(last_n_totals(stream, "building_id", "value", ["ts", "event_id"], 60), "w4_last_n_state")
+    feed = JB.replay_feed(X.readings(spark, d), ["ts", "event_id"], "w4s", chunks=2)
+    newest = lambda **o: last_n_totals(JB.read_feed(spark, feed.path, watermark=None, **o), "building_id", "value", ["ts", "event_id"], 60)
+    written = JB.run_feed(feed, newest, "w4_last_n_state", mode="update").written
     final = SV.latest_per_key(written, ["building_id"], ["n_seen"])
     return final.select("building_id", "n_seen", "kept_count", F.round("kept_total", 6).alias("kept_total"))
 
 
-@query("st2_watermark_eviction")
+@query("st2_watermark_eviction", sql("SELECT count(*) AS rows_aggregated, TRUE AS evicted, TRUE AS watermark_trails FROM readings", "readings"))
 def st2(spark, d):
-    """ST2: the watermark on the emitted clock bounds the state of the six-hour
-    partials: rows in, micro-batches, peak and final state rows (from progress)."""
-    path, _ = JB.publish_replay(X.readings(spark, d), ["ts", "event_id"], "st2", chunks=4, heartbeat=True, drop_tail=False)
-    stream = JB.read_feed(spark, path, max_files_per_trigger=1)
-    _, q = JB.run_append(SA.tick_partials(stream, "building_id", "value", "ts"), "st2_partials")
-    prog = [p for p in q.recentProgress if p.stateOperators]
-    rows = [
-        (
-            len(prog),
-            int(sum(p.numInputRows for p in prog)),
-            int(max(p.stateOperators[0].numRowsTotal for p in prog)),
-            int(prog[-1].stateOperators[0].numRowsTotal),
-            str(prog[-1].eventTime.get("watermark")),
-        )
-    ]
-    return spark.createDataFrame(rows, "batches int, rows_in bigint, peak_state_rows bigint, final_state_rows bigint, final_watermark string")
+    """ST2: the watermark on the emitted clock bounds the state of the six-hour partials:
+    once it has passed the last reading, only the control records' groups are held, and
+    it trails the newest control record by the declared delay at least."""
+    feed = JB.replay_feed(X.readings(spark, d), ["ts", "event_id"], "st2", chunks=2, heartbeat=True)
+    ticks = lambda **o: SA.tick_partials(JB.read_feed(spark, feed.path, **o), "building_id", "value", "ts")
+    run = JB.run_feed(feed, ticks, "st2_partials")
+    last = feed.stamped.agg(F.max("weather_ts")).first()[0]
+    mark = F.unix_timestamp(F.to_timestamp(F.lit(run.watermark)))
+    trails = (mark > last) & (mark <= last + max(JB.HEARTBEAT_SECONDS) - TICK_SECONDS)
+    return run.written.where("date is not null").agg(F.sum("n").alias("rows_aggregated")).select(
+        "rows_aggregated", F.lit(run.state_rows <= len(JB.HEARTBEAT_SECONDS)).alias("evicted"), trails.alias("watermark_trails")
+    )
 
 
 @query(
@@ -342,11 +374,10 @@ def st2(spark, d):
 def st4u(spark, d):
     """ST4, reference form: 1-day windows on the measured clock, update mode through the
     idempotent foreachBatch sink (S7), latest emission per key (ST9). State is not evicted."""
-    path, _ = JB.publish_replay(X.readings(spark, d), ["ts", "event_id"], "st4u", chunks=4, drop_tail=False)
-    stream = JB.read_feed(spark, path, max_files_per_trigger=1)
-    sites = bounded_broadcast(R.buildings(spark, d).select("building_id", "site_id"), 2_000_000)
-    scored = stream.join(sites, "building_id")
-    written, _ = JB.run_update(SA.daily_totals_updates(scored, value_col="value", key="site_id", ts_col="ts"), "st4_daily_updates")
+    feed = JB.replay_feed(X.readings(spark, d), ["ts", "event_id"], "st4u", chunks=2)
+    sites = hand_off(R.buildings(spark, d).select("building_id", "site_id"), "st4u-sites")
+    daily = lambda **o: window_totals(JB.read_feed(spark, feed.path, **o).join(sites, "building_id"), ONE_DAY, "ts", "value", stamped=True)
+    written = JB.run_feed(feed, daily, "st4_daily_updates", mode="update").written
     latest = SV.latest_per_key(written, ["site_id", "day_start"], ["batch_id"])
     return latest.select("day_start", "day_end", "site_id", "total_energy_day")
 
@@ -358,6 +389,118 @@ def st9s(spark, d):
     src = scratch_dir(spark, "st9-records")
     SV.re_emitted_totals(X.readings(spark, d)).write.parquet(src)
     stream = tail_parquet(spark, src)
-    written, _ = JB.run_update(SA.latest_emission(stream, ["building_id", "window_start"], ["gen_ts", "seq"]), "st9_latest")
+    written = JB.run_update(SA.latest_emission(stream, ["building_id", "window_start"], ["gen_ts", "seq"]), "st9_latest")
     final = SV.latest_per_key(written, ["building_id", "window_start"], ["batch_id"])
     return final.select("building_id", "window_start", "window_end", "total_energy_6h")
+
+
+@query(
+    "w4_last_n_site",
+    sql(
+        "SELECT site_id, count(*) AS kept, round(sum(value), 6) AS kept_total FROM (SELECT b.site_id, r.value, row_number() OVER "
+        "(PARTITION BY b.site_id ORDER BY r.ts DESC, r.event_id DESC) AS rn FROM readings r JOIN buildings b ON r.building_id = b.building_id) WHERE rn <= "
+        f"{HISTORY_LEN_SITE} GROUP BY 1",
+        "readings", "buildings",
+    ),
+)
+def w4site(spark, d):
+    """W4 for sites: the newest 6,000 readings of each site, by salted two-stage top-n."""
+    rows = X.readings(spark, d).join(R.buildings(spark, d).select("building_id", "site_id"), "building_id")
+    kept = last_n_per_key(rows.select("site_id", "ts", "event_id", "value"), ["site_id"], ["ts", "event_id"], HISTORY_LEN_SITE)
+    return kept.groupBy("site_id").agg(F.count(F.lit(1)).alias("kept"), F.round(F.sum("value"), 6).alias("kept_total"))
+
+
+@query("s11_checkpoint_names", "SELECT name, folder, n_rows FROM (VALUES ('daily totals/v1', 'daily_totals_v1'), ('six-hour totals', 'six-hour_totals')) t(name, folder), (SELECT count(*) AS n_rows FROM region)")
+def s11(spark, d):
+    """Each query checkpoints into a folder of its own, named after it, and resumes from it:
+    a second run of the same query over the same files appends nothing."""
+    src = scratch_dir(spark, "s11-src")
+    R.read_table(spark, d, "region").write.parquet(src)
+    rows = []
+    for name in ("daily totals/v1", "six-hour totals"):
+        out, root = scratch_dir(spark, "s11-out"), scratch_dir(spark, "s11-ckpt")
+        for _ in range(2):
+            sinks.run_until_done(sinks.to_parquet_append(tail_parquet(spark, src), out, name, checkpoint_root=root))
+        folder = checkpoint_for(spark, name, root)
+        rows.append((name, folder.rsplit("/", 1)[1] if path_exists(spark, folder) else None, spark.read.parquet(out).count()))
+    return spark.createDataFrame(rows, "name string, folder string, n_rows bigint")
+
+
+@query(
+    "st5_triggers",
+    "SELECT trigger, n_rows FROM (VALUES ('5 seconds'), ('7 seconds'), ('14 seconds'), ('availableNow')) t(trigger), (SELECT count(*) AS n_rows FROM nation)",
+)
+def st5(spark, d):
+    """ST5: the same stream under each cadence writes every row once."""
+    src = scratch_dir(spark, "st5-src")
+    R.read_table(spark, d, "nation").write.parquet(src)
+    rows = []
+    for cadence in (TRIGGER_PREDICTIONS, TRIGGER_SIXHOUR, TRIGGER_DAILY, "availableNow"):
+        out = scratch_dir(spark, "st5-out")
+        q = sinks.to_parquet_append(tail_parquet(spark, src), out, f"st5 {cadence}", trigger=cadence, checkpoint_root=scratch_dir(spark, "st5-ckpt"))
+        if cadence == "availableNow":
+            sinks.run_until_done(q)
+        else:
+            q.processAllAvailable()
+            q.stop()
+        rows.append((cadence, spark.read.parquet(out).count()))
+    return spark.createDataFrame(rows, "trigger string, n_rows bigint")
+
+
+@query("st6_output_modes", sql("SELECT 'append' AS mode, CAST(site_id AS VARCHAR) AS key, count(*) AS n FROM buildings GROUP BY 2 UNION ALL SELECT 'update', CAST(site_id AS VARCHAR), count(*) FROM buildings GROUP BY 2", "buildings"))
+def st6(spark, d):
+    """ST6: an append-mode sink of the rows and an update-mode sink of their running counts agree."""
+    src = scratch_dir(spark, "st6-src")
+    R.buildings(spark, d).select("site_id", "building_id").write.parquet(src)
+    rows = JB.run_append(tail_parquet(spark, src), "st6_append")
+    appended = rows.groupBy(F.col("site_id").cast("string").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    counts = tail_parquet(spark, src).groupBy(F.col("site_id").cast("string").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    updated = SV.latest_per_key(JB.run_update(counts, "st6_update"), ["key"], ["batch_id"]).select("key", "n")
+    return appended.select(F.lit("append").alias("mode"), "key", "n").unionByName(updated.select(F.lit("update").alias("mode"), "key", "n"))
+
+
+@query("st13_stop_all", "SELECT 2 AS stopped, 0 AS still_active, count(*) AS n_rows FROM nation")
+def st13(spark, d):
+    """ST13: every query started here is stopped; what it had written stays."""
+    src, out = scratch_dir(spark, "st13-src"), scratch_dir(spark, "st13-out")
+    R.read_table(spark, d, "nation").write.parquet(src)
+    mine = []
+    for name, path in (("st13 a", out), ("st13 b", scratch_dir(spark, "st13-out"))):
+        mine.append(sinks.to_parquet_append(tail_parquet(spark, src), path, name, trigger="1 second", checkpoint_root=scratch_dir(spark, "st13-ckpt")))
+        mine[-1].processAllAvailable()
+    names = {q.name for q in mine}
+    stopped = names & set(sinks.stop_all(spark))
+    active = sum(q.isActive for q in mine)
+    return spark.createDataFrame([(len(stopped), active, spark.read.parquet(out).count())], "stopped int, still_active int, n_rows bigint")
+
+
+@query(
+    "s12_model_round_trip",
+    sql("SELECT count(*) AS n_rows, TRUE AS same_predictions, 6 AS n_stages FROM feature", "feature"),
+)
+def s12(spark, d):
+    """S12 + M11: a fitted pipeline saved, overwritten and loaded again predicts the same for every row."""
+    base = hand_off(model_base(X.feature(spark, d), R.buildings(spark, d)), "s12-base")
+    model, _, _ = ML.fit_and_score(ML.pipeline_for("rf", numTrees=5), base, base)
+    path = scratch_dir(spark, "s12-model")
+    for _ in range(2):
+        ML.save_model(model, path)
+    loaded = ML.load_model(path)
+    both = loaded.transform(model.transform(base).select("*", F.col("prediction").alias("fitted")).select(*base.columns, "fitted"))
+    return both.agg(
+        F.count(F.lit(1)).alias("n_rows"), (F.count_if(F.col("prediction") != F.col("fitted")) == 0).alias("same_predictions"), F.lit(len(loaded.stages) + 1).alias("n_stages")
+    )
+
+
+@query(
+    "st8_prediction_columns",
+    sql("SELECT count(*) AS n_rows, 'site_id,building_id,timestamp,predicted_energy,gen_ts' AS columns, TRUE AS keyed FROM wclean w LEFT JOIN buildings b ON w.site_id = b.site_id", "wclean", "buildings"),
+)
+def st8(spark, d):
+    """ST8: the published projection of a scored stream (here scored by the rate of the weather's own columns)."""
+    w, b = hand_off(X.wclean(spark, d), "st8-weather"), R.buildings(spark, d).select("site_id", "building_id")
+    feed = JB.replay_feed(w, ["site_id", "timestamp"], "st8")
+    score = F.coalesce(F.col("air_temperature"), F.lit(0.0))
+    build = lambda **o: prediction_rows(fan_out_buildings(JB.read_feed(spark, feed.path, **o), b).withColumn("prediction", score))
+    out = JB.run_feed(feed, build, "st8_predictions").written
+    return out.agg(F.count(F.lit(1)).alias("n_rows"), (F.count_if(F.col("site_id").isNull() | F.col("gen_ts").isNull()) == 0).alias("keyed")).withColumn("columns", F.lit(",".join(out.columns)))

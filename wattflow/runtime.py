@@ -1,4 +1,4 @@
-"""Session-level helpers: shared scratch folders and size-checked broadcasts."""
+"""Session-level helpers: shared scratch folders and hand-off tables."""
 
 from __future__ import annotations
 
@@ -8,24 +8,26 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A side is broadcast only when its row count is proven below this bound.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
 
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and hand-off tables.
 
-    Read from ``spark.checkpoint.dir``; a local default is created only where
-    the session has none (unit tests on one machine).
+    Read from ``spark.checkpoint.dir`` (setting or context). Where the session has
+    none: on a ``local`` master, one machine, a folder of its own; on a cluster the
+    warehouse, and an error if that is a machine's own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="wattflow-ckpt-")
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if re.fullmatch(r"local(\[[^\]]*\])?", master):
+            root = tempfile.mkdtemp(prefix="wattflow-ckpt-")
+        else:
+            root = _join(spark.conf.get("spark.sql.warehouse.dir", "file:"), "_wattflow")
+            if root.startswith(("file:", "/")):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -78,15 +80,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small; else leave it to the planner.
+def hand_off(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
 
-    The count is one cheap job over a dimension-sized input. Beyond the bound the
-    frame is returned unhinted and Spark plans a shuffle join (or AQE converts it
-    at run time when its real size turns out small).
+    What follows re-reads files instead of recomputing ``df``, also after a lost
+    executor, and the planner knows the table's size in bytes: it broadcasts it
+    only below ``spark.sql.autoBroadcastJoinThreshold`` (also in a stream-static
+    join, where adaptive execution does not run).
     """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "wattflow") -> SparkSession:

@@ -28,12 +28,10 @@ def stamp(
     batch_size: int = BATCH_SIZE,
     rows_per_block: int = ROWS_PER_DAY,
     tick_seconds: int = TICK_SECONDS,
-    drop_tail: bool = True,
     cycles: int = 1,
 ) -> DataFrame:
     """batch = idx div batch_size; block = (idx mod batch_size) div rows_per_block;
-    weather_ts = base + tick * batch + block. The final partial batch is never
-    sent (the reference's pointer wraps first), so it is dropped.
+    weather_ts = base + tick * batch + block. Every row is sent: the last batch is short.
 
     ``cycles`` > 1 replays the table again after the end (the wrap-around), each
     pass continuing the batch numbering; rows are repeated with a generator, so
@@ -45,13 +43,8 @@ def stamp(
             "block": F.floor(F.pmod(F.col("idx"), F.lit(batch_size)) / rows_per_block).cast("int"),
         }
     )
-    if drop_tail:
-        n_full = indexed.select((F.floor(F.count(F.lit(1)) / batch_size) * batch_size).alias("m")).scalar()
-        out = out.where(F.col("idx") < n_full)
     if cycles > 1:
-        n_batches = indexed.select(
-            (F.floor(F.count(F.lit(1)) / batch_size) if drop_tail else F.ceil(F.count(F.lit(1)) / batch_size)).alias("b")
-        ).scalar()
+        n_batches = indexed.select(F.ceil(F.count(F.lit(1)) / batch_size).alias("b")).scalar()
         out = out.withColumn("_cycle", F.explode(F.sequence(F.lit(0), F.lit(cycles - 1)))).withColumn(
             "batch_id", F.col("batch_id") + F.col("_cycle") * n_batches
         ).drop("_cycle")
@@ -70,24 +63,19 @@ def payload_frame(stamped: DataFrame) -> DataFrame:
     )
 
 
-def publish_files(frame: DataFrame, path: str, chunks: int = 1, one_file_per_chunk: bool = False) -> None:
-    """S17 (offline transport): write the feed as Parquet, ``chunks`` write jobs in
-    batch order so a file-source reader sees older batches first.
+def publish_files(frame: DataFrame, path: str) -> None:
+    """S17 (offline transport): append the feed to a Parquet folder, one write task per partition."""
+    frame.write.mode("append").parquet(path)
 
-    ``one_file_per_chunk`` makes each chunk a single file (a transport batch), so
-    ``maxFilesPerTrigger=1`` replays chunk by chunk in order.
-    """
-    if chunks <= 1:
-        (frame.coalesce(1) if one_file_per_chunk else frame).write.mode("append").parquet(path)
-        return
+
+def batch_ranges(frame: DataFrame, chunks: int) -> list[tuple[int, int]]:
+    """``chunks`` consecutive ranges [from, to) of batch numbers that cover the feed (one-row read)."""
     bounds = frame.select(F.min("batch_id").alias("lo"), F.max("batch_id").alias("hi")).first()
     if bounds["lo"] is None:
-        return
-    lo, hi = int(bounds["lo"]), int(bounds["hi"])
-    step = max((hi - lo + 1 + chunks - 1) // chunks, 1)
-    for start in range(lo, hi + 1, step):
-        part = frame.where((F.col("batch_id") >= start) & (F.col("batch_id") < start + step))
-        (part.coalesce(1) if one_file_per_chunk else part).write.mode("append").parquet(path)
+        return []
+    lo, hi = int(bounds["lo"]), int(bounds["hi"]) + 1
+    step = max(-(-(hi - lo) // chunks), 1)
+    return [(at, min(at + step, hi)) for at in range(lo, hi, step)]
 
 
 def publish_kafka(frame: DataFrame, bootstrap: str, topic: str) -> None:

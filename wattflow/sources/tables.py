@@ -40,7 +40,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def meters(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     return ev.select(
-        F.col("user_id").cast("int").alias("building_id"),
+        F.col("user_id").cast("bigint").alias("building_id"),
         F.col("event_type").alias("meter_type"),
         F.window("ts", "1 hour").start.alias("ts"),
         F.col("value"),
@@ -48,7 +48,7 @@ def meters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 METERS_SQL = (
-    "SELECT CAST(user_id AS INTEGER) AS building_id, event_type AS meter_type, "
+    "SELECT CAST(user_id AS BIGINT) AS building_id, event_type AS meter_type, "
     "date_trunc('hour', ts) AS ts, value FROM events"
 )
 
@@ -57,7 +57,7 @@ def meters_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_shipdate", "l_extendedprice")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return li.join(od, li.l_orderkey == od.o_orderkey).select(
-        F.col("o_custkey").cast("int").alias("building_id"),
+        F.col("o_custkey").cast("bigint").alias("building_id"),
         F.col("l_returnflag").alias("meter_type"),
         F.col("l_shipdate").alias("ts"),
         F.col("l_extendedprice").alias("value"),
@@ -65,7 +65,7 @@ def meters_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 METERS_DAILY_SQL = (
-    "SELECT CAST(o_custkey AS INTEGER) AS building_id, l_returnflag AS meter_type, "
+    "SELECT CAST(o_custkey AS BIGINT) AS building_id, l_returnflag AS meter_type, "
     "l_shipdate AS ts, l_extendedprice AS value "
     "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
 )
@@ -76,7 +76,7 @@ def buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     return c.select(
         F.col("c_nationkey").cast("int").alias("site_id"),
-        F.col("c_custkey").cast("int").alias("building_id"),
+        F.col("c_custkey").cast("bigint").alias("building_id"),
         F.col("c_mktsegment").alias("primary_use"),
         F.floor(F.abs(F.col("c_acctbal")) * 10).cast("int").alias("square_feet"),
         (F.col("c_custkey") % 12 + 1).cast("int").alias("floor_count"),
@@ -85,7 +85,7 @@ def buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BUILDINGS_SQL = (
-    "SELECT CAST(c_nationkey AS INTEGER) AS site_id, CAST(c_custkey AS INTEGER) AS building_id, "
+    "SELECT CAST(c_nationkey AS INTEGER) AS site_id, CAST(c_custkey AS BIGINT) AS building_id, "
     "c_mktsegment AS primary_use, CAST(floor(abs(c_acctbal) * 10) AS INTEGER) AS square_feet, "
     "CAST(c_custkey % 12 + 1 AS INTEGER) AS floor_count, "
     "CAST(c_custkey % 120 + 1900 AS INTEGER) AS year_built FROM customer"

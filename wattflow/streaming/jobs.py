@@ -1,62 +1,77 @@
 """End-to-end streaming jobs over a replayed feed (offline transport = Parquet files).
 
-Each job: stamp a table as a timed feed (S14-S17), read it as a stream, run the
-stateful operator, write through a durable sink into the shared folder, and
-return the written result as a batch DataFrame. Output and checkpoint folders
-are fresh per run, so a job is restartable from its own checkpoint.
+Each job stamps a table as a timed feed (S14-S17) and publishes it piece by
+piece. After each piece the query is started from its checkpoint, takes all
+that is new as one micro-batch and stops (``availableNow``), so every piece is
+written and read by as many tasks as it has partitions, and a restart from the
+checkpoint is part of every run. Output and checkpoint folders are fresh per job.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contextlib import contextmanager
-
-from ..contract import SHUFFLE_PARTITIONS_STREAMING, WATERMARK_DELAY
+from ..contract import WATERMARK_DELAY
 from ..runtime import scratch_dir
 from ..sources.files import tail_parquet
-from ..sources.replay import publish_files, replay_order, stamp
+from ..sources.replay import batch_ranges, publish_files, replay_order, stamp
 from . import sinks
 
 BASE_EPOCH = 1_700_000_000
+HEARTBEAT_SECONDS = (3600, 3601)
+
+
+@dataclass
+class Feed:
+    """A stamped table and the folder it is published to, piece by piece."""
+
+    path: str
+    stamped: DataFrame
+    chunks: int = 1
+    heartbeat: bool = False
+    resend_first: bool = False
+
+    def pieces(self) -> Iterator[dict]:
+        """Publish the next piece, then yield reader options for the run that takes it.
+
+        With ``resend_first`` the first piece is sent once more at the end (a
+        transport replay, by then behind the watermark). With ``heartbeat`` two
+        control records (no key, stamped an hour after the last reading) close the
+        feed: the first moves the watermark, the batch of the second emits and
+        evicts every older tick, so nothing stays unflushed.
+        """
+        ranges = batch_ranges(self.stamped, self.chunks)
+        for lo, hi in ranges + (ranges[:1] if self.resend_first else []):
+            part = self.stamped if len(ranges) == 1 else self.stamped.where((F.col("batch_id") >= lo) & (F.col("batch_id") < hi))
+            publish_files(part, self.path)
+            yield {}
+        if self.heartbeat and ranges:
+            last = self.stamped.agg(F.max("weather_ts")).first()[0]
+            spark = self.stamped.sparkSession
+            for lag in HEARTBEAT_SECONDS:
+                values = [
+                    (F.lit(last + lag) if f.name == "weather_ts" else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.stamped.schema.fields
+                ]
+                publish_files(spark.range(1).select(*values), self.path)
+            yield {"max_files_per_trigger": 1}  # one batch for each control record
 
 
-def publish_replay(
+def replay_feed(
     df: DataFrame,
     order: Sequence[str | Column],
     name: str,
     chunks: int = 1,
     heartbeat: bool = False,
+    resend_first: bool = False,
     base_epoch: int = BASE_EPOCH,
-    drop_tail: bool = True,
-) -> tuple[str, DataFrame]:
-    """Stamp ``df`` in ``order`` and publish it as Parquet chunks; returns (path, stamped).
-
-    With ``heartbeat`` a last control record (no key, stamped one hour after the
-    final reading) is published so the watermark can pass the newest tick and
-    append-mode aggregates flush it; consumers drop it after the watermark.
-    """
-    spark = df.sparkSession
-    path = scratch_dir(spark, f"{name}-feed")
-    stamped = stamp(replay_order(df, order), base_epoch, drop_tail=drop_tail)
-    publish_files(stamped, path, chunks, one_file_per_chunk=chunks > 1)
-    if heartbeat:
-        # two control records in consecutive files: the first moves the watermark,
-        # the batch of the second runs with it and emits/evicts every older tick
-        # (an availableNow run does not add a trailing no-data batch by itself)
-        last = stamped.agg(F.max("weather_ts")).first()[0]  # one scan for both records
-        for lag in (3600, 3601):
-            marker = spark.range(1).select(
-                *[
-                    (F.lit(last + lag).cast(f.dataType) if f.name == "weather_ts" else F.lit(None).cast(f.dataType)).alias(f.name)
-                    for f in stamped.schema.fields
-                ]
-            )
-            marker.write.mode("append").parquet(path)
-    return path, stamped
+) -> Feed:
+    """Stamp ``df`` in ``order``; nothing is published yet."""
+    return Feed(scratch_dir(df.sparkSession, f"{name}-feed"), stamp(replay_order(df, order), base_epoch), chunks, heartbeat, resend_first)
 
 
 def read_feed(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, watermark: str | None = WATERMARK_DELAY) -> DataFrame:
@@ -73,12 +88,12 @@ STATE_PARTITIONS_CONF = "spark.wattflow.statePartitions"
 def state_partitions(spark: SparkSession, n: int | None = None):
     """Shuffle/state partitions of a stateful query, fixed when it first starts.
 
-    Taken from ``n``, else ``spark.wattflow.statePartitions``, else the
-    reference's streaming value; on a cluster size it to the state volume.
-    Only the starting query sees it; the session setting is restored.
+    Taken from ``n``, else ``spark.wattflow.statePartitions``, else the session's
+    ``spark.sql.shuffle.partitions``. Only the starting query sees it; the session
+    setting is restored.
     """
-    n = n or int(spark.conf.get(STATE_PARTITIONS_CONF, None) or SHUFFLE_PARTITIONS_STREAMING)
     old = spark.conf.get("spark.sql.shuffle.partitions")
+    n = n or int(spark.conf.get(STATE_PARTITIONS_CONF, None) or old)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     try:
         yield n
@@ -86,39 +101,55 @@ def state_partitions(spark: SparkSession, n: int | None = None):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-def run_append(
-    stream: DataFrame, name: str, partition_by: list[str] | None = None, timeout_s: float = 900.0, partitions: int | None = None
-) -> tuple[DataFrame, object]:
-    """Run an append-mode stream into a fresh Parquet folder; return (written rows, query)."""
-    spark = stream.sparkSession
-    out = scratch_dir(spark, f"{name}-out")
-    ckpt = scratch_dir(spark, f"{name}-ckpt")
-    with state_partitions(spark, partitions):
-        q = sinks.to_parquet_append(stream, out, name, trigger="availableNow", checkpoint_root=ckpt, partition_by=partition_by)
-    sinks.run_until_done(q, timeout_s)
-    return spark.read.parquet(out), q
-
-
-def run_update(stream: DataFrame, name: str, timeout_s: float = 900.0, partitions: int | None = None) -> tuple[DataFrame, object]:
-    """Run an update-mode aggregate through the idempotent ``foreachBatch`` sink."""
-    spark = stream.sparkSession
-    out = scratch_dir(spark, f"{name}-out")
-    ckpt = scratch_dir(spark, f"{name}-ckpt")
-    with state_partitions(spark, partitions):
-        q = sinks.to_parquet_update(stream, out, name, trigger="availableNow", checkpoint_root=ckpt)
-    sinks.run_until_done(q, timeout_s)
-    return spark.read.parquet(out), q
+@dataclass
+class Run:
+    """What a job wrote, and the last state size and watermark its runs reported."""
 
+    written: DataFrame
+    state_rows: int | None = None
+    watermark: str | None = None
+    names: list[str] = field(default_factory=list)
 
-def dropped_by_watermark(query) -> int:
-    """ST10: late rows dropped by the state operator, summed over recent progress.
 
-    Counted where they reach the state store, i.e. after map-side partial
-    aggregation (one row per group and task, not per input reading).
+def run_feed(
+    feed: Feed | None,
+    build: Callable[..., DataFrame],
+    name: str,
+    mode: str = "append",
+    partitions: int | None = None,
+    timeout_s: float | None = None,
+) -> Run:
+    """Run the stream ``build(**reader options)`` once per published piece into one Parquet folder.
+
+    ``mode`` append uses the native Parquet sink, update the idempotent
+    ``foreachBatch`` sink. Without a feed the source is taken as it stands, in one run.
     """
-    total = 0
-    for p in query.recentProgress:
-        for op in p.stateOperators or []:
-            total += int(getattr(op, "numRowsDroppedByWatermark", 0) or 0)
-    return total
-
+    out = ckpt = None
+    run = Run(written=None)
+    for options in feed.pieces() if feed is not None else [{}]:
+        stream = build(**options)
+        spark = stream.sparkSession
+        out = out or scratch_dir(spark, f"{name}-out")
+        ckpt = ckpt or scratch_dir(spark, f"{name}-ckpt")
+        sink = sinks.to_parquet_append if mode == "append" else sinks.to_parquet_update
+        with state_partitions(spark, partitions):
+            q = sink(stream, out, name, trigger="availableNow", checkpoint_root=ckpt)
+        sinks.run_until_done(q, timeout_s)
+        last = q.lastProgress
+        if last is not None and last.stateOperators:
+            run.state_rows = int(last.stateOperators[0].numRowsTotal)
+            run.watermark = last.eventTime.get("watermark")
+        run.names.append(q.name)
+    if out is not None:
+        run.written = spark.read.parquet(out)
+    return run
+
+
+def run_append(stream: DataFrame, name: str) -> DataFrame:
+    """Run an append-mode stream over what its source holds; the written rows."""
+    return run_feed(None, lambda: stream, name).written
+
+
+def run_update(stream: DataFrame, name: str) -> DataFrame:
+    """Run an update-mode stream over what its source holds; the written batches."""
+    return run_feed(None, lambda: stream, name, mode="update").written

@@ -83,9 +83,9 @@ def to_memory(df: DataFrame, name: str, output_mode: str = "append", trigger: st
     return _trigger(df.writeStream.format("memory").queryName(name).outputMode(output_mode), trigger).start()
 
 
-def run_until_done(query: StreamingQuery, timeout_s: float = 600.0) -> StreamingQuery:
-    """Wait for an ``availableNow`` query to finish; raise its error if it failed."""
-    finished = query.awaitTermination(timeout_s)
+def run_until_done(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
+    """Wait for an ``availableNow`` query to finish (without limit unless ``timeout_s`` is given); raise its error if it failed."""
+    finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination() or True
     if not finished:
         query.stop()
         raise TimeoutError(f"streaming query {query.name} did not finish in {timeout_s}s")

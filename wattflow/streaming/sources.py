@@ -47,10 +47,3 @@ def weather_stream(raw: DataFrame, value_col: str = "value", watermark: str | No
     parsed = decode_weather(raw, value_col)
     parsed = parsed.where(F.col("event_time").isNotNull())
     return parsed.withWatermark("event_time", watermark) if watermark else parsed
-
-
-def stamped_stream(raw: DataFrame, ts_col: str = "timestamp", stamp_col: str = "weather_ts", watermark: str = WATERMARK_DELAY) -> DataFrame:
-    """ST1 + ST2 for already-typed replay rows: ``event_time`` from the stamp, watermarked."""
-    return raw.withColumn("event_time", F.timestamp_seconds(F.col(stamp_col).cast("bigint"))).withWatermark(
-        "event_time", watermark
-    )

@@ -26,31 +26,30 @@ def last_n_totals(
 ) -> DataFrame:
     """Update-mode rows ``(key, n_seen, kept_count, kept_total)`` per touched key.
 
-    Within a micro-batch new rows are ordered by ``order_cols``; across batches
-    arrival order is batch order (as a consumer sees a topic).
+    The kept values are the newest ``n`` by ``order_cols`` over all rows seen so
+    far: they are held with their order columns and merged with each Arrow chunk
+    of the group, so neither the chunks' nor the batches' order matters and a
+    task holds one chunk and ``n`` rows of a key at a time.
     """
-    key_type = stream.schema[key].dataType.simpleString()
-    out_schema = f"{key} {key_type}, n_seen long, kept_count int, kept_total double"
-    state_schema = "n_seen long, kept array<double>"
     order = list(order_cols)
+    fields = [*order, *([value_col] if value_col not in order else [])]
+    kinds = {c: stream.schema[c].dataType for c in [key, *fields]}
+    kept_schema = ", ".join(f"`{c}`: {'double' if c == value_col and c not in order else kinds[c].simpleString()}" for c in fields)
+    state_schema = f"n_seen long, kept array<struct<{kept_schema}>>"
+    out_schema = f"{key} {kinds[key].simpleString()}, n_seen long, kept_count int, kept_total double"
 
     def update(keys, batches, state):
-        if state.exists:
-            n_seen, kept = state.get
-            kept = list(kept)
-        else:
-            n_seen, kept = 0, []
+        n_seen, rows = state.get if state.exists else (0, [])
+        kept = pd.DataFrame([tuple(r) for r in rows], columns=fields)
         for pdf in batches:
-            pdf = pdf.sort_values(order, kind="mergesort")
-            vals = pdf[value_col].astype("float64").tolist()
-            n_seen += len(vals)
-            kept = (kept + vals)[-n:]
-        state.update((int(n_seen), kept))
-        yield pd.DataFrame(
-            {key: [keys[0]], "n_seen": [int(n_seen)], "kept_count": [len(kept)], "kept_total": [float(sum(kept))]}
-        )
-
-    cols = [key, value_col, *[c for c in order if c not in (key, value_col)]]
-    return stream.select(*cols).groupBy(key).applyInPandasWithState(
+            n_seen += len(pdf)
+            new = pdf[fields].astype({value_col: "float64"})
+            both = new if kept.empty else pd.concat([kept.astype(new.dtypes.to_dict()), new], ignore_index=True)
+            kept = both.sort_values(order, kind="mergesort").tail(n)
+        state.update((int(n_seen), list(kept.itertuples(index=False, name=None))))
+        total = float(kept[value_col].sum()) if len(kept) else 0.0
+        yield pd.DataFrame({key: [keys[0]], "n_seen": [int(n_seen)], "kept_count": [len(kept)], "kept_total": [total]})
+
+    return stream.select(key, *[c for c in fields if c != key]).groupBy(key).applyInPandasWithState(
         update, out_schema, state_schema, "update", GroupStateTimeout.NoTimeout
     )
