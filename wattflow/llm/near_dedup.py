@@ -224,7 +224,9 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _links(rows: DataFrame, name: str) -> DataFrame:
     """Confirmed links of ``part, did, text``; the rows of a part are few by construction."""
-    dealt = rows.repartition("part").sortWithinPartitions("part")
+    # a fixed number of partitions: the work is in comparing, not in bytes, so they must not be merged by size
+    n = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(n, "part").sortWithinPartitions("part")
     return stored(dealt.mapInArrow(_confirm, "a long, b long"), name)
 
 
