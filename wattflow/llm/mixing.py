@@ -20,7 +20,7 @@ an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import keyed_join, stored, text_key
@@ -58,6 +58,12 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     return run.withColumn("target", F.when(F.col("is_capped"), F.col("cap")).otherwise(level * F.col("weight"))).select("source", "source_size", "target")
 
 
+def drawn(did: str, text: str, seed: int) -> Column:
+    """40 random bits of a document: from the MD5 of seed, id and text, the same in every run and engine."""
+    name = F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(did).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text), F.lit(""))))
+    return F.conv(F.substring(F.md5(name), 1, 10), 16, 10).cast("long")
+
+
 def mix(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED, **shares
 ) -> DataFrame:
@@ -66,7 +72,7 @@ def mix(
     sized = stored(
         plain.select(
             "did", "source", text_key("source").alias("skey"), text_key("source", "text").alias("rid"),
-            F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"),
+            F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"), drawn("did", "text", seed).alias("draw"),
         ),
         "sizes",
     )
@@ -75,7 +81,7 @@ def mix(
     owed = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rows = keyed_join(sized, plan.drop("source"), ["skey"]).withColumn("owed", owed)
     rows = rows.withColumn("whole", F.floor("owed").cast("long")).withColumn("p", F.col("owed") - F.col("whole"))
-    u = (F.pmod(F.xxhash64("did", "rid", F.lit(seed)), F.lit(1 << 40)) + F.lit(0.5)) / F.lit(float(1 << 40))
+    u = (F.col("draw") + F.lit(0.5)) / F.lit(float(1 << 40))
     rows = rows.withColumn("rank", F.try_divide(u * (1 - F.col("p")), (1 - u) * F.col("p")))
     # rank / (1 + rank) grows with the rank and lies in (0, 1)
     rows = rows.withColumn("cell", F.when(F.col("p") > 0, F.floor(F.col("rank") / (1 + F.col("rank")) * BUCKETS).cast("int")))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, html_extract, line_dedup, mixing, near_dedup, packing, quality, substring_dedup, url_filter, warc
+from . import fingerprints, html_extract, line_dedup, mixing, near_dedup, oracle, packing, quality, substring_dedup, url_filter, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -33,13 +33,13 @@ def op2(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
-@_query("op3_mixing")
+@_query("op3_mixing", oracle.MIXING)
 def op3(spark, sf_dir):
     out = mixing.mix(_table(spark, sf_dir, "documents"))
     return out.select(F.col("did").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source")
 
 
-@_query("op4_line_dedup")
+@_query("op4_line_dedup", oracle.LINE_DEDUP)
 def op4(spark, sf_dir):
     """Every document with its text after the drop and the number of lines dropped."""
     out = line_dedup.drop_boilerplate(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -53,25 +53,25 @@ def op7(spark, sf_dir):
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"), labels)
 
 
-@_query("op8_warc")
+@_query("op8_warc", oracle.WARC)
 def op8(spark, sf_dir):
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
-@_query("op9_near_dedup")
+@_query("op9_near_dedup", oracle.NEAR)
 def op9(spark, sf_dir):
     out = near_dedup.classes(_table(spark, sf_dir, "documents"))
     return out.select(F.col("did").alias("doc_id"), "n_shingles", "component_id", F.coalesce(F.col("did") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-@_query("op10_quality")
+@_query("op10_quality", oracle.QUALITY)
 def op10(spark, sf_dir):
     out = quality.judge(_table(spark, sf_dir, "documents"))
     cols = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_line_words"]
     return out.select(F.col("did").alias("doc_id"), *cols)
 
 
-@_query("op6_substring_dedup")
+@_query("op6_substring_dedup", oracle.SUBSTRINGS)
 def op6(spark, sf_dir):
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), texts=False).drop("kept_text")
 
