@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,23 +29,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import stored, text_key
-from .textops import Flat, slices
+from .textops import Flat, slices, span_hash
 
 CAPACITY, END_ID = 4096, 2
 VOCABULARY = "word_bpe_49k.json"
 RANK_ROWS = 50_000  # rows that one ranking group holds on average
-CACHE_WORDS, CACHE_BYTES = 1_000_000, 48  # distinct words and pieces whose ids a task keeps; longer pieces are not kept
+CACHE_PIECES = 1_000_000  # distinct pieces whose ids a task keeps
 
 
 class WordTokenizer:
-    """Ids of whole texts, each distinct word encoded once.
-
-    The vocabulary's pre-tokenizer drops white space and no rule of it looks
-    across it, so a text's ids are those of its words in order. A word of Latin
-    letters, digits and ASCII marks is cut into the pre-tokenizer's pieces here and
-    each distinct piece goes to the BPE model; any other word goes through the whole
-    tokenizer. Texts that hold a special token's opening mark are encoded whole, as
-    such tokens are found first. Words are known by 64-bit hashes of their bytes.
+    """Ids of whole texts, each distinct piece of a word encoded once.
+
+    The vocabulary's pre-tokenizer drops white space, no rule of it looks across
+    it, and it cuts a word where letters, single digits and other marks meet. Words
+    of Latin-1 letters, digits and ASCII marks are folded and cut here, a batch of
+    texts at a time, and each distinct piece goes to the BPE model once; a word with
+    an apostrophe or any other character is encoded by itself, by the whole
+    tokenizer if need be. Texts that hold a special token's opening mark are encoded
+    whole, as such tokens are found first. Pieces are known by 64-bit hashes.
     """
 
     def __init__(self, path: str):
@@ -52,69 +54,89 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.pieces: dict[str, list[int]] = {}
         self._forget()
 
     def _forget(self) -> None:
         self.places: dict[int, int] = {}
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
-        self.starts = np.zeros(1 << 16, dtype=np.int64)  # of word number i; its ids end where the next word's start
+        self.starts = np.zeros(1 << 16, dtype=np.int64)  # of piece number i; its ids end where the next one's start
         self.used = 0
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _piece(self, folded: bytes) -> list[int]:
+        text = folded.decode("ascii") if folded.isascii() else folded.decode("latin-1").translate(BYTE_LETTERS)
+        return [t.id for t in self.model.tokenize(text)]
+
     def _word(self, raw: bytes) -> list[int]:
         word = raw.decode("utf-8", "surrogatepass")
         if not PLAIN.fullmatch(word):
             return self._whole(word)
-        out: list[int] = []
-        for piece in PIECES.findall(word.lower()):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_LETTERS)
-                ids = [t.id for t in self.model.tokenize(mapped)]
-                if len(piece) <= CACHE_BYTES:
-                    self.pieces[piece] = ids
-            out += ids
-        return out
-
-    def _learn(self, hashes: list[int], words: list[bytes]) -> None:
-        if len(self.pieces) > CACHE_WORDS:
-            self.pieces.clear()
-        found = [self._word(w) for w in words]
+        return [i for piece in PIECES.findall(word.lower()) for i in self._piece(piece.encode())]
+
+    def _learn(self, hashes: list[int], found: list[list[int]]) -> None:
         total = sum(map(len, found))
         first = len(self.places)
         if self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(total, len(self.flat)), np.uint32)])
         if first + len(found) + 1 > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros(max(len(found) + 1, len(self.starts)), np.int64)])
-        self.flat[self.used : self.used + total] = np.fromiter((i for ids in found for i in ids), np.uint32, total)
-        ends = self.used + np.cumsum([len(ids) for ids in found])
-        self.starts[first + 1 : first + 1 + len(found)] = ends
+        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
+        self.starts[first + 1 : first + 1 + len(found)] = self.used + np.cumsum([len(ids) for ids in found])
         self.used += total
         self.places.update(zip(hashes, range(first, first + len(found)), strict=True))
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids of each)."""
         flat = Flat(texts)
-        kinds, lead, which = np.unique(flat.word_hash(), return_index=True, return_inverse=True)
+        raw = flat.raw
+        kind = KIND[raw]
+        pair = np.zeros(len(raw), dtype=bool)  # second byte of a Latin-1 letter
+        pair[1:] = (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0xBF) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)
+        odd = (kind == 4) & ~pair
+        odd[:-1] &= ~((raw[:-1] == 0xC3) & pair[1:])
+        upto = np.concatenate([[0], np.cumsum(odd)])
+        odd_word = upto[flat.word_to] > upto[flat.word_from]
+        kind[kind == 4] = 1
+        folded = FOLD[raw]
+        folded[pair & (raw <= 0x9E)] += 0x20
+        cut = np.zeros(len(raw) + 1, dtype=bool)
+        cut[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+        if odd_word.any():
+            span = np.zeros(len(raw) + 1, np.int8)
+            span[flat.word_from[odd_word]] += 1
+            span[flat.word_to[odd_word]] -= 1
+            inside = np.cumsum(span[:-1]) > 0
+            cut[:-1] &= ~inside
+            folded = np.where(inside, raw, folded)
+        cut[:-1] &= flat.solid
+        cut[flat.word_from] = True
+        start = np.flatnonzero(cut[:-1])
+        word = np.searchsorted(flat.word_from, start, side="right") - 1
+        end = flat.word_to[word]
+        same = word[1:] == word[:-1]
+        end[:-1][same] = start[1:][same]
+        flat.data = folded
+        value = span_hash(flat.byte_prefix(), start, end)
+        value[odd_word[word]] ^= np.uint64(0x5851F42D4C957F2D)
+        kinds, lead, which = np.unique(value, return_index=True, return_inverse=True)
         keys = kinds.tolist()
-        if len(self.places) + len(keys) > CACHE_WORDS:
+        if len(self.places) + len(keys) > CACHE_PIECES:
             self._forget()
         known = self.places
         new = [i for i, k in enumerate(keys) if k not in known]
         if new:
             at = lead[new]
-            raw = flat.raw.tobytes()
-            spans = zip(flat.word_from[at].tolist(), flat.word_to[at].tolist(), strict=True)
-            self._learn([keys[i] for i in new], [raw[a:b] for a, b in spans])
+            text, own = folded.tobytes(), odd_word[word[at]].tolist()
+            spans = zip(start[at].tolist(), end[at].tolist(), own, strict=True)
+            self._learn([keys[i] for i in new], [self._word(text[a:b]) if o else self._piece(text[a:b]) for a, b, o in spans])
         place = np.fromiter((known[k] for k in keys), np.int64, len(keys))[which]
-        start = self.starts[place]
-        count = self.starts[place + 1] - start
+        first = self.starts[place]
+        count = self.starts[place + 1] - first
         upto = np.concatenate([[0], np.cumsum(count)])
-        ids = self.flat[np.repeat(start - upto[:-1], count) + np.arange(upto[-1])]
-        return ids, np.diff(upto[flat.words_of])
+        ids = self.flat[np.repeat(first - upto[:-1], count) + np.arange(upto[-1])]
+        return ids, np.diff(upto[np.searchsorted(start, flat.row_at)])
 
     def ids(self, text: str) -> np.ndarray:
         if "<|" in text:
@@ -122,6 +144,20 @@ class WordTokenizer:
         return self.batch(pa.array([text]))[0]
 
 
+def _kinds() -> np.ndarray:
+    """Of each byte: 0 white space, 1 letter, 2 digit, 3 mark, 4 none of these by itself."""
+    kind = np.full(256, 4, dtype=np.uint8)
+    kind[33:127] = 3
+    kind[[9, 10, 11, 12, 13, 32]] = 0
+    kind[48:58] = 2
+    kind[65:91] = kind[97:123] = 1
+    kind[39] = 4  # an apostrophe may open one of the pre-tokenizer's endings
+    return kind
+
+
+KIND = _kinds()
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[65:91] += 32
 # fixed values of the vocabulary's pre-tokenizer, for lower-case text of the letters in PLAIN
 PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u017f0-9]+")
