@@ -3,8 +3,8 @@
 Values are counted first, one row for each distinct (group, value), with partial
 counts before the shuffle: ties and repeats cost one row. The distinct values are
 cut into cells by bounds taken from a quantile sketch of them; a cell of a group is
-the unit that one task sorts, whatever the group's size. Cell totals (at most CELLS
-rows a group) give each cell the rank it starts at, and a requested rank is looked up
+the unit that one task sorts, whatever the group's size. Cell totals (one row for each
+cell of a group) give each cell the rank it starts at, and a requested rank is looked up
 only in its own cell.
 """
 
@@ -12,31 +12,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import hand_off
 
-CELLS = 256  # cells a group is cut into at most
+CELL_ROWS = 100_000  # distinct values that a cell holds on average
+MOST_CELLS = 1 << 16  # bounds are one driver-side list: beyond this, cells grow instead
 
 
-def ranked_values(counts: DataFrame, weight: str, group_cols: Sequence[str] = (), cells: int = CELLS) -> DataFrame:
+def ranked_values(counts: DataFrame, weight: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """``counts`` (one row for each group and distinct ``_v``) with ``_cell`` and ``_below``: the summed weight of smaller values of the group.
 
-    ``counts`` is read several times: pass a stored table.
+    ``counts`` is read several times: pass a stored table. The result is stored too.
     """
     groups = list(group_cols)
+    cells = int(min(MOST_CELLS, max(1, counts.count() // CELL_ROWS)))
+    # the bounds are fixed once: branches with bounds of their own would disagree about the cells
     probs = [i / cells for i in range(1, cells)]
-    # fixed once: two branches with bounds of their own would disagree about the cells
-    bounds = counts.select(F.percentile_approx("_v", probs, 20 * cells)).first()[0] or []
-    edges = F.array(*[F.lit(b) for b in sorted(set(bounds))]).cast("array<double>")
-    placed = counts.withColumn("_cell", F.size(F.filter(edges, lambda b: b < F.col("_v"))))
+    bounds = counts.select(F.percentile_approx("_v", probs, min(20 * cells, 1_000_000))).first()[0] if probs else None
+    splits = [float("-inf"), *sorted(set(bounds or [])), float("inf")]
+    placed = counts.withColumn("_cell", F.lit(0.0))
+    if len(splits) > 2:
+        placed = Bucketizer(splits=splits, inputCol="_v", outputCol="_cell").transform(counts)
     totals = placed.groupBy(*groups, "_cell").agg(F.sum(weight).alias("_t"))
     earlier = Window.partitionBy(*(groups or [F.lit(0)])).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(*groups, "_cell", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_start"))
     inside = Window.partitionBy(*groups, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     below = placed.withColumn("_in", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
-    return same_groups(below, starts, [*groups, "_cell"]).withColumn("_below", F.col("_start") + F.col("_in")).drop("_start", "_in")
+    ranked = same_groups(below, starts, [*groups, "_cell"]).withColumn("_below", F.col("_start") + F.col("_in")).drop("_start", "_in")
+    return hand_off(ranked, "ranked-values")
 
 
 def same_groups(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
