@@ -81,10 +81,11 @@ def write_archives(pages: DataFrame, path: str | None = None, **columns) -> str:
 
 
 def candidates(spark: SparkSession, path: str) -> DataFrame:
-    """Every cut at a version line, stored: ``file, split, id, n`` (bytes of ``value``), ``head, length, size, value``.
+    """Every cut at a version line, stored: ``file, split, id, n`` (bytes of ``value``), ``head, length, size, own, value``.
 
     ``size`` is the byte length of the whole record that the header declares,
-    separators included; null if the cut is followed by no sound header.
+    separators included; null if the cut is followed by no sound header. ``own`` is
+    the SHA-1 of the payload if the whole record lies in this cut.
     """
     raw = spark.read.option("lineSep", MAGIC).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("id"),
@@ -93,7 +94,14 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     length = F.when(_field("Content-Length").rlike(r"^[0-9]{1,15}$"), _field("Content-Length")).try_cast("long")
     raw = raw.withColumn("length", length)
     size = len(MAGIC) + F.octet_length("head") + len(END) + F.col("length") + len(END)
-    return stored(raw.withColumn("size", size), "candidates", compression="zstd")
+    raw = raw.withColumn("size", size)
+    raw = raw.withColumn("own", F.when(F.col("size") <= F.col("n") + len(MAGIC), F.sha1(_payload("cast(value as binary)"))))
+    return stored(raw, "candidates", compression="zstd")
+
+
+def _payload(body: str) -> Column:
+    """The declared number of bytes after the header of the binary SQL expression ``body``."""
+    return F.expr(f"substring({body}, octet_length(head) + {len(END) + 1}, int(length))")
 
 
 def _field(name: str) -> Column:
@@ -156,28 +164,53 @@ def reachable(places: DataFrame) -> DataFrame:
     return places.join(entry, ["file", "block"]).groupBy("file", "block").applyInPandas(_mark, "file string, split long, id long, at long")
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Records of the archives in ``path``: ``file, at, type, page_id, refers_to, header_digest, header_bytes, payload`` (binary)."""
-    chunks = candidates(spark, path)
+def chained(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(``file, split, id, at`` of every real record's first cut; ``file, at, text`` of the records cut up by version lines in them).
+
+    Bodies move only for records of several cuts.
+    """
     places = placed(chunks)
     real = stored(reachable(places).withColumnRenamed("at", "own"), "reachable")
     so_far = Window.partitionBy("file").orderBy("at")
     owned = places.join(real, ["file", "split", "id"], "left").withColumn("record", F.last("own", ignorenulls=True).over(so_far))
     owned = stored(owned.where("record is not null").select("file", "split", "id", "at", "record"), "owned")
     parts = owned.groupBy("file", "record").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    split_up = owned.join(parts, ["file", "record"])
-    body = split_up.join(chunks.select("file", "split", "id", "value"), ["file", "split", "id"])
+    cut_up = stored(owned.join(parts, ["file", "record"]).select("file", "split", "id", "at", "record"), "cut-up")
+    body = chunks.select("file", "split", "id", "value").join(cut_up, ["file", "split", "id"])
     body = body.groupBy("file", "record").agg(F.array_join(F.array_sort(F.collect_list(F.struct("at", "value"))).getField("value"), MAGIC).alias("text"))
-    heads = chunks.join(owned.where("at = record").select("file", "split", "id", "at"), ["file", "split", "id"])
-    body = body.withColumnRenamed("record", "at")
-    whole = heads.join(body, ["file", "at"], "left").withColumn("text", F.coalesce("text", "value").cast("binary"))
-    payload = F.expr("substring(text, octet_length(head) + 5, int(length))")
-    number = lambda name: F.regexp_extract(_field(name), r":(-?[0-9]+)>", 1)
-    ids = {k: number(n).try_cast("long") for k, n in (("page_id", "WARC-Record-ID"), ("refers_to", "WARC-Refers-To"))}
-    return whole.select(
-        "file", "at", _field("WARC-Type").alias("type"), ids["page_id"].alias("page_id"), ids["refers_to"].alias("refers_to"),
-        F.regexp_replace(_field("WARC-Payload-Digest"), "^sha1:", "").alias("header_digest"), _field("X-Payload-Length").try_cast("long").alias("header_bytes"), payload.alias("payload"),
-    )
+    return owned.where("at = record").select("file", "split", "id", "at"), body.withColumnRenamed("record", "at")
+
+
+def _fields() -> list[Column]:
+    number = lambda name: F.regexp_extract(_field(name), r":(-?[0-9]+)>", 1).try_cast("long")
+    return [
+        _field("WARC-Type").alias("type"), number("WARC-Record-ID").alias("page_id"), number("WARC-Refers-To").alias("refers_to"),
+        F.regexp_replace(_field("WARC-Payload-Digest"), "^sha1:", "").alias("header_digest"), _field("X-Payload-Length").try_cast("long").alias("header_bytes"),
+    ]
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """Records of the archives in ``path``: ``file, at, type, page_id, refers_to, header_digest, header_bytes, payload`` (binary)."""
+    chunks = candidates(spark, path)
+    firsts, bodies = chained(chunks)
+    whole = chunks.join(firsts, ["file", "split", "id"]).join(bodies, ["file", "at"], "left")
+    whole = whole.withColumn("text", F.coalesce("text", "value").cast("binary"))
+    return whole.select("file", "at", *_fields(), _payload("text").alias("payload"))
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """As :func:`read_records`, with ``n_bytes`` and ``digest`` of the payload read instead of the payload itself.
+
+    Digests of records of one cut are taken where the archive is read, so no body moves.
+    """
+    chunks = candidates(spark, path)
+    firsts, bodies = chained(chunks)
+    slim = chunks.select("file", "split", "id", "head", "length", "own").join(firsts, ["file", "split", "id"])
+    digests = bodies.join(slim.select("file", "at", "head", "length"), ["file", "at"]).withColumn("text", F.col("text").cast("binary"))
+    digests = stored(digests.select("file", "at", F.sha1(_payload("text")).alias("whole"), F.octet_length(_payload("text")).alias("read")), "cut-up-digests")
+    out = slim.join(digests, ["file", "at"], "left")
+    n = F.coalesce(F.col("read").cast("long"), F.when(F.col("own").isNotNull(), F.col("length")))
+    return out.select("file", "at", *_fields(), n.alias("n_bytes"), F.coalesce("whole", "own").alias("digest"))
 
 
 def round_trip(pages: DataFrame, **columns) -> DataFrame:
@@ -186,11 +219,11 @@ def round_trip(pages: DataFrame, **columns) -> DataFrame:
     A response's figures come from the payload read back; a revisit has none, so
     its header's figures of the full payload are given.
     """
-    records = read_records(pages.sparkSession, write_archives(pages, **columns))
+    records = read_index(pages.sparkSession, write_archives(pages, **columns))
     again = F.col("type") == "revisit"
     return records.select(
         "page_id",
-        F.when(again, F.col("header_bytes")).otherwise(F.octet_length("payload").cast("long")).alias("payload_bytes"),
-        F.when(again, F.col("header_digest")).otherwise(F.sha1("payload")).alias("payload_digest"),
+        F.when(again, F.col("header_bytes")).otherwise(F.col("n_bytes")).alias("payload_bytes"),
+        F.when(again, F.col("header_digest")).otherwise(F.col("digest")).alias("payload_digest"),
         F.col("type").alias("record_type"), "refers_to",
     )
