@@ -410,12 +410,12 @@ def w4site(spark, d):
     return kept.groupBy("site_id").agg(F.count(F.lit(1)).alias("kept"), F.round(F.sum("value"), 6).alias("kept_total"))
 
 
-@query("s11_checkpoint_names", "SELECT name, folder, n_rows FROM (VALUES ('daily totals/v1', 'daily_totals_v1'), ('six-hour totals', 'six-hour_totals')) t(name, folder), (SELECT count(*) AS n_rows FROM region)")
+@query("s11_checkpoint_names", "SELECT name, folder, n_rows FROM (VALUES ('daily totals/v1', 'daily_totals_v1'), ('six-hour totals', 'six-hour_totals')) t(name, folder), (SELECT count(*) AS n_rows FROM events)")
 def s11(spark, d):
     """Each query checkpoints into a folder of its own, named after it, and resumes from it:
     a second run of the same query over the same files appends nothing."""
     src = scratch_dir(spark, "s11-src")
-    R.read_table(spark, d, "region").write.parquet(src)
+    R.read_table(spark, d, "events").select("event_id").write.parquet(src)
     rows = []
     for name in ("daily totals/v1", "six-hour totals"):
         out, root = scratch_dir(spark, "s11-out"), scratch_dir(spark, "s11-ckpt")
@@ -428,12 +428,12 @@ def s11(spark, d):
 
 @query(
     "st5_triggers",
-    "SELECT trigger, n_rows FROM (VALUES ('5 seconds'), ('7 seconds'), ('14 seconds'), ('availableNow')) t(trigger), (SELECT count(*) AS n_rows FROM nation)",
+    "SELECT trigger, n_rows FROM (VALUES ('5 seconds'), ('7 seconds'), ('14 seconds'), ('availableNow')) t(trigger), (SELECT count(*) AS n_rows FROM events)",
 )
 def st5(spark, d):
     """ST5: the same stream under each cadence writes every row once."""
     src = scratch_dir(spark, "st5-src")
-    R.read_table(spark, d, "nation").write.parquet(src)
+    R.read_table(spark, d, "events").select("event_id").write.parquet(src)
     rows = []
     for cadence in (TRIGGER_PREDICTIONS, TRIGGER_SIXHOUR, TRIGGER_DAILY, "availableNow"):
         out = scratch_dir(spark, "st5-out")
@@ -459,11 +459,11 @@ def st6(spark, d):
     return appended.select(F.lit("append").alias("mode"), "key", "n").unionByName(updated.select(F.lit("update").alias("mode"), "key", "n"))
 
 
-@query("st13_stop_all", "SELECT 2 AS stopped, 0 AS still_active, count(*) AS n_rows FROM nation")
+@query("st13_stop_all", "SELECT 2 AS stopped, 0 AS still_active, count(*) AS n_rows FROM events")
 def st13(spark, d):
     """ST13: every query started here is stopped; what it had written stays."""
     src, out = scratch_dir(spark, "st13-src"), scratch_dir(spark, "st13-out")
-    R.read_table(spark, d, "nation").write.parquet(src)
+    R.read_table(spark, d, "events").select("event_id").write.parquet(src)
     mine = []
     for name, path in (("st13 a", out), ("st13 b", scratch_dir(spark, "st13-out"))):
         mine.append(sinks.to_parquet_append(tail_parquet(spark, src), path, name, trigger="1 second", checkpoint_root=scratch_dir(spark, "st13-ckpt")))
