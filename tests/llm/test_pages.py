@@ -157,6 +157,18 @@ def test_mined_rules_match_brute_force(spark):
     assert {r.page_id: r.verdict for r in out.collect()} == want
 
 
+def test_rule_floor_is_a_count_at_every_size(spark):
+    """30 urls of 16,000, 24 of them blocked, are a rule: a share of 0.2 % would ask for 32."""
+    rows = [(i, f"http://{'free-bets' if i < 30 else 'news'}.com/{i}", i < 24) for i in range(16_000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, blocked boolean")
+    taught = url_filter.tokenised(df).join(df.select("page_id", "blocked"), "page_id")
+    mined = url_filter.mine_rules(taught).collect()
+    assert {(tuple(r.tokens), r.n_both, r.n_all) for r in mined} == {((t,), 24, 30) for t in ("h:free-bets.com", "w:free", "w:bets")}
+    assert url_filter.mine_rules(taught.where("page_id > 0")).collect() == []  # 23 blocked of 29
+    out = url_filter.judge_urls(df, df.select("page_id", "blocked"), rules=())
+    assert {r.page_id for r in out.where("verdict = 'block'").collect()} == set(range(30))
+
+
 def test_url_empty(spark):
     labels = spark.createDataFrame([(1, None), (2, True)], "page_id long, blocked boolean")
     assert url_filter.judge_urls(spark.createDataFrame([], PAGES), labels).collect() == []

@@ -16,6 +16,8 @@ than the named ones are not looked at; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +26,7 @@ from .frames import stored
 
 # fixed values: (host/path prefix, verdict)
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-MIN_SUPPORT, MIN_CONFIDENCE, MIN_COUNT, LONGEST = 0.002, 0.8, 30, 3
+MIN_CONFIDENCE, MIN_COUNT, LONGEST = 0.8, 30, 3
 BLOCK = "\x00block"  # the label's item; no token holds a NUL
 
 
@@ -69,16 +71,20 @@ def tokenised(pages: DataFrame, page_id: str = "page_id", url: str = "url") -> D
     return plain.withColumn("tokens", tokens_of(F.col("url"), F.col("host"), F.col("path")))
 
 
-def mine_rules(labelled: DataFrame, support: float = MIN_SUPPORT, confidence: float = MIN_CONFIDENCE, least: int = MIN_COUNT, longest: int = LONGEST) -> DataFrame:
+def mine_rules(labelled: DataFrame, support: float | None = None, confidence: float = MIN_CONFIDENCE, least: int = MIN_COUNT, longest: int = LONGEST) -> DataFrame:
     """Block rules (tokens, key, n_both, n_all) from (tokens, blocked).
 
     Combinations of at most ``longest`` tokens that hold in ``least`` labelled urls
-    or more, whatever the share. ``key`` is the rule's rarest token.
+    or more, whatever the share: sets are mined from the least count of blocked
+    urls that such a rule can have. A ``support`` that is given is a floor on the
+    share of labelled urls besides. ``key`` is the rule's rarest token.
     A rule goes if a rule inside it is at least as confident (confidence pruning).
     """
     held = labelled.where("blocked is not null and size(tokens) > 0")
     items = held.select(F.when(F.col("blocked"), F.concat("tokens", F.array(F.lit(BLOCK)))).otherwise(F.col("tokens")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
+    if support is None:  # a rule of ``least`` urls needs ``confidence * least`` blocked ones; half below, as the product is rounded up
+        support = max(math.ceil(confidence * least) - 0.5, 0.5) / max(items.count(), 1)
+    model = FPGrowth(itemsCol="items", minSupport=min(support, 1.0), minConfidence=confidence).fit(items)
     sets = stored(model.freqItemsets.where(F.size("items") <= longest + 1), "itemsets")
     both = sets.where(F.array_contains("items", BLOCK)).select(F.array_sort(F.array_remove("items", BLOCK)).alias("tokens"), F.col("freq").alias("n_both"))
     alone = sets.where(~F.array_contains("items", BLOCK)).select(F.array_sort("items").alias("tokens"), F.col("freq").alias("n_all"))
