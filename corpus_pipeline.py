@@ -14,13 +14,13 @@ from wattflow.llm.frames import stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or the line-frequency rule reject go."""
-    return quality.keep_good(docs)
+    """Documents that the base rules or the line-frequency rule reject go; near copies count as one document."""
+    return quality.keep_good(docs, near_copies=True)
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines above the host's boilerplate ratio go from the texts; ``n_chars`` follows."""
-    return line_dedup.without_boilerplate(docs)
+    """Lines above the host's boilerplate ratio go from the texts; ``n_chars`` follows; near copies count as one page."""
+    return line_dedup.without_boilerplate(docs, near_copies=True)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

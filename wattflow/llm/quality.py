@@ -6,7 +6,8 @@ little left without them is rejected. Base rules on the document alone come firs
 
 Defined cases: a null text counts as empty and fails the base rules (under 50
 words); a null host is a host of its own; exact copies count as one document, so
-copies never make their own lines frequent; repeated rows get equal verdicts;
+copies never make their own lines frequent (with ``near_copies`` neither do near
+copies, which then count as one document); repeated rows get equal verdicts;
 columns other than the three named ones are not looked at; an empty table gives
 an empty result.
 """
@@ -20,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import near_dedup
 from .frames import keyed_join, stored, text_key
 from .textops import Flat, list_column, mix64, slices, span_hash, span_of_words, windows
 
@@ -117,6 +119,18 @@ def line_profile(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ho
     return stored(keyed.mapInArrow(_profile, PROFILE), "line-profile")
 
 
+def one_per_family(profile: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """``profile`` with equal ``doc_hash`` for near copies; texts without a word stay as they are.
+
+    Texts stand for themselves here, so rows without an id have a family too.
+    """
+    texts = docs.select(F.col(text).alias("text")).select(text_key("text").alias("doc_hash"), "text")
+    found = near_dedup.classes(texts, "doc_hash", "text").where("did <> component_id")
+    family = stored(found.select(F.col("did").alias("doc_hash"), F.col("component_id").alias("family")).distinct(), "text-families")
+    joined = keyed_join(profile, family, ["doc_hash"], "left")
+    return joined.withColumn("doc_hash", F.coalesce("family", "doc_hash")).drop("family").select(*profile.columns)
+
+
 def frequent_lines(profile: DataFrame, ratio: float, least: int) -> DataFrame:
     """(host, line, n_docs): lines held by more than ``max(least, ratio * documents of the host)`` distinct documents."""
     lines = profile.select("host", "doc_hash", F.explode("line_hash").alias("line"))
@@ -134,10 +148,15 @@ def judge(
     ratio: float = HOST_RATIO,
     least: int = MIN_DOCUMENTS,
     depleted_percent: int = DEPLETED_PERCENT,
+    near_copies: bool = False,
 ) -> DataFrame:
-    """Verdict of every row: base counts, words in frequent lines, ``base_failed``, ``kept``; ``did``/``rid`` name the row."""
+    """Verdict of every row: base counts, words in frequent lines, ``base_failed``, ``kept``; ``did``/``rid`` name the row.
+
+    With ``near_copies`` a family of near copies counts as one document of its host.
+    """
     profile = line_profile(docs, doc_id, text, host)
-    often = stored(frequent_lines(profile, ratio, least), "frequent-lines")
+    counted = one_per_family(profile, docs, text) if near_copies else profile
+    often = stored(frequent_lines(counted, ratio, least), "frequent-lines")
     lines = profile.select("did", "rid", "host", F.explode(F.arrays_zip("line_hash", "line_words")).alias("l"))
     lines = lines.select("did", "rid", "host", F.col("l.line_hash").alias("line"), F.col("l.line_words").alias("words"))
     # repeated rows share (did, rid): their lines are equal, so the larger of equal values is taken per line
