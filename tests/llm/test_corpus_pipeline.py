@@ -7,6 +7,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import corpus_pipeline  # noqa: E402
+from wattflow.llm import quality  # noqa: E402
 
 
 def through(spark, docs, upto):
@@ -30,3 +31,20 @@ def test_near_copies_do_not_reject_each_other(spark, docs_of, words, size):
     assert good.count() == len(rows)
     assert {r.doc_id: r.text for r in lines.collect()} == text
     assert {r.doc_id for r in kept.collect()} == {None, 0, *range(1000, 1000 + 2 * size)}
+
+
+def test_line_rule_rejects_what_is_little_but_repeated_lines(spark, docs_of, words):
+    """Lines that 1.8 % of a source hold are frequent, and a document that is little else goes."""
+    notes = [" ".join(words(20, 50 + k)) for k in range(31)]
+    rows = [(i, "\n".join(" ".join(words(20, 10_000 + 10 * i + k)) for k in range(4)), "s") for i in range(300)]
+    # each note in 6 documents, two documents share one note: none are near copies
+    rows += [(500 + i, "\n".join(notes[(i + k) % 31] for k in (1, 5, 11, 24, 25, 27)) + "\nown " + " ".join(words(6, 700 + i)), "s") for i in range(31)]
+    (good,) = through(spark, docs_of(rows), 1)
+    assert {r.doc_id for r in good.collect()} == set(range(300))
+
+
+def test_line_rule_acts_on_a_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    out = quality.judge(docs, **corpus_pipeline.LINE_LIMITS)
+    assert out.where("n_line_words > 0").count() > 2000
+    assert out.where("100 * n_line_words > 70 * n_words").count() > 20
