@@ -23,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines above the host's boilerplate ratio go from the texts; ``n_chars`` follows; near copies count as one page."""
-    return line_dedup.without_boilerplate(docs, near_copies=True)
+    return line_dedup.without_boilerplate(docs, **LINE_LIMITS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,8 @@
 """The pipeline's stages one after the other."""
 
+import re
 import sys
+from collections import defaultdict
 from pathlib import Path
 
 import pytest
@@ -9,6 +11,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import corpus_pipeline  # noqa: E402
 from wattflow.llm import quality  # noqa: E402
 
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def fold(line):
+    line = "".join(c.lower() if "A" <= c <= "Z" else "0" if c in "0123456789" else c for c in line)
+    return " ".join(WORD.findall(line))
+
 
 def through(spark, docs, upto):
     """``docs`` after each of the first ``upto`` stages."""
@@ -48,3 +57,22 @@ def test_line_rule_acts_on_a_whole_table(spark):
     out = quality.judge(docs, **corpus_pipeline.LINE_LIMITS)
     assert out.where("n_line_words > 0").count() > 2000
     assert out.where("100 * n_line_words > 70 * n_words").count() > 20
+
+
+def test_lines_of_every_source_go_from_every_source(spark):
+    """Lines above 1 % of the distinct texts in each source of a whole table: none is left in any source."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "source", "n_chars")
+
+    def held(rows):
+        texts, lines = defaultdict(set), defaultdict(set)
+        for r in rows:
+            texts[r.source].add(r.text)
+            for line in {fold(x) for x in (r.text or "").split("\n")} - {""}:
+                lines[line, r.source].add(r.text)
+        return texts, lines
+
+    texts, before = held(docs.collect())
+    common = {line for line, _ in before if all(len(before.get((line, s), ())) > 0.0101 * len(t) for s, t in texts.items())}
+    assert len(common) >= 7
+    _, after = held(corpus_pipeline.drop_boilerplate_lines(spark, docs, "").collect())
+    assert {k for k in after if k[0] in common} == set()
