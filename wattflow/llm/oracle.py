@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing, quality, warc
+from . import line_dedup, mixing, phrases, quality, vantage, warc
 
 _CLASS = r"[^\x20\x09-\x0D]+"
 _ABC = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -92,3 +92,29 @@ a AS (SELECT doc_id, text, coalesce(sum(size) OVER (PARTITION BY source ORDER BY
 SELECT q.doc_id, q.size, q.source_size, q.target, CAST((q.whole + coalesce(a.more, FALSE)::INT) * q.size AS BIGINT) AS taken, q.source
 FROM q LEFT JOIN a ON q.doc_id = a.doc_id
 """
+
+NEIGHBOURS = f"""
+WITH v AS (SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+both_ AS (SELECT q.vec_id AS query_id, o.vec_id, list_cosine_similarity(q.v, o.v) AS score FROM v q JOIN v o ON q.vec_id <> o.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM both_ QUALIFY rank <= {vantage.NEIGHBOURS}
+"""
+
+PHRASES = f"""
+WITH w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM (
+  SELECT coalesce(lang, '{phrases.NO_LANGUAGE}') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), {_ABC}), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY 1),
+g AS (SELECT lang, ws[i:i + k - 1] AS ws FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (SELECT unnest(range(1, {phrases.MOST} + 1)) AS k) WHERE len(ws) >= k)),
+f AS (SELECT lang, ws, count(*) AS f FROM g GROUP BY 1, 2),
+c AS (SELECT lang, ws, f AS a FROM f WHERE len(ws) >= {phrases.LEAST} AND f >= {phrases.LEAST_COUNT}),
+part AS (SELECT lang, a, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM (SELECT lang, ws, a, unnest(range({phrases.LEAST}, len(ws))) AS k FROM c)),
+inside AS (SELECT lang, ws[i:i + k - 1] AS ws, max(a) AS longest FROM part GROUP BY 1, 2),
+kept AS (SELECT c.* FROM c LEFT JOIN inside ON c.lang = inside.lang AND c.ws = inside.ws WHERE longest IS NULL OR 100 * longest < 100 * a),
+cut AS (SELECT lang, ws, a, unnest(range(1, len(ws))) AS k FROM kept),
+scored AS (SELECT cut.lang, cut.ws, cut.k, cut.a, x.f AS l, y.f AS r, n.n, CAST((CAST(1000 AS HUGEINT) * cut.a * n.n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cut JOIN n ON n.lang = cut.lang JOIN f x ON x.lang = cut.lang AND x.ws = cut.ws[:cut.k] JOIN f y ON y.lang = cut.lang AND y.ws = cut.ws[cut.k + 1:]),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(ws, ' '))) AS rank, array_to_string(ws, ' ') AS phrase, a, l, r, n, score
+FROM best QUALIFY rank <= {phrases.LIMIT}
+"""

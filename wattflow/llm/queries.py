@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, html_extract, line_dedup, mixing, near_dedup, oracle, packing, quality, substring_dedup, url_filter, warc
+from . import fingerprints, html_extract, line_dedup, mixing, near_dedup, oracle, packing, phrases, quality, substring_dedup, url_filter, vantage, warc, whitening
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -84,3 +84,20 @@ def op5(spark, sf_dir):
 @_query("op1_html_extract")
 def op1(spark, sf_dir):
     return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
+@_query("op11_nearest", oracle.NEIGHBOURS)
+def op11(spark, sf_dir):
+    return vantage.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@_query("op12_whitening")
+def op12(spark, sf_dir):
+    """The deviation as a 64-bit number; null where it needs more (the operator itself holds 38 digits)."""
+    out = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+@_query("op13_phrases", oracle.PHRASES)
+def op13(spark, sf_dir):
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
