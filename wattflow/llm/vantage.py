@@ -66,7 +66,7 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         dot += a[:, i] * b[:, i]
         na += a[:, i] * a[:, i]
         nb += b[:, i] * b[:, i]
-    return np.clip(dot / (np.sqrt(na) * np.sqrt(nb)), -1.0, 1.0)
+    return np.clip(dot / np.sqrt(na * nb), -1.0, 1.0)
 
 
 def chord(cosine: np.ndarray) -> np.ndarray:
