@@ -26,7 +26,7 @@ from .quantiles import ranked_values
 RANGE_PARTITIONS_CONF = "spark.wattflow.rangePartitions"
 
 
-def _n_parts(df: DataFrame, n: int | None) -> int:
+def range_partitions(df: DataFrame, n: int | None) -> int:
     """Range partitions: explicit ``n``, else ``spark.wattflow.rangePartitions``,
     else ``spark.sql.shuffle.partitions``.
 
@@ -72,7 +72,7 @@ def global_index(df: DataFrame, order: Sequence[str | Column], out: str = "idx",
     so ``monotonically_increasing_id`` minus the partition base is the local
     position; adding the partition's prefix count gives the global position.
     """
-    fixed = _fixed_ranges(df, order, _n_parts(df, n_parts))
+    fixed = _fixed_ranges(df, order, range_partitions(df, n_parts))
     offsets = _offsets(fixed)
     with_pos = fixed.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33)

@@ -1,8 +1,7 @@
 """Window-style operators that stay skew-proof.
 
 Per-key orderings never rely on ``partitionBy(key)`` alone when a key may be
-hot: positions come from a global range-partitioned index (``global_index``),
-and "previous row" is an equi-join on position - 1.
+hot: positions and "previous row" come from a segmented scan (``scan_in_order``).
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranks import global_index
+from .scan import scan_in_order
 
 
 def moving_average(series: DataFrame, order_col: str, value_cols: Sequence[str], rows: int = 3) -> DataFrame:
@@ -30,13 +29,8 @@ def moving_average(series: DataFrame, order_col: str, value_cols: Sequence[str],
 def position_in_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str = "arrival_index"
 ) -> DataFrame:
-    """0-based position of each row within its key, in ``order`` (a total order).
-
-    Global range index over (keys, order), minus the key's first index.
-    """
-    indexed = global_index(df, [*keys, *order], out="_g")
-    starts = indexed.groupBy(*keys).agg(F.min("_g").alias("_g0"))
-    return indexed.join(starts, list(keys)).withColumn(out, F.col("_g") - F.col("_g0")).drop("_g", "_g0")
+    """0-based position of each row within its key, in ``order`` (a total order)."""
+    return scan_in_order(df, keys, order, position=out)
 
 
 def top_n_per_key(
@@ -69,18 +63,10 @@ def changed_from_previous(
 ) -> DataFrame:
     """Flag rows whose label differs from the previous row of the same key.
 
-    The previous row is found by an equi-join on the global position, so the
-    work spreads over all tasks even for one hot key. The first row of a key is
-    always new; keeping only ``is_new`` rows suppresses consecutive repeats.
+    One segmented scan finds the previous label, also for a key that fills many
+    tasks. The first row of a key is always new; keeping only ``is_new`` rows
+    suppresses consecutive repeats.
     """
-    idx = global_index(df, [*keys, *order], out="_g")
-    prev = idx.select(
-        (F.col("_g") + 1).alias("_g"), *[F.col(k).alias(f"_pk_{k}") for k in keys], F.col(label_col).alias("_plab")
-    )
-    j = idx.join(prev, "_g", "left")
-    same_key = None
-    for k in keys:
-        cond = F.col(k).eqNullSafe(F.col(f"_pk_{k}"))
-        same_key = cond if same_key is None else same_key & cond
-    is_new = ~(same_key & F.col(label_col).eqNullSafe(F.col("_plab")))
-    return j.withColumn(out, F.coalesce(is_new, F.lit(True))).drop("_g", "_plab", *[f"_pk_{k}" for k in keys])
+    scanned = scan_in_order(df, keys, order, previous={"_plab": label_col}, position="_at")
+    is_new = (F.col("_at") == 0) | ~F.col(label_col).eqNullSafe(F.col("_plab"))
+    return scanned.withColumn(out, is_new).drop("_at", "_plab")
