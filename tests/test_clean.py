@@ -59,3 +59,28 @@ def test_drop_and_not_null(spark):
     assert P.drop_nulls(df).count() == 1 and P.drop_nulls(df, ["a"]).count() == 2
     assert P.where_not_null(df, ["b"]).count() == 2
     assert df.where(P.in_set("a", [1, 3])).count() == 2
+
+
+def test_stratified_sample_takes_exact_quotas(spark):
+    rows = [(i, "a" if i < 700 else "b" if i < 730 else None) for i in range(750)]
+    df = spark.createDataFrame(rows, "id int, s string")
+    got = P.stratified_sample(df, "s", {"a": 0.1, "b": 0.5, "absent": 0.9}, ["id"])
+    unit = {r.id: r.u for r in df.select("id", P.hash_unit(["id"]).alias("u")).collect()}
+    for s, k in (("a", 70), ("b", 15)):
+        want = sorted((i for i, x in rows if x == s), key=lambda i: (unit[i], i))[:k]
+        assert sorted(r.id for r in got.where(F.col("s") == s).collect()) == sorted(want)
+    assert got.where("s IS NULL").count() == 0
+    again = P.stratified_sample(df.repartition(7), "s", {"a": 0.1, "b": 0.5}, ["id"])
+    assert {r.id for r in got.collect()} == {r.id for r in again.collect()}
+
+
+def test_stratified_sample_breaks_ties_by_key(spark):
+    df = spark.createDataFrame([(1, k) for k in range(9)], "id int, k int").withColumn("s", F.lit("x"))
+    # all rows hash alike on id: keys (id, k) order them, and the hash is of id and k
+    assert P.stratified_sample(df, "s", {"x": 0.5}, ["id"]).count() == 4
+
+
+def test_repartition_for_fit_spreads_a_large_key(spark):
+    df = spark.range(4000).select(F.when(F.col("id") < 3600, 0).otherwise(F.col("id")).alias("building_id"), "id")
+    sizes = [r[1] for r in P.repartition_for_fit(df, 8, "building_id").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4000 and len(sizes) >= 6 and max(sizes) <= 1000

@@ -59,9 +59,11 @@ def test_signed_rank_matches_brute_force(spark):
 
 
 def test_p_value_helper(spark):
-    df = spark.createDataFrame([(1.959963984540054,), (0.0,)], "z double")
-    ps = [r["p_value"] for r in ST.p_values(df).collect()]
-    assert abs(ps[0] - 0.05) < 1e-12 and abs(ps[1] - 1.0) < 1e-12
+    zs = [0.0, 1e-9, 0.3, -1.0, 1.959963984540054, 2.5, 3.53, -3.54, 5.0, 8.0, -20.0, 37.0, 100.0, None]
+    df = spark.createDataFrame([(z,) for z in zs], "z double")
+    for r in ST.p_values(df).collect():
+        want = None if r.z is None else math.erfc(abs(r.z) / math.sqrt(2))
+        assert (r.p_value is None) == (want is None) and (want is None or abs(r.p_value - want) <= 1e-12 * want)
 
 
 def test_exact_quantiles_with_hot_group(spark):
@@ -76,6 +78,36 @@ def test_exact_quantiles_with_hot_group(spark):
     assert not any(k[0] == "nulls" for k in got)
 
 
+def test_exact_quantiles_over_octaves_ties_and_passes(spark, monkeypatch):
+    from wattflow.operators import quantiles as Q
+
+    rnd = random.Random(4)
+    values = [0.0, -0.0, 1e-300, -1e-300, 1e300, -1e300, 5e-324, float("inf"), float("-inf"), float("nan"), None]
+    values += [rnd.choice([1, -1]) * rnd.random() * 10.0 ** rnd.randint(-9, 9) for _ in range(500)] + [7.25] * 300 + [7.25 + i * 2**-49 for i in range(50)]
+    df = spark.createDataFrame([(None, v) for v in values], "g string, v double")
+    plain = np.array([v for v in values if v is not None and v == v])
+    probs = [0.0, 0.001, 0.1, 0.25, 0.5, 0.61, 0.75, 0.9, 1.0]
+    monkeypatch.setattr(Q, "PARTS", 4)
+    for few in (Q.FEW_ROWS, 2):  # distinct values at once; narrower and narrower buckets
+        monkeypatch.setattr(Q, "FEW_ROWS", few)
+        got = {r.prob: r.value for r in exact_quantiles(df, "v", probs, ["g"]).collect()}
+        for p in probs:
+            at = sorted(plain)
+            k = p * (len(at) - 1)
+            lo, hi = at[math.floor(k)], at[math.ceil(k)]
+            want = lo if lo == hi else lo + (hi - lo) * (k - math.floor(k))
+            assert got[p] == want or abs(got[p] - want) <= 1e-12 * abs(want) or math.isinf(lo) or math.isinf(hi)
+
+
+def test_kth_smallest(spark):
+    from wattflow.operators.quantiles import kth_smallest
+
+    rows = [("a", float(v)) for v in (3, 1, 2, 2, 2, 9)] + [("b", 5.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.value, r.before) for r in kth_smallest(df, "v", F.lit(4), ["g"]).collect()}
+    assert got == {"a": (2.0, 2)}  # the third of the equal values; b has no fourth
+
+
 def test_global_index_is_the_sorted_position(spark):
     rows = [(i % 5, (i * 37) % 101, i) for i in range(1000)]
     df = spark.createDataFrame(rows, "a int, b int, c int")

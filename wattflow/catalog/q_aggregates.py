@@ -19,6 +19,7 @@ from ..sources import tables as R
 from . import frames as X
 from .frames import DR, dr, sql
 from ..operators.clean import unit_sql
+from ..runtime import hand_off
 from .registry import query
 
 SIX = list(IMPUTABLE_WEATHER)
@@ -142,7 +143,8 @@ def _a10_sql() -> str:
 
 @query("a10_numeric_summary", _a10_sql(), headline=True)
 def a10(spark, d):
-    s = PR.numeric_summary(X.feature(spark, d), _FEAT_NUM)
+    # the joined frame is dear: its numeric columns are written once and read by every pass
+    s = PR.numeric_summary(hand_off(X.feature(spark, d).select(*_FEAT_NUM), "a10-columns"), _FEAT_NUM)
     return s.select("column", "count", dr("mean"), dr("stddev"), "min", "max", dr("p25"), dr("p50"), dr("p75"))
 
 
@@ -272,7 +274,7 @@ _BOX = ["q1", "median", "q3", "iqr", "lo_fence", "hi_fence", "whisker_lo", "whis
     ),
 )
 def a19(spark, d):
-    f = X.feature(spark, d).where(F.col("season_flag").isNotNull())
+    f = hand_off(X.feature(spark, d).where(F.col("season_flag").isNotNull()).select("season_flag", "agg_value"), "a19-values")
     b = ST.box_stats(f, "agg_value", ["season_flag"])
     return b.select("season_flag", *[dr(c) for c in _BOX], "n")
 
@@ -642,3 +644,27 @@ def u1(spark, d):
     parts = [w.agg(F.count_if(F.col(c).isNull()).alias("nulls")).select(F.lit(c).alias("column"), "nulls") for c in SIX]
     return T.union_all_by_name(parts)
 
+
+_PROFILED = {
+    "weather": {"site_id": "numeric", "timestamp": None, **dict.fromkeys(SIX, "numeric")},
+    "buildings": {c: "string" if c == "primary_use" else "numeric" for c in ("site_id", "building_id", "primary_use", "square_feet", "floor_count", "year_built")},
+    "meters": {"building_id": "numeric", "meter_type": "string", "ts": None, "value": "numeric"},
+}
+
+
+def _u2_sql() -> str:
+    rows = []
+    for table, cols in _PROFILED.items():
+        for c, kind in cols.items():
+            checks = {"incomplete": f"count(*) FILTER (WHERE {c} IS NULL" + (f" OR {c} = 0" if kind == "numeric" else "") + ") > 0"}
+            if kind:
+                checks[kind] = f"count({c}) > 0"
+                checks["boolean_like"] = f"count(*) FILTER (WHERE {c} NOT IN (0, 1)) = 0" if kind == "numeric" else f"count(DISTINCT {c}) <= 2"
+            rows += [f"SELECT '{c}' AS \"column\", '{k}' AS detected_as, '{table}' AS t FROM {table} HAVING {v}" for k, v in checks.items()]
+    return sql("SELECT \"column\", detected_as, string_agg(DISTINCT t, ',' ORDER BY t) AS tables FROM (" + " UNION ALL ".join(rows) + ") GROUP BY 1, 2", "weather", "buildings", "meters")
+
+
+@query("u2_detected_columns", _u2_sql())
+def u2(spark, d):
+    roles = {"weather": R.weather, "buildings": R.buildings, "meters": R.meters}
+    return PR.detected_columns({t: hand_off(roles[t](spark, d).select(*cols), f"u2-{t}") for t, cols in _PROFILED.items()})

@@ -157,15 +157,20 @@ def p5(spark, d):
 _STRATA = {"view": 0.1, "click": 0.1, "error": 0.2, "signup": 0.2, "purchase": 0.3}
 
 
-@query("p6_stratified_sample", sql("SELECT meter_type, count(*) AS stratum_rows, TRUE AS within_bounds FROM meters GROUP BY 1", "meters"))
+_QUOTA_SQL = "CASE meter_type " + " ".join(f"WHEN '{k}' THEN {v!r}::DOUBLE" for k, v in _STRATA.items()) + " ELSE 0 END"
+
+
+@query(
+    "p6_stratified_sample",
+    sql(
+        "SELECT event_id, meter_type FROM (SELECT event_id, meter_type, row_number() OVER (PARTITION BY meter_type ORDER BY " + P.unit_sql(["event_id"])
+        + f", event_id) AS k, floor({_QUOTA_SQL} * count(*) OVER (PARTITION BY meter_type)) AS quota FROM readings) WHERE k <= quota",
+        "readings",
+    ),
+)
 def p6(spark, d):
-    """Each stratum's sample size lies within six standard deviations of its share."""
-    m = R.meters(spark, d)
-    taken = P.stratified_sample(m, "meter_type", _STRATA).groupBy("meter_type").agg(F.count(F.lit(1)).alias("k"))
-    share = F.create_map(*[F.lit(x) for kv in _STRATA.items() for x in kv])[F.col("meter_type")]
-    n, f = F.col("stratum_rows"), F.coalesce(share, F.lit(0.0))
-    near = F.abs(F.coalesce("k", F.lit(0)) - n * f) <= 6 * F.sqrt(n * f * (1 - f)) + 1
-    return m.groupBy("meter_type").agg(F.count(F.lit(1)).alias("stratum_rows")).join(taken, "meter_type", "left").select("meter_type", "stratum_rows", near.alias("within_bounds"))
+    """Each stratum's exact quota, the readings of smallest key hash."""
+    return P.stratified_sample(X.readings(spark, d), "meter_type", _STRATA, ["event_id"]).select("event_id", "meter_type")
 
 
 @query(

@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from ..contract import BOOSTED_SEARCH, CATEGORY_INPUTS, NUMERIC_INPUTS
 from ..functions import calendar as cal
 from ..functions import scalar as sc
+from ..functions.normal import two_sided_p_sql
 from ..ml import pipelines as ML
+from ..ml.imputer import ExactMedianImputer, ExactMedianModel
 from ..operators import clean as P
 from ..operators import stats as ST
 from ..operators import topk as T
 from ..plans import metrics as MT
 from ..plans.features import model_base
-from ..runtime import hand_off
+from ..runtime import hand_off, scratch_dir
 from ..sources import tables as R
 from . import frames as X
 from .frames import DR, dr, sql
@@ -68,28 +70,21 @@ _BASE_SQL = (
 @query(
     "m2_median_imputer",
     sql(
-        "SELECT \"column\", TRUE AS within_tolerance FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS \"column\"" for c in NUMERIC_INPUTS) + ")",
+        " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {DR(f'median({c})', 9)} AS median, count(*) - count({c}) AS gaps, 0 AS gaps_left FROM base" for c in NUMERIC_INPUTS),
+        "feature", "buildings",
+        extra={"base": _BASE_SQL},
     ),
 )
 def m2(spark, d):
-    """Each fitted median lies within the imputer's rank error (0.1 %) of the middle: at most
-    that share too few values on either side of it."""
-    from pyspark.ml.feature import Imputer
-
+    """The medians of the fitted, saved and loaded imputer, and the gaps of each input before and after it."""
     base = _stored_base(spark, d)
     cols = list(NUMERIC_INPUTS)
-    model = Imputer(inputCols=cols, outputCols=[f"{c}_filled" for c in cols], strategy="median").fit(base)
-    fitted = model.surrogateDF.first().asDict()  # one row: a median for each input
-    sides = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.count_if(F.col(c) <= float(fitted[c])).alias("low"), F.count_if(F.col(c) >= float(fitted[c])).alias("high"), F.count(c).alias("n"),
-        )
-        for c in cols
-    ]
-    each = base.agg(F.array(*sides).alias("s")).select(F.explode("s").alias("s")).select("s.*")
-    enough = 0.5 * F.col("n") - (0.001 * F.col("n") + 1)
-    return each.select("column", ((F.col("low") >= enough) & (F.col("high") >= enough)).alias("within_tolerance"))
+    path = scratch_dir(spark, "m2-imputer")
+    ExactMedianImputer(inputCols=cols, outputCols=[f"{c}_filled" for c in cols]).fit(base).write().overwrite().save(path)
+    model = ExactMedianModel.load(path)
+    gaps = [F.struct(F.lit(c).alias("column"), F.lit(m).alias("median"), F.count_if(F.col(c).isNull()).alias("gaps"), F.count_if(F.col(f"{c}_filled").isNull()).cast("int").alias("gaps_left")) for c, m in model.surrogates().items()]
+    each = model.transform(base).agg(F.array(*gaps).alias("g")).select(F.explode("g").alias("g")).select("g.*")
+    return each.select("column", dr("median", 9), "gaps", "gaps_left")
 
 
 @query(
@@ -186,6 +181,18 @@ _GRID = " CROSS JOIN ".join(
 )
 
 
+@query("m11_candidate_reports")
+def m11(spark, d):
+    """The measures of each candidate on the test split, and on the rows it was fitted on."""
+    train, test = P.hash_split(_stored_base(spark, d), ["building_id", "ts"], (0.8, 0.2))
+    rows = []
+    for name in ("rf", "gbt"):
+        model, _, report = ML.fit_and_score(ML.pipeline_for(name), train, test)
+        parts = (("test", report), ("train", MT.regression_report_frame(model.transform(train))))
+        rows += [r.select(F.lit(name).alias("model"), F.lit(part).alias("part"), "rmsle", "rmse", "mae", "r2", "n_used") for part, r in parts]
+    return T.union_all_by_name(rows)
+
+
 def _fit_report(spark, d, name):
     """Rows scored in the test split, whether the report has its measures, and whether the fit explains
     the rows it was fitted on better than their mean does."""
@@ -223,14 +230,32 @@ def m10(spark, d):
     return spark.createDataFrame(rows, "maxDepth int, maxBins int, stepSize double, subsamplingRate double, maxIter int, has_rmsle boolean")
 
 
-@query("m10_confirm", "SELECT 3 AS folds, TRUE AS better_than_worst, 'GBTRegressionModel' AS last_stage")
+def _searched(spark, d):
+    """The training rows, the searched points and their validation RMSLE."""
+    train, _ = P.hash_split(_stored_base(spark, d), ["building_id", "ts"], (0.8, 0.2))
+    points = ML.search_points("gbt", maxIter=40)
+    return train, points, ML.tune("gbt", points, train)[1]
+
+
+@query("m10_confirm", "SELECT 3 AS folds, TRUE AS in_grid, TRUE AS has_rmsle, 'GBTRegressionModel' AS last_stage")
 def m10c(spark, d):
-    """M10 confirm step: the best of two points, cross-validated; its mean RMSLE stays below a one-round fit's."""
-    base = _stored_base(spark, d)
-    points = [{"maxIter": 10}, {"maxIter": 1}]
-    _, metrics = ML.tune("gbt", points, base, sample_fraction=1.0)
-    model, mean = ML.confirm_best("gbt", points, metrics, base)
-    return spark.createDataFrame([(3, mean <= max(metrics) * 1.05, type(model.stages[-1]).__name__)], "folds int, better_than_worst boolean, last_stage string")
+    """M10 confirm step: the best point of the searched grid, cross-validated and refitted."""
+    train, points, metrics = _searched(spark, d)
+    model, mean = ML.confirm_best("gbt", points, metrics, train)
+    last = model.stages[-1]
+    used = {"maxDepth": last.getMaxDepth(), "maxBins": last.getMaxBins(), "stepSize": last.getStepSize(), "subsamplingRate": last.getSubsamplingRate(), "maxIter": last.getMaxIter()}
+    best = points[min(range(len(metrics)), key=metrics.__getitem__)]
+    return spark.createDataFrame([(3, used == best, mean > 0, type(last).__name__)], "folds int, in_grid boolean, has_rmsle boolean, last_stage string")
+
+
+@query("m10_search_report")
+def m10r(spark, d):
+    """Each searched point with its validation RMSLE, and the mean RMSLE of the best one's confirmation."""
+    train, points, metrics = _searched(spark, d)
+    _, mean = ML.confirm_best("gbt", points, metrics, train)
+    best = min(range(len(metrics)), key=metrics.__getitem__)
+    rows = [(p["maxDepth"], p["maxBins"], p["stepSize"], p["subsamplingRate"], p["maxIter"], m, i == best, mean if i == best else None) for i, (p, m) in enumerate(zip(points, metrics, strict=True))]
+    return spark.createDataFrame(rows, "maxDepth int, maxBins int, stepSize double, subsamplingRate double, maxIter int, rmsle double, best boolean, confirmed_rmsle double")
 
 
 # ------------------------------------------------------------------ metrics on the two candidate predictions
@@ -319,9 +344,9 @@ def m17(spark, d):
     )
 
 
-@query("m17_wilcoxon_p_value")
+@query("m17_wilcoxon_p_value", f"SELECT metric, z, {DR(two_sided_p_sql('z'), 15)} AS p_value FROM ({_M17_SQL})")
 def m17p(spark, d):
-    return ST.p_values(_m17(spark, d).select("metric", "z"))
+    return ST.p_values(_m17(spark, d).select("metric", dr("z", 9))).select("metric", "z", dr("p_value", 15))
 
 
 @query(
@@ -332,7 +357,7 @@ def m17p(spark, d):
     ),
 )
 def m18(spark, d):
-    e = _errors(spark, d)
+    e = hand_off(_errors(spark, d).select("ape_a", "ape_b", "sle_a", "sle_b"), "m18-errors")
     a = ST.median_difference(e, "ape_a", "ape_b").select(dr("median_diff", 9, "ape_median_diff"))
     b = ST.median_difference(e, "sle_a", "sle_b").select(dr("median_diff", 9, "sle_median_diff"))
     return a.select("ape_median_diff", b.scalar().alias("sle_median_diff"))
@@ -433,7 +458,7 @@ def a19ape(spark, d):
     long = e.select(
         F.explode(F.array(F.struct(F.lit("a").alias("model"), F.col("ape_a").alias("v")), F.struct(F.lit("b").alias("model"), F.col("ape_b").alias("v")))).alias("x")
     ).select("x.*")
-    b = ST.box_stats(long, "v", ["model"])
+    b = ST.box_stats(hand_off(long, "a19-values"), "v", ["model"])
     return b.select("model", *[dr(c, 9) for c in _BOX_COLS], "n")
 
 

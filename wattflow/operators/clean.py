@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import CATEGORY_INPUTS, LABEL, NUMERIC_INPUTS, SEED, TRACE, ZERO_IS_VALID
 from ..functions.scalar import is_missing_text
+from .quantiles import kth_smallest
 
 
 def model_columns(df: DataFrame, trace: Sequence[str] = TRACE, strict: bool = False) -> DataFrame:
@@ -71,9 +72,22 @@ def hash_sample(df: DataFrame, key_cols: Sequence[str], fraction: float, seed: i
     return df.where(hash_unit(key_cols, seed) < fraction)
 
 
-def stratified_sample(df: DataFrame, col: str, fractions: Mapping, seed: int = SEED) -> DataFrame:
-    """Per-stratum fractions (``sampleBy``)."""
-    return df.sampleBy(col, fractions=dict(fractions), seed=seed)
+def stratified_sample(df: DataFrame, col: str, fractions: Mapping, key_cols: Sequence[str], seed: int = SEED) -> DataFrame:
+    """Exactly floor(fraction * rows) rows of each stratum: those of smallest key hash.
+
+    The hash that closes a stratum's quota is selected by radix (``kth_smallest``), so a
+    stratum of any size is filtered, not sorted; only rows that tie with it are ordered,
+    by their keys. Strata without a fraction give no row. ``df`` is read several times.
+    """
+    share = F.coalesce(F.create_map(*[F.lit(x) for k, v in fractions.items() for x in (k, float(v))])[F.col(col)], F.lit(0.0))
+    marked = df.withColumn("_u", hash_unit(key_cols, seed))
+    quota = F.floor(share * F.col("_all"))
+    last = kth_smallest(marked.where(F.col(col).isNotNull()), "_u", quota, [col]).select(F.col(col).alias("_s"), F.col("value").alias("_last"), "before")
+    near = marked.join(last, (F.col(col) == F.col("_s")) & (F.col("_u") <= F.col("_last")))
+    tied = Window.partitionBy(col).orderBy(*key_cols)
+    sure = near.where("_u < _last").select(*df.columns)
+    rest = near.where("_u = _last").withColumn("_k", F.row_number().over(tied)).where("_k <= before + 1").select(*df.columns)
+    return sure.unionByName(rest)
 
 
 def hash_split(
@@ -162,10 +176,13 @@ def fill_means(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def repartition_for_fit(df: DataFrame, n: int | None = None, *keys: str) -> DataFrame:
-    """Explicit repartition before a heavy fit (AQE handles the rest)."""
-    if n is None:
-        return df.repartition(*keys) if keys else df
-    return df.repartition(n, *keys) if keys else df.repartition(n)
+    """Explicit repartition before a heavy fit, in even shares.
+
+    ``keys`` put equal keys near each other: rows are dealt by range of (keys, row
+    hash), so that a large key fills several partitions instead of one task.
+    """
+    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *keys, F.xxhash64(*df.columns)) if keys else df.repartition(n)
 
 
 def add_label(df: DataFrame, src: str = "agg_value", label: str = "label") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import round_half_up
-from .quantiles import pivot_quantiles, quantiles_from_counts, value_counts
+from .quantiles import exact_quantiles, pivot_quantiles
 
 
 def _is_numeric(df: DataFrame, c: str) -> bool:
@@ -100,9 +100,9 @@ def numeric_summary(
 ) -> DataFrame:
     """A10: count, mean, stddev, min, max and quartiles per numeric column.
 
-    Exact (default): the columns are unpivoted to (column, value) and counted once,
-    one row per distinct value; moments and quartiles are both read from that
-    table, so the input is scanned and shuffled once.
+    Exact (default): moments of all columns are one aggregate; quartiles are selected
+    by radix over the columns unpivoted to (column, value). ``df`` is read three or
+    four times: pass a stored table if it is dear to compute.
 
     ``relative_error`` set: one aggregate with ``percentile_approx`` sketches
     (map-side partial aggregation, a few KB per task and column; the reference
@@ -111,24 +111,24 @@ def numeric_summary(
     cols = list(cols) if cols else [c for c in df.columns if _is_numeric(df, c)]
     if relative_error is not None:
         return _approx_summary(df, cols, probs, relative_error)
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        x = F.when(~F.isnan(x), x)
+        aggs += [
+            F.count(x).cast("double").alias(f"count__{c}"), F.avg(x).alias(f"mean__{c}"), F.stddev(x).alias(f"stddev__{c}"),
+            F.min(x).alias(f"min__{c}"), F.max(x).alias(f"max__{c}"),
+        ]
+    # every requested column appears, also one without any value (count 0)
+    moments = _unpivot(df.agg(*aggs), cols, ["count", "mean", "stddev", "min", "max"])
     long = df.select(
         F.explode(
             F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])
         ).alias("_kv")
     ).select("_kv.*")
-    counts = value_counts(long, "v", ["column"])
-    n, v = F.col("_n").cast("double"), F.col("_v")
-    sums = counts.groupBy("column").agg(F.sum(n).alias("count"), (F.sum(n * v) / F.sum(n)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"))
-    # squares are summed about the mean, so that large means do not cancel
-    about = counts.join(sums.select("column", "mean"), "column")
-    spread = about.groupBy("column").agg(F.sum(n * (v - F.col("mean")) * (v - F.col("mean"))).alias("_ss"))
-    moments = sums.join(spread, "column").withColumn("stddev", F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1)))).drop("_ss")
     names = [f"p{int(round(p * 100))}" for p in probs]
-    qs = pivot_quantiles(quantiles_from_counts(counts, probs, ["column"]), probs, ["column"], names)
-    # every requested column appears, also one without any value (count 0)
-    spine = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
-    out = spine.join(moments, "column", "left").join(qs, "column", "left")
-    return out.select("column", F.coalesce("count", F.lit(0.0)).alias("count"), "mean", "stddev", "min", "max", *names)
+    qs = pivot_quantiles(exact_quantiles(long, "v", probs, ["column"]), probs, ["column"], names)
+    return moments.join(qs, "column", "left").select("column", "count", "mean", "stddev", "min", "max", *names)
 
 
 def _approx_summary(df: DataFrame, cols: Sequence[str], probs, relative_error: float) -> DataFrame:
@@ -199,6 +199,28 @@ def boolean_like(df: DataFrame) -> DataFrame:
     return long.select("column", kind.alias("kind"), flag.alias("boolean_like"))
 
 
+def detected_columns(tables: dict[str, DataFrame]) -> DataFrame:
+    """The set union of the columns detected in several tables: rows (column, detected_as, tables).
+
+    A column is detected as ``boolean_like`` (A12), ``incomplete`` (it holds NULLs or, as a
+    number, zeros: A7) or by its kind (``numeric`` / ``string``, at least one value). Each
+    table is profiled by its own aggregates; the union is a distinct over their rows.
+    """
+    parts = []
+    for name, df in tables.items():
+        found = [boolean_like(df).where("boolean_like").select("column", F.lit("boolean_like").alias("detected_as"))]
+        found.append(combined_missing(df).where("missing_total > 0").select("column", F.lit("incomplete").alias("detected_as")))
+        kinds = {c: "numeric" if _is_numeric(df, c) else "string" if _is_string(df, c) else None for c in df.columns}
+        cols = [c for c, k in kinds.items() if k]
+        kind = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(kinds[c]))])[F.col("column")]
+        found.append(missing_after(df, cols).where("non_null > 0").select("column", kind.alias("detected_as")))
+        parts += [f.withColumn("table", F.lit(name)) for f in found]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    return union.groupBy("column", "detected_as").agg(F.array_join(F.array_sort(F.collect_set("table")), ",").alias("tables"))
+
+
 def value_counts_with_null(df: DataFrame, col: str) -> DataFrame:
     """Value counts, NULL shown as the text ``NULL``."""
     v = F.when(F.col(col).isNull(), F.lit("NULL")).otherwise(F.col(col).cast("string"))

@@ -8,10 +8,10 @@ from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..contract import SIGNIFICANCE_LEVEL
-from .quantiles import pivot_quantiles, quantiles_from_counts, same_groups, value_counts, wide_quantiles
+from ..functions.normal import two_sided_p_sql
+from .quantiles import same_groups, value_counts, wide_quantiles
 from .ranks import tie_average_ranks
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], dropna: bool = True) -> DataFrame:
@@ -28,21 +28,22 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], dropna: bool = True)
 def box_stats(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """Quartiles, IQR fences and whiskers (extreme points inside the fences) per group.
 
-    Quartiles and whiskers are both read from one table of counted distinct values.
+    Quartiles are selected by radix (``exact_quantiles``); the whiskers are one more
+    aggregate over the rows, with the fences (one row a group) joined on.
     """
     groups = list(group_cols)
-    counts = value_counts(df, value_col, groups)
-    q = pivot_quantiles(quantiles_from_counts(counts, (0.25, 0.5, 0.75), groups), (0.25, 0.5, 0.75), groups, ["q1", "median", "q3"])
+    q = wide_quantiles(df, value_col, (0.25, 0.5, 0.75), groups, ["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     q = q.withColumn("lo_fence", F.col("q1") - 1.5 * F.col("iqr")).withColumn("hi_fence", F.col("q3") + 1.5 * F.col("iqr"))
+    values = df.select(*groups, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     if groups:
-        fenced = same_groups(counts, q.select(*groups, "lo_fence", "hi_fence"), groups)
+        fenced = same_groups(values, q.select(*groups, "lo_fence", "hi_fence"), groups)
     else:
         # one row of fences: a scalar subquery, no join
-        fenced = counts.withColumn("_f", q.select(F.struct("lo_fence", "hi_fence")).scalar()).select("_v", "_n", "_f.*")
+        fenced = values.withColumn("_f", q.select(F.struct("lo_fence", "hi_fence")).scalar()).select("_v", "_f.*")
     v = F.col("_v")
     wh = fenced.groupBy(*groups).agg(
-        F.min(F.when(v >= F.col("lo_fence"), v)).alias("whisker_lo"), F.max(F.when(v <= F.col("hi_fence"), v)).alias("whisker_hi"), F.sum("_n").alias("n")
+        F.min(F.when(v >= F.col("lo_fence"), v)).alias("whisker_lo"), F.max(F.when(v <= F.col("hi_fence"), v)).alias("whisker_hi"), F.count(v).alias("n")
     )
     if groups:
         return same_groups(q, wh, groups)
@@ -167,12 +168,8 @@ def signed_rank_test(df: DataFrame, a_col: str, b_col: str) -> DataFrame:
 
 
 def p_values(tests: DataFrame, z_col: str = "z") -> DataFrame:
-    """``tests`` with the two-sided normal p-value of ``z_col``; ``tests`` has one row per metric, so it is read to the driver."""
-    rows = tests.collect()
-    z = [r[z_col] for r in rows]
-    p = [math.erfc(abs(x) / math.sqrt(2.0)) if x is not None else None for x in z]
-    schema = T.StructType([*tests.schema.fields, T.StructField("p_value", T.DoubleType())])
-    return tests.sparkSession.createDataFrame([(*r, v) for r, v in zip(rows, p, strict=True)], schema)
+    """``tests`` with the two-sided normal p-value of ``z_col``, as a column expression."""
+    return tests.withColumn("p_value", F.expr(two_sided_p_sql(f"`{z_col}`")))
 
 
 def paired_verdict(tests: DataFrame, z_col: str = "z", level: float = SIGNIFICANCE_LEVEL) -> DataFrame:
