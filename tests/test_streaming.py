@@ -87,16 +87,15 @@ def test_stop_all_and_checkpoint_names(spark):
 
 
 def test_last_n_state_matches_brute_force(spark):
-    from wattflow.streaming.state import last_n_totals
+    from wattflow.streaming.state import last_n_states, merge_last_n
 
     rows = [(i % 3, dt.datetime(2016, 1, 1) + dt.timedelta(minutes=i), float(i), i) for i in range(300)]
     df = spark.createDataFrame(rows, "building_id int, ts timestamp_ntz, value double, event_id long")
     feed = JB.replay_feed(df, ["ts", "event_id"], "t-lastn", chunks=3)
-    newest = lambda **o: last_n_totals(JB.read_feed(spark, feed.path, watermark=None, **o), "building_id", "value", ["ts", "event_id"], 7)
-    written = JB.run_feed(feed, newest, "t_lastn", mode="update").written
-    from wattflow.plans.serving import latest_per_key
-
-    got = {r["building_id"]: (r["n_seen"], r["kept_count"], r["kept_total"]) for r in latest_per_key(written, ["building_id"], ["n_seen"]).collect()}
+    newest = lambda **o: last_n_states(JB.read_feed(spark, feed.path, watermark=None, **o), "building_id", "value", ["ts", "event_id"], 7)
+    run = JB.run_feed(feed, newest, "t_lastn", mode="update")
+    assert run.state_rows > 3 * 8  # a key's rows spread over its salts
+    got = {r["building_id"]: (r["n_seen"], r["kept_count"], r["kept_total"]) for r in merge_last_n(run.written, "building_id", "value", ["ts", "event_id"], 7).collect()}
     for b in range(3):
         vals = [r[2] for r in rows if r[0] == b]
         assert got[b] == (len(vals), 7, sum(vals[-7:]))
@@ -140,8 +139,9 @@ def test_latest_emission_stream_matches_batch(spark):
     from wattflow.sources.files import tail_parquet
 
     stream = tail_parquet(spark, path)
-    written = JB.run_update(SA.latest_emission(stream, ["building_id", "window_start"], ["gen_ts", "seq"]), "t_latest")
-    final = latest_per_key(written, ["building_id", "window_start"], ["batch_id"]).drop("batch_id")
+    run = JB.run_feed(None, lambda: SA.latest_emission(stream, ["building_id", "window_start"], ["gen_ts", "seq"], "gen_ts"), "t_latest", mode="update")
+    final = latest_per_key(run.written, ["building_id", "window_start"], ["gen_ts", "seq"])
+    assert run.state_rows <= 3 * 4  # windows within the delay of the newest stamp, of four keys
     batch = latest_per_key(rec, ["building_id", "window_start"], ["gen_ts", "seq"])
     cols = ["building_id", "window_start", "total_energy_6h", "seq"]
     assert sorted(tuple(r) for r in final.select(*cols).collect()) == sorted(tuple(r) for r in batch.select(*cols).collect())
@@ -159,8 +159,7 @@ def test_compact_update_output(spark):
 
 def test_last_n_state_does_not_depend_on_chunk_order(spark):
     """Twenty rows of one key in falling order, Arrow chunks of two: the newest three are kept."""
-    from wattflow.plans.serving import latest_per_key
-    from wattflow.streaming.state import last_n_totals
+    from wattflow.streaming.state import last_n_states, merge_last_n
 
     rows = [(1, dt.datetime(2016, 1, 1) + dt.timedelta(minutes=i), float(i), i) for i in reversed(range(20))]
     src = scratch_dir(spark, "t-lastn-src")
@@ -170,8 +169,26 @@ def test_last_n_state_does_not_depend_on_chunk_order(spark):
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
     try:
-        written = JB.run_update(last_n_totals(tail_parquet(spark, src), "building_id", "value", ["ts", "event_id"], 3), "t_lastn_order")
-        got = latest_per_key(written, ["building_id"], ["n_seen"]).first()
+        written = JB.run_update(last_n_states(tail_parquet(spark, src), "building_id", "value", ["ts", "event_id"], 3, salts=2), "t_lastn_order")
+        got = merge_last_n(written, "building_id", "value", ["ts", "event_id"], 3).first()
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     assert (got["n_seen"], got["kept_count"], got["kept_total"]) == (20, 3, 17.0 + 18 + 19)
+
+
+def test_update_form_state_is_evicted(spark):
+    """Partials of ticks behind the watermark leave the state; their last emissions add up to the totals."""
+    rows = [(i % 4, dt.datetime(2016, 1, 1) + dt.timedelta(minutes=13 * i), float(i), i) for i in range(480)]
+    df = spark.createDataFrame(rows, "building_id int, ts timestamp_ntz, value double, event_id long")
+    feed = JB.replay_feed(df, ["ts", "event_id"], "t-open", chunks=2, heartbeat=True)
+    ticks = lambda **o: SA.tick_partials(JB.read_feed(spark, feed.path, **o), "building_id", "value", "ts")
+    run = JB.run_feed(feed, ticks, "t_open", mode="update")
+    assert run.state_rows <= 2  # the control records alone
+    totals = SA.roll_up(SA.latest_partials(run.written, "building_id"), "building_id")
+    got = {(r.building_id, r.window_start): (r.total_energy_6h, r.n_readings) for r in totals.collect()}
+    want: dict = {}
+    for b, t, v, _ in rows:
+        k = (b, t.replace(hour=t.hour // 6 * 6, minute=0))
+        have = want.get(k, (0.0, 0))
+        want[k] = (have[0] + v, have[1] + 1)
+    assert got == want

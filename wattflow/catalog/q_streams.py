@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..contract import HISTORY_LEN_SITE, TICK_SECONDS, TRIGGER_DAILY, TRIGGER_PREDICTIONS, TRIGGER_SIXHOUR
 from ..functions import calendar as cal
@@ -12,8 +13,8 @@ from ..operators.season import lookup_season, month_labels
 from ..operators.windows import last_n_per_key
 from ..plans import serving as SV
 from ..plans.features import engineer, model_base
-from ..plans.totals import ONE_DAY, SIX_HOURS, window_totals
 from ..runtime import checkpoint_for, hand_off, path_exists, scratch_dir
+from ..sources import published as PL
 from ..sources import tables as R
 from ..sources.files import tail_parquet
 from ..sources.payload import keyed_json
@@ -22,6 +23,7 @@ from ..streaming import aggregates as SA
 from ..streaming import jobs as JB
 from ..streaming import sinks
 from ..streaming.app import prediction_rows
+from ..streaming.sources import weather_stream
 from . import frames as X
 from .frames import DR, dr, sql
 from .registry import query
@@ -79,6 +81,64 @@ def s17(spark, d):
     return spark.read.parquet(path).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+# ------------------------------------------------------------------ sources
+@query("s4_topic_source", sql(f"SELECT site_id, timestamp, air_temperature IS NULL AS air_null, cloud_coverage, weather_ts FROM ({_STAMPED_SQL})", "weather"))
+def s4(spark, d):
+    """JSON payloads published to a log, subscribed to from its first piece, decoded (S5) and watermarked (ST2)."""
+    log = scratch_dir(spark, "s4-log")
+    payloads = payload_frame(_stamped_weather(spark, d)).select("key", "value")
+    PL.publish(payloads, log)
+    raw = PL.read_log(spark, log, payloads.schema, "s4", "earliest")
+    return JB.run_append(weather_stream(raw).select("site_id", "timestamp", F.col("air_temperature").isNull().alias("air_null"), "cloud_coverage", "weather_ts"), "s4_decoded")
+
+
+@query(
+    "s13_start_policies",
+    "SELECT policy, p.piece, count(*) AS n_rows, count(DISTINCT event_id) AS n_events, CAST(sum(event_id) AS BIGINT) AS id_sum "
+    "FROM (VALUES ('earliest', 1), ('earliest', 2), ('earliest', 3), ('latest', 2), ('latest', 3), ('live', 2)) p(policy, piece) "
+    "JOIN events ON event_id % 3 = p.piece - 1 GROUP BY 1, 2",
+)
+def s13(spark, d):
+    """Three consumers of one log, all started when its first piece is there.
+
+    ``earliest`` takes all pieces; ``latest`` the later ones, also the piece published while
+    it was away; ``live`` only the piece published while it runs, not the one before its
+    second start. A restart from the checkpoint repeats nothing.
+    """
+    events = R.read_table(spark, d, "events").select("event_id", "user_id", "value")
+    log = scratch_dir(spark, "s13-log")
+    out = {p: scratch_dir(spark, f"s13-{p}") for p in PL.POLICIES}
+    root = {p: scratch_dir(spark, f"s13-{p}-ckpt") for p in PL.POLICIES}
+    third = lambda k: events.where(F.pmod("event_id", F.lit(3)) == k)
+
+    def start(policy, trigger="availableNow"):
+        rows = PL.read_log(spark, log, events.schema, policy, policy)
+        return sinks.to_parquet_append(rows, out[policy], f"s13 {policy}", trigger=trigger, checkpoint_root=root[policy])
+
+    def resume():
+        for policy in ("earliest", "latest"):
+            sinks.run_until_done(start(policy))
+
+    PL.publish(third(0), log)
+    resume()
+    live = start("live", "0 seconds")
+    live.processAllAvailable()
+    PL.publish(third(1), log)
+    live.processAllAvailable()
+    live.stop()
+    PL.publish(third(2), log)
+    resume()
+    root["live"] = scratch_dir(spark, "s13-live-again")
+    sinks.run_until_done(start("live"))
+    resume()
+    kind = T.StructType([*events.schema.fields, T.StructField("piece", T.LongType())])
+    read = [spark.read.schema(kind).parquet(out[p]).withColumn("policy", F.lit(p)) for p in PL.POLICIES]
+    taken = read[0].unionByName(read[1]).unionByName(read[2])
+    return taken.groupBy("policy", F.col("piece").cast("int").alias("piece")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("event_id").alias("n_events"), F.sum("event_id").alias("id_sum")
+    )
+
+
 # ------------------------------------------------------------------ sinks
 @query(
     "s6_parquet_append_sink",
@@ -99,11 +159,13 @@ _SIX_N_SQL = (
 
 @query("s7_foreach_batch_sink", sql("SELECT window_start, window_end, building_id, total_energy_6h FROM six_totals", "six_totals"))
 def s7(spark, d):
+    """Totals of windows still open, re-emitted with every batch: update mode over the partials of each tick of
+    the emitted clock, whose watermark evicts them; readers add up the last emission of each partial."""
     feed = JB.replay_feed(X.readings(spark, d), ["ts", "event_id"], "s7", chunks=2)
-    totals = lambda **o: window_totals(JB.read_feed(spark, feed.path, **o), SIX_HOURS, "ts", "value", stamped=True)
-    written = JB.run_feed(feed, totals, "s7_sixhour_updates", mode="update").written
-    latest = SV.latest_per_key(written, ["building_id", "window_start"], ["batch_id"])
-    return latest.select("window_start", "window_end", "building_id", "total_energy_6h")
+    ticks = lambda **o: SA.tick_partials(JB.read_feed(spark, feed.path, **o), "building_id", "value", "ts")
+    written = JB.run_feed(feed, ticks, "s7_sixhour_updates", mode="update").written
+    totals = SA.roll_up(SA.latest_partials(written, "building_id"), "building_id")
+    return totals.select("window_start", "window_end", "building_id", "total_energy_6h")
 
 
 @query(
@@ -337,13 +399,13 @@ def st7(spark, d):
     ),
 )
 def w4s(spark, d):
-    """W4/W5/A26 stream form: per-building bounded state of the newest 60 readings."""
-    from ..streaming.state import last_n_totals
+    """W4/W5/A26 stream form: bounded state of the newest 60 readings of each building, salted."""
+    from ..streaming.state import last_n_states, merge_last_n
 
     feed = JB.replay_feed(X.readings(spark, d), ["ts", "event_id"], "w4s", chunks=2)
-    newest = lambda **o: last_n_totals(JB.read_feed(spark, feed.path, watermark=None, **o), "building_id", "value", ["ts", "event_id"], 60)
+    newest = lambda **o: last_n_states(JB.read_feed(spark, feed.path, watermark=None, **o), "building_id", "value", ["ts", "event_id"], 60)
     written = JB.run_feed(feed, newest, "w4_last_n_state", mode="update").written
-    final = SV.latest_per_key(written, ["building_id"], ["n_seen"])
+    final = merge_last_n(written, "building_id", "value", ["ts", "event_id"], 60)
     return final.select("building_id", "n_seen", "kept_count", F.round("kept_total", 6).alias("kept_total"))
 
 
@@ -372,25 +434,26 @@ def st2(spark, d):
     ),
 )
 def st4u(spark, d):
-    """ST4, reference form: 1-day windows on the measured clock, update mode through the
-    idempotent foreachBatch sink (S7), latest emission per key (ST9). State is not evicted."""
+    """ST4, update form: totals of days still open through the idempotent foreachBatch sink (S7). The state holds
+    partials of the ticks that the watermark has not passed; readers take each partial's last emission (ST9)."""
     feed = JB.replay_feed(X.readings(spark, d), ["ts", "event_id"], "st4u", chunks=2)
     sites = hand_off(R.buildings(spark, d).select("building_id", "site_id"), "st4u-sites")
-    daily = lambda **o: window_totals(JB.read_feed(spark, feed.path, **o).join(sites, "building_id"), ONE_DAY, "ts", "value", stamped=True)
+    daily = lambda **o: SA.tick_partials(JB.read_feed(spark, feed.path, **o).join(sites, "building_id"), "site_id", "value", "ts", with_block=False)
     written = JB.run_feed(feed, daily, "st4_daily_updates", mode="update").written
-    latest = SV.latest_per_key(written, ["site_id", "day_start"], ["batch_id"])
-    return latest.select("day_start", "day_end", "site_id", "total_energy_day")
+    totals = SA.roll_up(SA.latest_partials(written, "site_id", with_block=False), "site_id", with_block=False)
+    return totals.select("day_start", "day_end", "site_id", "total_energy_day")
 
 
 @query("st9_latest_emission_stream", sql("SELECT building_id, window_start, window_end, total_energy_6h FROM six_totals", "six_totals"))
 def st9s(spark, d):
     """ST9, stream form: re-emitted six-hour records (written to Parquet) are tailed and
-    reduced to the latest emission per (building, window) with update-mode state."""
+    reduced to the latest emission per (building, window); state of windows that the
+    watermark on the records' stamp has passed is evicted."""
     src = scratch_dir(spark, "st9-records")
     SV.re_emitted_totals(X.readings(spark, d)).write.parquet(src)
     stream = tail_parquet(spark, src)
-    written = JB.run_update(SA.latest_emission(stream, ["building_id", "window_start"], ["gen_ts", "seq"]), "st9_latest")
-    final = SV.latest_per_key(written, ["building_id", "window_start"], ["batch_id"])
+    written = JB.run_update(SA.latest_emission(stream, ["building_id", "window_start"], ["gen_ts", "seq"], "gen_ts"), "st9_latest")
+    final = SV.latest_per_key(written, ["building_id", "window_start"], ["gen_ts", "seq"])
     return final.select("building_id", "window_start", "window_end", "total_energy_6h")
 
 

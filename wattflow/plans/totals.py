@@ -26,9 +26,9 @@ ONE_DAY = Span("1 day", "site_id", "day_start", "day_end", "total_energy_day")
 def window_totals(rows: DataFrame, span: Span, ts_col: str = "timestamp", value_col: str = "prediction", stamped: bool = False) -> DataFrame:
     """Rounded total of ``value_col`` for each key and window of ``span``; ``stamped`` adds the generation time.
 
-    On a stream the window column carries no watermark (the measured clock is not the
-    emitted one), so its state is never evicted: the two-clock partials of
-    ``streaming.aggregates`` are the bounded form.
+    For bounded frames. On a stream the window column carries no watermark (the measured
+    clock is not the emitted one), so its state would never be evicted: streams use the
+    partials of ``streaming.aggregates``.
     """
     slot = F.window(F.col(ts_col), span.length)
     totals = rows.groupBy(span.key, slot.alias("slot")).agg(F.round(F.sum(value_col), 3).alias(span.total))

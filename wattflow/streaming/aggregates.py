@@ -1,18 +1,18 @@
-"""Windowed stream aggregates (ST3, ST4, ST9, ST10) in two forms.
+"""Windowed stream aggregates (ST3, ST4, ST9, ST10), all with state that the watermark evicts.
 
-* One-clock form (``plans.totals.window_totals``): windows of the measured clock,
-  watermark on the emitted clock, update mode. Results are right, but state is
-  never evicted (the window column carries no watermark), so it grows with the stream.
-* Two-clock form (evictable): group by a tick window of the watermarked
-  ``event_time`` plus the measured day / 6-hour block and the key. Append mode
-  emits each tick's partial exactly once and evicts it; the totals are a batch
-  roll-up of the partials (``roll_up``).
+Windows of the measured clock carry no watermark (that is on the emitted clock), so
+their own state would never go. Instead rows are grouped by a tick of the watermarked
+``event_time`` plus the measured day / 6-hour block and the key, and the totals are a
+batch roll-up of these partials (``roll_up``). Append mode emits each tick's partial
+once, when the watermark passes it; update mode (S7) emits it with every batch that
+changes it, and the last emission counts (``latest_partials``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..contract import TICK_SECONDS
 from ..functions.calendar import day_of, six_hour_block
@@ -67,12 +67,28 @@ def roll_up(partials: DataFrame, key: str, with_block: bool = True) -> DataFrame
     )
 
 
-def latest_emission(records: DataFrame, keys: list[str], stamp_cols: list[str]) -> DataFrame:
+def latest_partials(written: DataFrame, key: str, with_block: bool = True) -> DataFrame:
+    """The last emission of each partial that update mode re-emitted with ``batch_id``."""
+    groups = ["tick_start", "date", *(["block"] if with_block else []), key]
+    last = written.groupBy(*groups).agg(F.max_by(F.struct("partial", "n"), "batch_id").alias("_r"))
+    return last.select(*groups, "_r.*")
+
+
+def latest_emission(
+    records: DataFrame, keys: list[str], stamp_cols: list[str], stamp: str, span: str = "6 hours", delay: str = "6 hours"
+) -> DataFrame:
     """ST9 on a stream: the latest record per key by ``stamp_cols`` (update mode).
 
-    A ``max_by`` aggregate keeps one row of state per key; each micro-batch
-    emits the keys whose latest record changed.
+    A ``max_by`` aggregate keeps one row of state per key and ``span`` of ``stamp``, the
+    time column of a record's generation; each micro-batch emits the keys whose latest
+    record changed, and what lies ``delay`` behind the newest stamp is evicted. A key that
+    comes back later is emitted again: readers reduce by ``stamp_cols`` once more.
     """
     others = [c for c in records.columns if c not in keys]
-    latest = records.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*stamp_cols)).alias("_r"))
+    if isinstance(records.schema[stamp].dataType, T.TimestampNTZType):  # a watermark needs an instant: the wall clock read as UTC
+        clock = F.timestamp_seconds(F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(stamp)))
+    else:
+        clock = F.col(stamp)
+    timed = records.withColumn("_clock", clock).withWatermark("_clock", delay)
+    latest = timed.groupBy(F.window("_clock", span).alias("_slot"), *keys).agg(F.max_by(F.struct(*others), F.struct(*stamp_cols)).alias("_r"))
     return latest.select(*keys, "_r.*")

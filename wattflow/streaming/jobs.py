@@ -103,7 +103,7 @@ def state_partitions(spark: SparkSession, n: int | None = None):
 
 @dataclass
 class Run:
-    """What a job wrote, and the last state size and watermark its runs reported."""
+    """What a job wrote, and the last state size (rows) and watermark its runs reported."""
 
     written: DataFrame
     state_rows: int | None = None

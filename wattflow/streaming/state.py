@@ -1,11 +1,13 @@
-"""Custom per-key stream state (W4/W5/A26 stream form).
+"""Custom stream state (W4/W5/A26 stream form).
 
 The dashboard kept, per building, the newest N values in a bounded deque and
-plotted them against an arrival index. As a Structured Streaming operator this
-is per-key state holding (values seen, the newest N values); every micro-batch
-emits, for each key it touched, the arrival count and the total / count of the
-kept history. State per key is bounded by N; keys are hash-partitioned over
-tasks by the grouped-state operator.
+plotted them against an arrival index. As a Structured Streaming operator the
+state is held for each (key, salt): the rows of a key are dealt over SALTS states by
+a hash of their order columns, each state holds its row count and its newest N rows,
+and every micro-batch emits the states it touched. The newest N rows of the key are
+among the newest N of its states: ``merge_last_n`` reads them back together. A key
+with any share of the rows spreads over the state partitions, and state per key is
+bounded by salts * N rows.
 """
 
 from __future__ import annotations
@@ -14,42 +16,50 @@ from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from ..operators.windows import top_n_per_key
 
-def last_n_totals(
-    stream: DataFrame,
-    key: str,
-    value_col: str,
-    order_cols: Sequence[str],
-    n: int,
-) -> DataFrame:
-    """Update-mode rows ``(key, n_seen, kept_count, kept_total)`` per touched key.
+SALTS = 16
 
-    The kept values are the newest ``n`` by ``order_cols`` over all rows seen so
-    far: they are held with their order columns and merged with each Arrow chunk
-    of the group, so neither the chunks' nor the batches' order matters and a
-    task holds one chunk and ``n`` rows of a key at a time.
+
+def last_n_states(stream: DataFrame, key: str, value_col: str, order_cols: Sequence[str], n: int, salts: int = SALTS) -> DataFrame:
+    """Update-mode rows ``(key, salt, n_seen, order columns..., value)`` of each touched state, the kept rows as arrays.
+
+    The kept rows are the newest ``n`` by ``order_cols`` over all rows of the state so
+    far: they are merged with each Arrow chunk of the group, so neither the chunks' nor
+    the batches' order matters and a task holds one chunk and ``n`` rows at a time.
     """
     order = list(order_cols)
     fields = [*order, *([value_col] if value_col not in order else [])]
-    kinds = {c: stream.schema[c].dataType for c in [key, *fields]}
-    kept_schema = ", ".join(f"`{c}`: {'double' if c == value_col and c not in order else kinds[c].simpleString()}" for c in fields)
-    state_schema = f"n_seen long, kept array<struct<{kept_schema}>>"
-    out_schema = f"{key} {kinds[key].simpleString()}, n_seen long, kept_count int, kept_total double"
+    kinds = {c: stream.schema[c].dataType.simpleString() for c in [key, *fields]} | ({} if value_col in order else {value_col: "double"})
+    state_schema = "n_seen long, kept array<struct<" + ", ".join(f"`{c}`: {kinds[c]}" for c in fields) + ">>"
+    out_schema = f"`{key}` {kinds[key]}, salt int, n_seen long, " + ", ".join(f"`{c}` array<{kinds[c]}>" for c in fields)
 
     def update(keys, batches, state):
         n_seen, rows = state.get if state.exists else (0, [])
         kept = pd.DataFrame([tuple(r) for r in rows], columns=fields)
         for pdf in batches:
             n_seen += len(pdf)
-            new = pdf[fields].astype({value_col: "float64"})
+            new = pdf[fields].astype({value_col: "float64"} if value_col not in order else {})
             both = new if kept.empty else pd.concat([kept.astype(new.dtypes.to_dict()), new], ignore_index=True)
             kept = both.sort_values(order, kind="mergesort").tail(n)
         state.update((int(n_seen), list(kept.itertuples(index=False, name=None))))
-        total = float(kept[value_col].sum()) if len(kept) else 0.0
-        yield pd.DataFrame({key: [keys[0]], "n_seen": [int(n_seen)], "kept_count": [len(kept)], "kept_total": [total]})
+        yield pd.DataFrame({key: [keys[0]], "salt": [keys[1]], "n_seen": [int(n_seen)], **{c: [kept[c].tolist()] for c in fields}})
+
+    salt = F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int")
+    rows = stream.select(key, salt.alias("salt"), *[c for c in fields if c != key])
+    return rows.groupBy(key, "salt").applyInPandasWithState(update, out_schema, state_schema, "update", GroupStateTimeout.NoTimeout)
+
 
-    return stream.select(key, *[c for c in fields if c != key]).groupBy(key).applyInPandasWithState(
-        update, out_schema, state_schema, "update", GroupStateTimeout.NoTimeout
-    )
+def merge_last_n(written: DataFrame, key: str, value_col: str, order_cols: Sequence[str], n: int) -> DataFrame:
+    """``(key, n_seen, kept_count, kept_total)`` from the written states of ``last_n_states``: the last emission of each
+    (key, salt), then the newest ``n`` of each key among them."""
+    fields = [*order_cols, *([value_col] if value_col not in order_cols else [])]
+    last = written.groupBy(key, "salt").agg(F.max_by(F.struct("n_seen", *fields), "n_seen").alias("r")).select(key, "r.*")
+    seen = last.groupBy(key).agg(F.sum("n_seen").alias("n_seen"))
+    rows = last.select(key, F.explode(F.arrays_zip(*fields)).alias("x")).select(key, *[F.col(f"x.{c}").alias(c) for c in fields])
+    kept = top_n_per_key(rows, [key], [F.desc(c) for c in order_cols], n)
+    totals = kept.groupBy(key).agg(F.count(F.lit(1)).cast("int").alias("kept_count"), F.sum(value_col).alias("kept_total"))
+    return seen.join(totals, key)
