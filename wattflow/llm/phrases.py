@@ -42,12 +42,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattflow.operators.windows import top_n_per_key
+
 from .frames import keyed_join, stored
 from .textops import _BYTE_CODE, _LOWER, _prefix, mix64, slices, span_hash, with_newline
 
 LEAST, MOST = 2, 5
 LEAST_COUNT, LIMIT = 100, 2000
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 20
 NO_LANGUAGE = "und"
 
 _BREAK = np.zeros(256, dtype=bool)
@@ -309,6 +311,12 @@ def _numbered(rows: DataFrame, name: str) -> DataFrame:
     return placed.select(*rows.columns, (F.col("first") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).cast("int").alias("gid"))
 
 
+def _reaching(rows: DataFrame, key: list[str], least: int) -> DataFrame:
+    """Rows of the keys whose counts add up to ``least`` or more, with the sum ``f``; a key has at most one row a shard."""
+    total = F.sum("count").over(Window.partitionBy(*key))
+    return rows.withColumn("f", total).where(F.col("f") >= least).drop("count")
+
+
 def _meet(shards: DataFrame, known: DataFrame) -> DataFrame:
     """Each shard's sequence with the numbers that it may keep (at most one for each of its words)."""
     lists = known.groupBy("shard").agg(F.collect_list("known").alias("known"))
@@ -321,14 +329,15 @@ def count_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least
     shards = stored(plain.mapInArrow(_shards(shard_words), "shard long, seq binary, lang string, word string, count long, id int"), "phrase-shards")
     vocabulary = shards.where(F.col("seq").isNull())
     totals = stored(vocabulary.groupBy("lang").agg(F.sum("count").alias("n")), "phrase-totals")
-    often = vocabulary.groupBy("lang", "word").agg(F.sum("count").alias("f")).where(F.col("f") >= least)
-    words = stored(_numbered(often, "phrase-often"), "phrase-words")
-    known = keyed_join(vocabulary.select("lang", "word", "shard", "id"), words.select("lang", "word", "gid"), ["lang", "word"])
+    # a word has at most one row in each shard: its sum is taken where its rows meet, which moves them once
+    often = stored(_reaching(vocabulary.select("lang", "word", "shard", "id", "count"), ["lang", "word"], least), "phrase-often")
+    words = stored(_numbered(often.select("lang", "word", "f").distinct(), "phrase-numbers"), "phrase-words")
+    known = often.join(words.select("lang", "word", "gid").hint("merge"), ["lang", "word"])
     known = known.select("shard", _pair(F.col("id"), F.col("gid")).alias("known"))
     pairs = stored(_meet(shards, known).mapInArrow(_pairs, "shard long, seq binary, pair long, count long"), "phrase-pairs")
-    counted = pairs.where(F.col("seq").isNull())
-    two = stored(counted.groupBy("pair").agg(F.sum("count").alias("f")).where(F.col("f") >= least), "phrase-two")
-    known = keyed_join(counted.select("pair", "shard"), two.select("pair"), ["pair"]).select("shard", F.col("pair").alias("known"))
+    kept = stored(_reaching(pairs.where(F.col("seq").isNull()).select("pair", "shard", "count"), ["pair"], least), "phrase-kept")
+    two = kept.select("pair", "f").distinct()
+    known = kept.select("shard", F.col("pair").alias("known"))
     names = [f"w{i}" for i in range(1, most + 1)]
     longer = _meet(pairs, known).mapInArrow(_longer(most), ", ".join(f"{c} int" for c in names) + ", count long")
     longer = longer.groupBy(*names).agg(F.sum("count").alias("f")).where(F.col("f") >= least)
@@ -380,6 +389,5 @@ def collocations(
     best = cuts.groupBy("ws").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     phrase = F.concat_ws(" ", F.col("parts")["word"])
     rows = spelled.join(best, "ws").select("lang", phrase.alias("phrase"), F.col("f").alias("a"), "cut.l", "cut.r", "n", "cut.score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    rows = rows.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= limit)
-    return rows.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    rows = top_n_per_key(rows, ["lang"], [F.desc("score"), F.desc("a"), F.asc("phrase")], limit, rank_col="rank")
+    return rows.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
