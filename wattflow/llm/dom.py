@@ -38,9 +38,12 @@ TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
     r"|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/)?(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>",
+    # possessive: quotes that do not match up are read once, not in every way they could be paired
+    r"|<(?P<close>/)?(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>",
     re.S,
 )
+# a tag whose quotes swallow the rest of the page ends at its first ">"
+BROKEN = re.compile(r"<(?P<close>/)?(?P<name>[A-Za-z][^\s/>]*)(?P<rest>[^>]*)>(?P<cdata>)?", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -115,11 +118,11 @@ def read_page(page: str) -> list[Node]:
             break
         if lt > at:
             write(page[at:lt])
-        m = TOKEN.match(page, lt)
+        m = TOKEN.match(page, lt) or BROKEN.match(page, lt)
         if m is None:
             rest = page[lt + 1 : lt + 2]
             if rest.isalpha() or rest == "/":  # an unfinished tag at the end
-                if ">" not in page[lt:]:
+                if page.find(">", lt) < 0:
                     break
             write("<")
             at = lt + 1
