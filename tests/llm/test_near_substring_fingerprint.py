@@ -198,3 +198,56 @@ def test_empty(docs_of):
     assert near_dedup.classes(e).collect() == [] and near_dedup.keep_first(e).collect() == []
     assert substring_dedup.remove_repeats(e).collect() == []
     assert fingerprints.compare_edited(e).collect() == [] and fingerprints.fingerprint(e).collect() == []
+
+
+def test_pairs_across_range_ends_are_compared(spark, docs_of, words):
+    """Near copies in as many ranges as there are rows or so: none of their links is lost."""
+    base = words(60, 3)
+    rows = []
+    for i in range(90):
+        own = list(base) if i % 3 == 0 else words(60, 100 + i)
+        own[i % 60] = f"w{i}"
+        rows.append((i, " ".join(own), "s"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        got = {r.did: r.component_id for r in near_dedup.classes(docs_of(rows)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t, _ in rows}
+    root = {i: i for i in sets}
+    for i in sets:
+        for j in sets:
+            if i < j and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                a, b = sorted((root[i], root[j]))
+                root = {k: a if v == b else v for k, v in root.items()}
+    assert got == root and len(set(root.values())) < 70
+
+
+def test_short_lists_round_trip():
+    for values in ([5], [0, 1, 1, 4], [7, 300, 70_000, 5_000_000_000], [3, substring_dedup.LAST_ID], [-4, 0, 9]):
+        raw = substring_dedup._short(np.array(values, np.int64))
+        assert substring_dedup._long(raw).tolist() == values
+    assert len(substring_dedup._short(np.arange(10**9, 10**9 + 400))) == 9 + 399
+
+
+@pytest.mark.parametrize("budget", [3000, 40_000, 10**9])
+def test_id_bytes_stay_small_beside_labels(budget):
+    """From few to many groups: the ids of a chunk's messages stay under a tenth of its labels, and so do the ends."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    docs = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["doc_id", "text"]).slice(0, 3000)
+    span, prefixes = substring_dedup.SPAN, substring_dedup.PREFIXES
+    count = next(substring_dedup._count(span, prefixes)(iter([docs.combine_chunks().to_batches()[0]])))
+    counts = np.zeros((len(prefixes), substring_dedup.CELLS), np.int64)
+    counts[count.column("level").to_numpy(), count.column("cell").to_numpy()] = count.column("n").to_numpy()
+    routes = substring_dedup.Routes(counts, budget)
+    text = max(substring_dedup.CHUNK_TEXT, substring_dedup.MESSAGE_TEXT * routes.groups)
+    rows = max(1, text * 3000 // sum(len(t or "") for t in docs.column("text").to_pylist()))
+    table = pa.table({"did": docs.column("doc_id"), "text": docs.column("text").cast(pa.string()), "file": ["f"] * 3000, "row": list(range(3000)), "chunk": [i // rows for i in range(3000)]})
+    sent = list(substring_dedup._send(span, prefixes, routes)(iter(table.to_batches())))
+    size = {c: sum(sum(map(len, b.column(c).to_pylist())) for b in sent) for c in ("labels", "ends", "ids")}
+    assert max(size["ids"], size["ends"]) < 0.1 * size["labels"], (routes.groups, size)

@@ -5,8 +5,9 @@
 2. The forest: TREES sorted orders of the representatives, tree t by its own DEPTH
    signature values. In each order a document is compared with its WINDOW
    predecessors, those of longest common prefix; how deep that prefix is follows
-   the density of the region (at least MIN_DEPTH). A pair whose signatures agree
-   in ESTIMATE of their bytes is a candidate.
+   the density of the region (at least MIN_DEPTH). An order is sorted range by range;
+   the rows about the end of a range are compared once more, together with the first
+   of the next. A pair whose signatures agree in ESTIMATE of their bytes is a candidate.
 3. Candidates' connected components are *families*. Inside a family all pairs are
    compared on whole sets, not only the candidates, so a family loses no link.
    A family above BLOCK documents is dealt over blocks that also get the family's
@@ -16,7 +17,10 @@
 
 What can be lost is only a link whose ends share no family: a pair of similarity
 0.75 misses all orders with probability (1 - 0.75 ** 2) ** 16, about 2e-6, if its
-regions are sparse, and (1 - 0.75 ** 3) ** 16, about 2e-4, if they are dense.
+regions are sparse, and (1 - 0.75 ** 3) ** 16, about 2e-4, if they are dense. The
+sketch test is the same in all orders: at 0.75 fewer than 27 of 64 values agree with
+probability 1e-8. A region of more than WINDOW documents that all lie between the two
+in all 16 orders, and ranges of fewer than WINDOW rows, add to the dense case.
 
 Defined cases: null, empty and word-less texts have an empty set, are linked with
 nothing and kept; fewer words than a shingle make one shingle; rows that repeat an
@@ -31,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +44,7 @@ from .textops import Flat, mix64, slices, windows
 
 SHINGLE, SIMILARITY = 5, 75  # words; percent
 TREES, DEPTH, MIN_DEPTH = 16, 6, 2
-WINDOW, SKETCH, ESTIMATE = 16, 64, 0.5
+WINDOW, SKETCH, ESTIMATE = 16, 64, 0.42
 BLOCK = 128
 MATRIX_CELLS = 4 << 20
 
@@ -129,41 +134,76 @@ def _joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         lead = new
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+FOUND = "a long, b long, score long, edge int, key binary, sketch binary"
+
+
+def _neighbours(edges: bool):
     """Documents of a sorted order joined by pairs that lie within WINDOW, share a prefix and whose sketches agree;
-    a row (a, a) carries how much a document's sketch agrees with its neighbours'."""
+    a row (a, a) carries how much a document's sketch agrees with its neighbours'.
+
+    With ``edges`` the task's first and last WINDOW rows follow, filed under the end of the
+    range before it and of its own. Rows of another ``part`` (where there is one) start anew.
+    """
     width = 1 + 4 * DEPTH
     prefix = 1 + 4 * MIN_DEPTH
-    held = (np.zeros((0, width), np.uint8), np.zeros(0, np.int64), np.zeros((0, SKETCH), np.uint8))
-    for batch in batches:
-        for at in range(0, batch.num_rows, 8192):
-            part = batch.slice(at, 8192)
-            key = np.frombuffer(b"".join(part.column("key").to_pylist()), np.uint8).reshape(-1, width)
-            sketch = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
-            key, ids, sketch = (np.concatenate(x) for x in zip(held, (key, part.column("did").to_numpy(), sketch), strict=True))
-            fresh = len(held[1])
-            region = np.concatenate([[0], np.cumsum((key[1:, :prefix] != key[:-1, :prefix]).any(axis=1))]) if len(ids) else np.zeros(0, np.int64)
-            upper, lower = [], []
-            score = np.zeros(len(ids), np.int64)
-            for j in range(1, min(WINDOW, len(ids) - 1) + 1):
-                hit = np.flatnonzero(region[j:] == region[:-j]) + j
-                hit = hit[hit >= fresh]
-                if not len(hit):
-                    break  # no region is longer
-                agree = (sketch[hit] == sketch[hit - j]).sum(axis=1)
-                close = agree >= ESTIMATE * SKETCH
-                near = hit[close]
-                score[near] += agree[close]
-                score[near - j] += agree[close]
-                upper.append(near)
-                lower.append(near - j)
-            if upper:
-                lead = _joined(len(ids), np.concatenate(upper), np.concatenate(lower))
-                own, typical = np.flatnonzero(lead != np.arange(len(ids))), np.flatnonzero(score)
-                a, b = np.concatenate([ids[own], ids[typical]]), np.concatenate([ids[lead[own]], ids[typical]])
-                weight = np.concatenate([np.zeros(len(own), np.int64), score[typical]])
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(weight)], ["a", "b", "score"])
-            held = (key[-WINDOW:], ids[-WINDOW:], sketch[-WINDOW:])
+    names = ["a", "b", "score", "edge", "key", "sketch"]
+
+    def pairs(a, b, weight):
+        n = len(a)
+        empty = [pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())]
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(weight), *empty], names)
+
+    def filed(edge, key, ids, sketch):
+        n = len(ids)
+        raw = [pa.array([x.tobytes() for x in rows], pa.binary()) for rows in (key, sketch)]
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(np.full(n, edge, np.int32)), *raw], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = TaskContext.get().partitionId()
+        held = fresh_held = (np.zeros((0, width), np.uint8), np.zeros(0, np.int64), np.zeros((0, SKETCH), np.uint8))
+        part_of, first = None, None
+        for batch in batches:
+            parts = batch.column("part").to_numpy() if "part" in batch.schema.names else np.zeros(batch.num_rows, np.int32)
+            cuts = np.concatenate([[0], np.flatnonzero(parts[1:] != parts[:-1]) + 1, [batch.num_rows]]) if batch.num_rows else np.zeros(1, np.int64)
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if parts[lo] != part_of:
+                    held, part_of = fresh_held, parts[lo]
+                for at in range(lo, hi, 8192):
+                    part = batch.slice(at, min(8192, hi - at))
+                    key = np.frombuffer(b"".join(part.column("key").to_pylist()), np.uint8).reshape(-1, width)
+                    sketch = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+                    key, ids, sketch = (np.concatenate(x) for x in zip(held, (key, part.column("did").to_numpy(), sketch), strict=True))
+                    fresh = len(held[1])
+                    if edges and (first is None or len(first[1]) < WINDOW):
+                        rows = (key[fresh:], ids[fresh:], sketch[fresh:])
+                        first = rows if first is None else tuple(np.concatenate(x) for x in zip(first, rows, strict=True))
+                        first = tuple(x[:WINDOW] for x in first)
+                    region = np.concatenate([[0], np.cumsum((key[1:, :prefix] != key[:-1, :prefix]).any(axis=1))]) if len(ids) else np.zeros(0, np.int64)
+                    upper, lower = [], []
+                    score = np.zeros(len(ids), np.int64)
+                    for j in range(1, min(WINDOW, len(ids) - 1) + 1):
+                        hit = np.flatnonzero(region[j:] == region[:-j]) + j
+                        hit = hit[hit >= fresh]
+                        if not len(hit):
+                            break  # no region is longer
+                        agree = (sketch[hit] == sketch[hit - j]).sum(axis=1)
+                        close = agree >= ESTIMATE * SKETCH
+                        near = hit[close]
+                        score[near] += agree[close]
+                        score[near - j] += agree[close]
+                        upper.append(near)
+                        lower.append(near - j)
+                    if upper:
+                        lead = _joined(len(ids), np.concatenate(upper), np.concatenate(lower))
+                        own, typical = np.flatnonzero(lead != np.arange(len(ids))), np.flatnonzero(score)
+                        a, b = np.concatenate([ids[own], ids[typical]]), np.concatenate([ids[lead[own]], ids[typical]])
+                        yield pairs(a, b, np.concatenate([np.zeros(len(own), np.int64), score[typical]]))
+                    held = (key[-WINDOW:], ids[-WINDOW:], sketch[-WINDOW:])
+        if edges and first is not None:
+            yield filed(place - 1, *first)
+            yield filed(place, *held)
+
+    return run
 
 
 def linked_roots(sets: list[np.ndarray], ids: np.ndarray, percent: int = SIMILARITY) -> np.ndarray:
@@ -235,7 +275,12 @@ def families(signed: DataFrame) -> DataFrame:
     reps = signed.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("did").alias("did"), F.first("sign").alias("sign")).select("did", "sign")
     orders = stored(reps.mapInArrow(_orders, "key binary, did long, sketch binary"), "orders", compression="zstd")
     dealt = orders.repartitionByRange("key", "did").sortWithinPartitions("key", "did")
-    found = stored(dealt.mapInArrow(_neighbours, "a long, b long, score long"), "neighbours")
+    found = stored(dealt.mapInArrow(_neighbours(True), FOUND), "neighbours")
+    # at most 2 * WINDOW rows meet at the end of a range
+    ends = found.where("edge is not null").select(F.col("edge").alias("part"), F.col("a").alias("did"), "key", "sketch")
+    ends = ends.repartition("part").sortWithinPartitions("part", "key", "did")
+    across = ends.mapInArrow(_neighbours(False), FOUND).select("a", "b", "score")
+    found = stored(found.where("edge is null").select("a", "b", "score").unionByName(across), "candidates")
     roots = components(found.where("a <> b").select("a", "b"), "families")
     score = found.where("a = b").groupBy("a").agg(F.sum("score").alias("score"))
     return stored(roots.join(score, roots["node"] == score["a"], "left").select(F.col("node").alias("did"), F.col("root").alias("family"), "score"), "members")

@@ -12,8 +12,11 @@ repeats earlier text, and the union of repeated windows is the maximal repeats.
 What moves: texts are read where they lie, in chunks of rows of one file. A chunk
 sends to each group the 8-byte labels of its first occurrences (occurrences inside
 the chunk are settled there, so a passage costs one label a chunk however often it
-occurs) and gets one bit a label back; the chunk's texts are moved once, to meet the
-bits. Labels of different windows are equal with probability 2 ** -64.
+occurs), with the ids of just the documents that they stand in, and gets one bit a
+label back; the chunk's texts are moved once, to meet the bits. Chunks grow with the
+number of groups, so that a message stays about MESSAGE_TEXT of text and the messages
+grow with the table, not with chunks times groups. Labels of different windows are
+equal with probability 2 ** -64.
 
 Defined cases: a null text has no words; a text shorter than the window loses
 nothing; rows that repeat a doc_id are separate documents, earlier file row first;
@@ -39,7 +42,9 @@ SPAN = 20
 PREFIXES = (1, 3, 8, 20)  # words; the last is the window itself
 CELLS = 1 << 14
 GROUP_LABELS = 2_000_000  # labels that one task's subtrees hold
-CHUNK_TEXT = 1 << 20  # bytes of text in a chunk, on average
+CHUNK_TEXT, MOST_TEXT = 1 << 20, 1 << 26  # bytes of text in a chunk, on average: least, most
+MESSAGE_TEXT = 6 << 10  # bytes of text whose labels a chunk sends to one group, on average
+CHUNK_ROWS = 1 << 20  # rows of a chunk at most
 LAST_ID = np.iinfo(np.int64).max
 
 _U = np.uint64
@@ -97,6 +102,10 @@ class Routes:
                     self.fan[cell] = fan
                     at, filled = at + fan, 0
 
+    @property
+    def groups(self) -> int:
+        return int((self.group + 1).max(initial=0) + self.fan.max(initial=1) - 1)
+
     def of(self, cells: list[np.ndarray], label: np.ndarray) -> np.ndarray:
         out = np.full(len(label), -1, dtype=np.int32)
         for level, cell in enumerate(cells):
@@ -133,8 +142,20 @@ def _part(did: pa.Array, text: pa.Array, span: int, prefixes: tuple[int, ...], r
     return ids[order], order, flat, start, label, first, group, by_group
 
 
+def _short(values: np.ndarray) -> bytes:
+    """Rising numbers as the first one and their differences, in as few bytes each as the largest needs."""
+    step = np.diff(values).astype(np.uint64)
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or step.max(initial=0) < 1 << (8 * w))
+    return bytes([width]) + values[:1].astype("<i8").tobytes() + step.astype(f"<u{width}").tobytes()
+
+
+def _long(raw: bytes) -> np.ndarray:
+    first = np.frombuffer(raw, "<i8", 1, 1)
+    return np.cumsum(np.concatenate([first, np.frombuffer(raw, f"<u{raw[0]}", offset=9).astype(np.int64)]))
+
+
 def _send(span: int, prefixes: tuple[int, ...], routes: Routes):
-    names = ["group", "file", "chunk", "first_row", "n_rows", "labels", "rows", "ids"]
+    names = ["group", "file", "chunk", "first_row", "n_rows", "labels", "ends", "ids"]
 
     def emit(table: pa.Table) -> pa.RecordBatch | None:
         table = table.combine_chunks()
@@ -143,14 +164,20 @@ def _send(span: int, prefixes: tuple[int, ...], routes: Routes):
         if not len(group):
             return None
         row = np.searchsorted(flat.words_of, start[first], side="right") - 1
-        label, row, group = label[first][by_group], row[by_group].astype("<u2"), group[by_group]
-        edge = np.concatenate([[0], np.flatnonzero(group[1:] != group[:-1]) + 1, [len(group)]])
-        known = np.diff(ids, prepend=np.int64(0)).tobytes()
+        label, row, group = label[first][by_group], row[by_group], group[by_group]
+        other = group[1:] != group[:-1]
+        edge = np.concatenate([[0], np.flatnonzero(other) + 1, [len(group)]])
+        # rows rise inside a message: one id and one end for each document that has labels in it
+        begin = np.concatenate([[0], np.flatnonzero(other | (row[1:] != row[:-1])) + 1])
+        at = np.searchsorted(begin, edge)
+        owner, end = ids[row[begin]], np.append(begin[1:], len(group))
         n = len(edge) - 1
         head = [table.column(c)[0].as_py() for c in ("file", "chunk", "row")]
         cols = [pa.array(group[edge[:-1]]), *(pa.array([v] * n) for v in (*head, table.num_rows))]
-        cols += [pa.array([x[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary()) for x in (label, row)]
-        return pa.RecordBatch.from_arrays([*cols, pa.array([known] * n, pa.binary())], names)
+        cols.append(pa.array([label[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary()))
+        cols.append(pa.array([_short(end[i:j] - e) for i, j, e in zip(at[:-1], at[1:], edge[:-1], strict=True)], pa.binary()))
+        cols.append(pa.array([_short(owner[i:j]) for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary()))
+        return pa.RecordBatch.from_arrays(cols, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key = [], None
@@ -183,9 +210,9 @@ def _subtrees(table: pa.Table) -> pa.Table:
     """Of a group's labels flag every leaf of a deep node but the earliest; one bit mask for each chunk."""
     table = table.sort_by([("file", "ascending"), ("first_row", "ascending")])
     labels, owner = [], []
-    for label, row, ids in zip(*(table.column(c).to_pylist() for c in ("labels", "rows", "ids")), strict=True):
+    for label, end, ids in zip(*(table.column(c).to_pylist() for c in ("labels", "ends", "ids")), strict=True):
         labels.append(np.frombuffer(label, np.uint64))
-        owner.append(np.cumsum(np.frombuffer(ids, np.int64))[np.frombuffer(row, "<u2")])
+        owner.append(np.repeat(_long(ids), np.diff(_long(end), prepend=0)))
     sizes = [len(x) for x in labels]
     label, owner = np.concatenate(labels), np.concatenate(owner)
     del labels
@@ -282,12 +309,13 @@ def remove_repeats(
     for r in cells:
         counts[r["level"], r["cell"]] = r["n"]
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
-    per_chunk = int(max(1, min(60_000, CHUNK_TEXT * max(1, size["n"]) // max(1, size["b"]))))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     routes = Routes(counts, int(max(50_000, min(GROUP_LABELS, counts[0].sum() // (4 * parts) + 1))))
+    chunk_text = max(CHUNK_TEXT, min(MOST_TEXT, MESSAGE_TEXT * routes.groups))
+    per_chunk = int(max(1, min(CHUNK_ROWS, chunk_text * max(1, size["n"]) // max(1, size["b"]))))
     rows = rows.withColumn("chunk", F.floor(F.col("row") / per_chunk))
     sent = rows.mapInArrow(
-        _send(span, prefixes, routes), "group int, file string, chunk long, first_row long, n_rows long, labels binary, rows binary, ids binary"
+        _send(span, prefixes, routes), "group int, file string, chunk long, first_row long, n_rows long, labels binary, ends binary, ids binary"
     )
     bits = sent.groupBy("group").applyInArrow(_subtrees, "file string, chunk long, first_row long, n_rows long, group int, mask binary")
     bits = stored(bits, "repeat-bits")
