@@ -62,6 +62,49 @@ def test_mix_targets_and_takes(docs_of, words):
     assert sorted((r.did, r.copies) for r in again) == sorted((r.did, r.copies) for r in out)
 
 
+def plain_fill(rows, want):
+    """Documents (rank order) taken in rounds as far as they fit, then one that brings the source nearer."""
+    out, gap = set(), want
+    for _ in range(mixing.ROUNDS):
+        upto, took = 0, 0
+        for i, n in rows:
+            if i not in out and n <= gap:
+                upto += n
+                if upto > gap:
+                    break
+                took += n
+                out.add(i)
+        gap -= took
+        if not took:
+            break
+    near = [i for i, n in rows if i not in out and n <= 2 * gap]
+    return out | set(near[:1])
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_one_huge_text_does_not_spoil_the_target(docs_of, words, seed):
+    """A 6,000-word text among 100 of 40 words: the words taken lie within one small text of the target."""
+    rows = [(i, " ".join(words(40, i)), "a") for i in range(100)] + [(100, " ".join(words(6000, 5)), "a"), (200, " ".join(words(20_000, 7)), "b")]
+    out = mixing.mix(docs_of(rows), seed=seed, share=0.75, weights=(1.0, 1.0)).collect()
+    taken = sum(r.copies * r.size for r in out if r.source == "a")
+    target = next(r.target for r in out if r.source == "a")
+    assert abs(taken - target) <= 40 and all(r.copies <= 2 for r in out)
+    assert {r.did: r.copies for r in mixing.mix(docs_of(rows, parts=6), seed=seed, share=0.75, weights=(1.0, 1.0)).collect()} == {r.did: r.copies for r in out}
+
+
+def test_rounds_match_plain_fill(spark, docs_of, words):
+    rows = [(i, " ".join(words([3, 900, 40, 7, 150][i % 5] + i % 11, i)), "a") for i in range(120)]
+    total = sum(len(t.split()) for _, t, _ in rows)
+    out = mixing.mix(docs_of(rows), share=0.37).collect()
+    share = 0.37
+    rank = {}
+    for r in docs_of(rows).select("doc_id", mixing.drawn("doc_id", "text", mixing.SEED).alias("x")).collect():
+        u = (r.x + 0.5) / (1 << 40)
+        rank[r.doc_id] = u * (1 - share) / ((1 - u) * share)
+    order = sorted(((i, len(t.split())) for i, t, _ in rows), key=lambda x: (rank[x[0]], x[0]))
+    assert {r.did for r in out if r.copies} == plain_fill(order, share * total)
+
+
 def test_mixed_rows_follow_copies(docs_of, words):
     rows = make_docs(words) + [(1000, "same same", "b")] * 7
     docs = docs_of(rows).withColumnRenamed("lang", "k").withColumnRenamed("n_chars", "row")

@@ -63,7 +63,7 @@ def test_verdicts_match_plain_version(docs_of, rows):
         lost = sum(len(x.split(" ")) for x in map(fold, (t or "").split("\n")) if x and (s, x) in often)
         failed = n < 50 or 100 * rep > 50 * n
         want.add((i, lost, failed, not failed and 100 * lost <= depleted * n))
-    out = quality.judge(docs_of(rows), ratio=ratio, least=least, depleted_percent=depleted).collect()
+    out = quality.judge(docs_of(rows), ratio=ratio, least=least, depleted_percent=depleted, near_copies=False).collect()
     assert len(out) == len(rows)
     assert {(r.did, r.n_line_words, r.base_failed, r.kept) for r in out} == want
     assert {r.kept for r in out if 300 <= r.did < 345} == {False}
@@ -72,7 +72,7 @@ def test_verdicts_match_plain_version(docs_of, rows):
 
 def test_keep_good_passes_columns(spark, docs_of, rows):
     docs = docs_of(rows).withColumnRenamed("lang", "did").withColumnRenamed("n_chars", "rid")
-    out = quality.keep_good(docs)
+    out = quality.keep_good(docs, ratio=0.2, least=20, near_copies=False)
     assert out.columns == docs.columns
     assert sorted(r.doc_id for r in out.collect()) == sorted([*range(100, 160), *[500] * 50])
 
@@ -89,7 +89,7 @@ def test_line_dedup_matches_plain_version(docs_of, rows):
         lines = (t or "").split("\n")
         kept = [x for x in lines if (s, fold(x)) not in often]
         want[i, t if len(kept) == len(lines) else "\n".join(kept), len(lines) - len(kept) if t else 0] += 1
-    out = line_dedup.drop_boilerplate(docs_of(rows), ratio=0.1, least=4)
+    out = line_dedup.drop_boilerplate(docs_of(rows), ratio=0.1, least=4, near_copies=False)
     assert Counter((r.row.doc_id, r.text, r.n_removed) for r in out.collect()) == want
     assert any(k[2] for k in want)
 

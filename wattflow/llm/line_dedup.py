@@ -2,9 +2,9 @@
 
 Pages are grouped by host; a line whose share of the host's pages exceeds the
 boilerplate ratio is dropped from every page of that host. The share counts
-distinct page texts, so a host full of copies of one page does not turn that
-page into boilerplate; with ``near_copies`` a family of near copies counts as one
-page, so a host full of them does not either.
+distinct page texts, and a family of near copies (unless ``near_copies`` is off) as
+one page that holds a line, so a host full of copies of one page, exact or near, does
+not turn that page into boilerplate.
 
 Defined cases: a null text stays null; a null host is a host of its own; lines
 without a word are never boilerplate; a text with no dropped line is returned
@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .frames import keyed_join, stored, text_key
-from .quality import _group_sizes, frequent_lines, one_per_family
+from .quality import _group_sizes, frequent_lines
 from .textops import Flat, list_column, mix64, slices, span_of_words
 
-BOILERPLATE_RATIO, MIN_PAGES = 0.10, 4
+BOILERPLATE_RATIO, MIN_PAGES = 0.01, 4  # see quality.HOST_RATIO
 
 LINES = "did long, rid long, host long, doc_hash long, line_hash array<long>"
 
@@ -82,18 +82,17 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, ["row", "text", "n_removed"])
 
 
-def boilerplate(docs: DataFrame, doc_id: str, text: str, host: str, ratio: float, least: int, near_copies: bool = False) -> tuple[DataFrame, DataFrame]:
+def boilerplate(docs: DataFrame, doc_id: str, text: str, host: str, ratio: float, least: int, near_copies: bool = True) -> tuple[DataFrame, DataFrame]:
     """(lines of every page, (host, line) above the ratio)."""
     plain = docs.select(F.col(doc_id).alias("did"), F.col(text).alias("text"), F.col(host).alias("host"))
     keyed = plain.select("did", text_key("host", "text").alias("rid"), text_key("host").alias("host"), text_key("text").alias("doc_hash"), "text")
     lines = stored(keyed.mapInArrow(_lines, LINES), "page-lines")
-    counted = one_per_family(lines, docs, text) if near_copies else lines
-    return lines, stored(frequent_lines(counted, ratio, least), "boilerplate")
+    return lines, frequent_lines(lines, docs if near_copies else None, ratio, least, text)
 
 
 def drop_boilerplate(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", ratio: float = BOILERPLATE_RATIO, least: int = MIN_PAGES,
-    near_copies: bool = False,
+    near_copies: bool = True,
 ) -> DataFrame:
     """Columns ``row`` (the input row), ``text`` (rewritten), ``n_removed`` (lines dropped)."""
     lines, often = boilerplate(docs, doc_id, text, host, ratio, least, near_copies)

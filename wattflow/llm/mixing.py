@@ -7,15 +7,22 @@ uniform from a hash of the document, and the documents of smallest rank are take
 until the source's words are reached: a fixed-size sample, unequal between
 sources, that reruns reproduce.
 
-The cut is found without sorting a source in one place: ranks fall into BUCKETS
-cells per source, cells below the cut are taken whole, and only the cell at the
-cut is ordered document by document.
+A source is filled in rounds. In each, the documents that are still out and no larger
+than the gap are taken in rank order as far as they fit; one that does not fit is larger
+than the gap it leaves, so the next round passes it over and goes on behind it. After ROUNDS
+rounds, or when none takes anything, one more document may close the gap if that brings
+the source nearer to its target.
+
+The cut of a round is found without sorting a source in one place: ranks fall into
+BUCKETS cells per source, cells below the cut are taken whole, and only the cell at the
+cut is ordered document by document. What a round took is one gap and one last place for
+each source, so no row is rewritten.
 
 Defined cases: a null text has size 0; a null source is a source of its own, after
 all others; sources with no words get target 0; rows of size 0 are taken no words;
-rows with equal id and text tie and are taken in any order, which gives the same
-rows; columns other than the three named are not looked at; an empty table gives
-an empty result.
+rows with equal id and text tie and are taken in any order, which gives the same rows; a
+text of any length is one document; columns other than the three named are not looked
+at; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,6 +35,7 @@ from .frames import keyed_join, stored, text_key
 WEIGHTS = (3.0, 1.0, 2.0)  # fixed values, repeating over the sources by code point
 SHARE, MOST_COPIES = 1.5, 2.0
 BUCKETS = 4096
+ROUNDS = 6
 WORD = r"[^\x20\x09-\x0D]+"
 SEED = 2026
 
@@ -73,6 +81,7 @@ def mix(
         plain.select(
             "did", "source", text_key("source").alias("skey"), text_key("source", "text").alias("rid"),
             F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"), drawn("did", "text", seed).alias("draw"),
+            F.monotonically_increasing_id().alias("place"),
         ),
         "sizes",
     )
@@ -86,23 +95,51 @@ def mix(
     # rank / (1 + rank) grows with the rank and lies in (0, 1)
     rows = rows.withColumn("cell", F.when(F.col("p") > 0, F.floor(F.col("rank") / (1 + F.col("rank")) * BUCKETS).cast("int")))
     rows = stored(rows, "ranked")
-    cells = rows.where("cell is not null and size > 0").groupBy("skey", "cell").agg(F.sum("size").alias("words"), F.first("p").alias("p"))
-    before = Window.partitionBy("skey").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.withColumn("below", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    wanted = plan.select("skey", (F.col("target") - F.floor(F.col("target") / F.greatest("source_size", F.lit(1))) * F.col("source_size")).alias("want"))
-    cells = stored(cells.join(wanted, "skey").withColumn("full", F.col("below") + F.col("words") <= F.col("want")), "cells")
-    # whole cells under the cut are one number per source: the first cell that does not fit
-    cut = cells.where("not full").groupBy("skey").agg(F.min(F.struct("cell", "below", "want")).alias("c")).select("skey", "c.cell", "c.below", "c.want")
-    cut = plan.select("skey").join(cut.withColumnRenamed("cell", "cut"), "skey", "left")
-    cut = stored(cut.select("skey", F.coalesce("cut", F.lit(BUCKETS)).alias("cut"), "below", "want"), "cut")
-    rows = keyed_join(rows, cut, ["skey"])
-    in_cell = Window.partitionBy("skey").orderBy("rank", "did", "rid").rowsBetween(Window.unboundedPreceding, -1)
-    edge = rows.where("cell = cut and size > 0").withColumn("at", F.col("below") + F.coalesce(F.sum("size").over(in_cell), F.lit(0)))
-    edge = edge.withColumn("more", (F.col("at") + F.col("size") / 2 <= F.col("want")).cast("long"))
-    rest = rows.where("not (cell <=> cut and size > 0)").withColumn("more", F.coalesce(F.col("cell") < F.col("cut"), F.lit(False)).cast("long"))
-    cols = ["did", "rid", "source", "size", "source_size", "target"]
-    pick = [*cols, (F.col("whole") + F.col("more")).alias("copies")]
-    return edge.select(*pick).unionByName(rest.select(*pick))
+    want = F.col("target") - F.floor(F.col("target") / F.greatest("source_size", F.lit(1))) * F.col("source_size")
+    filled, last = _fill(rows, plan.select("skey", want.alias("gap0")))
+    rows = keyed_join(rows, filled, ["skey"])
+    more = F.coalesce((F.col("size") > 0) & F.col("cell").isNotNull() & (_taken(last) | (_key() == F.col("closing"))), F.lit(False))
+    return rows.select("did", "rid", "source", "size", "source_size", "target", (F.col("whole") + more.cast("long")).alias("copies"))
+
+
+def _key() -> Column:
+    """Place of a row in its source's order; the last part tells repeated rows apart."""
+    return F.struct("rank", F.coalesce("did", F.lit(-(1 << 63))).alias("did"), "rid", "place")
+
+
+def _taken(rounds: int) -> Column:
+    """Whether one of the first rounds took the row: no larger than the round's gap, not behind its last place."""
+    out = F.lit(False)
+    for r in range(rounds):
+        out = out | F.coalesce((F.col("size") <= F.col(f"gap{r}")) & (_key() <= F.col(f"cut{r}")), F.lit(False))
+    return out
+
+
+def _fill(rows: DataFrame, state: DataFrame) -> tuple[DataFrame, int]:
+    """(skey, gap0, cut0, gap1, ..., closing), rounds: what each round took of each source, and the document that closes the gap."""
+    open_rows = rows.where("cell is not null and size > 0").select("skey", "cell", "rank", "did", "rid", "place", "size")
+    state = stored(state, "mix-gaps")
+    r = 0
+    while r < ROUNDS:
+        gap = F.col(f"gap{r}")
+        left = keyed_join(open_rows, state, ["skey"]).where(~_taken(r) & (F.col("size") <= gap)).select("skey", "cell", "size", _key().alias("key"), gap.alias("gap"))
+        cells = left.groupBy("skey", "cell", "gap").agg(F.sum("size").alias("words"), F.max("key").alias("key"))
+        up = Window.partitionBy("skey").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        cells = stored(cells.withColumn("below", F.coalesce(F.sum("words").over(up), F.lit(0))), "mix-cells")
+        whole = cells.where("below + words <= gap").groupBy("skey").agg(F.max("key").alias("k1"), F.sum("words").alias("w1"))
+        edge = cells.where("below <= gap and below + words > gap").select("skey", "cell", "below")
+        within = Window.partitionBy("skey").orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        fits = left.join(edge, ["skey", "cell"]).withColumn("upto", F.col("below") + F.sum("size").over(within)).where("upto <= gap")
+        fits = fits.groupBy("skey").agg(F.max("key").alias("k2"), F.sum("size").alias("w2"))
+        took = (F.coalesce("w1", F.lit(0)) + F.coalesce("w2", F.lit(0))).alias("took")
+        state = state.join(whole, "skey", "left").join(fits, "skey", "left")
+        state = stored(state.select(*[c for c in state.columns if c not in ("k1", "w1", "k2", "w2", "took")], F.coalesce("k2", "k1").alias(f"cut{r}"), (gap - took).alias(f"gap{r + 1}"), took), "mix-gaps")
+        r += 1
+        if state.where("took > 0").isEmpty():
+            break
+    left = keyed_join(open_rows, state, ["skey"]).where(~_taken(r) & (F.col("size") <= 2 * F.col(f"gap{r}")))
+    closing = left.groupBy("skey").agg(F.min(_key()).alias("closing"))
+    return stored(state.drop("took").join(closing, "skey", "left"), "mix-filled"), r
 
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED, **shares) -> DataFrame:

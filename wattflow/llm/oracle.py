@@ -28,16 +28,32 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n,
 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
 """
 
-# lines with a word, folded, and the lines that too many distinct texts of a host hold
+def _near(docs: str) -> str:
+    """Classes of near copies (comp: doc_id, component_id) of the documents in ``docs``."""
+    return f"""nw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_ABC}), '{_CLASS}') AS ws FROM documents WHERE doc_id IN (SELECT doc_id FROM {docs})),
+sh AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 4], ' ') END AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM nw WHERE len(ws) > 0)),
+shsize AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+both_ AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT x, y FROM both_ JOIN shsize p ON p.doc_id = x JOIN shsize q ON q.doc_id = y WHERE 100 * k >= 75 * (p.n + q.n - k)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM nw UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x),
+comp AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY 1)"""
+
+
+# lines with a word, folded; those that too many distinct texts of a host hold; of them those that too many families hold
 _LINES = f"""
 raw AS (SELECT doc_id, source, text, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM documents),
 lines AS (SELECT *, {_LINE} AS folded FROM raw),
 hosts AS (SELECT source, count(DISTINCT coalesce(text, chr(0))) AS n_host FROM documents GROUP BY 1),
-often AS (SELECT source, folded FROM (SELECT source, folded, count(DISTINCT text) AS n FROM lines WHERE folded <> '' GROUP BY 1, 2)
-  JOIN hosts USING (source) WHERE n > {{least}} AND n > {{ratio}} * n_host)"""
+maybe AS (SELECT source, folded, n_host FROM (SELECT source, folded, count(DISTINCT text) AS n FROM lines WHERE folded <> '' GROUP BY 1, 2)
+  JOIN hosts USING (source) WHERE n > {{least}} AND n > {{ratio}} * n_host),
+held AS (SELECT DISTINCT source, folded, n_host, doc_id FROM lines JOIN maybe USING (source, folded)),
+{_near('held')},
+often AS (SELECT source, folded FROM held JOIN comp USING (doc_id) GROUP BY source, folded, n_host
+  HAVING count(DISTINCT component_id) > {{least}} AND count(DISTINCT component_id) > {{ratio}} * n_host)"""
 
 QUALITY = f"""
-WITH w AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_CLASS}') AS ws FROM documents),
+WITH RECURSIVE w AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_CLASS}') AS ws FROM documents),
 {_LINES.format(least=quality.MIN_DOCUMENTS, ratio=quality.HOST_RATIO)},
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines WHERE folded <> '' GROUP BY 1),
 lost AS (SELECT doc_id, sum(len(regexp_extract_all(line, '{_CLASS}'))) AS n FROM lines SEMI JOIN often USING (source, folded) GROUP BY 1),
@@ -54,7 +70,7 @@ FROM base
 """
 
 LINE_DEDUP = f"""
-WITH {_LINES.format(least=line_dedup.MIN_PAGES, ratio=line_dedup.BOILERPLATE_RATIO)},
+WITH RECURSIVE {_LINES.format(least=line_dedup.MIN_PAGES, ratio=line_dedup.BOILERPLATE_RATIO)},
 kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM lines ANTI JOIN often USING (source, folded) GROUP BY 1),
 total AS (SELECT doc_id, count(*) AS n FROM lines GROUP BY 1)
 SELECT d.doc_id, d.source, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text, total.n - coalesce(kept.n, 0) AS n_removed
@@ -62,19 +78,20 @@ FROM documents d JOIN total ON d.doc_id = total.doc_id LEFT JOIN kept ON d.doc_i
 """
 
 NEAR = f"""
-WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_ABC}), '{_CLASS}') AS ws FROM documents),
-sh AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 4], ' ') END AS s
-  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
-size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
-both_ AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-link AS (SELECT x, y FROM both_ JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y WHERE 100 * k >= 75 * (p.n + q.n - k)),
-reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x),
-comp AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY 1)
-SELECT comp.doc_id, coalesce(size.n, 0) AS n_shingles, component_id, comp.doc_id = component_id AS kept FROM comp LEFT JOIN size ON comp.doc_id = size.doc_id
+WITH RECURSIVE {_near('documents')}
+SELECT comp.doc_id, coalesce(shsize.n, 0) AS n_shingles, component_id, comp.doc_id = component_id AS kept FROM comp LEFT JOIN shsize ON comp.doc_id = shsize.doc_id
 """
 
 _W = ", ".join(str(x) for x in mixing.WEIGHTS)
 
+
+def _round(r: int) -> str:
+    """One round of filling: what is still out and no larger than the gap, in rank order, as far as it fits."""
+    fits = "NOT more AND size <= gap"
+    return f"""e{r} AS (SELECT *, CASE WHEN {fits} THEN sum(CASE WHEN {fits} THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY rank, doc_id) END AS upto FROM k{r - 1}),
+k{r} AS (SELECT source, doc_id, text, size, rank, gap - coalesce(sum(size) FILTER (WHERE upto <= gap) OVER (PARTITION BY source), 0) AS gap, more OR coalesce(upto <= gap, FALSE) AS more FROM e{r}),"""
+
+
 MIXING = f"""
 WITH RECURSIVE d AS (SELECT doc_id, source, coalesce(text, '') AS text, CAST(len(regexp_extract_all(coalesce(text, ''), '{_CLASS}')) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1 AS i FROM d GROUP BY 1),
@@ -86,35 +103,10 @@ t AS (SELECT source, source_size, CASE WHEN is_capped THEN cap ELSE (budget - co
 o AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS owed FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 q AS (SELECT *, CAST(floor(owed) AS BIGINT) AS whole, owed - floor(owed) AS p,
   (CAST('0x' || substr(md5(concat_ws('|', '{mixing.SEED}', coalesce(CAST(doc_id AS VARCHAR), ''), md5(text))), 1, 10) AS BIGINT) + 0.5) / 1099511627776.0 AS u FROM o),
-k AS (SELECT *, u * (1 - p) / ((1 - u) * p) AS rank FROM q WHERE p > 0),
-a AS (SELECT doc_id, text, coalesce(sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2
-  <= target - floor(target / greatest(source_size, 1)) * source_size AS more FROM k WHERE size > 0)
-SELECT q.doc_id, q.size, q.source_size, q.target, CAST((q.whole + coalesce(a.more, FALSE)::INT) * q.size AS BIGINT) AS taken, q.source
-FROM q LEFT JOIN a ON q.doc_id = a.doc_id
-"""
-
-NEIGHBOURS = f"""
-WITH v AS (SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
-  AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
-both_ AS (SELECT q.vec_id AS query_id, o.vec_id, list_cosine_similarity(q.v, o.v) AS score FROM v q JOIN v o ON q.vec_id <> o.vec_id WHERE q.vec_id % 50 = 0)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
-FROM both_ QUALIFY rank <= {vantage.NEIGHBOURS}
-"""
-
-PHRASES = f"""
-WITH w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM (
-  SELECT coalesce(lang, '{phrases.NO_LANGUAGE}') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), {_ABC}), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
-n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY 1),
-g AS (SELECT lang, ws[i:i + k - 1] AS ws FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (SELECT unnest(range(1, {phrases.MOST} + 1)) AS k) WHERE len(ws) >= k)),
-f AS (SELECT lang, ws, count(*) AS f FROM g GROUP BY 1, 2),
-c AS (SELECT lang, ws, f AS a FROM f WHERE len(ws) >= {phrases.LEAST} AND f >= {phrases.LEAST_COUNT}),
-part AS (SELECT lang, a, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM (SELECT lang, ws, a, unnest(range({phrases.LEAST}, len(ws))) AS k FROM c)),
-inside AS (SELECT lang, ws[i:i + k - 1] AS ws, max(a) AS longest FROM part GROUP BY 1, 2),
-kept AS (SELECT c.* FROM c LEFT JOIN inside ON c.lang = inside.lang AND c.ws = inside.ws WHERE longest IS NULL OR 100 * longest < 100 * a),
-cut AS (SELECT lang, ws, a, unnest(range(1, len(ws))) AS k FROM kept),
-scored AS (SELECT cut.lang, cut.ws, cut.k, cut.a, x.f AS l, y.f AS r, n.n, CAST((CAST(1000 AS HUGEINT) * cut.a * n.n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
-  FROM cut JOIN n ON n.lang = cut.lang JOIN f x ON x.lang = cut.lang AND x.ws = cut.ws[:cut.k] JOIN f y ON y.lang = cut.lang AND y.ws = cut.ws[cut.k + 1:]),
-best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1)
-SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(ws, ' '))) AS rank, array_to_string(ws, ' ') AS phrase, a, l, r, n, score
-FROM best QUALIFY rank <= {phrases.LIMIT}
-"""
+k0 AS (SELECT source, doc_id, text, size, u * (1 - p) / ((1 - u) * p) AS rank, target - floor(target / greatest(source_size, 1)) * source_size AS gap, FALSE AS more
+  FROM q WHERE p > 0 AND size > 0),
+{{rounds}}
+z AS (SELECT doc_id, text, more OR (NOT more AND size <= 2 * gap AND row_number() OVER (PARTITION BY source ORDER BY NOT more AND size <= 2 * gap DESC, rank, doc_id) = 1) AS more FROM k{mixing.ROUNDS})
+SELECT q.doc_id, q.size, q.source_size, q.target, CAST((q.whole + coalesce(z.more, FALSE)::INT) * q.size AS BIGINT) AS taken, q.source
+FROM q LEFT JOIN z ON q.doc_id = z.doc_id
+""".replace("{rounds}", "\n".join(_round(r) for r in range(1, mixing.ROUNDS + 1)))

@@ -5,9 +5,9 @@ each host, lines above the host's limit are boilerplate, and a document that has
 little left without them is rejected. Base rules on the document alone come first.
 
 Defined cases: a null text counts as empty and fails the base rules (under 50
-words); a null host is a host of its own; exact copies count as one document, so
-copies never make their own lines frequent (with ``near_copies`` neither do near
-copies, which then count as one document); repeated rows get equal verdicts;
+words); a null host is a host of its own; exact copies count as one document, and
+near copies (unless ``near_copies`` is off) as one document that holds a line, so
+copies never make their own lines frequent; repeated rows get equal verdicts;
 columns other than the three named ones are not looked at; an empty table gives
 an empty result.
 """
@@ -27,7 +27,8 @@ from .textops import Flat, list_column, mix64, slices, span_hash, span_of_words,
 
 SYMBOLS = b"#*$%&|<>"  # fixed value of the base rules
 MIN_WORDS, REPEAT_PERCENT = 50, 50  # fixed values of the base rules
-HOST_RATIO, MIN_DOCUMENTS, DEPLETED_PERCENT = 0.20, 20, 70
+# lines repeated on purpose lie at 1 to 13 % of a source's texts on the given tables; the floor is against chance
+HOST_RATIO, MIN_DOCUMENTS, DEPLETED_PERCENT = 0.01, 4, 70
 
 PROFILE = (
     "did long, rid long, host long, doc_hash long, n_words long, word_chars long, n_symbols long, "
@@ -119,25 +120,30 @@ def line_profile(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ho
     return stored(keyed.mapInArrow(_profile, PROFILE), "line-profile")
 
 
-def one_per_family(profile: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
-    """``profile`` with equal ``doc_hash`` for near copies; texts without a word stay as they are.
+def frequent_lines(profile: DataFrame, docs: DataFrame | None, ratio: float, least: int, text: str = "text") -> DataFrame:
+    """(host, line, n_docs): lines that more than ``max(least, ratio * distinct texts of the host)`` documents hold; stored.
 
-    Texts stand for themselves here, so rows without an id have a family too.
+    With ``docs`` a family of near copies counts as one document. A line of too few
+    distinct texts cannot have more families, so only texts that hold a line above
+    the limits are compared, each distinct one once.
     """
-    texts = docs.select(F.col(text).alias("text")).select(text_key("text").alias("doc_hash"), "text")
-    found = near_dedup.classes(texts, "doc_hash", "text").where("did <> component_id")
-    family = stored(found.select(F.col("did").alias("doc_hash"), F.col("component_id").alias("family")).distinct(), "text-families")
-    joined = keyed_join(profile, family, ["doc_hash"], "left")
-    return joined.withColumn("doc_hash", F.coalesce("family", "doc_hash")).drop("family").select(*profile.columns)
-
-
-def frequent_lines(profile: DataFrame, ratio: float, least: int) -> DataFrame:
-    """(host, line, n_docs): lines held by more than ``max(least, ratio * documents of the host)`` distinct documents."""
     lines = profile.select("host", "doc_hash", F.explode("line_hash").alias("line"))
     counts = lines.groupBy("host", "line").agg(F.countDistinct("doc_hash").alias("n_docs")).where(F.col("n_docs") > least)
     totals = stored(profile.groupBy("host").agg(F.countDistinct("doc_hash").alias("n_host")), "host-totals")
-    counts = stored(counts, "line-counts")
-    return keyed_join(counts, totals, ["host"]).where(F.col("n_docs") > ratio * F.col("n_host")).select("host", "line", "n_docs")
+    often = keyed_join(stored(counts, "line-counts"), totals, ["host"]).where(F.col("n_docs") > ratio * F.col("n_host"))
+    often = stored(often.select("host", "line", "n_docs", "n_host"), "often-lines")
+    if docs is None:
+        return often.drop("n_host")
+    held = stored(keyed_join(lines, often.select("host", "line", "n_host"), ["host", "line"]), "often-holders")
+    few = held.select("doc_hash").distinct()
+    # texts stand for themselves, so rows without an id have a family too
+    texts = docs.select(F.col(text).alias("text")).select(text_key("text").alias("doc_hash"), "text")
+    texts = stored(texts.join(few, "doc_hash", "left_semi").dropDuplicates(["doc_hash"]), "holder-texts", compression="zstd")
+    found = near_dedup.classes(texts, "doc_hash", "text").where("did <> component_id")
+    family = stored(found.select(F.col("did").alias("doc_hash"), F.col("component_id").alias("family")).distinct(), "text-families")
+    counted = keyed_join(held, family, ["doc_hash"], "left").withColumn("one", F.coalesce("family", "doc_hash"))
+    counted = counted.groupBy("host", "line").agg(F.countDistinct("one").alias("n_docs"), F.first("n_host").alias("n_host"))
+    return stored(counted.where((F.col("n_docs") > least) & (F.col("n_docs") > ratio * F.col("n_host"))).select("host", "line", "n_docs"), "frequent-lines")
 
 
 def judge(
@@ -148,15 +154,14 @@ def judge(
     ratio: float = HOST_RATIO,
     least: int = MIN_DOCUMENTS,
     depleted_percent: int = DEPLETED_PERCENT,
-    near_copies: bool = False,
+    near_copies: bool = True,
 ) -> DataFrame:
     """Verdict of every row: base counts, words in frequent lines, ``base_failed``, ``kept``; ``did``/``rid`` name the row.
 
-    With ``near_copies`` a family of near copies counts as one document of its host.
+    With ``near_copies`` a family of near copies counts as one document that holds a line.
     """
     profile = line_profile(docs, doc_id, text, host)
-    counted = one_per_family(profile, docs, text) if near_copies else profile
-    often = stored(frequent_lines(counted, ratio, least), "frequent-lines")
+    often = frequent_lines(profile, docs if near_copies else None, ratio, least, text)
     lines = profile.select("did", "rid", "host", F.explode(F.arrays_zip("line_hash", "line_words")).alias("l"))
     lines = lines.select("did", "rid", "host", F.col("l.line_hash").alias("line"), F.col("l.line_words").alias("words"))
     # repeated rows share (did, rid): their lines are equal, so the larger of equal values is taken per line
