@@ -10,6 +10,7 @@ from ..functions import calendar as cal
 from ..ml import pipelines as ML
 from ..operators.joins import fan_out_buildings
 from ..operators.season import lookup_season, month_labels
+from ..operators.topk import union_all_by_name
 from ..operators.windows import last_n_per_key
 from ..plans import serving as SV
 from ..plans.features import engineer, model_base
@@ -473,7 +474,7 @@ def w4site(spark, d):
     return kept.groupBy("site_id").agg(F.count(F.lit(1)).alias("kept"), F.round(F.sum("value"), 6).alias("kept_total"))
 
 
-@query("s11_checkpoint_names", "SELECT name, folder, n_rows FROM (VALUES ('daily totals/v1', 'daily_totals_v1'), ('six-hour totals', 'six-hour_totals')) t(name, folder), (SELECT count(*) AS n_rows FROM events)")
+@query("s11_checkpoint_names", "SELECT name, folder, n_events, most_times FROM (VALUES ('daily totals/v1', 'daily_totals_v1'), ('six-hour totals', 'six-hour_totals')) t(name, folder), (SELECT count(DISTINCT event_id) AS n_events, max(n) AS most_times FROM (SELECT event_id, count(*) AS n FROM events GROUP BY 1))")
 def s11(spark, d):
     """Each query checkpoints into a folder of its own, named after it, and resumes from it:
     a second run of the same query over the same files appends nothing."""
@@ -485,18 +486,21 @@ def s11(spark, d):
         for _ in range(2):
             sinks.run_until_done(sinks.to_parquet_append(tail_parquet(spark, src), out, name, checkpoint_root=root))
         folder = checkpoint_for(spark, name, root)
-        rows.append((name, folder.rsplit("/", 1)[1] if path_exists(spark, folder) else None, spark.read.parquet(out).count()))
-    return spark.createDataFrame(rows, "name string, folder string, n_rows bigint")
+        found = folder.rsplit("/", 1)[1] if path_exists(spark, folder) else None
+        rows.append(spark.read.parquet(out).select(F.lit(name).alias("name"), F.lit(found).cast("string").alias("folder"), "event_id"))
+    taken = union_all_by_name(rows).groupBy("name", "folder", "event_id").agg(F.count(F.lit(1)).alias("times"))
+    return taken.groupBy("name", "folder").agg(F.count(F.lit(1)).alias("n_events"), F.max("times").alias("most_times"))
 
 
 @query(
     "st5_triggers",
-    "SELECT trigger, n_rows FROM (VALUES ('5 seconds'), ('7 seconds'), ('14 seconds'), ('availableNow')) t(trigger), (SELECT count(*) AS n_rows FROM events)",
+    "SELECT trigger, event_type, n_rows, id_sum FROM (VALUES ('5 seconds'), ('7 seconds'), ('14 seconds'), ('availableNow')) t(trigger), "
+    "(SELECT event_type, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY 1)",
 )
 def st5(spark, d):
     """ST5: the same stream under each cadence writes every row once."""
     src = scratch_dir(spark, "st5-src")
-    R.read_table(spark, d, "events").select("event_id").write.parquet(src)
+    R.read_table(spark, d, "events").select("event_id", "event_type").write.parquet(src)
     rows = []
     for cadence in (TRIGGER_PREDICTIONS, TRIGGER_SIXHOUR, TRIGGER_DAILY, "availableNow"):
         out = scratch_dir(spark, "st5-out")
@@ -506,8 +510,8 @@ def st5(spark, d):
         else:
             q.processAllAvailable()
             q.stop()
-        rows.append((cadence, spark.read.parquet(out).count()))
-    return spark.createDataFrame(rows, "trigger string, n_rows bigint")
+        rows.append(spark.read.parquet(out).withColumn("trigger", F.lit(cadence)))
+    return union_all_by_name(rows).groupBy("trigger", "event_type").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("id_sum"))
 
 
 @query("st6_output_modes", sql("SELECT 'append' AS mode, CAST(site_id AS VARCHAR) AS key, count(*) AS n FROM buildings GROUP BY 2 UNION ALL SELECT 'update', CAST(site_id AS VARCHAR), count(*) FROM buildings GROUP BY 2", "buildings"))
@@ -522,7 +526,7 @@ def st6(spark, d):
     return appended.select(F.lit("append").alias("mode"), "key", "n").unionByName(updated.select(F.lit("update").alias("mode"), "key", "n"))
 
 
-@query("st13_stop_all", "SELECT 2 AS stopped, 0 AS still_active, count(*) AS n_rows FROM events")
+@query("st13_stop_all", "SELECT 2 AS stopped, 0 AS still_active, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events")
 def st13(spark, d):
     """ST13: every query started here is stopped; what it had written stays."""
     src, out = scratch_dir(spark, "st13-src"), scratch_dir(spark, "st13-out")
@@ -534,7 +538,8 @@ def st13(spark, d):
     names = {q.name for q in mine}
     stopped = names & set(sinks.stop_all(spark))
     active = sum(q.isActive for q in mine)
-    return spark.createDataFrame([(len(stopped), active, spark.read.parquet(out).count())], "stopped int, still_active int, n_rows bigint")
+    kept = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("id_sum"))
+    return kept.select(F.lit(len(stopped)).alias("stopped"), F.lit(active).alias("still_active"), "n_rows", "id_sum")
 
 
 @query(
