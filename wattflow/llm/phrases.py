@@ -4,17 +4,16 @@ Texts are read where they lie, in shards of about SHARD_WORDS words. A piece of
 between separators is a run of words; a phrase is LEAST to MOST consecutive words of a
 piece. All counts are per language: a word of another language is another word.
 
-1. Each shard gives its vocabulary with counts; the sum over shards names the words
-   that reach the least count. No phrase holds any other word, so in the shards these
-   become separators.
-2. Each shard builds an FM-index of its word ids (Burrows-Wheeler transform ordered to
+1. Each shard builds an FM-index of its word ids (Burrows-Wheeler transform ordered to
    the depth needed, occurrence ranks) and extends the interval of every word to the
    left by every word that precedes it: all word pairs with their counts, each also the
-   right extension of its first word (the interval it lies in). Counts are summed.
-3. Words in no pair that reaches the least count leave the text; the index of what is
-   left finds the intervals of the pairs by backward search and extends them to MOST
-   words. A phrase is kept only while the phrases without its first and without its
-   last word are still there. Counts are summed.
+   right extension of its first word (the interval it lies in). The sums over shards name
+   the words that reach the least count, and the 32-bit cells of pairs that do: a cell
+   holds all counts of its pairs, so no frequent pair is missed.
+2. Words in no pair of such a cell leave the shards' texts; the index of what is left
+   finds the intervals of the pairs by backward search and extends them to MOST words. A
+   phrase is kept only while the phrases without its first and without its last word are
+   still there. Counts of pairs and longer phrases are summed by their words.
 
 Extension runs over all intervals of a length at once, a few numpy passes over the
 shard. Right extensions need no second index: the intervals of length k + 1 inside the
@@ -22,8 +21,9 @@ interval of a phrase of length k are its right extensions, those reached through
 transform its left ones. The scores, cuts and nested phrases are joins of counts.
 
 What moves: vocabularies, word pairs and longer phrases with their counts, once for a
-shard, and the shards' id sequences to meet their pruned vocabularies. Words of a shard
-are told apart by 64-bit hashes, words and phrases of the table by the words themselves.
+shard, and the shards' id sequences, once, to meet the cells that they keep. Words are
+told apart by 64-bit hashes of (language, word): two of a hundred million are one with
+probability 3e-4.
 
 Defined cases: a null text is an empty one; a null language is ``und``; repeated rows
 each count; texts of any length are taken whole (one row is never split over shards); a
@@ -34,12 +34,12 @@ at; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattflow.operators.windows import top_n_per_key
@@ -111,7 +111,7 @@ class _Shard:
         self.n += len(key)
 
     def batch(self, shard: int) -> Iterator[pa.RecordBatch]:
-        """One row with the id sequence (0 between pieces), then one row for each word of the vocabulary."""
+        """One row with the id sequence (0 between pieces) and the keys of its ids, one for each word, one for each pair of words."""
         unique, first, to = np.unique(np.concatenate(self.keys), return_index=True, return_inverse=True)
         count = np.zeros(len(unique), np.int64)
         np.add.at(count, to, np.concatenate(self.counts))
@@ -120,12 +120,41 @@ class _Shard:
         seq = with_gaps(ids, np.concatenate(self.fresh))
         word = pa.concat_arrays(self.words).take(pa.array(first)).cast(pa.string())
         lang = pa.concat_arrays(self.langs).take(pa.array(first))
-        names = ["shard", "seq", "lang", "word", "count", "id"]
-        none = [pa.array([None], k) for k in (pa.string(), pa.string(), pa.int64(), pa.int32())]
-        yield pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([packed(seq)]), *none], names)
+        none = {f.name: pa.nulls(1, f.type) for f in ROW}
+
+        def rows(n: int, **columns) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([columns.get(f.name, none[f.name] if n == 1 else pa.nulls(n, f.type)) for f in ROW], schema=ROW)
+
+        yield rows(1, shard=pa.array([shard]), seq=pa.array([packed(seq)], pa.binary()), keys=pa.array([unique.tobytes()], pa.binary()))
         n = len(unique)
-        arrays = [pa.array(np.full(n, shard)), pa.nulls(n, pa.binary()), lang, word, pa.array(count), pa.array(np.arange(1, n + 1, dtype=np.int32))]
-        yield pa.RecordBatch.from_arrays(arrays, names)
+        yield rows(n, shard=pa.array(np.full(n, shard)), lang=lang, word=word, count=pa.array(count))
+        index = FMIndex(seq, 1)
+        one, lo, size = index.words()
+        for ids, found in phrases(index, one[:, None], lo, size, 2):
+            for at in range(0, len(found), 1 << 17):
+                part = ids[at : at + (1 << 17)] - 1
+                n = len(part)
+                yield rows(n, shard=pa.array(np.full(n, shard)), count=pa.array(found[at : at + n]), pair=pa.array(pair_cell(unique[part[:, 0]], unique[part[:, 1]])))
+
+
+ROW = pa.schema([("shard", pa.int64()), ("seq", pa.binary()), ("keys", pa.binary()), ("lang", pa.string()), ("word", pa.string()), ("count", pa.int64()), ("pair", pa.int32())])
+KIND = "shard long, seq binary, keys binary, lang string, word string, count long, pair int"
+
+
+def pair_cell(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """32-bit cell of each pair of word keys."""
+    return (mix64(a + mix64(b)) >> _U(32)).astype(np.uint32).view(np.int32)
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The key of every (language, word)."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        coded = batch.column("lang").dictionary_encode()
+        lang = np.array([hash64(x) for x in coded.dictionary.to_pylist()], dtype=np.uint64)[coded.indices.to_numpy()]
+        key = words_of(batch.column("word"), lang)[4]  # a word is one word: one key a row
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("lang", "word", "f")), pa.array(key.view(np.int64))], ["lang", "word", "f", "key"])
 
 
 def hash64(text: str) -> int:
@@ -245,112 +274,64 @@ def phrases(index: FMIndex, ids: np.ndarray, lo: np.ndarray, size: np.ndarray, m
         yield ids, size
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word pairs of each shard; first a row with the sequence of the words left, as ids of the table."""
-    names = ["shard", "seq", "pair", "count"]
-    for batch in batches:
-        for shard, blob, known in zip(batch.column("shard").to_pylist(), batch.column("seq"), batch.column("known"), strict=True):
-            seq = unpacked(blob.as_py())
-            pair = known.values.to_numpy()
-            table = np.zeros(int(seq.max(initial=0)) + 1, np.int32)
-            table[pair >> 32] = pair & _LOW
-            seq = table[seq]
-            seq = seq[(seq > 0) | np.concatenate([[True], seq[:-1] > 0])]  # runs of separators are one
-            yield pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([packed(seq)]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], names)
-            local, text = np.unique(seq, return_inverse=True)
-            if local[0] != 0:  # a sequence ends with a separator
-                local, text = np.concatenate([[0], local]), text + 1
-            index = FMIndex(text.astype(np.int32), 1)
-            word, lo, size = index.words()
-            for ids, count in phrases(index, word[:, None], lo, size, 2):
-                words = local[ids].astype(np.int64)
-                for a in range(0, len(count), 1 << 17):
-                    part = slice(a, a + (1 << 17))
-                    n = len(count[part])
-                    arrays = [pa.array(np.full(n, shard)), pa.nulls(n, pa.binary()), pa.array((words[part, 0] << 32) | words[part, 1]), pa.array(count[part])]
-                    yield pa.RecordBatch.from_arrays(arrays, names)
-
-
 def _longer(most: int):
-    """Phrases of three words and more of each shard, out of the pairs that the table keeps."""
+    """Pairs of the cells that the table keeps and longer phrases of each shard, by the keys of their words."""
     names = [f"w{i}" for i in range(1, most + 1)] + ["count"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for blob, known in zip(batch.column("seq"), batch.column("known"), strict=True):
-                seq, pair = unpacked(blob.as_py()).astype(np.int64), np.sort(known.values.to_numpy())
-                both = (seq[:-1] << 32) | seq[1:]
-                at = np.minimum(np.searchsorted(pair, both), len(pair) - 1)
-                hold = np.concatenate([[False], pair[at] == both, [False]])  # between each word and the one before
+            for blob, raw, known in zip(batch.column("seq"), batch.column("keys"), batch.column("known"), strict=True):
+                seq, keys = unpacked(blob.as_py()).astype(np.int64), np.frombuffer(raw.as_py(), np.uint64)
+                cells = np.sort(known.values.to_numpy())
+                side = np.flatnonzero((seq[:-1] > 0) & (seq[1:] > 0))
+                cell = pair_cell(keys[seq[side] - 1], keys[seq[side + 1] - 1])
+                near = side[cells[np.minimum(np.searchsorted(cells, cell), len(cells) - 1)] == cell]
+                held = np.zeros(len(seq) - 1, bool)
+                held[near] = True
+                hold = np.concatenate([[False], held, [False]])  # between each word and the one before
                 stay = np.flatnonzero(hold[:-1] | hold[1:])
-                local, ids = np.unique(np.concatenate([pair >> 32, pair & _LOW]), return_inverse=True)
-                text = with_gaps(np.searchsorted(local, seq[stay]).astype(np.int32) + 1, ~hold[:-1][stay])
+                local, ids = np.unique(seq[stay], return_inverse=True)
+                text = with_gaps(ids.astype(np.int32) + 1, ~hold[:-1][stay])
+                pair = np.unique((text[:-1].astype(np.int64) << 32) | text[1:])
+                two = np.stack([pair >> 32, pair & _LOW], axis=1).astype(np.int32)
+                two = two[(two > 0).all(axis=1)]
                 index = FMIndex(text, most - 1)
-                two = ids.reshape(2, -1).T.astype(np.int32) + 1
                 lo, size = index.find(two)
-                for found, count in phrases(index, two, lo, size, most):
-                    words = np.zeros((len(found), most), np.int32)
-                    words[:, : found.shape[1]] = local[found - 1]
+                key = keys[local - 1].view(np.int64)
+                for found, count in chain([(two, size)], phrases(index, two, lo, size, most)):
+                    words = np.zeros((len(found), most), np.int64)
+                    words[:, : found.shape[1]] = key[found - 1]
                     yield pa.RecordBatch.from_arrays([*(pa.array(words[:, i]) for i in range(most)), pa.array(count)], names)
 
     return run
 
 
-def _numbered(rows: DataFrame, name: str) -> DataFrame:
-    """``rows`` stored with a gapless ``gid`` from 1: place in its part plus the rows of earlier parts (one number a part)."""
-    table = stored(rows.withColumn("at", F.monotonically_increasing_id()), name)
-    part = F.shiftright("at", 33)
-    upto, total = [], 0
-    for r in table.groupBy(part.alias("part")).count().orderBy("part").collect():
-        upto.append((r["part"], total + 1))
-        total += r["count"]
-    if total >= 1 << 31:
-        raise OverflowError("more frequent words than 31-bit ids")
-    first = rows.sparkSession.createDataFrame(upto, "part long, first long")
-    placed = table.withColumn("part", part).join(first, "part")
-    return placed.select(*rows.columns, (F.col("first") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).cast("int").alias("gid"))
-
-
 def _reaching(rows: DataFrame, key: list[str], least: int) -> DataFrame:
-    """Rows of the keys whose counts add up to ``least`` or more, with the sum ``f``; a key has at most one row a shard."""
+    """Rows of the keys whose counts add up to ``least`` or more, with the sum ``f``; a key has few rows a shard."""
     total = F.sum("count").over(Window.partitionBy(*key))
     return rows.withColumn("f", total).where(F.col("f") >= least).drop("count")
 
 
-def _meet(shards: DataFrame, known: DataFrame) -> DataFrame:
-    """Each shard's sequence with the numbers that it may keep (at most one for each of its words)."""
-    lists = known.groupBy("shard").agg(F.collect_list("known").alias("known"))
-    return shards.where(F.col("seq").isNotNull()).select("shard", "seq").join(lists, "shard").select("shard", "seq", "known")
-
-
 def count_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST_COUNT, most: int = MOST, shard_words: int = SHARD_WORDS):
-    """(words: lang, word, f, gid; totals: lang, n; phrases: ws, f) of the words and phrases that occur ``least`` times."""
+    """(words: lang, word, f, key; totals: lang, n; phrases: ws, f) of the words and phrases that occur ``least`` times."""
     plain = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.col(lang), F.lit(NO_LANGUAGE)).alias("lang"))
-    shards = stored(plain.mapInArrow(_shards(shard_words), "shard long, seq binary, lang string, word string, count long, id int"), "phrase-shards")
-    vocabulary = shards.where(F.col("seq").isNull())
+    shards = stored(plain.mapInArrow(_shards(shard_words), KIND), "phrase-shards", compression="zstd")
+    vocabulary = shards.where(F.col("word").isNotNull())
     totals = stored(vocabulary.groupBy("lang").agg(F.sum("count").alias("n")), "phrase-totals")
-    # a word has at most one row in each shard: its sum is taken where its rows meet, which moves them once
-    often = stored(_reaching(vocabulary.select("lang", "word", "shard", "id", "count"), ["lang", "word"], least), "phrase-often")
-    words = stored(_numbered(often.select("lang", "word", "f").distinct(), "phrase-numbers"), "phrase-words")
-    known = often.join(words.select("lang", "word", "gid").hint("merge"), ["lang", "word"])
-    known = known.select("shard", _pair(F.col("id"), F.col("gid")).alias("known"))
-    pairs = stored(_meet(shards, known).mapInArrow(_pairs, "shard long, seq binary, pair long, count long"), "phrase-pairs")
-    kept = stored(_reaching(pairs.where(F.col("seq").isNull()).select("pair", "shard", "count"), ["pair"], least), "phrase-kept")
-    two = kept.select("pair", "f").distinct()
-    known = kept.select("shard", F.col("pair").alias("known"))
+    words = vocabulary.groupBy("lang", "word").agg(F.sum("count").alias("f")).where(F.col("f") >= least)
+    words = stored(words.mapInArrow(_keys, "lang string, word string, f long, key long"), "phrase-words")
+    # a shard has few rows of a cell: the sum is taken where its rows meet, which moves them once
+    kept = _reaching(shards.where(F.col("pair").isNotNull()).select("pair", "shard", "count"), ["pair"], least)
+    known = kept.groupBy("shard").agg(F.collect_list("pair").alias("known"))  # at most one for each word of the shard
+    meet = shards.where(F.col("seq").isNotNull()).select("shard", "seq", "keys").join(known, "shard").select("seq", "keys", "known")
     names = [f"w{i}" for i in range(1, most + 1)]
-    longer = _meet(pairs, known).mapInArrow(_longer(most), ", ".join(f"{c} int" for c in names) + ", count long")
+    longer = meet.mapInArrow(_longer(most), ", ".join(f"{c} long" for c in names) + ", count long")
     longer = longer.groupBy(*names).agg(F.sum("count").alias("f")).where(F.col("f") >= least)
-    ws = F.filter(F.array(*names), lambda w: w > 0)
-    first = F.array(F.shiftright("pair", 32).cast("int"), F.col("pair").bitwiseAND(F.lit(int(_LOW))).cast("int"))
-    found = stored(longer.select(ws.alias("ws"), "f").unionByName(two.select(first.alias("ws"), "f")), "phrase-found")
+    ws = F.filter(F.array(*names), lambda w: w != 0)
+    found = stored(longer.select(ws.alias("ws"), "f"), "phrase-found")
     return words, totals, found
 
 
-def _pair(a: Column, b: Column) -> Column:
-    return F.shiftleft(a.cast("long"), 32).bitwiseOR(b.cast("long"))
-
-
 def collocations(
     docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST_COUNT, limit: int = LIMIT, most: int = MOST, shard_words: int = SHARD_WORDS
 ) -> DataFrame:
@@ -367,9 +348,9 @@ def collocations(
     nested = longer.select(F.explode(inner).alias("ws"), "f").distinct()
     left = stored(found.join(nested, ["ws", "f"], "left_anti"), "phrase-left")
     # the words' language and total once a phrase, the words' own text once a word
-    per_word = keyed_join(words, totals, ["lang"]).select("gid", "lang", "word", "n", F.col("f").alias("f1"))
-    spelled = left.select("ws", "f", F.posexplode("ws").alias("at", "gid"))
-    spelled = spelled.join(per_word, "gid").groupBy("ws", "f").agg(
+    per_word = keyed_join(words, totals, ["lang"]).select("key", "lang", "word", "n", F.col("f").alias("f1"))
+    spelled = left.select("ws", "f", F.posexplode("ws").alias("at", "key"))
+    spelled = spelled.join(per_word, "key").groupBy("ws", "f").agg(
         F.first("lang").alias("lang"), F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("at", "word", "f1"))).alias("parts")
     )
     spelled = stored(spelled, "phrase-spelled")
