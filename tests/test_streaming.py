@@ -192,3 +192,20 @@ def test_update_form_state_is_evicted(spark):
         have = want.get(k, (0.0, 0))
         want[k] = (have[0] + v, have[1] + 1)
     assert got == want
+
+
+def test_last_n_states_hold_many_keys_in_one_state(spark):
+    """Python is called once a bucket, not once a key: 600 keys and rows without a key in at most 8 + 2 states."""
+    from wattflow.streaming.state import last_n_states, merge_last_n
+
+    rows = [(None if i % 601 == 600 else i % 601, dt.datetime(2016, 1, 1) + dt.timedelta(minutes=i), float(i), i) for i in range(3005)]
+    df = spark.createDataFrame(rows, "building_id long, ts timestamp_ntz, value double, event_id long")
+    feed = JB.replay_feed(df, ["ts", "event_id"], "t-lastn-keys", chunks=2)
+    newest = lambda **o: last_n_states(JB.read_feed(spark, feed.path, watermark=None, **o), "building_id", "value", ["ts", "event_id"], 3, salts=2, buckets=8)
+    run = JB.run_feed(feed, newest, "t_lastn_keys", mode="update")
+    assert run.state_rows <= 8 + 2
+    got = {r["building_id"]: (r["n_seen"], r["kept_count"], r["kept_total"]) for r in merge_last_n(run.written, "building_id", "value", ["ts", "event_id"], 3).collect()}
+    want = {k: (5, 3, sum(float(k + 601 * j) for j in (2, 3, 4))) for k in range(600)}
+    assert got == want  # rows without a key are kept in the states, the merge joins on the key
+    lone = run.written.where("building_id is null").groupBy("salt").agg({"n_seen": "max"}).collect()
+    assert sum(r[1] for r in lone) == 5

@@ -2,12 +2,14 @@
 
 The dashboard kept, per building, the newest N values in a bounded deque and
 plotted them against an arrival index. As a Structured Streaming operator the
-state is held for each (key, salt): the rows of a key are dealt over SALTS states by
-a hash of their order columns, each state holds its row count and its newest N rows,
-and every micro-batch emits the states it touched. The newest N rows of the key are
-among the newest N of its states: ``merge_last_n`` reads them back together. A key
-with any share of the rows spreads over the state partitions, and state per key is
-bounded by salts * N rows.
+rows of a key are dealt over SALTS parts by a hash of their order columns, and the
+(key, salt) pairs over BUCKETS states by a hash of the pair. A state holds the row
+count and the newest N rows of each of its pairs as one Arrow table, so Python is
+called once a bucket and batch, however many keys there are, and merges all pairs of
+the bucket at once; every micro-batch emits the pairs it touched. The newest N rows
+of the key are among the newest N of its pairs: ``merge_last_n`` reads them back
+together. A key with any share of the rows spreads over the state partitions, and it
+holds at most salts * N rows; a state grows with the number of keys in its bucket.
 """
 
 from __future__ import annotations
@@ -22,35 +24,58 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from ..operators.windows import top_n_per_key
 
 SALTS = 16
+BUCKETS = 1024  # more than the state partitions; raise it with them, before the first start
 
 
-def last_n_states(stream: DataFrame, key: str, value_col: str, order_cols: Sequence[str], n: int, salts: int = SALTS) -> DataFrame:
-    """Update-mode rows ``(key, salt, n_seen, order columns..., value)`` of each touched state, the kept rows as arrays.
+def last_n_states(
+    stream: DataFrame, key: str, value_col: str, order_cols: Sequence[str], n: int, salts: int = SALTS, buckets: int = BUCKETS
+) -> DataFrame:
+    """Update-mode rows ``(key, salt, n_seen, order columns..., value)`` of each touched pair, the kept rows as arrays.
 
-    The kept rows are the newest ``n`` by ``order_cols`` over all rows of the state so
-    far: they are merged with each Arrow chunk of the group, so neither the chunks' nor
-    the batches' order matters and a task holds one chunk and ``n`` rows at a time.
+    The kept rows are the newest ``n`` by ``order_cols`` over all rows of the pair so
+    far: they are merged with each Arrow chunk of the bucket, so neither the chunks' nor
+    the batches' order matters and a task holds one chunk and one bucket's kept rows at
+    a time. Rows without a key have buckets of their own.
     """
     order = list(order_cols)
     fields = [*order, *([value_col] if value_col not in order else [])]
     kinds = {c: stream.schema[c].dataType.simpleString() for c in [key, *fields]} | ({} if value_col in order else {value_col: "double"})
-    state_schema = "n_seen long, kept array<struct<" + ", ".join(f"`{c}`: {kinds[c]}" for c in fields) + ">>"
+    own = [c for c in fields if c != key]
     out_schema = f"`{key}` {kinds[key]}, salt int, n_seen long, " + ", ".join(f"`{c}` array<{kinds[c]}>" for c in fields)
 
-    def update(keys, batches, state):
-        n_seen, rows = state.get if state.exists else (0, [])
-        kept = pd.DataFrame([tuple(r) for r in rows], columns=fields)
+    def update(_, batches, state):
+        import pyarrow as pa
+
+        pair = [key, "salt"]
+        kept = pa.ipc.open_stream(state.get[0]).read_pandas().assign(_new=0, _hit=0) if state.exists else None
         for pdf in batches:
-            n_seen += len(pdf)
-            new = pdf[fields].astype({value_col: "float64"} if value_col not in order else {})
-            both = new if kept.empty else pd.concat([kept.astype(new.dtypes.to_dict()), new], ignore_index=True)
-            kept = both.sort_values(order, kind="mergesort").tail(n)
-        state.update((int(n_seen), list(kept.itertuples(index=False, name=None))))
-        yield pd.DataFrame({key: [keys[0]], "salt": [keys[1]], "n_seen": [int(n_seen)], **{c: [kept[c].tolist()] for c in fields}})
+            new = pdf[[*pair, *own]].astype({value_col: "float64"} if value_col not in order else {}).assign(_seen=0, _new=1, _hit=1)
+            both = new if kept is None else pd.concat([kept, new], ignore_index=True)
+            both = both.sort_values(order, kind="mergesort", ignore_index=True)
+            pairs = both.groupby(pair, dropna=False, sort=False)
+            both["_seen"] = pairs["_seen"].transform("max") + pairs["_new"].transform("sum")
+            both["_hit"] = pairs["_hit"].transform("max")
+            kept = pairs.tail(n).assign(_new=0)
+        table = pa.Table.from_pandas(kept.drop(columns=["_new", "_hit"]), preserve_index=False)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as writer:
+            writer.write_table(table)
+        state.update((sink.getvalue().to_pybytes(),))
+        touched = kept[kept["_hit"] == 1]
+        touched = touched.assign(_at=touched.groupby(pair, dropna=False, sort=False).ngroup()).sort_values("_at", kind="mergesort")
+        ends = touched["_at"].value_counts(sort=False).sort_index().cumsum().tolist()
+        spans = list(zip([0, *ends[:-1]], ends, strict=True))
+        first = touched.iloc[[lo for lo, _ in spans]]
+        lists = {c: touched[c].tolist() for c in fields}
+        yield pd.DataFrame(
+            {key: first[key].to_numpy(), "salt": first["salt"].to_numpy(), "n_seen": first["_seen"].to_numpy(), **{c: [v[lo:hi] for lo, hi in spans] for c, v in lists.items()}}
+        )
 
     salt = F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int")
-    rows = stream.select(key, salt.alias("salt"), *[c for c in fields if c != key])
-    return rows.groupBy(key, "salt").applyInPandasWithState(update, out_schema, state_schema, "update", GroupStateTimeout.NoTimeout)
+    rows = stream.select(key, salt.alias("salt"), *own)
+    bucket = F.pmod(F.xxhash64(key, "salt"), F.lit(buckets)).cast("int")
+    dealt = rows.withColumn("_bucket", F.when(F.col(key).isNull(), -1 - F.col("salt")).otherwise(bucket))
+    return dealt.groupBy("_bucket").applyInPandasWithState(update, out_schema, "kept binary", "update", GroupStateTimeout.NoTimeout)
 
 
 def merge_last_n(written: DataFrame, key: str, value_col: str, order_cols: Sequence[str], n: int) -> DataFrame:
