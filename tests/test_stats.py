@@ -183,3 +183,17 @@ def test_grouped_histogram_matches_numpy_per_group(spark):
         pts = sorted((r["x"], r["density"]) for r in k if r["grp"] == g)
         step = pts[1][0] - pts[0][0]
         assert abs(sum(d for _, d in pts) * step - 1.0) < 0.03
+
+
+def test_group_statistics_meet_the_values_without_a_shuffle_by_group(spark):
+    """Two groups must not mean two tasks: the ranges of the groups are sent to the counted values, by their size."""
+    df = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("g"), (F.col("id") / 7).alias("v"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20KB")  # the counted values are larger, a row a group is not
+    try:
+        for found, rows in ((ST.histogram(df, "v", bins=4, group_cols=["g"]), 8), (ST.kernel_density(df, "v", grid=5, group_cols=["g"]), 10)):
+            first = found._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin [coalesce(g" in first
+            assert found.count() == rows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..contract import SIGNIFICANCE_LEVEL
 from ..functions.normal import two_sided_p_sql
+from ..runtime import hand_off
 from .quantiles import same_groups, value_counts, wide_quantiles
 from .ranks import tie_average_ranks
 
@@ -50,6 +51,12 @@ def box_stats(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) ->
     return q.withColumn("_w", wh.select(F.struct("whisker_lo", "whisker_hi", "n")).scalar()).select(*q.columns, "_w.*")
 
 
+def _group_table(df: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """One row a group, stored: the planner sees its size and sends a small one to the tasks, so that the counted values
+    joined to it are not shuffled by group into a task a group."""
+    return hand_off(df, "group-table") if groups else df
+
+
 def histogram(df: DataFrame, value_col: str, bins: int = 60, density: bool = True, group_cols: Sequence[str] = ()) -> DataFrame:
     """Equal-width histogram over each group's [min, max]; every bin present.
 
@@ -59,7 +66,7 @@ def histogram(df: DataFrame, value_col: str, bins: int = 60, density: bool = Tru
     """
     groups = list(group_cols)
     counts = value_counts(df, value_col, groups)
-    rng = counts.groupBy(*groups).agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.sum("_n").alias("n"))
+    rng = _group_table(counts.groupBy(*groups).agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.sum("_n").alias("n")), groups)
     rng = rng.withColumn("width", F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / bins).otherwise(F.lit(1.0)))
     if groups:
         ranged = same_groups(counts, rng.select(*groups, "lo", "width"), groups)
@@ -91,6 +98,7 @@ def kernel_density(df: DataFrame, value_col: str, grid: int = 100, bandwidth: fl
     counts = value_counts(df, value_col, groups)
     w, v = F.col("_n").cast("double"), F.col("_v")
     base = counts.groupBy(*groups).agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.sum("_n").alias("n"), (F.sum(w * v) / F.sum(w)).alias("mean"))
+    base = _group_table(base, groups)
     if groups:
         centred = same_groups(counts, base.select(*groups, "mean"), groups)
     else:
@@ -103,7 +111,7 @@ def kernel_density(df: DataFrame, value_col: str, grid: int = 100, bandwidth: fl
         *groups, "n", "h", (F.col("lo") - 3 * F.col("h")).alias("g_lo"), ((F.col("hi") - F.col("lo") + 6 * F.col("h")) / (grid - 1)).alias("g_step")
     )
     if groups:
-        ready = same_groups(counts, stats, groups)
+        ready = same_groups(counts, _group_table(stats, groups), groups)
     else:
         ready = counts.withColumn("_s", stats.select(F.struct("n", "h", "g_lo", "g_step")).scalar()).select("_v", "_n", "_s.*")
 
