@@ -134,3 +134,31 @@ def test_day_and_block_ignore_session_zone_on_dst_days(spark):
         assert (rows[1]["d"], rows[1]["b"], rows[1]["l"]) == (dt.date(2016, 10, 30), 3, "18:00-23:59")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_fan_out_deals_few_readings_over_many_tasks(spark):
+    from wattflow.operators.joins import fan_out_buildings
+
+    w = spark.range(0, 400, numPartitions=1).select((F.col("id") % 2).cast("int").alias("site_id"), "id")
+    b = spark.range(6).select((F.col("id") % 2).cast("int").alias("site_id"), F.col("id").alias("building_id"))
+    fan = fan_out_buildings(w, b, 6)
+    per_task = fan.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.countDistinct("site_id").alias("sites")).collect()
+    assert sum(r["n"] for r in per_task) == 1200 and len(per_task) > 3
+    assert sum(r["sites"] for r in per_task) <= len(per_task) + 1  # ranges of sites, one at most is split
+
+
+def test_fan_out_counts_meet_null_and_repeated_sites(spark):
+    from wattflow.catalog import q_aggregates as Q
+    from wattflow.runtime import scratch_dir
+
+    d = scratch_dir(spark, "t-fan")
+    spark.createDataFrame(
+        [(1, 10, 5.0, "BUILDING"), (2, 10, 5.0, "BUILDING"), (3, None, 5.0, "BUILDING"), (4, 11, 5.0, "BUILDING"), (4, 11, 5.0, "BUILDING")],
+        "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string",
+    ).write.parquet(f"{d}/customer.parquet")
+    day = dt.datetime(1996, 1, 1)
+    orders = [(1, day, 7.0), (2, day, 9.0), (2, day + dt.timedelta(days=1), 9.0), (3, day, 5.0), (4, None, 4.0), (4, day, 4.0)]
+    rows = [(c, t, p, "F", "1-URGENT") for c, t, p in orders]
+    spark.createDataFrame(rows, "o_custkey long, o_orderdate timestamp_ntz, o_totalprice double, o_orderstatus string, o_orderpriority string").write.parquet(f"{d}/orders.parquet")
+    got = {r["site_id"]: tuple(r)[1:] for r in Q.j5(spark, d).collect()}
+    assert got == {10: (4, 2, 2, 0), 11: (4, 1, 1, 0), None: (1, 1, 0, 1)}

@@ -11,6 +11,7 @@ from ..operators import profile as PR
 from ..operators import stats as ST
 from ..operators import topk as T
 from ..operators import windows as W
+from ..operators.quantiles import same_groups
 from ..operators.ranks import global_index, tie_average_ranks
 from ..operators.season import add_season_flag, month_labels
 from ..plans import serving as SV
@@ -457,13 +458,12 @@ def j4(spark, d):
     ),
 )
 def j5(spark, d):
-    fan = J.fan_out_buildings(R.weather(spark, d), R.buildings(spark, d))
-    return fan.groupBy("site_id").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.countDistinct("timestamp").alias("n_readings"),
-        F.countDistinct("building_id").alias("n_buildings"),
-        F.count_if(F.col("building_id").isNull()).alias("n_without_building"),
-    )
+    """The fanned rows counted by reading and by building, so that no row is repeated for a distinct count."""
+    fan = J.fan_out_buildings(hand_off(R.weather(spark, d), "j5-weather"), R.buildings(spark, d))
+    per_reading = fan.groupBy("site_id", "timestamp").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("building_id").isNull()).alias("lone"))
+    readings = per_reading.groupBy("site_id").agg(F.sum("n").alias("n_rows"), F.count("timestamp").alias("n_readings"), F.sum("lone").alias("n_without_building"))
+    owners = fan.select("site_id", "building_id").distinct().groupBy("site_id").agg(F.count("building_id").alias("n_buildings"))
+    return same_groups(readings, owners, ["site_id"]).select("site_id", "n_rows", "n_readings", "n_buildings", "n_without_building")
 
 
 @query(
