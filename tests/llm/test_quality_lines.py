@@ -1,11 +1,16 @@
 """Quality rules, line dedup: brute force, edge cases."""
 
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from wattflow.llm import line_dedup, quality
+from wattflow.llm import line_dedup, near_dedup, quality
+from wattflow.llm.frames import probably_in, stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -105,3 +110,49 @@ def test_empty_tables(docs_of):
     assert quality.judge(docs_of([])).collect() == []
     assert quality.keep_good(docs_of([])).collect() == []
     assert line_dedup.without_boilerplate(docs_of([])).collect() == []
+
+
+def test_lines_of_the_host_go():
+    texts = ["a\nb", "b\na 1\n", "a\nb", None, "x\n\nA\ny\nb", "", "b", "a 7\nb\na 8", "é\nb\n日本"]
+    hosts = [1, 1, 2, 1, 3, 1, 1, 3, 3]
+    gone = {1: ["b"], 3: ["a", "a 0", "b"]}
+    value = {x: int(line_dedup.hashed_lines(pa.array([x]))[4].view(np.int64)[0]) for x in ("a", "b", "a 0")}
+    lines = pa.array([[value[x] for x in gone[h]] if h in gone else None for h in hosts], pa.list_(pa.int64()))
+    new, lost = line_dedup.without_lines(pa.record_batch([pa.array(texts), pa.array(hosts), lines], ["text", "host", "lines"]))
+    kept = [None if t is None else [x for x in t.split("\n") if fold(x) not in gone.get(h, [])] for t, h in zip(texts, hosts, strict=True)]
+    assert new.to_pylist() == [None if k is None else "\n".join(k) for k in kept]
+    assert lost.tolist() == [0 if k is None else t.count("\n") + 1 - len(k) for t, k in zip(texts, kept, strict=True)]
+
+
+def test_pages_are_rewritten_where_they_lie(docs_of, rows):
+    plan = line_dedup.drop_boilerplate(docs_of(rows), ratio=0.1, least=4)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 26])
+def test_filter_lets_all_keys_pass_and_moves_nothing(spark, monkeypatch, bits):
+    monkeypatch.setattr("wattflow.llm.frames.FILTER_BITS", bits)
+    rows = spark.range(-20000, 20000).select(F.xxhash64("id").alias("key"), "id")
+    keys = stored(rows.where("id % 20 = 0").select("key"), "t-keys")
+    got = probably_in(rows, "key", keys)
+    assert got.columns == rows.columns and "SortMergeJoin" not in got._jdf.queryExecution().sparkPlan().toString()
+    ids = {r.id for r in got.collect()}
+    assert ids >= set(range(-20000, 20000, 20)) and len(ids) < 2000 + 38000 * (0.05 if bits > 1 << 20 else 0.1)
+    assert probably_in(rows, "key", keys.where("key is null")).count() == 0
+
+
+def test_texts_without_a_frequent_line_stay_where_they_are(docs_of, rows, monkeypatch):
+    met = []
+    monkeypatch.setattr(quality, "probably_in", lambda *a: met.append(probably_in(*a)) or met[-1])
+    quality.judge(docs_of(rows), ratio=0.2, least=20)
+    texts = {t for _, t, _ in rows}
+    assert 85 <= met[0].select("text").distinct().count() < len(texts) - 20
+
+
+def test_small_groups_take_little_memory():
+    sets = [np.arange(k, k + 40, dtype=np.uint64) for k in (0, 2, 90)]
+    tracemalloc.start()
+    roots = near_dedup.linked_roots(sets, np.array([7, 8, 9]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert roots.tolist() == [7, 7, 9] and peak < 1 << 20

@@ -37,6 +37,25 @@ def keyed_join(rows: DataFrame, keyed: DataFrame, on: list[str], how: str = "inn
     return rows.join(keyed, on, how)
 
 
+FILTER_BITS = 1 << 26
+
+
+def probably_in(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows whose ``key`` is in the stored table ``keys`` (column of that name), and few others, without a shuffle.
+
+    A bitmap of at least 32 bits a key, and of FILTER_BITS (8 MB) at most, is broadcast: in
+    front of an exact join it spares the rows that meet nothing their move. With many
+    more keys than that it lets more and more rows pass, in the end all.
+    """
+    bits = min(FILTER_BITS, max(1 << 15, 1 << (32 * keys.count()).bit_length()))
+    slot = F.pmod(F.xxhash64(key), F.lit(bits))
+    cell = {"_page": F.shiftright(slot, 15), "_place": slot.bitwiseAND(F.lit((1 << 15) - 1))}
+    pages = keys.select(F.col(key)).withColumns(cell).groupBy("_page").agg(F.bitmap_construct_agg("_place").alias("_bits"))
+    found = rows.withColumns(cell).join(F.broadcast(pages), "_page")
+    byte = "cast(conv(hex(substring(_bits, cast(_place div 8 as int) + 1, 1)), 16, 10) as int)"
+    return found.where(F.expr(f"bit_get({byte}, cast(_place % 8 as int)) = 1")).select(*rows.columns)
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of ``edges`` (a, b): one row (node, root) for each node, root = smallest node.
 

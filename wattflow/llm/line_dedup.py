@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +30,7 @@ from .textops import Flat, list_column, mix64, slices, span_of_words
 
 BOILERPLATE_RATIO, MIN_PAGES = 0.01, 4  # see quality.HOST_RATIO
 
-LINES = "did long, rid long, host long, doc_hash long, line_hash array<long>"
+LINES = "host long, doc_hash long, line_hash array<long>"
 
 
 def hashed_lines(col: pa.Array) -> tuple[Flat, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -54,59 +55,63 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order, first, _ = _group_sizes(mix64(value ^ mix64(row.astype(np.uint64) + np.uint64(1))))
             lead = np.sort(order[first]) if len(order) else order
             counts = np.bincount(row[lead], minlength=flat.rows) if len(lead) else np.zeros(flat.rows, np.int64)
-            got = {k: part.column(k) for k in ("did", "rid", "host", "doc_hash")}
+            got = {k: part.column(k) for k in ("host", "doc_hash")}
             got["line_hash"] = list_column(value[lead].view(np.int64), counts, pa.int64())
             yield pa.RecordBatch.from_arrays([got[k] for k in names], names)
 
 
+def without_lines(part: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+    """(texts without the lines whose hash is in the row's ``lines``, lines dropped); rows of a ``host`` have equal ``lines``."""
+    texts = part.column("text")
+    flat, line_from, line_to, row, value = hashed_lines(texts)
+    host = part.column("host").to_numpy().view(np.uint64)
+    hosts, first = np.unique(host, return_index=True)
+    lists = part.column("lines").take(pa.array(first))
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    listed = mix64(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) ^ mix64(np.repeat(hosts, size)))
+    gone = np.isin(mix64(value ^ mix64(host[row])), listed) & (value != 0)
+    lost = np.bincount(row[gone], minlength=flat.rows)
+    if not gone.any():
+        return texts, lost
+    keep = np.repeat(~gone, line_to + 1 - line_from)
+    kept = np.flatnonzero(~gone)
+    last = kept[np.flatnonzero(np.append(row[kept][1:] != row[kept][:-1], True))] if len(kept) else kept
+    keep[line_to[last]] = False  # no newline after a row's last line
+    ends = np.concatenate([[0], np.cumsum(keep)])[flat.row_at].astype(np.int64)
+    new = pa.LargeStringArray.from_buffers(flat.rows, pa.py_buffer(ends), pa.py_buffer(flat.raw[keep])).cast(pa.string())
+    return pc.if_else(texts.is_valid(), new, pa.scalar(None, pa.string())), lost
+
+
 def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drop the lines whose hash is in ``drop`` (null: none) and count them."""
     for batch in batches:
-        hit = np.flatnonzero(batch.column("drop").is_valid().to_numpy(zero_copy_only=False))
-        texts = batch.column("text")
-        new, lost = texts, np.zeros(batch.num_rows, np.int64)
-        if len(hit):
-            values = texts.to_pylist()
-            drops = batch.column("drop")
-            for i in hit.tolist():
-                if values[i] is None:
-                    continue
-                one = pa.array([values[i]])
-                _, a, b, _, value = hashed_lines(one)
-                gone = np.isin(value.view(np.int64), np.asarray(drops[i].as_py(), dtype=np.int64)) & (value != 0)
-                raw = values[i].encode()
-                values[i] = b"\n".join(raw[x:y] for x, y, g in zip(a, b, gone, strict=True) if not g).decode()
-                lost[i] = int(gone.sum())
-            new = pa.array(values, pa.string())
-        arrays = [batch.column("row"), new, pa.array(lost)]
-        yield pa.RecordBatch.from_arrays(arrays, ["row", "text", "n_removed"])
-
-
-def boilerplate(docs: DataFrame, doc_id: str, text: str, host: str, ratio: float, least: int, near_copies: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(lines of every page, (host, line) above the ratio)."""
-    plain = docs.select(F.col(doc_id).alias("did"), F.col(text).alias("text"), F.col(host).alias("host"))
-    keyed = plain.select("did", text_key("host", "text").alias("rid"), text_key("host").alias("host"), text_key("text").alias("doc_hash"), "text")
+        for part in slices(batch, "text"):
+            new, lost = without_lines(part)
+            yield pa.RecordBatch.from_arrays([part.column("row"), new.cast(pa.string()), pa.array(lost.astype(np.int64))], ["row", "text", "n_removed"])
+
+
+def boilerplate(docs: DataFrame, text: str, host: str, ratio: float, least: int, near_copies: bool = True) -> DataFrame:
+    """(host, line) above the ratio."""
+    plain = docs.select(F.col(text).alias("text"), F.col(host).alias("host"))
+    keyed = plain.select(text_key("host").alias("host"), text_key("text").alias("doc_hash"), "text")
     lines = stored(keyed.mapInArrow(_lines, LINES), "page-lines")
-    return lines, frequent_lines(lines, docs if near_copies else None, ratio, least, text)
+    return frequent_lines(lines, docs if near_copies else None, ratio, least, text)
 
 
 def drop_boilerplate(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", ratio: float = BOILERPLATE_RATIO, least: int = MIN_PAGES,
     near_copies: bool = True,
 ) -> DataFrame:
-    """Columns ``row`` (the input row), ``text`` (rewritten), ``n_removed`` (lines dropped)."""
-    lines, often = boilerplate(docs, doc_id, text, host, ratio, least, near_copies)
-    pairs = lines.select("did", "rid", "host", F.explode("line_hash").alias("line"))
-    hit = keyed_join(pairs, often.select("host", "line"), ["host", "line"])
-    drop = hit.groupBy("did", "rid").agg(F.collect_set("line").alias("drop")).select(F.col("did").alias("_d"), F.col("rid").alias("_r"), "drop")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    rows = rows.withColumn("did", F.col(f"row.{doc_id}")).withColumn("h", F.col(f"row.{host}")).withColumn("text", F.col(f"row.{text}"))
-    rows = rows.select("row", "did", "text", text_key("h", "text").alias("rid"))
-    out = rows.join(drop, F.col("did").eqNullSafe(F.col("_d")) & (F.col("rid") == F.col("_r")), "left").select("row", "text", "drop")
+    """Columns ``row`` (the input row without its text), ``text`` (rewritten), ``n_removed`` (lines dropped).
+
+    A page meets the lines of its host, at most ``1 / ratio`` times those of a mean page,
+    and is rewritten where it lies; pages move only if the hosts' lines are too many to be broadcast.
+    """
+    often = boilerplate(docs, text, host, ratio, least, near_copies)
+    hosts = stored(often.groupBy("host").agg(F.collect_list("line").alias("lines")), "host-lines")
     bare = T.StructType([f for f in docs.schema if f.name != text])
-    slim = out.select(F.struct(*[F.col(f"row.`{c}`").alias(c) for c in bare.names]).alias("row"), "text", "drop")
+    pages = docs.select(F.struct(*[F.col(f"`{c}`") for c in bare.names]).alias("row"), F.col(text).alias("text"), text_key(host).alias("host"))
     kind = T.StructType([T.StructField("row", bare), T.StructField("text", T.StringType()), T.StructField("n_removed", T.LongType())])
-    return slim.mapInArrow(_rewrite, kind)
+    return keyed_join(pages, hosts, ["host"], "left").select("row", "text", "host", "lines").mapInArrow(_rewrite, kind)
 
 
 def without_boilerplate(

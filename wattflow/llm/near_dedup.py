@@ -221,8 +221,9 @@ def linked_roots(sets: list[np.ndarray], ids: np.ndarray, percent: int = SIMILAR
     if len(column):
         column = np.cumsum(np.concatenate([[0], column[1:] != column[:-1]]))
     shared = np.zeros((m, m), dtype=np.float64)
-    wide = max(1, MATRIX_CELLS // m)
-    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, wide):
+    columns = int(column[-1]) + 1 if len(column) else 0
+    wide = max(1, min(columns, MATRIX_CELLS // m))  # most groups are small: no more cells than they fill
+    for lo in range(0, columns, wide):
         a, b = np.searchsorted(column, [lo, lo + wide])
         cells = np.zeros((m, wide), dtype=np.float32)
         cells[row[a:b], column[a:b] - lo] = 1
@@ -262,10 +263,11 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield close(sets, ids)
 
 
-def _links(rows: DataFrame, name: str) -> DataFrame:
-    """Confirmed links of ``part, did, text``; the rows of a part are few by construction."""
+def _links(rows: DataFrame, name: str, count: int | None = None) -> DataFrame:
+    """Confirmed links of ``part, did, text``; the rows of a part are few by construction. ``count``: the rows, if known."""
     # a fixed number of partitions: the work is in comparing, not in bytes, so they must not be merged by size
     n = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = n if count is None else max(1, min(n, count // (2 * BLOCK)))  # a task for a handful of rows costs more than they
     dealt = rows.repartition(n, "part").sortWithinPartitions("part")
     return stored(dealt.mapInArrow(_confirm, "a long, b long"), name)
 
@@ -294,7 +296,7 @@ def confirmed_links(docs: DataFrame, member: DataFrame) -> DataFrame:
     texts = docs.withColumn("th", F.xxhash64("text")).join(member.hint("merge"), "did").dropDuplicates(["did", "th"]).drop("th")
     texts = stored(texts, "family-texts", compression="zstd")
     small = texts.where(F.col("m") <= BLOCK).select(F.col("family").cast("string").alias("part"), "did", "text")
-    found = _links(small, "links-small")
+    found = _links(small, "links-small", small.count())
     large = texts.where(F.col("m") > BLOCK)
     if large.isEmpty():
         return found
@@ -302,7 +304,7 @@ def confirmed_links(docs: DataFrame, member: DataFrame) -> DataFrame:
     large = large.withColumn("block", F.pmod(F.xxhash64("did"), blocks).cast("int"))
     named = lambda *c: F.concat_ws("-", *[F.col(x).cast("string") for x in c]).alias("part")
     guides = large.where("did = pivot or did = family").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    first = _links(large.unionByName(guides).select(named("family", "block"), "did", "text"), "links-large")
+    first = _links(large.unionByName(guides).select(named("family", "block"), "did", "text"), "links-large", large.count())
     roots = components(first, "large")
     placed = large.select("did", "family", "block", "m").distinct().join(roots.withColumnRenamed("node", "did"), "did", "left")
     placed = stored(placed.withColumn("root", F.coalesce("root", "did")), "placed")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import near_dedup
-from .frames import keyed_join, stored, text_key
+from .frames import keyed_join, probably_in, stored, text_key
 from .textops import Flat, list_column, mix64, slices, span_hash, span_of_words, windows
 
 SYMBOLS = b"#*$%&|<>"  # fixed value of the base rules
@@ -135,10 +135,12 @@ def frequent_lines(profile: DataFrame, docs: DataFrame | None, ratio: float, lea
     if docs is None:
         return often.drop("n_host")
     held = stored(keyed_join(lines, often.select("host", "line", "n_host"), ["host", "line"]), "often-holders")
-    few = held.select("doc_hash").distinct()
-    # texts stand for themselves, so rows without an id have a family too
+    few = stored(held.select("doc_hash").distinct(), "holders")
+    # texts stand for themselves, so rows without an id have a family too; most hold no such line and need not move
     texts = docs.select(F.col(text).alias("text")).select(text_key("text").alias("doc_hash"), "text")
-    texts = stored(texts.join(few, "doc_hash", "left_semi").dropDuplicates(["doc_hash"]), "holder-texts", compression="zstd")
+    # an inner join: Spark would take a semi join before the filter and the distinct, where it moves every text
+    texts = probably_in(texts, "doc_hash", few).dropDuplicates(["doc_hash"]).join(few, "doc_hash").select("doc_hash", "text")
+    texts = stored(texts, "holder-texts", compression="zstd")
     found = near_dedup.classes(texts, "doc_hash", "text").where("did <> component_id")
     family = stored(found.select(F.col("did").alias("doc_hash"), F.col("component_id").alias("family")).distinct(), "text-families")
     counted = keyed_join(held, family, ["doc_hash"], "left").withColumn("one", F.coalesce("family", "doc_hash"))
