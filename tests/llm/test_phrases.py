@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +97,18 @@ def test_sequences_round_trip():
     seq = phrases.with_gaps(np.arange(1, 9, dtype=np.int32), np.array([1, 0, 0, 1, 1, 0, 0, 1], bool))
     assert seq.tolist() == [0, 1, 2, 3, 0, 4, 0, 5, 6, 7, 0, 8, 0]
     assert phrases.unpacked(phrases.packed(seq)).tolist() == seq.tolist()
+
+
+def test_copies_send_no_more_rows(words):
+    """What a shard sends is a row for each distinct phrase: copies add none, and no word stands for more than four."""
+    text = " ".join(words(300, 5))
+
+    def sent(copies):
+        shard = phrases._Shard()
+        shard.add(pa.array([text] * copies), pa.array(["en"] * copies))
+        batches = list(shard.batch(0))
+        cells = np.unique(np.concatenate([b.column("pair").drop_null().to_numpy() for b in batches]))
+        one = [batches[0].column("seq"), batches[0].column("keys"), pa.array([cells], pa.list_(pa.int32()))]
+        return sum(b.num_rows for b in phrases._longer(5)([pa.record_batch(one, ["seq", "keys", "known"])]))
+
+    assert sent(1) == sent(40) <= 4 * 300
