@@ -112,3 +112,49 @@ def test_copies_send_no_more_rows(words):
         return sum(b.num_rows for b in phrases._longer(5)([pa.record_batch(one, ["seq", "keys", "known"])]))
 
     assert sent(1) == sent(40) <= 4 * 300
+
+
+def shard_rows(texts):
+    """(seq, keys, pairs with their counts) of one shard."""
+    shard = phrases._Shard()
+    shard.add(pa.array(texts), pa.array(["en"] * len(texts)))
+    first = next(iter(shard.texts(0)))
+    seq, keys = first.column("seq")[0].as_py(), first.column("keys")[0].as_py()
+    pairs = list(phrases.pairs_of(phrases.unpacked(seq), np.frombuffer(keys, np.uint64)))
+    return seq, keys, np.concatenate([p for p, _ in pairs]), np.concatenate([c for _, c in pairs])
+
+
+def test_a_place_sends_one_row(words):
+    """Of longer phrases a shard sends at most one row for each word, and their counts add up to the places that start one."""
+    shard = phrases._Shard()
+    shard.add(pa.array([" ".join(words(400, 5))]), pa.array(["en"]))
+    batches = list(shard.batch(0))
+    cells = np.unique(np.concatenate([b.column("pair").drop_null().to_numpy() for b in batches]))
+    one = [batches[0].column("seq"), batches[0].column("keys"), pa.array([cells], pa.list_(pa.int32()))]
+    sent = list(phrases._longer(5)([pa.record_batch(one, ["seq", "keys", "known"])]))
+    assert sum(b.num_rows for b in sent) <= 400
+    assert sum(sum(b.column("count").to_pylist()) for b in sent) == 400 - 2
+
+
+def test_a_pair_is_spelled_once():
+    """A frequent pair is spelled by the one shard that is asked to, with its count over all of them."""
+    seq, keys, pair, count = shard_rows(["red blue red blue", "blue green"])
+    cells = pa.array([np.unique(phrases.cell_of(pair))] * 2, pa.list_(pa.int32()))
+    kind = pa.list_(pa.struct([("pair", pa.int64()), ("f", pa.int64())]))
+    own = pa.array([[], [{"pair": p, "f": 100 + c} for p, c in zip(pair.tolist(), count.tolist(), strict=True)]], kind)
+    batch = pa.record_batch([pa.array([seq] * 2), pa.array([keys] * 2), cells, own], ["seq", "keys", "known", "own"])
+    rows = [r for b in phrases._spelled(5)([batch]) for r in b.to_pylist() if r["w3"] == 0]
+    assert sorted(r["count"] for r in rows) == [101, 101, 102] and len({(r["w1"], r["w2"]) for r in rows}) == 3
+
+
+def test_ends_are_the_longest_phrases():
+    rng = np.random.default_rng(3)
+    text = phrases.with_gaps(rng.integers(1, 4, 400).astype(np.int32), rng.random(400) < 0.2)
+    runs = [tuple(ord(c) - 48 for c in r) for r in "".join(chr(48 + c) for c in text).split("0") if r]
+    want = Counter(r[i : i + 5] for r in runs for i in range(len(r) - 2))
+    index = phrases.FMIndex(text, 4)
+    two = np.array(sorted({r[i : i + 2] for r in runs for i in range(len(r) - 1)}), np.int32)
+    got = Counter()
+    for ids, last in phrases.ends(index, two, *index.find(two), 5):
+        got.update({tuple(p): c for p, c in zip(ids.tolist(), last.tolist(), strict=True)})
+    assert got == want

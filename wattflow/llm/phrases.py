@@ -7,23 +7,27 @@ piece. All counts are per language: a word of another language is another word.
 1. Each shard builds an FM-index of its word ids (Burrows-Wheeler transform ordered to
    the depth needed, occurrence ranks) and extends the interval of every word to the
    left by every word that precedes it: all word pairs with their counts, each also the
-   right extension of its first word (the interval it lies in). The sums over shards name
-   the words that reach the least count, and the 32-bit cells of pairs that do: a cell
-   holds all counts of its pairs, so no frequent pair is missed.
-2. Words in no pair of such a cell leave the shards' texts; the index of what is left
-   finds the intervals of the pairs by backward search and extends them to MOST words. A
-   phrase is kept only while the phrases without its first and without its last word are
-   still there. Counts of pairs and longer phrases are summed by their words.
+   right extension of its first word (the interval it lies in). The sums over shards are
+   the counts of words and pairs; one shard that holds a frequent pair spells it.
+2. Words in no frequent pair leave the shards' texts; the index of what is left finds the
+   intervals of the pairs by backward search and extends them to MOST words. A phrase is
+   kept only while the phrases without its first and without its last word are still
+   there. A shard sends the phrases that end where its text does, or at MOST words, with
+   the number of those ends: each place of the text starts at most one of them. A
+   shorter phrase is the start of those that it grows into, so its count is the sum of
+   theirs, taken where phrases of the same first words meet.
 
 Extension runs over all intervals of a length at once, a few numpy passes over the
 shard. Right extensions need no second index: the intervals of length k + 1 inside the
 interval of a phrase of length k are its right extensions, those reached through the
 transform its left ones. The scores, cuts and nested phrases are joins of counts.
 
-What moves: vocabularies, word pairs and longer phrases with their counts, once for a
-shard, and the shards' id sequences, once, to meet the cells that they keep. Words are
-told apart by 64-bit hashes of (language, word): two of a hundred million are one with
-probability 3e-4.
+What moves: vocabularies and word pairs with their counts, once for a shard; of longer
+phrases at most a row for each word of the text; and the shards' id sequences, once, to
+meet the pairs that they keep. Words are told apart by 64-bit hashes of (language, word):
+two of a hundred million are one with probability 3e-4. Pairs are by a 64-bit hash of
+theirs: one of a million frequent pairs takes up another of a billion with probability
+5e-5.
 
 Defined cases: a null text is an empty one; a null language is ``und``; repeated rows
 each count; texts of any length are taken whole (one row is never split over shards); a
@@ -34,7 +38,6 @@ at; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -111,7 +114,16 @@ class _Shard:
         self.n += len(key)
 
     def batch(self, shard: int) -> Iterator[pa.RecordBatch]:
-        """One row with the id sequence (0 between pieces) and the keys of its ids, one for each word, one for each pair of words."""
+        """All rows of the shard: its text and words, and its pairs."""
+        for batch in self.texts(shard):
+            yield batch.append_column("pair", pa.nulls(batch.num_rows, pa.int32()))
+            if batch.column("seq")[0].is_valid:
+                seq, keys = (batch.column(c)[0].as_py() for c in ("seq", "keys"))
+        for pair, _ in pairs_of(unpacked(seq), np.frombuffer(keys, np.uint64)):
+            yield pa.RecordBatch.from_arrays([pa.array(cell_of(pair))], ["pair"])
+
+    def texts(self, shard: int) -> Iterator[pa.RecordBatch]:
+        """One row with the id sequence (0 between pieces) and the keys of its ids, and one for each word."""
         unique, first, to = np.unique(np.concatenate(self.keys), return_index=True, return_inverse=True)
         count = np.zeros(len(unique), np.int64)
         np.add.at(count, to, np.concatenate(self.counts))
@@ -128,22 +140,38 @@ class _Shard:
         yield rows(1, shard=pa.array([shard]), seq=pa.array([packed(seq)], pa.binary()), keys=pa.array([unique.tobytes()], pa.binary()))
         n = len(unique)
         yield rows(n, shard=pa.array(np.full(n, shard)), lang=lang, word=word, count=pa.array(count))
-        index = FMIndex(seq, 1)
-        one, lo, size = index.words()
-        for ids, found in phrases(index, one[:, None], lo, size, 2):
-            for at in range(0, len(found), 1 << 17):
-                part = ids[at : at + (1 << 17)] - 1
-                n = len(part)
-                yield rows(n, shard=pa.array(np.full(n, shard)), count=pa.array(found[at : at + n]), pair=pa.array(pair_cell(unique[part[:, 0]], unique[part[:, 1]])))
 
 
-ROW = pa.schema([("shard", pa.int64()), ("seq", pa.binary()), ("keys", pa.binary()), ("lang", pa.string()), ("word", pa.string()), ("count", pa.int64()), ("pair", pa.int32())])
-KIND = "shard long, seq binary, keys binary, lang string, word string, count long, pair int"
+ROW = pa.schema([("shard", pa.int64()), ("seq", pa.binary()), ("keys", pa.binary()), ("lang", pa.string()), ("word", pa.string()), ("count", pa.int64())])
+KIND = "shard long, seq binary, keys binary, lang string, word string, count long"
 
 
-def pair_cell(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """32-bit cell of each pair of word keys."""
-    return (mix64(a + mix64(b)) >> _U(32)).astype(np.uint32).view(np.int32)
+def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64-bit key of each pair of word keys."""
+    return mix64(a + mix64(b)).view(np.int64)
+
+
+def cell_of(pair: np.ndarray) -> np.ndarray:
+    """First 32 bits of pair keys: enough to say which pairs may go."""
+    return (pair >> 32).astype(np.int32)
+
+
+def pairs_of(seq: np.ndarray, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(keys, occurrences) of the word pairs of a text, a part at a time."""
+    index = FMIndex(seq, 1)
+    one, lo, size = index.words()
+    for ids, found in phrases(index, one[:, None], lo, size, 2):
+        for at in range(0, len(found), 1 << 17):
+            part = ids[at : at + (1 << 17)] - 1
+            yield pair_key(keys[part[:, 0]], keys[part[:, 1]]), found[at : at + (1 << 17)]
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The word pairs of each shard."""
+    for batch in batches:
+        for shard, blob, raw in zip(batch.column("shard"), batch.column("seq"), batch.column("keys"), strict=True):
+            for pair, count in pairs_of(unpacked(blob.as_py()), np.frombuffer(raw.as_py(), np.uint64)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), shard.as_py())), pa.array(pair), pa.array(count)], ["shard", "pair", "count"])
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,10 +214,10 @@ def _shards(words: int):
             for piece in slices(batch, "text"):
                 now.add(piece.column("text"), piece.column("lang"))
                 if now.n >= words:
-                    yield from now.batch((part << 32) + k)
+                    yield from now.texts((part << 32) + k)
                     now, k = _Shard(), k + 1
         if now.n:
-            yield from now.batch((part << 32) + k)
+            yield from now.texts((part << 32) + k)
 
     return run
 
@@ -274,9 +302,54 @@ def phrases(index: FMIndex, ids: np.ndarray, lo: np.ndarray, size: np.ndarray, m
         yield ids, size
 
 
+def ends(index: FMIndex, ids: np.ndarray, lo: np.ndarray, size: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, occurrences that no word of the text follows; at ``most`` words all) of the phrases that ``phrases`` gives."""
+    by = np.argsort(lo)
+    ids, lo, size = ids[by], lo[by], size[by]
+    first = ids.shape[1]
+    while len(ids):
+        longer, last = ids[:0], size
+        if ids.shape[1] < most:
+            symbol, rest, start, lo, more = index.extend(lo, size)
+            longer = np.concatenate([symbol[:, None], ids[rest]], axis=1)
+            last, size = size - np.bincount(start, more, len(size)).astype(np.int64), more
+        if ids.shape[1] > first:
+            yield ids[last > 0], last[last > 0]
+        ids = longer
+
+
+def _names(most: int) -> list[str]:
+    return [f"w{i}" for i in range(1, most + 1)] + ["count"]
+
+
+def _rows(words: np.ndarray, count: pa.Array, most: int) -> pa.RecordBatch:
+    """Phrases of one length with their counts; 0 for the words that are not there."""
+    wide = np.zeros((len(words), most), np.int64)
+    wide[:, : words.shape[1]] = words
+    return pa.RecordBatch.from_arrays([*(pa.array(wide[:, i]) for i in range(most)), count], _names(most))
+
+
+def _spelled(most: int):
+    """The pairs that each shard is asked to spell, with their counts over all shards, and its longer phrases."""
+    longer = _longer(most)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob, raw, own in zip(batch.column("seq"), batch.column("keys"), batch.column("own"), strict=True):
+                pair, f = own.values.flatten()
+                if len(pair):
+                    seq, keys = unpacked(blob.as_py()), np.frombuffer(raw.as_py(), np.uint64)
+                    side = np.flatnonzero((seq[:-1] > 0) & (seq[1:] > 0))
+                    two = np.stack([keys[seq[side] - 1], keys[seq[side + 1] - 1]], axis=1)
+                    key, first = np.unique(pair_key(two[:, 0], two[:, 1]), return_index=True)
+                    yield _rows(two[first[np.searchsorted(key, pair.to_numpy())]].view(np.int64), f, most)
+            yield from longer([batch])
+
+    return run
+
+
 def _longer(most: int):
-    """Pairs of the cells that the table keeps and longer phrases of each shard, by the keys of their words."""
-    names = [f"w{i}" for i in range(1, most + 1)] + ["count"]
+    """Phrases of three words and more that ``ends`` gives of each shard, of the pairs that the table keeps, by the keys of their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,7 +357,7 @@ def _longer(most: int):
                 seq, keys = unpacked(blob.as_py()).astype(np.int64), np.frombuffer(raw.as_py(), np.uint64)
                 cells = np.sort(known.values.to_numpy())
                 side = np.flatnonzero((seq[:-1] > 0) & (seq[1:] > 0))
-                cell = pair_cell(keys[seq[side] - 1], keys[seq[side + 1] - 1])
+                cell = cell_of(pair_key(keys[seq[side] - 1], keys[seq[side + 1] - 1]))
                 near = side[cells[np.minimum(np.searchsorted(cells, cell), len(cells) - 1)] == cell]
                 held = np.zeros(len(seq) - 1, bool)
                 held[near] = True
@@ -298,18 +371,33 @@ def _longer(most: int):
                 index = FMIndex(text, most - 1)
                 lo, size = index.find(two)
                 key = keys[local - 1].view(np.int64)
-                for found, count in chain([(two, size)], phrases(index, two, lo, size, most)):
-                    words = np.zeros((len(found), most), np.int64)
-                    words[:, : found.shape[1]] = key[found - 1]
-                    yield pa.RecordBatch.from_arrays([*(pa.array(words[:, i]) for i in range(most)), pa.array(count)], names)
+                for found, count in ends(index, two, lo, size, most):
+                    yield _rows(key[found - 1], pa.array(count), most)
 
     return run
 
 
-def _reaching(rows: DataFrame, key: list[str], least: int) -> DataFrame:
-    """Rows of the keys whose counts add up to ``least`` or more, with the sum ``f``; a key has few rows a shard."""
-    total = F.sum("count").over(Window.partitionBy(*key))
-    return rows.withColumn("f", total).where(F.col("f") >= least).drop("count")
+def _starts(rows: DataFrame, least: int, most: int) -> DataFrame:
+    """``ws, f`` of the phrases that occur ``least`` times, from phrases as far as their text goes.
+
+    All phrases with the same first three words meet once; sorted there, each length's
+    sums are taken over neighbours, and a phrase is named at the first of its own.
+    """
+    names = _names(most)[:-1]
+    short = min(LEAST + 1, most)
+    rows = rows.repartition(*names[:short]).groupBy(*names).agg(F.sum("count").alias(f"f{most}"))
+    out = []
+    for k in range(short, most):
+        group = Window.partitionBy(*names[:k]).orderBy(*names[k:])
+        whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        rows = rows.select("*", F.sum(f"f{most}").over(whole).alias(f"f{k}"), F.row_number().over(group).alias(f"at{k}"))
+        rows = rows.where(F.col(f"f{k}") >= least) if k == short else rows
+        named = (F.col(f"at{k}") == 1) & (F.col(names[k - 1]) != 0) if k > short else F.col(f"at{k}") == 1  # a pair has no third word
+        out.append(F.when(named & (F.col(f"f{k}") >= least), F.struct(F.array(*names[:k]).alias("ws"), F.col(f"f{k}").alias("f"))))
+    whole = F.struct(F.array(*names).alias("ws"), F.col(f"f{most}").alias("f"))
+    out.append(F.when((F.col(f"f{most}") >= least) & ((F.col(names[-1]) != 0) | F.lit(short == most)), whole))
+    rows = rows.select(F.explode(F.filter(F.array(*out), lambda x: x.isNotNull())).alias("found"))
+    return rows.select(F.filter("found.ws", lambda w: w != 0).alias("ws"), "found.f")
 
 
 def count_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST_COUNT, most: int = MOST, shard_words: int = SHARD_WORDS):
@@ -320,15 +408,17 @@ def count_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least
     totals = stored(vocabulary.groupBy("lang").agg(F.sum("count").alias("n")), "phrase-totals")
     words = vocabulary.groupBy("lang", "word").agg(F.sum("count").alias("f")).where(F.col("f") >= least)
     words = stored(words.mapInArrow(_keys, "lang string, word string, f long, key long"), "phrase-words")
-    # a shard has few rows of a cell: the sum is taken where its rows meet, which moves them once
-    kept = _reaching(shards.where(F.col("pair").isNotNull()).select("pair", "shard", "count"), ["pair"], least)
-    known = kept.groupBy("shard").agg(F.collect_list("pair").alias("known"))  # at most one for each word of the shard
-    meet = shards.where(F.col("seq").isNotNull()).select("shard", "seq", "keys").join(known, "shard").select("seq", "keys", "known")
-    names = [f"w{i}" for i in range(1, most + 1)]
-    longer = meet.mapInArrow(_longer(most), ", ".join(f"{c} long" for c in names) + ", count long")
-    longer = longer.groupBy(*names).agg(F.sum("count").alias("f")).where(F.col("f") >= least)
-    ws = F.filter(F.array(*names), lambda w: w != 0)
-    found = stored(longer.select(ws.alias("ws"), "f"), "phrase-found")
+    # a shard has one row of a pair: the sum is taken where its rows meet, which moves them once
+    texts = shards.where(F.col("seq").isNotNull()).select("shard", "seq", "keys")
+    same = Window.partitionBy("pair")
+    kept = texts.mapInArrow(_pairs, "shard long, pair long, count long")
+    kept = kept.select("shard", "pair", F.sum("count").over(same).alias("f"), F.min("shard").over(same).alias("first")).where(F.col("f") >= least)
+    own = F.when(F.col("shard") == F.col("first"), F.struct("pair", "f"))
+    cell = F.shiftright("pair", 32).cast("int")
+    known = kept.groupBy("shard").agg(F.collect_list(cell).alias("known"), F.collect_list(own).alias("own"))  # at most one for each word of the shard
+    meet = texts.join(known, "shard").select("seq", "keys", "known", "own")
+    longer = meet.mapInArrow(_spelled(most), ", ".join(f"{c} long" for c in _names(most)))
+    found = stored(_starts(longer, least, most), "phrase-found")
     return words, totals, found
 
 
